@@ -47,3 +47,133 @@ def q_alerts_by_cluster(spark, sf_dir):
         F.round("avg_velocity", 6).alias("avg_velocity"), "max_vibration", "last_gnss_x", "last_gnss_y",
         "rain_intensity", "pore_pressure", F.round("inv_velocity", 4).alias("inv_velocity"),
         "alert_level", "alert_message")
+
+
+@register("alerts_global")
+def q_alerts_global(spark, sf_dir):
+    a = al.core_alerts(load_features(spark, sf_dir))
+    return a.select(
+        F.col("window.start").alias("time"), "alert_level",
+        F.round("inv_velocity", 4).alias("inv_velocity"), F.round("avg_velocity", 6).alias("avg_velocity"),
+        "last_gnss_x", "rain_intensity")
+
+
+@register("resample_hopping")
+def q_resample_hopping(spark, sf_dir):
+    f = load_features(spark, sf_dir)
+    h = rs.resample(f, [F.count(F.lit(1)).alias("n"),
+                        F.round(F.avg("imu_velocity"), 6).alias("avg_velocity"),
+                        F.max("rain").alias("rain_intensity")],
+                    every="10 seconds", slide="5 seconds")
+    return al.flat_window(h)
+
+
+@register("env_summary_10s")
+def q_env_summary(spark, sf_dir):
+    e = rs.environment_summary(load_readings(spark, sf_dir), every="10 seconds")
+    return al.flat_window(e).select("window_start", "window_end", F.round("avg_acc_z", 6).alias("avg_acc_z"),
+                                    "max_rain", "max_water_level", "last_gnss")
+
+
+def _messages(spark, sf_dir) -> DataFrame:
+    """Kafka-shaped messages built from every reading; 'unknown' sensors give broken packets."""
+    from ..sources import envelopes as ev
+    r = rd.readings(table(spark, sf_dir, "events"), keep_raw=True)
+    good = ev.encode_envelopes(r.where(F.col("sensor_type") != "unknown"))
+    env = ev.envelope(r.where(F.col("sensor_type") == "unknown"), carry=("event_id", "raw_value"))
+    fields = [c for c in env.columns if c not in ("event_id", "raw_value")]
+    no_time = [c for c in fields if c != "timestamp"]
+    no_type = [c for c in fields if c != "sensor_type"]
+    garbage_time = [F.lit("garbage").alias("timestamp")] + [F.col(c) for c in no_time]
+    rv = F.col("raw_value")
+    broken = env.select(
+        F.col("event_id").cast("string").alias("key"),
+        F.when(rv < 25, F.to_json(F.struct(*garbage_time)))
+        .when(rv < 50, F.to_json(F.struct(*no_time)))
+        .when(rv < 75, F.to_json(F.struct(*no_type)))
+        .otherwise(F.concat(F.lit('{"timestamp": '), F.col("sensor_id"))).alias("value"))
+    return good.unionByName(broken)
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    from ..functions import parse as ps
+    from ..sources import envelopes as ev
+    msgs = ev.encode_envelopes(load_readings(spark, sf_dir))
+    parsed = ps.parse_json(msgs, keep=("key",))
+    f = ps.envelope_features(parsed, keep=("key",))
+    return f.select(F.col("key").cast("long").alias("event_id"),
+                    *[c for c in f.columns if c != "key"])
+
+
+@register("rejected_counts")
+def q_rejected_counts(spark, sf_dir):
+    from ..functions import parse as ps
+    tagged = ps.tag_messages(_messages(spark, sf_dir), keep=("key",))
+    return (tagged.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("cluster_from_sensor_id")
+def q_cluster_from_sensor_id(spark, sf_dir):
+    from ..functions import parse as ps
+    r = rd.readings(table(spark, sf_dir, "events"), keep_raw=True)
+    form = F.col("user_id") % 4
+    sid = (F.when(form == 0, F.col("sensor_id"))
+           .when(form == 1, F.concat("sensor_type", F.lit("_"), "cluster_id", F.lit("_"),
+                                     F.lpad(F.col("user_id").cast("string"), 4, "0")))
+           .when(form == 2, F.concat("sensor_type", F.lit("_01_cluster_"), F.expr("chr(65 + user_id % 3)")))
+           .otherwise(F.concat("sensor_type", F.lit("_01_site_north"))))
+    s = r.select("event_id", sid.alias("sensor_id"))
+    return s.select("event_id", "sensor_id", ps.cluster_of("sensor_id").alias("cluster_strict"),
+                    ps.resolve_cluster(F.lit(None).cast("string"), "sensor_id").alias("cluster_id"))
+
+
+@register("topic_parts")
+def q_topic_parts(spark, sf_dir):
+    from ..functions import parse as ps
+    r = load_readings(spark, sf_dir).select("event_id", ps.topic("cluster_id", "sensor_type").alias("mqtt_topic"))
+    return r.select("event_id", "mqtt_topic", ps.topic_cluster("mqtt_topic").alias("topic_cluster"),
+                    ps.topic_sensor_type("mqtt_topic").alias("topic_type"))
+
+
+@register("speed")
+def q_speed(spark, sf_dir):
+    from ..functions import features as fx
+    r = load_readings(spark, sf_dir).where(F.col("sensor_type") == "imu")
+    return r.select("event_id", "sensor_id", fx.speed_xy("vx", "vy").alias("speed"))
+
+
+@register("rms_tilt")
+def q_rms_tilt(spark, sf_dir):
+    from ..functions import features as fx
+    r = load_readings(spark, sf_dir).where(F.col("sensor_type") == "imu")
+    roll, pitch = fx.tilt("acc_x", "acc_y", "acc_z")
+    dx, dy, dz = fx.dynamic_acceleration("acc_x", "acc_y", "acc_z")
+    return r.select(
+        "event_id",
+        F.round(fx.rms("acc_x", "acc_y", "acc_z"), 6).alias("acc_rms_vector"),
+        F.round(roll, 6).alias("roll"), F.round(pitch, 6).alias("pitch"),
+        dx.alias("dyn_x"), dy.alias("dyn_y"), dz.alias("dyn_z"),
+        F.round(fx.rms(dx, dy, dz), 6).alias("dyn_rms"))
+
+
+@register("pressure_residual")
+def q_pressure_residual(spark, sf_dir):
+    from ..functions import features as fx
+    r = load_readings(spark, sf_dir).where(F.col("sensor_type").isin("groundwater", "rain"))
+    gw = F.col("sensor_type") == "groundwater"
+    return r.select(
+        "event_id", "sensor_type",
+        F.when(gw, fx.hydrostatic_pressure("water_level")).alias("hydrostatic"),
+        F.when(gw, fx.pressure_residual("pore_pressure", "water_level")).alias("residual"),
+        F.when(~gw, fx.non_negative("intensity")).alias("rain_clamped"))
+
+
+@register("planar_xy")
+def q_planar_xy(spark, sf_dir):
+    from ..functions import features as fx
+    r = load_readings(spark, sf_dir).where(F.col("sensor_type") == "gnss")
+    x, y = fx.planar_xy("latitude", "longitude")
+    return r.select("event_id", "sensor_id", fx.packet_round(x, "vn2000").alias("x"),
+                    fx.packet_round(y, "vn2000").alias("y"))

@@ -79,3 +79,86 @@ SELECT window_start, window_end, cluster_id,
        CASE alert_level WHEN 3 THEN 'DANGER: LANDSLIDE IMMINENT'
                         WHEN 2 THEN 'WARNING: HIGH RISK CONDITIONS' ELSE 'NORMAL' END AS alert_message
 FROM alerts""")
+
+ORACLE["alerts_global"] = with_ctes(READINGS, FEATURES, body="""
+SELECT time,
+       CASE WHEN inv < 10.0::DOUBLE THEN 'DANGER: LANDSLIDE IMMINENT'
+            WHEN rain_intensity > 50.0::DOUBLE THEN 'WARNING: HEAVY RAIN' ELSE 'NORMAL' END AS alert_level,
+       round(inv, 4) AS inv_velocity, round(avg_velocity, 6) AS avg_velocity, last_gnss_x, rain_intensity
+FROM (SELECT *, CASE WHEN avg_velocity > 0.00001::DOUBLE THEN 1.0::DOUBLE / avg_velocity ELSE 1000.0::DOUBLE END AS inv
+      FROM (SELECT date_trunc('second', event_time) AS time, avg(imu_velocity) AS avg_velocity,
+                   arg_max(gnss_x, okey) FILTER (WHERE gnss_x IS NOT NULL) AS last_gnss_x,
+                   max(rain) AS rain_intensity
+            FROM features GROUP BY 1))""")
+
+ORACLE["resample_hopping"] = with_ctes(READINGS, FEATURES, body="""
+SELECT ws AS window_start, ws + INTERVAL 10 SECOND AS window_end, cluster_id, count(*) AS n,
+       round(avg(imu_velocity), 6) AS avg_velocity, max(rain) AS rain_intensity
+FROM (SELECT *, unnest([b, b - INTERVAL 5 SECOND]) AS ws
+      FROM (SELECT *, make_timestamp((epoch_us(event_time) // 5000000) * 5000000) AS b FROM features))
+GROUP BY ALL""")
+
+ORACLE["env_summary_10s"] = with_ctes(READINGS, body="""
+SELECT b AS window_start, b + INTERVAL 10 SECOND AS window_end, round(avg(acc_z), 6) AS avg_acc_z,
+       max(intensity) AS max_rain, max(water_level) AS max_water_level,
+       arg_max(longitude, epoch_us(event_time)::HUGEINT * 1000000000000 + event_id)
+         FILTER (WHERE longitude IS NOT NULL) AS last_gnss
+FROM (SELECT *, make_timestamp((epoch_us(event_time) // 10000000) * 10000000) AS b FROM readings)
+GROUP BY 1""")
+
+ORACLE["json_roundtrip"] = with_ctes(READINGS, FEATURES, body="""
+SELECT event_id, event_time, sensor_id, cluster_id, sensor_type, imu_velocity, acc_rms, rain, pressure,
+       CASE WHEN sensor_type = 'gnss' THEN gnss_x END AS gnss_x,
+       CASE WHEN sensor_type = 'gnss' THEN gnss_y END AS gnss_y
+FROM features""")
+
+ORACLE["rejected_counts"] = with_ctes(READINGS, body="""
+SELECT reason, count(*) AS n
+FROM (SELECT CASE WHEN sensor_type <> 'unknown' THEN 'ok'
+                  WHEN raw_value < 50 THEN 'missing_time'
+                  WHEN raw_value < 75 THEN 'missing_type' ELSE 'unparseable' END AS reason
+      FROM readings)
+GROUP BY 1""")
+
+ORACLE["cluster_from_sensor_id"] = with_ctes(READINGS, body="""
+SELECT event_id, sensor_id, cluster_strict,
+       coalesce(nullif(cluster_strict, ''), 'unknown') AS cluster_id
+FROM (SELECT event_id, sensor_id, regexp_extract(sensor_id, '(cluster_\\d+)', 1) AS cluster_strict
+      FROM (SELECT event_id,
+                   CASE user_id % 4
+                     WHEN 0 THEN sensor_id
+                     WHEN 1 THEN sensor_type || '_' || cluster_id || '_' || lpad(CAST(user_id AS VARCHAR), 4, '0')
+                     WHEN 2 THEN sensor_type || '_01_cluster_' || chr(CAST(65 + user_id % 3 AS INTEGER))
+                     ELSE sensor_type || '_01_site_north' END AS sensor_id
+            FROM readings))""")
+
+ORACLE["topic_parts"] = with_ctes(READINGS, body="""
+SELECT event_id, 'sensors/' || cluster_id || '/' || sensor_type AS mqtt_topic,
+       cluster_id AS topic_cluster, sensor_type AS topic_type
+FROM readings""")
+
+ORACLE["speed"] = with_ctes(READINGS, body="""
+SELECT event_id, sensor_id, sqrt(vx * vx + vy * vy) AS speed FROM readings WHERE sensor_type = 'imu'""")
+
+ORACLE["rms_tilt"] = with_ctes(READINGS, body="""
+SELECT event_id,
+       round(sqrt((acc_x * acc_x + acc_y * acc_y + acc_z * acc_z) / 3.0::DOUBLE), 6) AS acc_rms_vector,
+       round(degrees(atan2(acc_y, acc_z)), 6) AS roll,
+       round(degrees(atan2(-acc_x, sqrt(acc_y * acc_y + acc_z * acc_z))), 6) AS pitch,
+       acc_x - 0.0::DOUBLE AS dyn_x, acc_y - 0.0::DOUBLE AS dyn_y, acc_z - (-9.81::DOUBLE) AS dyn_z,
+       round(sqrt(((acc_x - 0.0::DOUBLE) * (acc_x - 0.0::DOUBLE) + (acc_y - 0.0::DOUBLE) * (acc_y - 0.0::DOUBLE)
+                   + (acc_z + 9.81::DOUBLE) * (acc_z + 9.81::DOUBLE)) / 3.0::DOUBLE), 6) AS dyn_rms
+FROM readings WHERE sensor_type = 'imu'""")
+
+ORACLE["pressure_residual"] = with_ctes(READINGS, body="""
+SELECT event_id, sensor_type,
+       CASE WHEN sensor_type = 'groundwater' THEN 1000.0::DOUBLE * 9.81::DOUBLE * water_level / 1000.0::DOUBLE END AS hydrostatic,
+       CASE WHEN sensor_type = 'groundwater'
+            THEN pore_pressure - 1000.0::DOUBLE * 9.81::DOUBLE * water_level / 1000.0::DOUBLE END AS residual,
+       CASE WHEN sensor_type = 'rain' THEN greatest(0.0::DOUBLE, intensity) END AS rain_clamped
+FROM readings WHERE sensor_type IN ('groundwater', 'rain')""")
+
+ORACLE["planar_xy"] = with_ctes(READINGS, body="""
+SELECT event_id, sensor_id, round(radians(latitude) * 6378137.0, 3) AS x,
+       round((radians(longitude) - radians(105.0)) * 6378137.0 * cos(radians(latitude)) + 500000.0, 3) AS y
+FROM readings WHERE sensor_type = 'gnss'""")

@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Snapshot the state store often, as the reference jobs do; cheap replay on restart.
     "spark.sql.streaming.stateStore.minDeltasForSnapshot": "2",
 }
