@@ -57,6 +57,16 @@ def first_by_time(df: DataFrame, value_col: str, time_col: str = "event_time",
     return F.min_by(v, F.when(v.isNotNull(), order_key(df, time_col, tie_col)))
 
 
+def exact_mean(col, digits: int = 6, scale: int = 9) -> Column:
+    """Mean over a fixed-point copy of the values, rounded half-up to ``digits``.
+
+    Order-independent (no floating sum), so every engine and every partitioning
+    gives the same digits; precision 18 keeps Spark on its long-backed decimals.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(F.avg(c.cast(f"decimal(18,{scale})")), digits).cast("double")
+
+
 def readings_features(readings: DataFrame) -> DataFrame:
     """Flat feature rows from derived readings (GNSS position projected and packet-rounded)."""
     x, y = fx.planar_xy("latitude", "longitude")
@@ -109,11 +119,12 @@ def resample(df: DataFrame, aggs: Sequence[Column], every: str = "1 second",
     return df.groupBy(win.alias("window"), *keys).agg(*aggs)
 
 
-def environment_summary(readings: DataFrame, every: str = "10 seconds") -> DataFrame:
+def environment_summary(readings: DataFrame, every: str = "10 seconds", exact: bool = False) -> DataFrame:
     """Windowed environment summary: mean vertical acceleration, peak rain and
-    water level, and the newest GNSS longitude (global window)."""
+    water level, and the newest GNSS longitude (global window).
+    ``exact`` takes the fixed-point mean (6 digits) instead of a double mean."""
     return resample(readings, [
-        F.avg("acc_z").alias("avg_acc_z"),
+        (exact_mean("acc_z") if exact else F.avg("acc_z")).alias("avg_acc_z"),
         F.max("intensity").alias("max_rain"),
         F.max("water_level").alias("max_water_level"),
         last_by_time(readings, "longitude").alias("last_gnss"),

@@ -70,8 +70,8 @@ def q_resample_hopping(spark, sf_dir):
 
 @register("env_summary_10s")
 def q_env_summary(spark, sf_dir):
-    e = rs.environment_summary(load_readings(spark, sf_dir), every="10 seconds")
-    return al.flat_window(e).select("window_start", "window_end", F.round("avg_acc_z", 6).alias("avg_acc_z"),
+    e = rs.environment_summary(load_readings(spark, sf_dir), every="10 seconds", exact=True)
+    return al.flat_window(e).select("window_start", "window_end", "avg_acc_z",
                                     "max_rain", "max_water_level", "last_gnss")
 
 
@@ -177,3 +177,195 @@ def q_planar_xy(spark, sf_dir):
     x, y = fx.planar_xy("latitude", "longitude")
     return r.select("event_id", "sensor_id", fx.packet_round(x, "vn2000").alias("x"),
                     fx.packet_round(y, "vn2000").alias("y"))
+
+
+# ------------------------------------------------------------ sequences
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+@register("rain_accumulation")
+def q_rain_accumulation(spark, sf_dir):
+    from ..operators import motion as mo
+    rain = load_readings(spark, sf_dir).where(F.col("sensor_type") == "rain")
+    acc = mo.rain_accumulation(rain)
+    return acc.select("event_id", "sensor_id", "event_time", "dt", _r6("accumulated").alias("accumulated"))
+
+
+@register("rain_accumulation_reset")
+def q_rain_accumulation_reset(spark, sf_dir):
+    from ..operators import motion as mo
+    rain = load_readings(spark, sf_dir).where(F.col("sensor_type") == "rain")
+    acc = mo.rain_accumulation(rain, reset="60 seconds")
+    return acc.select("event_id", "sensor_id", "period", "dt", _r6("accumulated").alias("accumulated"))
+
+
+@register("integrated_motion")
+def q_integrated_motion(spark, sf_dir):
+    from ..operators import motion as mo
+    imu = load_readings(spark, sf_dir).where(F.col("sensor_type") == "imu")
+    m = mo.integrate_damped(imu)
+    return m.select("event_id", "sensor_id", "dt",
+                    *[_r6(f"vel_{a}").alias(f"vel_{a}") for a in "xyz"],
+                    *[_r6(f"disp_{a}").alias(f"disp_{a}") for a in "xyz"])
+
+
+@register("gnss_displacement")
+def q_gnss_displacement(spark, sf_dir):
+    from ..operators import motion as mo
+    pos = mo.gnss_positions(load_readings(spark, sf_dir).where(F.col("sensor_type") == "gnss")
+                            .select("event_id", "event_time", "sensor_id", "latitude", "longitude"))
+    d = mo.gnss_displacement(pos)
+    return d.select("event_id", "sensor_id", "x", "y", "dx", "dy", "displacement", "step")
+
+
+@register("gnss_forward_fill")
+def q_gnss_forward_fill(spark, sf_dir):
+    from ..operators import sequence as sq
+    a = al.flat_window(cluster_alerts(spark, sf_dir)).select("window_start", "cluster_id", "last_gnss_x",
+                                                             "last_gnss_y")
+    return sq.forward_fill(a, ["cluster_id"], ["last_gnss_x", "last_gnss_y"], time_col="window_start",
+                           tie_col=None)
+
+
+@register("time_to_failure")
+def q_time_to_failure(spark, sf_dir):
+    from ..operators import failure as fl
+    a = al.flat_window(cluster_alerts(spark, sf_dir)).select("window_start", "cluster_id", "inv_velocity")
+    t = fl.time_to_failure(a)
+    return t.select("window_start", "cluster_id", F.round("inv_velocity", 4).alias("inv_velocity"),
+                    (_r6("slope") + F.lit(0.0)).alias("slope"),
+                    F.round("ttf_seconds", 3).alias("ttf_seconds"))
+
+
+# ------------------------------------------------------------ stored points
+
+def load_points(spark, sf_dir):
+    from ..operators import series as se
+    return se.to_points(cluster_alerts(spark, sf_dir))
+
+
+def load_long(spark, sf_dir, keep_nulls=False):
+    from ..operators import series as se
+    return se.points_long(load_points(spark, sf_dir), keep_nulls=keep_nulls)
+
+
+@register("points_long")
+def q_points_long(spark, sf_dir):
+    return load_long(spark, sf_dir).select("time", "cluster_id", "field", _r6("value").alias("value"))
+
+
+@register("latest_alert")
+def q_latest_alert(spark, sf_dir):
+    from ..operators import series as se
+    long = load_long(spark, sf_dir)
+    recent = se.time_range(long.where(F.col("field") == "alert_level"), "5 minutes",
+                           as_of=se.newest_time(load_points(spark, sf_dir)))
+    return se.latest(recent, ["cluster_id"])
+
+
+DASHBOARD_FIELDS = ("inv_velocity", "avg_velocity", "rain_intensity", "pore_pressure", "max_vibration")
+
+
+@register("agg_window_mean")
+def q_agg_window_mean(spark, sf_dir):
+    from ..operators import series as se
+    long = load_long(spark, sf_dir).where(F.col("field").isin(*DASHBOARD_FIELDS))
+    a = se.aggregate_window(long, "1 second", fn="exact_mean")
+    return a.select("time", "cluster_id", "field", "value")
+
+
+@register("agg_window_mean_10s")
+def q_agg_window_mean_10s(spark, sf_dir):
+    from ..operators import series as se
+    long = load_long(spark, sf_dir).where(F.col("field").isin(*DASHBOARD_FIELDS))
+    a = se.aggregate_window(long, "10 seconds", fn="exact_mean")
+    return a.select("time", "cluster_id", "field", "value")
+
+
+@register("tag_values")
+def q_tag_values(spark, sf_dir):
+    from ..operators import series as se
+    return se.tag_values(load_points(spark, sf_dir), "cluster_id", "30 days")
+
+
+@register("panel_stats")
+def q_panel_stats(spark, sf_dir):
+    from ..operators import series as se
+    s = se.panel_stats(load_long(spark, sf_dir, keep_nulls=True), exact=True)
+    return s.select("cluster_id", "field", _r6("last").alias("last"), _r6("last_not_null").alias("last_not_null"),
+                    "mean", _r6("min").alias("min"), _r6("max").alias("max"), "n",
+                    _r6("delta").alias("delta"))
+
+
+@register("head_per_series")
+def q_head_per_series(spark, sf_dir):
+    from ..operators import series as se
+    h = se.head_per_series(load_long(spark, sf_dir), ["field", "cluster_id"], 10)
+    return h.select("time", "cluster_id", "field", _r6("value").alias("value"))
+
+
+@register("threshold_bands")
+def q_threshold_bands(spark, sf_dir):
+    from ..functions import panels as pn
+    p = load_points(spark, sf_dir)
+    return p.select("time", "cluster_id",
+                    pn.threshold_band("rain_intensity", pn.RAIN_STEPS).alias("rain_band"),
+                    pn.threshold_band("max_vibration", pn.VIBRATION_STEPS).alias("vibration_band"),
+                    pn.threshold_band("inv_velocity", pn.INVERSE_VELOCITY_STEPS).alias("inv_band"),
+                    pn.threshold_band("alert_level", pn.ALERT_STEPS).alias("alert_band"),
+                    pn.value_text(F.col("alert_level").cast("int")).alias("alert_text"))
+
+
+# ------------------------------------------------------------ label metrics
+
+def load_metrics(spark, sf_dir):
+    return rd.host_metrics(table(spark, sf_dir, "events"))
+
+
+def _idle_rate(spark, sf_dir):
+    from ..operators import metrics as mt
+    cpu = mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total", mode="idle")
+    return mt.counter_rate(cpu)
+
+
+@register("counter_rate")
+def q_counter_rate(spark, sf_dir):
+    from ..operators import metrics as mt
+    cpu = mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total")
+    r = mt.counter_rate(cpu)
+    return r.select("sample_id", "ts", "instance", "mode", _r6("rate").alias("rate"))
+
+
+@register("busy_pct")
+def q_busy_pct(spark, sf_dir):
+    from ..operators import metrics as mt
+    a = mt.avg_by(_idle_rate(spark, sf_dir), ["instance"], "rate")
+    return a.select("ts", "instance", _r6(F.lit(100.0) - F.col("rate") * 100.0).alias("busy_pct"))
+
+
+@register("series_count")
+def q_series_count(spark, sf_dir):
+    from ..operators import metrics as mt
+    cpu = mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total", mode="idle")
+    return mt.count_series(cpu)
+
+
+@register("instant_select")
+def q_instant_select(spark, sf_dir):
+    from ..operators import metrics as mt
+    mem = mt.select(load_metrics(spark, sf_dir), "memory_total")
+    return mt.instant_select(mem)
+
+
+@register("metric_difference")
+def q_metric_difference(spark, sf_dir):
+    from ..operators import metrics as mt
+    return mt.metric_difference(load_metrics(spark, sf_dir), "memory_total", "memory_available")
+
+
+@register("metric_ratio")
+def q_metric_ratio(spark, sf_dir):
+    from ..operators import metrics as mt
+    return mt.metric_ratio(load_metrics(spark, sf_dir), "memory_total", "memory_available")

@@ -66,6 +66,14 @@ ALERTS = """alerts AS (
         FROM resampled))"""
 
 
+def exact_mean(v: str) -> str:
+    """Half-up mean to 6 digits over DECIMAL(18,9) values, in integer arithmetic."""
+    s = f"CAST(sum(CAST({v} AS DECIMAL(18,9))) * 1000000000 AS HUGEINT)"
+    d = f"(count({v}) * 1000)"
+    return (f"(CASE WHEN count({v}) = 0 THEN NULL WHEN {s} >= 0 THEN CAST((2 * {s} + {d}) // (2 * {d}) AS DOUBLE) / 1e6 "
+            f"ELSE -CAST((2 * (-{s}) + {d}) // (2 * {d}) AS DOUBLE) / 1e6 END)")
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -98,8 +106,8 @@ FROM (SELECT *, unnest([b, b - INTERVAL 5 SECOND]) AS ws
       FROM (SELECT *, make_timestamp((epoch_us(event_time) // 5000000) * 5000000) AS b FROM features))
 GROUP BY ALL""")
 
-ORACLE["env_summary_10s"] = with_ctes(READINGS, body="""
-SELECT b AS window_start, b + INTERVAL 10 SECOND AS window_end, round(avg(acc_z), 6) AS avg_acc_z,
+ORACLE["env_summary_10s"] = with_ctes(READINGS, body=f"""
+SELECT b AS window_start, b + INTERVAL 10 SECOND AS window_end, {exact_mean('acc_z')} AS avg_acc_z,
        max(intensity) AS max_rain, max(water_level) AS max_water_level,
        arg_max(longitude, epoch_us(event_time)::HUGEINT * 1000000000000 + event_id)
          FILTER (WHERE longitude IS NOT NULL) AS last_gnss
@@ -162,3 +170,204 @@ ORACLE["planar_xy"] = with_ctes(READINGS, body="""
 SELECT event_id, sensor_id, round(radians(latitude) * 6378137.0, 3) AS x,
        round((radians(longitude) - radians(105.0)) * 6378137.0 * cos(radians(latitude)) + 500000.0, 3) AS y
 FROM readings WHERE sensor_type = 'gnss'""")
+
+HOST_METRICS = """host_metrics AS (
+  SELECT event_id AS sample_id, event_time AS ts, 'cpu_seconds_total' AS metric,
+         'host_' || CAST(user_id % 5 AS VARCHAR) AS instance,
+         CASE WHEN vy < 0.05 THEN 'idle' ELSE 'user' END AS mode,
+         CAST(SUM(CAST(raw_value AS DECIMAL(18,2))) OVER (
+           PARTITION BY user_id % 5, CASE WHEN vy < 0.05 THEN 'idle' ELSE 'user' END,
+                        CAST(FLOOR(us / 120000000) AS BIGINT)
+           ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value
+  FROM readings WHERE sensor_type = 'imu'
+  UNION ALL
+  SELECT event_id, event_time, 'memory_total', 'host_' || CAST(user_id % 5 AS VARCHAR), '', CAST(1000 AS DOUBLE)
+  FROM readings WHERE sensor_type = 'gnss'
+  UNION ALL
+  SELECT event_id, event_time, 'memory_available', 'host_' || CAST(user_id % 5 AS VARCHAR), '', raw_value
+  FROM readings WHERE sensor_type = 'gnss')"""
+
+POINTS = """points AS (
+  SELECT window_start AS time, coalesce(nullif(cluster_id, ''), 'unknown') AS cluster_id,
+         inv_velocity, avg_velocity, max_vibration, rain_intensity, pore_pressure,
+         last_gnss_x AS gnss_x, last_gnss_y AS gnss_y, CAST(alert_level AS DOUBLE) AS alert_level
+  FROM alerts)"""
+
+_FIELDS = "inv_velocity, avg_velocity, max_vibration, rain_intensity, pore_pressure, gnss_x, gnss_y, alert_level"
+LONG = f"""long AS (UNPIVOT points ON {_FIELDS} INTO NAME field VALUE value)"""
+LONG_ALL = f"""long_all AS (FROM points UNPIVOT INCLUDE NULLS (value FOR field IN ({_FIELDS})))"""
+
+PT = (READINGS, FEATURES, RESAMPLED, ALERTS, POINTS)
+
+RAIN_DT = """rain AS (
+  SELECT event_id, sensor_id, event_time, intensity,
+         make_timestamp((epoch_us(event_time) // 60000000) * 60000000) AS period,
+         coalesce(epoch_us(event_time) - lag(epoch_us(event_time)) OVER (PARTITION BY sensor_id ORDER BY event_time, event_id), 0) / 1e6 AS dt,
+         coalesce(epoch_us(event_time) - lag(epoch_us(event_time)) OVER (
+           PARTITION BY sensor_id, make_timestamp((epoch_us(event_time) // 60000000) * 60000000)
+           ORDER BY event_time, event_id), 0) / 1e6 AS dt_reset
+  FROM readings WHERE sensor_type = 'rain')"""
+
+ORACLE["rain_accumulation"] = with_ctes(READINGS, RAIN_DT, body="""
+SELECT event_id, sensor_id, event_time, dt,
+       round(sum(intensity / 3600.0::DOUBLE * dt) OVER (PARTITION BY sensor_id ORDER BY event_time, event_id
+                                                     ROWS UNBOUNDED PRECEDING), 6) AS accumulated
+FROM rain""")
+
+ORACLE["rain_accumulation_reset"] = with_ctes(READINGS, RAIN_DT, body="""
+SELECT event_id, sensor_id, period, dt_reset AS dt,
+       round(sum(intensity / 3600.0::DOUBLE * dt_reset) OVER (PARTITION BY sensor_id, period ORDER BY event_time, event_id
+                                                           ROWS UNBOUNDED PRECEDING), 6) AS accumulated
+FROM rain""")
+
+ORACLE["integrated_motion"] = "WITH RECURSIVE " + ",\n".join([READINGS, """imu0 AS (
+  SELECT event_id, sensor_id, event_time,
+         acc_x - 0.0::DOUBLE AS ax, acc_y - 0.0::DOUBLE AS ay, acc_z - (-9.81::DOUBLE) AS az,
+         coalesce(epoch_us(event_time) - lag(epoch_us(event_time)) OVER (PARTITION BY sensor_id ORDER BY event_time, event_id), 0) / 1e6 AS dt,
+         row_number() OVER (PARTITION BY sensor_id ORDER BY event_time, event_id) AS rn
+  FROM readings WHERE sensor_type = 'imu')""", """rec AS (
+  SELECT sensor_id, rn, event_id, dt,
+         0.95::DOUBLE * (0.0::DOUBLE + ax * dt) AS vx, 0.95::DOUBLE * (0.0::DOUBLE + ay * dt) AS vy,
+         0.95::DOUBLE * (0.0::DOUBLE + az * dt) AS vz
+  FROM imu0 WHERE rn = 1
+  UNION ALL
+  SELECT i.sensor_id, i.rn, i.event_id, i.dt,
+         0.95::DOUBLE * (r.vx + i.ax * i.dt), 0.95::DOUBLE * (r.vy + i.ay * i.dt), 0.95::DOUBLE * (r.vz + i.az * i.dt)
+  FROM rec r JOIN imu0 i ON i.sensor_id = r.sensor_id AND i.rn = r.rn + 1)"""]) + """
+SELECT event_id, sensor_id, dt, round(vx, 6) AS vel_x, round(vy, 6) AS vel_y, round(vz, 6) AS vel_z,
+       round(sum(vx * dt) OVER w, 6) AS disp_x, round(sum(vy * dt) OVER w, 6) AS disp_y,
+       round(sum(vz * dt) OVER w, 6) AS disp_z
+FROM rec WINDOW w AS (PARTITION BY sensor_id ORDER BY rn ROWS UNBOUNDED PRECEDING)"""
+
+ORACLE["gnss_displacement"] = with_ctes(READINGS, """g AS (
+  SELECT event_id, sensor_id, event_time,
+         round(radians(latitude) * 6378137.0, 3) AS x,
+         round((radians(longitude) - radians(105.0)) * 6378137.0 * cos(radians(latitude)) + 500000.0, 3) AS y,
+         epoch_us(event_time)::HUGEINT * 1000000000000 + event_id AS okey
+  FROM readings WHERE sensor_type = 'gnss')""", """b AS (
+  SELECT sensor_id, arg_min(x, okey) AS x0, arg_min(y, okey) AS y0 FROM g GROUP BY 1)""", """p AS (
+  SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM g
+  WINDOW w AS (PARTITION BY sensor_id ORDER BY event_time, event_id))""", body="""
+SELECT event_id, p.sensor_id, x, y, x - x0 AS dx, y - y0 AS dy,
+       sqrt((x - x0) * (x - x0) + (y - y0) * (y - y0)) AS displacement,
+       sqrt((x - px) * (x - px) + (y - py) * (y - py)) AS step
+FROM p JOIN b USING (sensor_id)""")
+
+ORACLE["gnss_forward_fill"] = with_ctes(READINGS, FEATURES, RESAMPLED, body="""
+SELECT window_start, cluster_id, last_gnss_x, last_gnss_y,
+       last_value(last_gnss_x IGNORE NULLS) OVER w AS last_gnss_x_filled,
+       last_value(last_gnss_y IGNORE NULLS) OVER w AS last_gnss_y_filled
+FROM resampled
+WINDOW w AS (PARTITION BY cluster_id ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+ORACLE["time_to_failure"] = with_ctes(READINGS, FEATURES, RESAMPLED, ALERTS, """a AS (
+  SELECT window_start, cluster_id, inv_velocity, (epoch_us(window_start) - 1704067200000000) / 1e6 AS x
+  FROM alerts)""", """f AS (
+  SELECT *, regr_slope(inv_velocity, x) OVER w AS slope, regr_avgx(inv_velocity, x) OVER w AS mx,
+         regr_avgy(inv_velocity, x) OVER w AS my
+  FROM a WINDOW w AS (PARTITION BY cluster_id ORDER BY window_start
+                      RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW))""", body="""
+SELECT window_start, cluster_id, round(inv_velocity, 4) AS inv_velocity, round(slope, 6) + 0.0::DOUBLE AS slope,
+       round(CASE WHEN slope < -1e-9 THEN -(my + slope * (x - mx)) / slope END, 3) AS ttf_seconds
+FROM f""")
+
+ORACLE["points_long"] = with_ctes(*PT, LONG, body="""
+SELECT time, cluster_id, field, round(value, 6) AS value FROM long""")
+
+ORACLE["latest_alert"] = with_ctes(*PT, LONG, body="""
+SELECT cluster_id, max(time) AS time, arg_max(value, time) AS value
+FROM long
+WHERE field = 'alert_level'
+  AND time >= (SELECT max(time) FROM points) - INTERVAL 5 MINUTE AND time <= (SELECT max(time) FROM points)
+GROUP BY 1""")
+
+_DASH = "('inv_velocity', 'avg_velocity', 'rain_intensity', 'pore_pressure', 'max_vibration')"
+
+ORACLE["agg_window_mean"] = with_ctes(*PT, LONG, body=f"""
+SELECT date_trunc('second', time) + INTERVAL 1 SECOND AS time, cluster_id, field, {exact_mean('value')} AS value
+FROM long WHERE field IN {_DASH} GROUP BY 1, 2, 3""")
+
+ORACLE["agg_window_mean_10s"] = with_ctes(*PT, LONG, body=f"""
+SELECT make_timestamp((epoch_us(time) // 10000000) * 10000000) + INTERVAL 10 SECOND AS time, cluster_id, field,
+       {exact_mean('value')} AS value
+FROM long WHERE field IN {_DASH} GROUP BY 1, 2, 3""")
+
+ORACLE["tag_values"] = with_ctes(*PT, body="""
+SELECT DISTINCT cluster_id FROM points WHERE time >= (SELECT max(time) FROM points) - INTERVAL 30 DAY""")
+
+ORACLE["panel_stats"] = with_ctes(*PT, LONG, LONG_ALL, f"""s AS (
+  SELECT cluster_id, field, (array_agg(value ORDER BY time DESC))[1] AS last,
+         arg_max(value, time) FILTER (WHERE value IS NOT NULL) AS last_not_null,
+         {exact_mean('value')} AS mean, min(value) AS min, max(value) AS max, count(value) AS n
+  FROM long_all GROUP BY 1, 2)""", """q AS (
+  SELECT *, lag(value) OVER w AS p1, lag(value, 2) OVER w AS p2,
+         max(time) OVER (PARTITION BY cluster_id, field) AS t_end
+  FROM long WINDOW w AS (PARTITION BY cluster_id, field ORDER BY time))""", """d AS (
+  SELECT cluster_id, field,
+         sum(CASE WHEN p1 IS NULL THEN 0.0::DOUBLE
+                  WHEN value >= p1 THEN (CASE WHEN p2 IS NULL OR p1 >= p2 THEN value - p1 ELSE value END)
+                  WHEN time = t_end THEN value ELSE 0.0::DOUBLE END) AS delta
+  FROM q GROUP BY 1, 2)""", body="""
+SELECT s.cluster_id, s.field, round(last, 6) AS last, round(last_not_null, 6) AS last_not_null,
+       mean, round(min, 6) AS min, round(max, 6) AS max, n, round(delta, 6) AS delta
+FROM s LEFT JOIN d USING (cluster_id, field)""")
+
+ORACLE["head_per_series"] = with_ctes(*PT, LONG, body="""
+SELECT time, cluster_id, field, round(value, 6) AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY field, cluster_id ORDER BY time) AS rn FROM long)
+WHERE rn <= 10""")
+
+ORACLE["threshold_bands"] = with_ctes(*PT, body="""
+SELECT time, cluster_id,
+       CASE WHEN rain_intensity IS NULL THEN NULL WHEN rain_intensity >= 50 THEN 'red'
+            WHEN rain_intensity >= 30 THEN 'yellow' ELSE 'green' END AS rain_band,
+       CASE WHEN max_vibration IS NULL THEN NULL WHEN max_vibration >= 0.5 THEN 'red'
+            WHEN max_vibration >= 0.3 THEN 'yellow' ELSE 'green' END AS vibration_band,
+       CASE WHEN inv_velocity IS NULL THEN NULL WHEN inv_velocity >= 10 THEN 'red' ELSE 'green' END AS inv_band,
+       CASE WHEN alert_level IS NULL THEN NULL WHEN alert_level >= 3 THEN 'red'
+            WHEN alert_level >= 2 THEN 'yellow' ELSE 'green' END AS alert_band,
+       CASE WHEN alert_level IS NULL THEN 'N/A' WHEN alert_level = 1 THEN 'NORMAL' WHEN alert_level = 2 THEN 'WARNING'
+            WHEN alert_level = 3 THEN 'DANGER' ELSE CAST(CAST(alert_level AS INTEGER) AS VARCHAR) END AS alert_text
+FROM points""")
+
+RATE = """rate AS (
+  SELECT sample_id, ts, metric, instance, mode,
+         CASE WHEN span > 0 THEN inc / span END AS rate
+  FROM (SELECT *, sum(step) OVER w - arg_min(step, okey) OVER w AS inc,
+               (epoch_us(ts) - min(epoch_us(ts)) OVER w) / 1e6 AS span
+        FROM (SELECT *, CASE WHEN prev IS NULL THEN 0.0::DOUBLE WHEN value < prev THEN value ELSE value - prev END AS step
+              FROM (SELECT *, lag(value) OVER (PARTITION BY metric, instance, mode ORDER BY ts, sample_id) AS prev,
+                           epoch_us(ts)::HUGEINT * 1000000000000 + sample_id AS okey
+                    FROM host_metrics WHERE metric = 'cpu_seconds_total'))
+        WINDOW w AS (PARTITION BY metric, instance, mode ORDER BY ts
+                     RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW)))"""
+
+ORACLE["counter_rate"] = with_ctes(READINGS, HOST_METRICS, RATE, body="""
+SELECT sample_id, ts, instance, mode, round(rate, 6) AS rate FROM rate""")
+
+ORACLE["busy_pct"] = with_ctes(READINGS, HOST_METRICS, RATE, body="""
+SELECT ts, instance, round(100.0::DOUBLE - avg(rate) * 100.0::DOUBLE, 6) AS busy_pct
+FROM rate WHERE mode = 'idle' GROUP BY 1, 2""")
+
+ORACLE["series_count"] = with_ctes(READINGS, HOST_METRICS, """cpu AS (
+  SELECT * FROM host_metrics WHERE metric = 'cpu_seconds_total' AND mode = 'idle')""", body="""
+SELECT max(ts) AS as_of, count(*) AS n
+FROM (SELECT metric, instance, mode, max(ts) AS ts FROM cpu
+      WHERE ts >= (SELECT max(ts) FROM cpu) - INTERVAL 5 MINUTE GROUP BY 1, 2, 3)""")
+
+ORACLE["instant_select"] = with_ctes(READINGS, HOST_METRICS, """mem AS (
+  SELECT * FROM host_metrics WHERE metric = 'memory_total')""", body="""
+SELECT metric, instance, mode, max(ts) AS ts, arg_max(value, ts) AS value
+FROM mem WHERE ts >= (SELECT max(ts) FROM mem) - INTERVAL 5 MINUTE GROUP BY 1, 2, 3""")
+
+PIVOT_MEM = """mem AS (
+  SELECT ts, instance, max(CASE WHEN metric = 'memory_total' THEN value END) AS t,
+         max(CASE WHEN metric = 'memory_available' THEN value END) AS a
+  FROM host_metrics WHERE metric IN ('memory_total', 'memory_available') GROUP BY 1, 2)"""
+
+ORACLE["metric_difference"] = with_ctes(READINGS, HOST_METRICS, PIVOT_MEM, body="""
+SELECT ts, instance, t - a AS value FROM mem WHERE t IS NOT NULL AND a IS NOT NULL""")
+
+ORACLE["metric_ratio"] = with_ctes(READINGS, HOST_METRICS, PIVOT_MEM, body="""
+SELECT ts, instance, CASE WHEN t = 0 THEN NULL ELSE (t - a) / t END AS value
+FROM mem WHERE t IS NOT NULL AND a IS NOT NULL""")

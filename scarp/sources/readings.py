@@ -67,7 +67,7 @@ def readings(events: DataFrame, keep_raw: bool = False) -> DataFrame:
 
 
 def host_metrics(events: DataFrame) -> DataFrame:
-    """Long label-set metrics ``(ts, metric, instance, mode, value)``.
+    """Long label-set metrics ``(sample_id, ts, metric, instance, mode, value)``.
 
     ``cpu_seconds_total`` is a counter per (instance, mode) that resets every
     120 s of event time; the running sum is partitioned by the reset period,
@@ -86,13 +86,13 @@ def host_metrics(events: DataFrame) -> DataFrame:
     w = (Window.partitionBy("instance", "mode", "period").orderBy("event_time", "event_id")
          .rowsBetween(Window.unboundedPreceding, 0))
     cpu = imu.select(
-        F.col("event_time").alias("ts"), F.lit("cpu_seconds_total").alias("metric"), "instance", "mode",
+        F.col("event_id").alias("sample_id"), F.col("event_time").alias("ts"), F.lit("cpu_seconds_total").alias("metric"), "instance", "mode",
         F.sum(F.col("value").cast("decimal(18,2)")).over(w).cast("double").alias("value"))
     gnss = j.where(F.col("sensor_type") == "gnss").select(
-        F.col("event_time").alias("ts"), instance.alias("instance"), F.col("value"))
+        F.col("event_id").alias("sample_id"), F.col("event_time").alias("ts"), instance.alias("instance"), F.col("value"))
     mem = gnss.select(
-        "ts", F.inline(F.array(
+        "sample_id", "ts", F.inline(F.array(
             F.struct(F.lit("memory_total").alias("metric"), F.lit(1000.0).alias("value")),
             F.struct(F.lit("memory_available").alias("metric"), F.col("value").alias("value")))),
-        "instance").select("ts", "metric", "instance", F.lit("").alias("mode"), "value")
+        "instance").select("sample_id", "ts", "metric", "instance", F.lit("").alias("mode"), "value")
     return cpu.unionByName(mem)
