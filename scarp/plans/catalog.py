@@ -369,3 +369,70 @@ def q_metric_difference(spark, sf_dir):
 def q_metric_ratio(spark, sf_dir):
     from ..operators import metrics as mt
     return mt.metric_ratio(load_metrics(spark, sf_dir), "memory_total", "memory_available")
+
+
+# ------------------------------------------------------------ streaming
+
+def _stream_input(spark, sf_dir, tag):
+    from ..session import scratch_path
+    from ..streaming import jobs
+    src = scratch_path(spark, "scarp", tag, "input")
+    jobs.write_time_slices(load_readings(spark, sf_dir), src, slices=6)
+    return src
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+@register("stream_alerts_append")
+def q_stream_alerts_append(spark, sf_dir):
+    from ..session import scratch_path
+    from ..streaming import jobs
+    src = _stream_input(spark, sf_dir, "append")
+    out = scratch_path(spark, "scarp", "append", "output")
+    feats = jobs.stream_features(jobs.message_stream(spark, src))
+    q = jobs.start_append_job(feats, out, scratch_path(spark, "scarp", "append", "ckpt"),
+                              trigger={"availableNow": True})
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    return res.select(_ntz("window_start"), _ntz("window_end"), "cluster_id",
+                      F.round("avg_velocity", 6).alias("avg_velocity"), "max_vibration", "last_gnss_x",
+                      "last_gnss_y", "rain_intensity", "pore_pressure",
+                      F.round("inv_velocity", 4).alias("inv_velocity"), "alert_level", "alert_message")
+
+
+def _upsert_run(spark, sf_dir):
+    from ..session import scratch_path
+    from ..streaming import jobs
+    src = _stream_input(spark, sf_dir, "upsert")
+    base = scratch_path(spark, "scarp", "upsert")
+    feats = jobs.stream_features(jobs.message_stream(spark, src))
+    q = jobs.start_monitoring_job(feats, f"{base}/points", f"{base}/ckpt", alerts_path=f"{base}/alerts",
+                                  audit_path=f"{base}/audit", trigger={"availableNow": True})
+    q.awaitTermination()
+    return base
+
+
+def _point_cols(df):
+    return df.select(_ntz("time"), "cluster_id", F.round("inv_velocity", 4).alias("inv_velocity"),
+                     F.round("avg_velocity", 6).alias("avg_velocity"), "max_vibration", "rain_intensity",
+                     "pore_pressure", "gnss_x", "gnss_y", "alert_level")
+
+
+@register("stream_alerts_upsert")
+def q_stream_alerts_upsert(spark, sf_dir):
+    from ..streaming.sink import read_latest
+    base = _upsert_run(spark, sf_dir)
+    return _point_cols(read_latest(spark, f"{base}/points"))
+
+
+@register("stream_alert_log")
+def q_stream_alert_log(spark, sf_dir):
+    from ..streaming.sink import read_latest
+    base = _upsert_run(spark, sf_dir)
+    final = read_latest(spark, f"{base}/points").where(F.col("alert_level") > 1).select("time", "cluster_id")
+    log = read_latest(spark, f"{base}/alerts")
+    standing = log.join(final, ["time", "cluster_id"])
+    return standing.select(_ntz("time"), "cluster_id", F.col("alert_level").cast("int").alias("alert_level"),
+                           "alert_message")

@@ -371,3 +371,22 @@ SELECT ts, instance, t - a AS value FROM mem WHERE t IS NOT NULL AND a IS NOT NU
 ORACLE["metric_ratio"] = with_ctes(READINGS, HOST_METRICS, PIVOT_MEM, body="""
 SELECT ts, instance, CASE WHEN t = 0 THEN NULL ELSE (t - a) / t END AS value
 FROM mem WHERE t IS NOT NULL AND a IS NOT NULL""")
+
+ORACLE["stream_alerts_append"] = with_ctes(READINGS, FEATURES, RESAMPLED, ALERTS, body="""
+SELECT window_start, window_end, cluster_id,
+       round(avg_velocity, 6) AS avg_velocity, max_vibration, last_gnss_x, last_gnss_y,
+       rain_intensity, pore_pressure, round(inv_velocity, 4) AS inv_velocity, alert_level,
+       CASE alert_level WHEN 3 THEN 'DANGER: LANDSLIDE IMMINENT'
+                        WHEN 2 THEN 'WARNING: HIGH RISK CONDITIONS' ELSE 'NORMAL' END AS alert_message
+FROM alerts
+WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readings)) - INTERVAL 10 SECOND""")
+
+ORACLE["stream_alerts_upsert"] = with_ctes(*PT, body="""
+SELECT time, cluster_id, round(inv_velocity, 4) AS inv_velocity, round(avg_velocity, 6) AS avg_velocity,
+       max_vibration, rain_intensity, pore_pressure, gnss_x, gnss_y, alert_level
+FROM points""")
+
+ORACLE["stream_alert_log"] = with_ctes(*PT, body="""
+SELECT time, cluster_id, CAST(alert_level AS INTEGER) AS alert_level,
+       CASE WHEN alert_level = 3 THEN 'DANGER: LANDSLIDE IMMINENT' ELSE 'WARNING: HIGH RISK CONDITIONS' END AS alert_message
+FROM points WHERE alert_level > 1""")
