@@ -21,10 +21,16 @@ _TIE_SCALE = 1_000_000_000_000
 
 
 def epoch_micros(df: DataFrame, time_col: str) -> Column:
-    """Microseconds since 1970 for TIMESTAMP and TIMESTAMP_NTZ alike (zone-free)."""
+    """Microseconds since 1970 for TIMESTAMP and TIMESTAMP_NTZ alike.
+
+    For NTZ the wall-clock difference is taken as an interval: unlike
+    ``timestampdiff`` (which goes through the session zone and jumps at DST
+    changes) it is zone-free and monotone.
+    """
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time_col}`)")
+        return F.expr(f"CAST(CAST(CAST((`{time_col}` - TIMESTAMP_NTZ'1970-01-01 00:00:00') AS INTERVAL SECOND)"
+                      f" AS DECIMAL(18,6)) * 1000000 AS BIGINT)")
     return F.unix_micros(F.col(time_col))
 
 

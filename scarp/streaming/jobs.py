@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import parse as ps
+from ..operators.resample import epoch_micros
 from ..functions import model
 from ..plans import alerts as al
 from ..session import is_local_path, local_fs_path
@@ -32,7 +33,7 @@ def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col:
     follow event time (the file source replays files in that order); on a
     local file system mtimes are also set explicitly, one second apart.
     """
-    us = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {time_col})")
+    us = epoch_micros(readings, time_col)
     lo, hi = readings.agg(F.min(us), F.max(us)).first()
     step = (hi - lo) // slices + 1
     r = readings.withColumn("_slice", F.floor((us - F.lit(lo)) / F.lit(step)).cast("int"))

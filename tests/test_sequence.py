@@ -139,3 +139,16 @@ def test_with_context_requires_cover(spark):
     with pytest.raises(ValueError):
         sq.with_context(df, "t", "60 seconds", "30 seconds")
     assert sq.duration_us("2 minutes") == 120_000_000
+
+
+def test_epoch_micros_is_zone_free(spark):
+    from scarp.operators.resample import epoch_micros
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-03-10 02:30:00.123456'), "
+                       "(TIMESTAMP_NTZ'2024-03-10 03:00:00') AS v(t)")
+        a, b = [r[0] for r in df.select(epoch_micros(df, "t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert a == 1710037800123456 and b == 1710039600000000   # DST gap: still monotone, wall-clock exact
