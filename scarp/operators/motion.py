@@ -57,11 +57,9 @@ def integrate_damped(imu: DataFrame, keys: Sequence[str] = ("sensor_id",), dampi
     lam = F.lit(float(damping))
     v = sq.linear_scan(d, keys, lam, [lam * a * F.col("dt") for a in (dx, dy, dz)], ["vel_x", "vel_y", "vel_z"],
                        time_col, tie_col, width)
-    for ax in ("x", "y", "z"):
-        v = v.withColumn(f"_s{ax}", F.col(f"vel_{ax}") * F.col("dt"))
-    out = v
-    for ax in ("x", "y", "z"):
-        out = sq.running_sum(out, keys, f"_s{ax}", f"disp_{ax}", time_col, tie_col, width)
+    steps = v.select("*", *[(F.col(f"vel_{ax}") * F.col("dt")).alias(f"_s{ax}") for ax in "xyz"])
+    out = sq.running_sum(steps, keys, [f"_s{ax}" for ax in "xyz"], [f"disp_{ax}" for ax in "xyz"],
+                         time_col, tie_col, width)
     return out.drop("_sx", "_sy", "_sz")
 
 

@@ -98,21 +98,25 @@ def forward_fill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_c
                     *[F.coalesce(F.col(f"_in_{c}"), F.col(f"_carry_{c}")).alias(f"{c}{suffix}") for c in cols])
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], col: str, out: str, time_col: str = "event_time",
-                tie_col: str | None = "event_id", width: str | int = "120 seconds") -> DataFrame:
-    """Cumulative sum of ``col`` per series in (time, tie) order; NULLs add nothing."""
+def running_sum(df: DataFrame, keys: Sequence[str], col: str | Sequence[str], out: str | Sequence[str],
+                time_col: str = "event_time", tie_col: str | None = "event_id",
+                width: str | int = "120 seconds") -> DataFrame:
+    """Cumulative sum of ``col`` (one or several columns) per series in (time, tie) order; NULLs add nothing."""
+    cols = [col] if isinstance(col, str) else list(col)
+    outs = [out] if isinstance(out, str) else list(out)
     keys = list(keys)
     d = with_bucket(df, time_col, width)
     part = keys + ["_bucket"]
     w = (Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.select("*", F.sum(col).over(w).alias("_in"))
-    totals = d.groupBy(*part).agg(F.sum(col).alias("_total"))
+    d = d.select("*", *[F.sum(c).over(w).alias(f"_in{k}") for k, c in enumerate(cols)])
+    totals = d.groupBy(*part).agg(*[F.sum(c).alias(f"_t{k}") for k, c in enumerate(cols)])
     wb = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    prev = totals.select(*part, F.sum("_total").over(wb).alias("_carry"))
+    prev = totals.select(*part, *[F.sum(f"_t{k}").over(wb).alias(f"_c{k}") for k in range(len(cols))])
     j = d.join(prev, part, "left")
     return j.select(*[F.col(c) for c in df.columns],
-                    (F.coalesce(F.col("_carry"), F.lit(0.0)) + F.coalesce(F.col("_in"), F.lit(0.0))).alias(out))
+                    *[(F.coalesce(F.col(f"_c{k}"), F.lit(0.0)) + F.coalesce(F.col(f"_in{k}"), F.lit(0.0))).alias(o)
+                      for k, o in enumerate(outs)])
 
 
 # ---------------------------------------------------------------- linear scan

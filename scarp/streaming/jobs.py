@@ -26,37 +26,40 @@ WATERMARK = "10 seconds"
 WINDOW = "1 second"
 
 
-def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col: str = "event_time") -> list[int]:
-    """Write readings as JSON envelope text files in ``slices`` event-time slices.
-
-    Slices are appended one after the other so their modification times
-    follow event time (the file source replays files in that order); on a
-    local file system mtimes are also set explicitly, one second apart.
+def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col: str = "event_time") -> int:
+    """Write readings as Kafka-shaped JSON text files, one per event-time slice.
+
+    The file source replays files in modification-time order. On a local file
+    system one range-partitioned job writes all slices and their mtimes are
+    then set in range order (part numbers follow the ranges). On shared
+    storage the slices are appended one job after the other instead, so their
+    write times follow event time.
     """
+    env = ev.envelope(readings, carry=("event_id", time_col))
+    fields = [c for c in env.columns if c not in ("event_id", time_col)]
+    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("key"),
+                              F.to_json(F.struct(*fields)).alias("value")))
     us = epoch_micros(readings, time_col)
+    if is_local_path(path):
+        ordered = env.select(line.alias("value"), us.alias("_us"), "event_id") \
+            .repartitionByRange(slices, "_us", "event_id").sortWithinPartitions("_us", "event_id")
+        ordered.select("value").write.mode("append").text(path)
+        base = local_fs_path(path)
+        files = sorted(f for f in os.listdir(base) if f.startswith("part-"))
+        t0 = 1_700_000_000
+        for i, f in enumerate(files):
+            os.utime(os.path.join(base, f), (t0 + i, t0 + i))
+        return len(files)
     lo, hi = readings.agg(F.min(us), F.max(us)).first()
     step = (hi - lo) // slices + 1
-    r = readings.withColumn("_slice", F.floor((us - F.lit(lo)) / F.lit(step)).cast("int"))
-    env = ev.envelope(r, carry=("event_id", "_slice"))
-    fields = [c for c in env.columns if c not in ("event_id", "_slice")]
-    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("key"),
-                              F.to_json(F.struct(*fields)).alias("value")))
-    msgs = env.select("_slice", line.alias("value")).persist()
-    done = []
+    msgs = env.select(F.floor((us - F.lit(lo)) / F.lit(step)).cast("int").alias("_slice"), line.alias("value"))
+    msgs = msgs.persist()
     try:
         for k in range(slices):
             msgs.where(F.col("_slice") == k).select("value").coalesce(1).write.mode("append").text(path)
-            done.append(k)
     finally:
         msgs.unpersist()
-    if is_local_path(path):
-        base = local_fs_path(path)
-        files = sorted((os.path.getmtime(os.path.join(base, f)), f) for f in os.listdir(base)
-                       if f.endswith(".txt") and not f.startswith("."))
-        t0 = 1_700_000_000
-        for i, (_, f) in enumerate(files):
-            os.utime(os.path.join(base, f), (t0 + i, t0 + i))
-    return done
+    return slices
 
 
 def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -104,7 +107,8 @@ def start_monitoring_job(features: DataFrame, points_path: str, checkpoint: str,
                          audit_path: str | None = None, watermark: str = WATERMARK,
                          trigger: dict | None = None, dedupe: bool = False) -> StreamingQuery:
     """Per-cluster alerts in update mode, upserted batch by batch (``foreachBatch``)."""
-    alerts = alert_stream(features, watermark, dedupe=dedupe)
+    alerts = alert_stream(features, watermark, dedupe=dedupe).observe(
+        "alert_rows", F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("alert_level") > 1, 1)).alias("alerts"))
     w = (alerts.writeStream.outputMode("update")
          .foreachBatch(PointsWriter(points_path, alerts_path, audit_path))
          .option("checkpointLocation", checkpoint))

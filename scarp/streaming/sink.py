@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import model
@@ -23,7 +23,8 @@ class PointsWriter:
     """``foreachBatch`` callback: alert rows -> points table + alert log + audit row.
 
     Errors propagate (the batch is retried, not silently committed). The
-    batch is persisted once so points and alerts are not computed twice.
+    batch is persisted once so points and alerts are not computed twice; a
+    replayed batch overwrites its own directories (idempotent).
     """
 
     def __init__(self, points_path: str, alerts_path: str | None = None, audit_path: str | None = None,
@@ -36,23 +37,20 @@ class PointsWriter:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         pts = to_points(batch_df, zero_fill=self.zero_fill)
         pts = pts.select("*", model.alert_message(F.col("alert_level").cast("int")).alias("alert_message"))
-        obs = Observation(f"audit_{batch_id}")
-        pts = pts.observe(obs, F.count(F.lit(1)).alias("points"),
-                          F.coalesce(F.sum(F.when(F.col("alert_level") > 1, 1)), F.lit(0)).alias("alerts"))
         pts = pts.persist()
         try:
-            if pts.isEmpty():
-                return
+            # one full pass fills the cache and gives exact counts (T6)
+            n, n_alerts = pts.agg(F.count(F.lit(1)), F.count(F.when(F.col("alert_level") > 1, 1))).first()
+            if n == 0:
+                return                                  # empty micro-batch: nothing written
             pts.drop("alert_message").write.mode("overwrite").parquet(f"{self.points_path}/batch_id={batch_id}")
-            if self.alerts_path:
+            if self.alerts_path and n_alerts:
                 (pts.where(F.col("alert_level") > 1)
                  .write.mode("overwrite").parquet(f"{self.alerts_path}/batch_id={batch_id}"))
             if self.audit_path:
-                m = obs.get
-                spark = batch_df.sparkSession
-                spark.createDataFrame([(int(batch_id), int(m.get("points", 0)), int(m.get("alerts", 0)))],
-                                      "batch_id long, points long, alerts long") \
-                    .write.mode("overwrite").parquet(f"{self.audit_path}/batch_id={batch_id}")
+                batch_df.sparkSession.createDataFrame(
+                    [(int(batch_id), int(n), int(n_alerts))], "batch_id long, points long, alerts long"
+                ).coalesce(1).write.mode("overwrite").parquet(f"{self.audit_path}/batch_id={batch_id}")
         finally:
             pts.unpersist()
 
