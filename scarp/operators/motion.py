@@ -26,7 +26,7 @@ def with_dt(df: DataFrame, keys: Sequence[str], time_col: str = "event_time", ti
 
 def rain_accumulation(rain: DataFrame, keys: Sequence[str] = ("sensor_id",), reset: str | None = None,
                       time_col: str = "event_time", tie_col: str | None = "event_id",
-                      width: str | int = "120 seconds") -> DataFrame:
+                      width: str | int = "120 seconds", max_rows: int | None = sq.MAX_BUCKET_ROWS) -> DataFrame:
     """Running rainfall in mm: sum of intensity/3600 * dt (mm/h over seconds).
 
     ``reset`` (e.g. '60 seconds') restarts the total, and the first dt, every
@@ -37,14 +37,15 @@ def rain_accumulation(rain: DataFrame, keys: Sequence[str] = ("sensor_id",), res
     if reset:
         d = d.withColumn("period", F.window(time_col, reset).start)
         keys = keys + ["period"]
+    d, _ = sq.assign_buckets(d, keys, time_col, tie_col, width, max_rows)
     d = with_dt(d, keys, time_col, tie_col, width)
     d = d.withColumn("_inc", F.col("intensity") / 3600.0 * F.col("dt"))
-    return sq.running_sum(d, keys, "_inc", "accumulated", time_col, tie_col, width).drop("_inc")
+    return sq.running_sum(d, keys, "_inc", "accumulated", time_col, tie_col, width).drop("_inc", "_bucket")
 
 
 def integrate_damped(imu: DataFrame, keys: Sequence[str] = ("sensor_id",), damping: float = DAMPING,
                      base=fx.BASE_ACCELERATION, time_col: str = "event_time", tie_col: str | None = "event_id",
-                     width: str | int = "120 seconds") -> DataFrame:
+                     width: str | int = "120 seconds", max_rows: int | None = sq.MAX_BUCKET_ROWS) -> DataFrame:
     """Velocity and displacement per axis from acceleration.
 
     v_n = damping * (v_(n-1) + a_dyn * dt_n) ; d_n = d_(n-1) + v_n * dt_n,
@@ -52,15 +53,16 @@ def integrate_damped(imu: DataFrame, keys: Sequence[str] = ("sensor_id",), dampi
     solved by the bucketed scan (no per-sensor loop).
     """
     keys = list(keys)
-    d = with_dt(imu, keys, time_col, tie_col, width)
+    d, buckets = sq.assign_buckets(imu, keys, time_col, tie_col, width, max_rows)
+    d = with_dt(d, keys, time_col, tie_col, width)
     dx, dy, dz = fx.dynamic_acceleration("acc_x", "acc_y", "acc_z", base)
     lam = F.lit(float(damping))
     v = sq.linear_scan(d, keys, lam, [lam * a * F.col("dt") for a in (dx, dy, dz)], ["vel_x", "vel_y", "vel_z"],
-                       time_col, tie_col, width)
+                       time_col, tie_col, width, buckets=buckets)
     steps = v.select("*", *[(F.col(f"vel_{ax}") * F.col("dt")).alias(f"_s{ax}") for ax in "xyz"])
     out = sq.running_sum(steps, keys, [f"_s{ax}" for ax in "xyz"], [f"disp_{ax}" for ax in "xyz"],
                          time_col, tie_col, width)
-    return out.drop("_sx", "_sy", "_sz")
+    return out.drop("_sx", "_sy", "_sz", "_bucket")
 
 
 def gnss_positions(gnss: DataFrame) -> DataFrame:
@@ -69,7 +71,8 @@ def gnss_positions(gnss: DataFrame) -> DataFrame:
 
 
 def gnss_displacement(pos: DataFrame, keys: Sequence[str] = ("sensor_id",), time_col: str = "event_time",
-                      tie_col: str | None = "event_id", width: str | int = "120 seconds") -> DataFrame:
+                      tie_col: str | None = "event_id", width: str | int = "120 seconds",
+                      max_rows: int | None = sq.MAX_BUCKET_ROWS) -> DataFrame:
     """Planar movement against the series' first fix, and the step from the previous fix.
 
     The baseline is an aggregate (partial aggregation makes hot series cheap);
@@ -78,7 +81,8 @@ def gnss_displacement(pos: DataFrame, keys: Sequence[str] = ("sensor_id",), time
     keys = list(keys)
     ok = order_key(pos, time_col, tie_col)
     base = pos.groupBy(*keys).agg(F.min_by("x", ok).alias("x0"), F.min_by("y", ok).alias("y0"))
-    p = sq.with_previous(pos, keys, ["x", "y"], time_col, tie_col, width)
+    p, _ = sq.assign_buckets(pos, keys, time_col, tie_col, width, max_rows)
+    p = sq.with_previous(p, keys, ["x", "y"], time_col, tie_col, width)
     j = p.join(base, keys)
     ddx, ddy = F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
     sx, sy = F.col("x") - F.col("prev_x"), F.col("y") - F.col("prev_y")

@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,59 @@ def with_bucket(df: DataFrame, time_col: str, width: str | int, name: str = "_bu
     return df.withColumn(name, F.floor(epoch_micros(df, time_col) / F.lit(w)).cast("long"))
 
 
+class Buckets(NamedTuple):
+    """Range of ``_bucket`` values (after hot-bucket splitting) and the split factor."""
+    lo: int
+    hi: int
+    splits: int
+
+
+# A (series, bucket) with more rows than this is split (see ``assign_buckets``).
+MAX_BUCKET_ROWS = 2_000_000
+_MAX_SPLITS = 1024
+
+
+def assign_buckets(df: DataFrame, keys: Sequence[str], time_col: str = "event_time",
+                   tie_col: str | None = "event_id", width: str | int = "120 seconds",
+                   max_rows: int | None = MAX_BUCKET_ROWS) -> tuple[DataFrame, Buckets]:
+    """Add ``_bucket``: event-time buckets, with hot buckets split by row order.
+
+    One aggregate pass counts rows per (series, bucket); it also yields the
+    bucket range that sizes the carry tree. A bucket holding more than
+    ``max_rows`` rows (a burst, or one sensor with a third of all data) is cut
+    at approximate quantiles of event time inside the bucket; the pieces keep
+    the (time, tie) order and go to different tasks. Rows sharing one exact
+    timestamp are never separated. No row is dropped.
+    Later sequence operators reuse the ``_bucket`` column they find.
+    """
+    keys = list(keys)
+    d = with_bucket(df, time_col, width, "_b0")
+    counts = d.groupBy(*keys, "_b0").count()
+    lo, hi, top = counts.agg(F.min("_b0"), F.max("_b0"), F.max("count")).first()
+    if lo is None:
+        return d.withColumnRenamed("_b0", "_bucket"), Buckets(0, 0, 1)
+    if max_rows is None or top <= max_rows:
+        return d.withColumnRenamed("_b0", "_bucket"), Buckets(int(lo), int(hi), 1)
+    k = int(min(_MAX_SPLITS, math.ceil(top / max_rows)))
+    # cut points on the time offset inside the bucket (exact as a double);
+    # rows with one identical timestamp stay together, which keeps the order
+    off = (epoch_micros(d, time_col) - F.col("_b0") * F.lit(duration_us(width))).cast("double")
+    d = d.withColumn("_off", off)
+    hot = counts.where(F.col("count") > max_rows).select(*keys, "_b0")
+    cuts = (d.join(hot, keys + ["_b0"], "left_semi").groupBy(*keys, "_b0")
+            .agg(F.percentile_approx("_off", [i / k for i in range(1, k)], 20 * k).alias("_cuts")))
+    j = d.join(cuts, keys + ["_b0"], "left")
+    sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_cuts", lambda c: c < F.col("_off"))))
+    out = j.select(*df.columns, (F.col("_b0") * F.lit(k) + sub).cast("long").alias("_bucket"))
+    return out, Buckets(int(lo) * k, int(hi) * k + k - 1, k)
+
+
+def _bucketed(df: DataFrame, time_col: str, width: str | int) -> DataFrame:
+    """Reuse an assigned ``_bucket`` column, else plain event-time buckets."""
+    return df if "_bucket" in df.columns else with_bucket(df, time_col, width)
+
+
 def _order(time_col: str, tie_col: str | None) -> list[Column]:
     return [F.col(time_col)] + ([F.col(tie_col)] if tie_col else [])
 
@@ -59,7 +113,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_
                   prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>``: the value of ``c`` in the previous row of the same series."""
     keys = list(keys)
-    d = with_bucket(df, time_col, width)
+    d = _bucketed(df, time_col, width)
     d = d.withColumn("_okey", order_key(d, time_col, tie_col))
     part = keys + ["_bucket"]
     w = Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
@@ -81,7 +135,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_c
                  suffix: str = "_filled") -> DataFrame:
     """Add ``<c>_filled``: newest non-null value of ``c`` up to and including this row."""
     keys = list(keys)
-    d = with_bucket(df, time_col, width)
+    d = _bucketed(df, time_col, width)
     d = d.withColumn("_okey", order_key(d, time_col, tie_col))
     part = keys + ["_bucket"]
     w = (Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
@@ -105,7 +159,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], col: str | Sequence[str], ou
     cols = [col] if isinstance(col, str) else list(col)
     outs = [out] if isinstance(out, str) else list(out)
     keys = list(keys)
-    d = with_bucket(df, time_col, width)
+    d = _bucketed(df, time_col, width)
     part = keys + ["_bucket"]
     w = (Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -173,7 +227,8 @@ def _affine_carry(tbl: DataFrame, keys: list[str], idx: str, n: int, depth: int)
 
 def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Column], outs: Sequence[str],
                 time_col: str = "event_time", tie_col: str | None = "event_id",
-                width: str | int = "120 seconds", prev_outs: Sequence[str] | None = None) -> DataFrame:
+                width: str | int = "120 seconds", prev_outs: Sequence[str] | None = None,
+                buckets: Buckets | None = None) -> DataFrame:
     """y_n = a_n * y_(n-1) + b_n per series for each b in ``bs`` (shared ``a`` > 0); y_(-1) = 0.
 
     Rows of a (series, bucket) are cut into blocks whose running product of
@@ -181,11 +236,16 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
     a plain window sum without overflow. Blocks and buckets are then affine
     maps (A, T); their carries are composed exactly (no history is dropped)
     in bounded groups: blocks within a bucket, then a fan-out tree over buckets.
-    ``prev_outs`` optionally names y_(n-1) columns.
+    ``prev_outs`` optionally names y_(n-1) columns. ``buckets`` is the range
+    returned by ``assign_buckets`` for a frame carrying ``_bucket``; without
+    it the range is read from the time column (one small aggregate).
     """
     keys, n = list(keys), len(bs)
-    d = with_bucket(df.select("*", a.alias("_a"), *[b.alias(f"_b{k}") for k, b in enumerate(bs)]),
-                    time_col, width)
+    orig_cols = list(df.columns)
+    if buckets is None or "_bucket" not in df.columns:
+        df, buckets = assign_buckets(df.drop("_bucket") if "_bucket" in df.columns else df, keys, time_col,
+                                     tie_col, width)
+    d = df.select("*", a.alias("_a"), *[b.alias(f"_b{k}") for k, b in enumerate(bs)])
     d = d.withColumn("_okey", order_key(d, time_col, tie_col))
     part = keys + ["_bucket"]
     order = _order(time_col, tie_col)
@@ -203,11 +263,8 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
                                           *[F.max_by(f"_loc{k}", "_okey").alias(f"T{k}") for k in range(n)])
     # fold the blocks of each bucket: bucket maps + in-bucket prefix of each block
     fb = _fold_maps(blocks, part, "_blk", n)
-    # size the bucket tree from the time column alone (a pruned one-column scan)
-    span_df = with_bucket(df.select(time_col), time_col, width)
-    lo, hi = span_df.agg(F.min("_bucket"), F.max("_bucket")).first()
-    lo = lo or 0
-    span = 1 if hi is None else int(hi - lo + 1)
+    lo, hi = buckets.lo, buckets.hi
+    span = int(hi - lo + 1)
     depth = max(0, math.ceil(math.log(span, _FANOUT)) - 1) if span > 1 else 0
     buckets = fb.select(*keys, (F.col("_bucket") - F.lit(lo)).alias("_bidx"), "A", *[f"T{k}" for k in range(n)])
     bc = _affine_carry(buckets, keys, "_bidx", n, depth).select(
@@ -221,7 +278,7 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
     # the row side on its (series, bucket) partitioning
     cmap = blk_carry.groupBy(*part).agg(F.map_from_entries(F.collect_list(F.struct("_blk", "_c"))).alias("_cm"))
     j = d.join(cmap, part, "left").withColumn("_cc", F.element_at("_cm", F.col("_blk")))
-    cols = [F.col(c) for c in df.columns]
+    cols = [F.col(c) for c in orig_cols]
     for k in range(n):
         carry = F.coalesce(F.col(f"_cc.c{k}"), F.lit(0.0))
         cols.append((F.col("_P") * carry + F.col(f"_loc{k}")).alias(outs[k]))

@@ -152,3 +152,32 @@ def test_epoch_micros_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert a == 1710037800123456 and b == 1710039600000000   # DST gap: still monotone, wall-clock exact
+
+
+def test_hot_bucket_is_split_in_order(spark):
+    """One series bursts thousands of rows (many with equal times) into one bucket."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(6000):
+        s = "hot" if i < 5000 else "cold"
+        # hot: 5000 rows inside one second, a few hundred sharing timestamps
+        t = BASE + timedelta(microseconds=rnd.randrange(0, 1_000_000, 250) if s == "hot" else 10_000 * i)
+        rows.append((i, s, t, float(rnd.randint(-9, 9)), rnd.choice([0.5, 0.97])))
+    df = spark.createDataFrame(rows, "id long, s string, t timestamp_ntz, v double, a double")
+    d, b = sq.assign_buckets(df, ["s"], "t", "id", "120 seconds", max_rows=400)
+    assert b.splits >= 13
+    per = d.groupBy("s", "_bucket").count().collect()
+    assert max(r["count"] for r in per) < 1000            # the burst went to many buckets
+    out = sq.linear_scan(d, ["s"], F.col("a"), [F.col("v")], ["y"], "t", "id", buckets=b)
+    out = sq.with_previous(out, ["s"], ["v"], "t", "id")
+    out = sq.running_sum(out, ["s"], "v", "c", "t", "id")
+    got = {r.id: r for r in out.collect()}
+    assert len(got) == 6000
+    for rs in _series(rows).values():
+        y, c, prev = 0.0, 0.0, None
+        for r in rs:
+            y = r[4] * y + r[3]
+            c += r[3]
+            g = got[r[0]]
+            assert abs(g.y - y) < 1e-9 and abs(g.c - c) < 1e-9 and g.prev_v == prev
+            prev = r[3]
