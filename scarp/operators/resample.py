@@ -73,13 +73,21 @@ def exact_mean(col, digits: int = 6, scale: int = 9) -> Column:
     return F.round(F.avg(c.cast(f"decimal(18,{scale})")), digits).cast("double")
 
 
-def readings_features(readings: DataFrame) -> DataFrame:
-    """Flat feature rows from derived readings (GNSS position projected and packet-rounded)."""
+def readings_features(readings: DataFrame, dynamic: bool = False) -> DataFrame:
+    """Flat feature rows from derived readings (GNSS position projected and packet-rounded).
+
+    ``dynamic=True`` takes vibration as the RMS of the acceleration with the
+    resting (gravity) vector removed, instead of the packet's RMS, which
+    includes gravity and so always exceeds the vibration threshold.
+    """
     x, y = fx.planar_xy("latitude", "longitude")
+    vib = F.col("acc_rms")
+    if dynamic:
+        vib = F.when(F.col("sensor_type") == "imu", fx.rms(*fx.dynamic_acceleration("acc_x", "acc_y", "acc_z")))
     return readings.select(
         "event_id", "event_time", "sensor_id", "cluster_id", "sensor_type",
         F.when(F.col("sensor_type") == "imu", fx.speed_xy("vx", "vy")).alias("imu_velocity"),
-        F.col("acc_rms"),
+        vib.alias("acc_rms"),
         F.col("intensity").alias("rain"),
         F.col("pore_pressure").alias("pressure"),
         fx.packet_round(x, "vn2000").alias("gnss_x"),

@@ -61,3 +61,36 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str] = POINT_KEYS
     cols = [c for c in raw.columns if c not in keys and c != "batch_id"]
     latest = raw.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch_id").alias("_v"))
     return latest.select(*keys, "_v.*")
+
+
+try:
+    from pyspark.sql.streaming import StreamingQueryListener
+except ImportError:  # pragma: no cover
+    StreamingQueryListener = object
+
+
+class AuditListener(StreamingQueryListener):
+    """Collects each batch's observed metrics (``observe`` on the stream) on the driver.
+
+    Holds one small dict per micro-batch: batch id, input rows, and the named
+    observations, e.g. the monitoring job's ``alert_rows`` (rows, alerts).
+    """
+
+    def __init__(self, name: str = "alert_rows"):
+        self.name = name
+        self.batches: list[dict] = []
+
+    def onQueryStarted(self, event):  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        obs = p.observedMetrics.get(self.name)
+        self.batches.append({"batch_id": p.batchId, "input_rows": p.numInputRows,
+                             **(obs.asDict() if obs is not None else {})})
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass

@@ -160,3 +160,22 @@ def test_kafka_source_is_wired(spark):
         ev.read_envelopes(spark, "kafka", servers="127.0.0.1:1", topic="t", fail_on_data_loss=False)
     except Exception as e:  # the connector jar is not bundled here; the call reaches the kafka provider
         assert "kafka" in str(e).lower()
+
+
+def test_audit_listener_sees_observed_metrics(spark, tmpdir_local):
+    from scarp.streaming.sink import AuditListener
+    src = os.path.join(tmpdir_local, "in")
+    _write(src, "a.txt", [_packet("2024-01-01T00:00:00.5", 0.5), _packet("2024-01-01T00:00:03.0", 0.001)],
+           1_700_000_000)
+    listener = AuditListener()
+    spark.streams.addListener(listener)
+    try:
+        feats = jobs.stream_features(jobs.message_stream(spark, src))
+        q = jobs.start_monitoring_job(feats, f"{tmpdir_local}/points", f"{tmpdir_local}/ck",
+                                      trigger={"availableNow": True})
+        q.awaitTermination()
+        time.sleep(1.0)                       # listener events are delivered asynchronously
+    finally:
+        spark.streams.removeListener(listener)
+    seen = [b for b in listener.batches if b.get("rows")]
+    assert seen and seen[0]["rows"] == 2 and seen[0]["alerts"] == 1
