@@ -2,7 +2,6 @@
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
 
 from scarp.functions import panels as pn
 from scarp.operators import metrics as mt

@@ -5,7 +5,6 @@ affine tree (more than 64 buckets) and block splits (products beyond e^300)
 are all exercised. One series holds most rows (a hot key).
 """
 
-import math
 import random
 from datetime import datetime, timedelta
 
