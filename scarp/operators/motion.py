@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import features as fx
+from ..session import materialize
 from . import sequence as sq
 from .resample import epoch_micros, order_key
 
@@ -26,11 +27,14 @@ def with_dt(df: DataFrame, keys: Sequence[str], time_col: str = "event_time", ti
 
 def rain_accumulation(rain: DataFrame, keys: Sequence[str] = ("sensor_id",), reset: str | None = None,
                       time_col: str = "event_time", tie_col: str | None = "event_id",
-                      width: str | int = "120 seconds", max_rows: int | None = sq.MAX_BUCKET_ROWS) -> DataFrame:
+                      width: str | int = "120 seconds", max_rows: int | None = sq.MAX_BUCKET_ROWS,
+                      checkpoint: bool = True) -> DataFrame:
     """Running rainfall in mm: sum of intensity/3600 * dt (mm/h over seconds).
 
     ``reset`` (e.g. '60 seconds') restarts the total, and the first dt, every
     period of event time; the period becomes part of the series key.
+    ``checkpoint`` materializes the rows with their dt once (shared folder),
+    as both the running sum and its bucket carries read them.
     """
     keys = list(keys)
     d = rain
@@ -40,26 +44,34 @@ def rain_accumulation(rain: DataFrame, keys: Sequence[str] = ("sensor_id",), res
     d, _ = sq.assign_buckets(d, keys, time_col, tie_col, width, max_rows)
     d = with_dt(d, keys, time_col, tie_col, width)
     d = d.withColumn("_inc", F.col("intensity") / 3600.0 * F.col("dt"))
+    if checkpoint:
+        d = materialize(d)
     return sq.running_sum(d, keys, "_inc", "accumulated", time_col, tie_col, width).drop("_inc", "_bucket")
 
 
 def integrate_damped(imu: DataFrame, keys: Sequence[str] = ("sensor_id",), damping: float = DAMPING,
                      base=fx.BASE_ACCELERATION, time_col: str = "event_time", tie_col: str | None = "event_id",
-                     width: str | int = "120 seconds", max_rows: int | None = sq.MAX_BUCKET_ROWS) -> DataFrame:
+                     width: str | int = "120 seconds", max_rows: int | None = sq.MAX_BUCKET_ROWS,
+                     checkpoint: bool = True) -> DataFrame:
     """Velocity and displacement per axis from acceleration.
 
     v_n = damping * (v_(n-1) + a_dyn * dt_n) ; d_n = d_(n-1) + v_n * dt_n,
     with a_dyn the acceleration minus the resting vector. A linear recurrence,
-    solved by the bucketed scan (no per-sensor loop).
+    solved by the bucketed scan (no per-sensor loop). ``checkpoint`` writes
+    the intermediates that feed several branches once to the shared folder.
     """
     keys = list(keys)
     d, buckets = sq.assign_buckets(imu, keys, time_col, tie_col, width, max_rows)
     d = with_dt(d, keys, time_col, tie_col, width)
+    if checkpoint:
+        d = materialize(d)
     dx, dy, dz = fx.dynamic_acceleration("acc_x", "acc_y", "acc_z", base)
     lam = F.lit(float(damping))
     v = sq.linear_scan(d, keys, lam, [lam * a * F.col("dt") for a in (dx, dy, dz)], ["vel_x", "vel_y", "vel_z"],
-                       time_col, tie_col, width, buckets=buckets)
+                       time_col, tie_col, width, buckets=buckets, checkpoint=checkpoint)
     steps = v.select("*", *[(F.col(f"vel_{ax}") * F.col("dt")).alias(f"_s{ax}") for ax in "xyz"])
+    if checkpoint:
+        steps = materialize(steps)
     out = sq.running_sum(steps, keys, [f"_s{ax}" for ax in "xyz"], [f"disp_{ax}" for ax in "xyz"],
                          time_col, tie_col, width)
     return out.drop("_sx", "_sy", "_sz", "_bucket")

@@ -25,6 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .resample import epoch_micros, order_key
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
@@ -228,7 +229,7 @@ def _affine_carry(tbl: DataFrame, keys: list[str], idx: str, n: int, depth: int)
 def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Column], outs: Sequence[str],
                 time_col: str = "event_time", tie_col: str | None = "event_id",
                 width: str | int = "120 seconds", prev_outs: Sequence[str] | None = None,
-                buckets: Buckets | None = None) -> DataFrame:
+                buckets: Buckets | None = None, checkpoint: bool = True) -> DataFrame:
     """y_n = a_n * y_(n-1) + b_n per series for each b in ``bs`` (shared ``a`` > 0); y_(-1) = 0.
 
     Rows of a (series, bucket) are cut into blocks whose running product of
@@ -239,6 +240,8 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
     ``prev_outs`` optionally names y_(n-1) columns. ``buckets`` is the range
     returned by ``assign_buckets`` for a frame carrying ``_bucket``; without
     it the range is read from the time column (one small aggregate).
+    ``checkpoint`` writes the windowed rows once to the shared checkpoint
+    folder, since both the block maps and the final join read them.
     """
     keys, n = list(keys), len(bs)
     orig_cols = list(df.columns)
@@ -258,6 +261,9 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
                         for k in range(n)])
     d = d.select("*", F.coalesce(F.lag("_P").over(w2), F.lit(1.0)).alias("_Pp"),
                  *[F.coalesce(F.lag(f"_loc{k}").over(w2), F.lit(0.0)).alias(f"_locp{k}") for k in range(n)])
+    if checkpoint:
+        # the windowed rows feed both the block maps and the final join
+        d = materialize(d)
 
     blocks = d.groupBy(*part, "_blk").agg(F.max_by("_P", "_okey").alias("A"),
                                           *[F.max_by(f"_loc{k}", "_okey").alias(f"T{k}") for k in range(n)])

@@ -223,8 +223,9 @@ def q_gnss_displacement(spark, sf_dir):
 @register("gnss_forward_fill")
 def q_gnss_forward_fill(spark, sf_dir):
     from ..operators import sequence as sq
-    a = al.flat_window(cluster_alerts(spark, sf_dir)).select("window_start", "cluster_id", "last_gnss_x",
-                                                             "last_gnss_y")
+    from ..session import materialize
+    a = materialize(al.flat_window(cluster_alerts(spark, sf_dir)).select("window_start", "cluster_id",
+                                                                         "last_gnss_x", "last_gnss_y"))
     return sq.forward_fill(a, ["cluster_id"], ["last_gnss_x", "last_gnss_y"], time_col="window_start",
                            tie_col=None)
 
@@ -241,14 +242,18 @@ def q_time_to_failure(spark, sf_dir):
 
 # ------------------------------------------------------------ stored points
 
-def load_points(spark, sf_dir):
+def load_points(spark, sf_dir, stored: bool = False):
+    """Wide points; ``stored`` writes them once to the shared checkpoint folder,
+    as a points table would be stored, for queries that read them more than once."""
     from ..operators import series as se
-    return se.to_points(cluster_alerts(spark, sf_dir))
+    from ..session import materialize
+    p = se.to_points(cluster_alerts(spark, sf_dir))
+    return materialize(p) if stored else p
 
 
-def load_long(spark, sf_dir, keep_nulls=False):
+def load_long(spark, sf_dir, keep_nulls=False, stored: bool = False):
     from ..operators import series as se
-    return se.points_long(load_points(spark, sf_dir), keep_nulls=keep_nulls)
+    return se.points_long(load_points(spark, sf_dir, stored), keep_nulls=keep_nulls)
 
 
 @register("points_long")
@@ -259,9 +264,9 @@ def q_points_long(spark, sf_dir):
 @register("latest_alert")
 def q_latest_alert(spark, sf_dir):
     from ..operators import series as se
-    long = load_long(spark, sf_dir)
-    recent = se.time_range(long.where(F.col("field") == "alert_level"), "5 minutes",
-                           as_of=se.newest_time(load_points(spark, sf_dir)))
+    points = load_points(spark, sf_dir, stored=True)
+    long = se.points_long(points)
+    recent = se.time_range(long.where(F.col("field") == "alert_level"), "5 minutes", as_of=se.newest_time(points))
     return se.latest(recent, ["cluster_id"])
 
 
@@ -287,13 +292,13 @@ def q_agg_window_mean_10s(spark, sf_dir):
 @register("tag_values")
 def q_tag_values(spark, sf_dir):
     from ..operators import series as se
-    return se.tag_values(load_points(spark, sf_dir), "cluster_id", "30 days")
+    return se.tag_values(load_points(spark, sf_dir, stored=True), "cluster_id", "30 days")
 
 
 @register("panel_stats")
 def q_panel_stats(spark, sf_dir):
     from ..operators import series as se
-    s = se.panel_stats(load_long(spark, sf_dir, keep_nulls=True), exact=True)
+    s = se.panel_stats(load_long(spark, sf_dir, keep_nulls=True, stored=True), exact=True)
     return s.select("cluster_id", "field", _r6("last").alias("last"), _r6("last_not_null").alias("last_not_null"),
                     "mean", _r6("min").alias("min"), _r6("max").alias("max"), "n",
                     _r6("delta").alias("delta"))
@@ -320,20 +325,24 @@ def q_threshold_bands(spark, sf_dir):
 
 # ------------------------------------------------------------ label metrics
 
-def load_metrics(spark, sf_dir):
-    return rd.host_metrics(table(spark, sf_dir, "events"))
+def load_metrics(spark, sf_dir, stored: bool = False):
+    """Host metrics; ``stored`` writes them once (shared checkpoint folder), as a
+    scraped metrics store would hold them, for the multi-pass rate queries."""
+    from ..session import materialize
+    m = rd.host_metrics(table(spark, sf_dir, "events"))
+    return materialize(m) if stored else m
 
 
 def _idle_rate(spark, sf_dir):
     from ..operators import metrics as mt
-    cpu = mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total", mode="idle")
+    cpu = mt.select(load_metrics(spark, sf_dir, stored=True), "cpu_seconds_total", mode="idle")
     return mt.counter_rate(cpu)
 
 
 @register("counter_rate")
 def q_counter_rate(spark, sf_dir):
     from ..operators import metrics as mt
-    cpu = mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total")
+    cpu = mt.select(load_metrics(spark, sf_dir, stored=True), "cpu_seconds_total")
     r = mt.counter_rate(cpu)
     return r.select("sample_id", "ts", "instance", "mode", _r6("rate").alias("rate"))
 

@@ -93,3 +93,14 @@ def local_fs_path(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from there.
+
+    Used where one large intermediate feeds several branches (rows and their
+    carry tables): without it every branch would recompute the whole upstream
+    plan. Reliable checkpoints survive executor loss; never machine-local.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
