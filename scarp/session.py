@@ -55,22 +55,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this setting points at shared storage and is always read from
     the session. Only when it is unset (unit tests, ad-hoc local runs) a local
-    folder is created and registered.
+    folder is created and registered with the context (the setting itself is
+    fixed at start-up and cannot be changed later).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - connect sessions have no context
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="scarp-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    sc = None
     try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # pragma: no cover
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - connect sessions have no context
         pass
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
+    if not root:
+        root = tempfile.mkdtemp(prefix="scarp-ckpt-")
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -13,10 +13,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from scarp.session import build_session
+    from scarp.session import build_session, checkpoint_root
     s = build_session("local[4]", app="scarp-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="scarp-test-ckpt-"))
+    checkpoint_root(s)          # registers a local folder only when the session names none
     yield s
     s.stop()
 
