@@ -445,3 +445,30 @@ def q_stream_alert_log(spark, sf_dir):
     standing = log.join(final, ["time", "cluster_id"])
     return standing.select(_ntz("time"), "cluster_id", F.col("alert_level").cast("int").alias("alert_level"),
                            "alert_message")
+
+
+@register("stream_gnss_forward_fill")
+def q_stream_gnss_forward_fill(spark, sf_dir):
+    """Closed windows of the append job, read back as a stream, GNSS forward-filled across micro-batches."""
+    from ..session import scratch_path
+    from ..streaming import jobs
+    from ..streaming.fill import forward_fill_stream
+    src = _stream_input(spark, sf_dir, "ffill")
+    closed = scratch_path(spark, "scarp", "ffill", "closed")
+    feats = jobs.stream_features(jobs.message_stream(spark, src))
+    q = jobs.start_append_job(feats, closed, scratch_path(spark, "scarp", "ffill", "ckpt1"),
+                              trigger={"availableNow": True})
+    q.awaitTermination()
+    # replay the closed windows in event-time order, one slice per micro-batch
+    ordered = scratch_path(spark, "scarp", "ffill", "ordered")
+    windows = spark.read.parquet(closed).select("window_start", "cluster_id", "last_gnss_x", "last_gnss_y")
+    jobs.write_ordered_slices(windows, ordered, "window_start", slices=6)
+    stream = spark.readStream.schema(windows.schema).option("maxFilesPerTrigger", 1).parquet(ordered)
+    filled = forward_fill_stream(stream, ["cluster_id"], ["last_gnss_x", "last_gnss_y"], "window_start")
+    out = scratch_path(spark, "scarp", "ffill", "out")
+    q2 = (filled.writeStream.outputMode("append").format("parquet").option("path", out)
+          .option("checkpointLocation", scratch_path(spark, "scarp", "ffill", "ckpt2"))
+          .trigger(availableNow=True).start())
+    q2.awaitTermination()
+    return spark.read.parquet(out).select(_ntz("window_start"), "cluster_id", "last_gnss_x", "last_gnss_y",
+                                          "last_gnss_x_filled", "last_gnss_y_filled")

@@ -390,3 +390,11 @@ ORACLE["stream_alert_log"] = with_ctes(*PT, body="""
 SELECT time, cluster_id, CAST(alert_level AS INTEGER) AS alert_level,
        CASE WHEN alert_level = 3 THEN 'DANGER: LANDSLIDE IMMINENT' ELSE 'WARNING: HIGH RISK CONDITIONS' END AS alert_message
 FROM points WHERE alert_level > 1""")
+
+ORACLE["stream_gnss_forward_fill"] = with_ctes(READINGS, FEATURES, RESAMPLED, body="""
+SELECT window_start, cluster_id, last_gnss_x, last_gnss_y,
+       last_value(last_gnss_x IGNORE NULLS) OVER w AS last_gnss_x_filled,
+       last_value(last_gnss_y IGNORE NULLS) OVER w AS last_gnss_y_filled
+FROM resampled
+WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readings)) - INTERVAL 10 SECOND
+WINDOW w AS (PARTITION BY cluster_id ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-STREAMING = {"stream_alerts_append", "stream_alerts_upsert", "stream_alert_log"}
+STREAMING = {"stream_alerts_append", "stream_alerts_upsert", "stream_alert_log", "stream_gnss_forward_fill"}
 
 
 @pytest.fixture(scope="module")
