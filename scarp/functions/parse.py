@@ -19,6 +19,19 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _parsed_once(df: DataFrame, text, schema: T.StructType, keep: tuple[str, ...], raw: bool = False) -> DataFrame:
+    """``data`` = the parsed struct, produced by a generator.
+
+    A filter on parsed fields (the reject test, the window's NOT NULL on event
+    time) would otherwise be pushed below the projection and rewritten onto
+    each field, re-parsing the text once per field. Predicates are not pushed
+    below a generator, so exploding a one-element array parses every message
+    exactly once.
+    """
+    extra = [text.alias("raw")] if raw else []
+    return df.select(*keep, *extra, F.explode(F.array(F.from_json(text, schema))).alias("data"))
+
+
 def parse_json(df: DataFrame, value_col: str = "value", schema: T.StructType = ENVELOPE_SCHEMA,
                keep: tuple[str, ...] = ()) -> DataFrame:
     """Binary/string payload -> envelope columns (``data.*``), keeping ``keep`` columns.
@@ -26,8 +39,7 @@ def parse_json(df: DataFrame, value_col: str = "value", schema: T.StructType = E
     PERMISSIVE ``from_json``: text that is not a JSON object gives an all-NULL
     row, a wrongly typed field gives NULL for that field only.
     """
-    data = F.from_json(F.col(value_col).cast("string"), schema).alias("data")
-    return df.select(*keep, data).select(*keep, "data.*")
+    return _parsed_once(df, F.col(value_col).cast("string"), schema, keep).select(*keep, "data.*")
 
 
 def parse_event_time(col, ntz: bool = True) -> Column:
@@ -96,7 +108,7 @@ def tag_messages(df: DataFrame, value_col: str = "value", keep: tuple[str, ...]
                  ntz: bool = True) -> DataFrame:
     """Parse raw messages once and attach ``reason`` (NULL for a usable message)."""
     text = F.col(value_col).cast("string")
-    parsed = df.select(*keep, text.alias("raw"), F.from_json(text, ENVELOPE_SCHEMA).alias("data"))
+    parsed = _parsed_once(df, text, ENVELOPE_SCHEMA, keep, raw=True)
     fields = [F.col(f"data.{f.name}") for f in ENVELOPE_SCHEMA.fields]
     all_null = ~F.greatest(*[f.isNotNull() for f in fields])
     return parsed.select(
