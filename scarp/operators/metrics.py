@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sequence as sq
-from .resample import epoch_micros, order_key
+from .resample import epoch_micros
 
 
 def select(df: DataFrame, metric: str | None = None, **matchers: str) -> DataFrame:
@@ -41,12 +41,16 @@ def counter_rate(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mo
     step = F.when(F.col("prev_value").isNull(), F.lit(0.0)) \
         .when(F.col("value") < F.col("prev_value"), F.col("value")) \
         .otherwise(F.col("value") - F.col("prev_value"))
-    p = p.withColumn("_step", step)
-    p = p.withColumn("_us", epoch_micros(p, time_col)).withColumn("_ok", order_key(p, time_col, tie_col))
+    p = p.withColumn("_step", step).withColumn("_us", epoch_micros(p, time_col))
     ctx = sq.with_context(p, time_col, range_, width)
+    # exact (time, tie) order as a small long: row number inside the partition;
+    # its sort is a prefix-compatible order for the RANGE window (no extra sort)
+    tie = [F.col(tie_col)] if tie_col else []
+    ctx = ctx.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(*keys, "_part").orderBy(F.col("_us"), *tie)))
     w = Window.partitionBy(*keys, "_part").orderBy("_us").rangeBetween(-sq.duration_us(range_), 0)
     span = (F.col("_us") - F.min("_us").over(w)) / 1e6
-    inc = F.sum("_step").over(w) - F.min_by("_step", "_ok").over(w)
+    inc = F.sum("_step").over(w) - F.min_by("_step", "_rn").over(w)
     out = ctx.select(*df.columns, "_own", F.when(span > 0, inc / span).alias("rate"))
     return out.where("_own").drop("_own")
 
