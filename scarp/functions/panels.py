@@ -49,3 +49,10 @@ def tag_default(x, default: str = "unknown") -> Column:
 def field_default(x, default: float = 0.0) -> Column:
     """Missing field -> ``default`` (NaN stays NaN, as in the reference sink)."""
     return F.coalesce(_c(x), F.lit(default))
+
+
+def sink_defaults(df, tag: str = "cluster_id", fields: Sequence[str] = (), default_tag: str = "unknown",
+                  default_field: float = 0.0):
+    """Point defaults of the time-series sink: empty tag -> 'unknown', missing field -> 0."""
+    return df.withColumns({tag: tag_default(tag, default_tag),
+                           **{f: field_default(f, default_field) for f in fields}})

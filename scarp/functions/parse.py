@@ -126,3 +126,14 @@ def split_rejected(df: DataFrame, value_col: str = "value", keep: tuple[str, ...
     good = envelope_features(tagged.where(F.col("reason").isNull()), ntz=ntz, keep=keep)
     rejected = tagged.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
     return good, rejected
+
+
+def add_topic(df: DataFrame, cluster_col: str = "cluster_id", type_col: str = "sensor_type",
+              out: str = "mqtt_topic") -> DataFrame:
+    """Attach the publish topic ``sensors/{cluster}/{type}`` to every record."""
+    return df.withColumn(out, topic(cluster_col, type_col))
+
+
+def split_topic(df: DataFrame, topic_col: str = "mqtt_topic") -> DataFrame:
+    """Add ``topic_cluster`` and ``topic_type`` taken from the topic path."""
+    return df.withColumns({"topic_cluster": topic_cluster(topic_col), "topic_type": topic_sensor_type(topic_col)})

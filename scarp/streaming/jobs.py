@@ -128,11 +128,7 @@ def start_monitoring_job(features: DataFrame, points_path: str, checkpoint: str,
     """Per-cluster alerts in update mode, upserted batch by batch (``foreachBatch``)."""
     alerts = alert_stream(features, watermark, dedupe=dedupe).observe(
         "alert_rows", F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("alert_level") > 1, 1)).alias("alerts"))
-    w = (alerts.writeStream.outputMode("update")
-         .foreachBatch(PointsWriter(points_path, alerts_path, audit_path))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(**(trigger or {"processingTime": "1 second"}))
-    return w.start()
+    return write_points(alerts, points_path, checkpoint, alerts_path, audit_path, trigger)
 
 
 def start_append_job(features: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK,
@@ -144,3 +140,20 @@ def start_append_job(features: DataFrame, path: str, checkpoint: str, watermark:
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def write_console(df: DataFrame, checkpoint: str, output_mode: str = "update",
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Print a streaming frame to the console (no truncation), as the core job does."""
+    w = (df.writeStream.outputMode(output_mode).format("console").option("truncate", "false")
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
+def write_points(alerts: DataFrame, points_path: str, checkpoint: str, alerts_path: str | None = None,
+                 audit_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Upsert a per-cluster alert stream into the points table, batch by batch."""
+    w = (alerts.writeStream.outputMode("update")
+         .foreachBatch(PointsWriter(points_path, alerts_path, audit_path))
+         .option("checkpointLocation", checkpoint))
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()

@@ -96,3 +96,16 @@ def test_physics_helpers(spark):
     assert abs(r.p - 19.62) < 1e-12
     assert abs(r.x - 21.0 * 3.141592653589793 / 180 * 6378137.0) < 1e-6 and r.y == 500000.0
     assert r.c == 0.0
+
+
+def test_add_and_split_topic(spark):
+    df = spark.createDataFrame([("cluster_02", "gnss")], "cluster_id string, sensor_type string")
+    r = ps.split_topic(ps.add_topic(df)).first()
+    assert (r.mqtt_topic, r.topic_cluster, r.topic_type) == ("sensors/cluster_02/gnss", "cluster_02", "gnss")
+
+
+def test_sink_defaults(spark):
+    from scarp.functions import panels as pn
+    df = spark.createDataFrame([("", None, 2.0), (None, 1.0, None)], "cluster_id string, a double, b double")
+    got = pn.sink_defaults(df, fields=["a", "b"]).collect()
+    assert [(r.cluster_id, r.a, r.b) for r in got] == [("unknown", 0.0, 2.0), ("unknown", 1.0, 0.0)]
