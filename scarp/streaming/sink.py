@@ -28,11 +28,12 @@ class PointsWriter:
     """
 
     def __init__(self, points_path: str, alerts_path: str | None = None, audit_path: str | None = None,
-                 zero_fill: bool = False):
+                 zero_fill: bool = False, rows_per_file: int = 1_000_000):
         self.points_path = points_path.rstrip("/")
         self.alerts_path = alerts_path.rstrip("/") if alerts_path else None
         self.audit_path = audit_path.rstrip("/") if audit_path else None
         self.zero_fill = zero_fill
+        self.rows_per_file = rows_per_file
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         pts = to_points(batch_df, zero_fill=self.zero_fill)
@@ -43,14 +44,20 @@ class PointsWriter:
             n, n_alerts = pts.agg(F.count(F.lit(1)), F.count(F.when(F.col("alert_level") > 1, 1))).first()
             if n == 0:
                 return                                  # empty micro-batch: nothing written
-            pts.drop("alert_message").write.mode("overwrite").parquet(f"{self.points_path}/batch_id={batch_id}")
+            # a micro-batch holds the windows updated in one trigger: few rows, so
+            # one file per batch (merging cached partitions; upstream stays parallel)
+            files = max(1, -(-int(n) // self.rows_per_file))
+            (pts.drop("alert_message").coalesce(files)
+             .write.mode("overwrite").parquet(f"{self.points_path}/batch_id={batch_id}"))
             if self.alerts_path and n_alerts:
-                (pts.where(F.col("alert_level") > 1)
+                (pts.where(F.col("alert_level") > 1).coalesce(max(1, -(-int(n_alerts) // self.rows_per_file)))
                  .write.mode("overwrite").parquet(f"{self.alerts_path}/batch_id={batch_id}"))
             if self.audit_path:
-                batch_df.sparkSession.createDataFrame(
-                    [(int(batch_id), int(n), int(n_alerts))], "batch_id long, points long, alerts long"
-                ).coalesce(1).write.mode("overwrite").parquet(f"{self.audit_path}/batch_id={batch_id}")
+                # one audit row, built JVM-side (no Python data shipped)
+                (batch_df.sparkSession.range(1)
+                 .select(F.lit(int(batch_id)).alias("batch_id"), F.lit(int(n)).alias("points"),
+                         F.lit(int(n_alerts)).alias("alerts"))
+                 .write.mode("overwrite").parquet(f"{self.audit_path}/batch_id={batch_id}"))
         finally:
             pts.unpersist()
 
