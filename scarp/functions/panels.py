@@ -22,13 +22,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def threshold_band(x, steps: tuple[str, Sequence[tuple[float, str]]]) -> Column:
-    """Colour of the highest step the value reaches (``value >= step``); NULL stays NULL."""
+def threshold_band(x, steps: tuple[str, Sequence[tuple[float, str]]], direction: str = "up") -> Column:
+    """Colour band of a value; NULL stays NULL.
+
+    ``direction="up"`` (panel default): the highest step the value reaches
+    (``value >= step``) gives the colour. ``"down"``: the lowest step the value
+    is below (``value < step``) gives it, e.g. inverse velocity, where small
+    values are the dangerous ones.
+    """
     base, levels = steps
     x = _c(x)
     out = F.lit(base)
-    for limit, colour in levels:
-        out = F.when(x >= F.lit(limit), F.lit(colour)).otherwise(out)
+    if direction == "up":
+        for limit, colour in sorted(levels):
+            out = F.when(x >= F.lit(limit), F.lit(colour)).otherwise(out)
+    elif direction == "down":
+        for limit, colour in sorted(levels, reverse=True):
+            out = F.when(x < F.lit(limit), F.lit(colour)).otherwise(out)
+    else:
+        raise ValueError(f"direction must be 'up' or 'down', not {direction!r}")
     return F.when(x.isNotNull(), out)
 
 

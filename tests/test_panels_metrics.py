@@ -85,3 +85,12 @@ def test_dynamic_vibration_option(spark):
                                "longitude double, water_level double")
     assert rs.readings_features(rd).first().acc_rms == 5.66
     assert rs.readings_features(rd, dynamic=True).first().acc_rms == 0.0
+
+
+def test_threshold_band_direction(spark):
+    df = spark.createDataFrame([(5.0,), (10.0,), (50.0,), (None,)], "inv double")
+    up = [r.b for r in df.select(pn.threshold_band("inv", pn.INVERSE_VELOCITY_STEPS).alias("b")).collect()]
+    danger = ("green", ((10.0, "red"), (20.0, "yellow")))
+    down = [r.b for r in df.select(pn.threshold_band("inv", danger, direction="down").alias("b")).collect()]
+    assert up == ["green", "red", "red", None]          # the dashboard's colouring (red at >= 10)
+    assert down == ["red", "yellow", "green", None]     # the alert rule's sense (danger below 10)
