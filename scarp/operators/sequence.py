@@ -89,8 +89,8 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], time_col: str = "event_ti
     # cut points on the time offset inside the bucket (exact as a double);
     # rows with one identical timestamp stay together, which keeps the order
     off = (epoch_micros(d, time_col) - F.col("_b0") * F.lit(duration_us(width))).cast("double")
-    d = d.withColumn("_off", off)
-    hot = counts.where(F.col("count") > max_rows).select(*keys, "_b0")
+    d = materialize(d.withColumn("_off", off))      # read by the cut points and by the join below
+    hot = (d.groupBy(*keys, "_b0").count().where(F.col("count") > max_rows).select(*keys, "_b0"))
     cuts = (d.join(hot, keys + ["_b0"], "left_semi").groupBy(*keys, "_b0")
             .agg(F.percentile_approx("_off", [i / k for i in range(1, k)], 20 * k).alias("_cuts")))
     j = d.join(cuts, keys + ["_b0"], "left")
@@ -239,7 +239,7 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
     in bounded groups: blocks within a bucket, then a fan-out tree over buckets.
     ``prev_outs`` optionally names y_(n-1) columns. ``buckets`` is the range
     returned by ``assign_buckets`` for a frame carrying ``_bucket``; without
-    it the range is read from the time column (one small aggregate).
+    it, buckets are assigned here (one aggregate pass). Requires a_n > 0.
     ``checkpoint`` writes the windowed rows once to the shared checkpoint
     folder, since both the block maps and the final join read them.
     """
@@ -272,8 +272,9 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
     lo, hi = buckets.lo, buckets.hi
     span = int(hi - lo + 1)
     depth = max(0, math.ceil(math.log(span, _FANOUT)) - 1) if span > 1 else 0
-    buckets = fb.select(*keys, (F.col("_bucket") - F.lit(lo)).alias("_bidx"), "A", *[f"T{k}" for k in range(n)])
-    bc = _affine_carry(buckets, keys, "_bidx", n, depth).select(
+    bucket_maps = fb.select(*keys, (F.col("_bucket") - F.lit(lo)).alias("_bidx"), "A",
+                            *[f"T{k}" for k in range(n)])
+    bc = _affine_carry(bucket_maps, keys, "_bidx", n, depth).select(
         *keys, (F.col("_bidx") + F.lit(lo)).alias("_bucket"), *[F.col(f"c{k}").alias(f"_bc{k}") for k in range(n)])
     blk_pre = fb.select(*part, F.inline("pre"))
     blk_carry = (blk_pre.join(bc, part, "left")
