@@ -27,8 +27,9 @@ def register(name: str):
     return deco
 
 
-def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rd.readings(table(spark, sf_dir, "events"))
+def load_readings(spark: SparkSession, sf_dir: str, *sensor_types: str) -> DataFrame:
+    """Readings of all sensors, or of the named sensor types (filter pushed to the scan)."""
+    return rd.readings(table(spark, sf_dir, "events"), sensor_types=sensor_types or None)
 
 
 def load_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,14 +141,14 @@ def q_topic_parts(spark, sf_dir):
 @register("speed")
 def q_speed(spark, sf_dir):
     from ..functions import features as fx
-    r = load_readings(spark, sf_dir).where(F.col("sensor_type") == "imu")
+    r = load_readings(spark, sf_dir, "imu")
     return r.select("event_id", "sensor_id", fx.speed_xy("vx", "vy").alias("speed"))
 
 
 @register("rms_tilt")
 def q_rms_tilt(spark, sf_dir):
     from ..functions import features as fx
-    r = load_readings(spark, sf_dir).where(F.col("sensor_type") == "imu")
+    r = load_readings(spark, sf_dir, "imu")
     roll, pitch = fx.tilt("acc_x", "acc_y", "acc_z")
     dx, dy, dz = fx.dynamic_acceleration("acc_x", "acc_y", "acc_z")
     return r.select(
@@ -161,7 +162,7 @@ def q_rms_tilt(spark, sf_dir):
 @register("pressure_residual")
 def q_pressure_residual(spark, sf_dir):
     from ..functions import features as fx
-    r = load_readings(spark, sf_dir).where(F.col("sensor_type").isin("groundwater", "rain"))
+    r = load_readings(spark, sf_dir, "groundwater", "rain")
     gw = F.col("sensor_type") == "groundwater"
     return r.select(
         "event_id", "sensor_type",
@@ -173,7 +174,7 @@ def q_pressure_residual(spark, sf_dir):
 @register("planar_xy")
 def q_planar_xy(spark, sf_dir):
     from ..functions import features as fx
-    r = load_readings(spark, sf_dir).where(F.col("sensor_type") == "gnss")
+    r = load_readings(spark, sf_dir, "gnss")
     x, y = fx.planar_xy("latitude", "longitude")
     return r.select("event_id", "sensor_id", fx.packet_round(x, "vn2000").alias("x"),
                     fx.packet_round(y, "vn2000").alias("y"))
@@ -188,7 +189,7 @@ def _r6(c):
 @register("rain_accumulation")
 def q_rain_accumulation(spark, sf_dir):
     from ..operators import motion as mo
-    rain = load_readings(spark, sf_dir).where(F.col("sensor_type") == "rain")
+    rain = load_readings(spark, sf_dir, "rain")
     acc = mo.rain_accumulation(rain)
     return acc.select("event_id", "sensor_id", "event_time", "dt", _r6("accumulated").alias("accumulated"))
 
@@ -196,7 +197,7 @@ def q_rain_accumulation(spark, sf_dir):
 @register("rain_accumulation_reset")
 def q_rain_accumulation_reset(spark, sf_dir):
     from ..operators import motion as mo
-    rain = load_readings(spark, sf_dir).where(F.col("sensor_type") == "rain")
+    rain = load_readings(spark, sf_dir, "rain")
     acc = mo.rain_accumulation(rain, reset="60 seconds")
     return acc.select("event_id", "sensor_id", "period", "dt", _r6("accumulated").alias("accumulated"))
 
@@ -204,7 +205,7 @@ def q_rain_accumulation_reset(spark, sf_dir):
 @register("integrated_motion")
 def q_integrated_motion(spark, sf_dir):
     from ..operators import motion as mo
-    imu = load_readings(spark, sf_dir).where(F.col("sensor_type") == "imu")
+    imu = load_readings(spark, sf_dir, "imu")
     m = mo.integrate_damped(imu)
     return m.select("event_id", "sensor_id", "dt",
                     *[_r6(f"vel_{a}").alias(f"vel_{a}") for a in "xyz"],
@@ -214,7 +215,7 @@ def q_integrated_motion(spark, sf_dir):
 @register("gnss_displacement")
 def q_gnss_displacement(spark, sf_dir):
     from ..operators import motion as mo
-    pos = mo.gnss_positions(load_readings(spark, sf_dir).where(F.col("sensor_type") == "gnss")
+    pos = mo.gnss_positions(load_readings(spark, sf_dir, "gnss")
                             .select("event_id", "event_time", "sensor_id", "latitude", "longitude"))
     d = mo.gnss_displacement(pos)
     return d.select("event_id", "sensor_id", "x", "y", "dx", "dy", "displacement", "step")

@@ -9,6 +9,8 @@ very same rows (see FIXTURES.md). Everything here is a per-row projection
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +27,17 @@ def _only(sensor: str, expr: Column) -> Column:
     return F.when(F.col("sensor_type") == sensor, expr)
 
 
-def readings(events: DataFrame, keep_raw: bool = False) -> DataFrame:
+def readings(events: DataFrame, keep_raw: bool = False, sensor_types: Sequence[str] | None = None) -> DataFrame:
     """One flat row per reading: event time, sensor, cluster and the metric columns.
 
     ``keep_raw`` also passes ``user_id`` and the raw ``value`` through (as
     ``raw_value``) for derivations that need them, without a join back.
+    ``sensor_types`` keeps only those sensors, filtering on the stored
+    ``event_type`` so the predicate reaches the parquet scan (PushedFilters).
     """
+    if sensor_types is not None:
+        wanted = [ev for ev, st in EVENT_TO_SENSOR.items() if st in set(sensor_types)]
+        events = events.where(F.col("event_type").isin(*wanted))
     sensor = F.lit("unknown")
     for ev, st in reversed(list(EVENT_TO_SENSOR.items())):
         sensor = F.when(F.col("event_type") == ev, F.lit(st)).otherwise(sensor)
@@ -74,7 +81,7 @@ def host_metrics(events: DataFrame) -> DataFrame:
     so no window partition outgrows one period of one label set.
     """
     # readings() is a projection of events, so the raw columns ride along: no join.
-    j = (readings(events, keep_raw=True)
+    j = (readings(events, keep_raw=True, sensor_types=("imu", "gnss"))
          .select("event_id", "us", "event_time", "sensor_type", "vy", "user_id",
                  F.col("raw_value").alias("value")))
     instance = F.concat(F.lit("host_"), (F.col("user_id") % HOSTS).cast("string"))
