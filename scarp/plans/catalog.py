@@ -266,8 +266,9 @@ def q_points_long(spark, sf_dir):
 def q_latest_alert(spark, sf_dir):
     from ..operators import series as se
     points = load_points(spark, sf_dir, stored=True)
-    long = se.points_long(points)
-    recent = se.time_range(long.where(F.col("field") == "alert_level"), "5 minutes", as_of=se.newest_time(points))
+    # a field filter on wide points is a column projection: unpivot only that field
+    long = se.points_long(points, fields=["alert_level"])
+    recent = se.time_range(long, "5 minutes", as_of=se.newest_time(points))
     return se.latest(recent, ["cluster_id"])
 
 
@@ -277,7 +278,7 @@ DASHBOARD_FIELDS = ("inv_velocity", "avg_velocity", "rain_intensity", "pore_pres
 @register("agg_window_mean")
 def q_agg_window_mean(spark, sf_dir):
     from ..operators import series as se
-    long = load_long(spark, sf_dir).where(F.col("field").isin(*DASHBOARD_FIELDS))
+    long = se.points_long(load_points(spark, sf_dir), fields=DASHBOARD_FIELDS)
     a = se.aggregate_window(long, "1 second", fn="exact_mean")
     return a.select("time", "cluster_id", "field", "value")
 
@@ -285,7 +286,7 @@ def q_agg_window_mean(spark, sf_dir):
 @register("agg_window_mean_10s")
 def q_agg_window_mean_10s(spark, sf_dir):
     from ..operators import series as se
-    long = load_long(spark, sf_dir).where(F.col("field").isin(*DASHBOARD_FIELDS))
+    long = se.points_long(load_points(spark, sf_dir), fields=DASHBOARD_FIELDS)
     a = se.aggregate_window(long, "10 seconds", fn="exact_mean")
     return a.select("time", "cluster_id", "field", "value")
 
