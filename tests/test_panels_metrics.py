@@ -94,3 +94,39 @@ def test_threshold_band_direction(spark):
     down = [r.b for r in df.select(pn.threshold_band("inv", danger, direction="down").alias("b")).collect()]
     assert up == ["green", "red", "red", None]          # the dashboard's colouring (red at >= 10)
     assert down == ["red", "yellow", "green", None]     # the alert rule's sense (danger below 10)
+
+
+def _long(spark):
+    rows = [(T0 + timedelta(milliseconds=500 * i), "c1", "inv_velocity", float(i)) for i in range(10)]
+    rows += [(T0 + timedelta(days=40), "c2", "inv_velocity", 99.0)]
+    return spark.createDataFrame(rows, "time timestamp_ntz, cluster_id string, field string, value double")
+
+
+def test_aggregate_window_labels(spark):
+    long = _long(spark).where("cluster_id = 'c1'")
+    stop = {str(r.time): r.value for r in se.aggregate_window(long, "1 second").collect()}
+    start = {str(r.time): r.value for r in se.aggregate_window(long, "1 second", label="start").collect()}
+    assert stop["2024-01-01 00:00:01"] == 0.5 and start["2024-01-01 00:00:00"] == 0.5
+    assert se.aggregate_window(long, "1 second", fn="max").where("value = 9.0").count() == 1
+
+
+def test_time_range_latest_and_tags(spark):
+    long = _long(spark)
+    assert [r.cluster_id for r in se.tag_values(long, since="30 days").collect()] == ["c2"]
+    assert sorted(r.cluster_id for r in se.tag_values(long, since="60 days").collect()) == ["c1", "c2"]
+    from pyspark.sql import functions as F
+    as_of = F.lit(T0 + timedelta(seconds=3)).cast("timestamp_ntz")
+    recent = se.time_range(long, "2 seconds", as_of=as_of)
+    assert sorted(r.value for r in recent.collect()) == [2.0, 3.0, 4.0, 5.0, 6.0]
+    last = {r.cluster_id: (r.value, str(r.time)) for r in se.latest(long).collect()}
+    assert last["c1"] == (9.0, "2024-01-01 00:00:04.500000") and last["c2"][0] == 99.0
+
+
+def test_instant_select_and_count(spark):
+    rows = [(T0 + timedelta(seconds=s), "m", h, "", v) for s, h, v in
+            [(0, "h1", 1.0), (100, "h1", 2.0), (400, "h2", 3.0), (500, "h1", 4.0)]]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, metric string, instance string, mode string, value double")
+    got = {r.instance: r.value for r in mt.instant_select(df).collect()}
+    assert got == {"h1": 4.0, "h2": 3.0}                    # 5-minute lookback from the newest sample
+    c = mt.count_series(df).first()
+    assert c.n == 2 and str(c.as_of) == "2024-01-01 00:08:20"
