@@ -109,3 +109,30 @@ def test_sink_defaults(spark):
     df = spark.createDataFrame([("", None, 2.0), (None, 1.0, None)], "cluster_id string, a double, b double")
     got = pn.sink_defaults(df, fields=["a", "b"]).collect()
     assert [(r.cluster_id, r.a, r.b) for r in got] == [("unknown", 0.0, 2.0), ("unknown", 1.0, 0.0)]
+
+
+def test_envelope_sink_roundtrip(spark, tmpdir_local):
+    import os
+    from scarp.plans import catalog
+    from scarp.sources import envelopes as ev
+    r = catalog.load_readings(spark, "/root/testdata/sf0.001", "gnss", "rain")
+    path = os.path.join(tmpdir_local, "env")
+    ev.write_envelopes(ev.encode_envelopes(r), "text", path=path)
+    back = ev.read_envelopes(spark, "text", path=path, stream=False)
+    parsed = ps.parse_json(back)
+    assert parsed.count() == r.count()
+    assert parsed.where("sensor_type = 'gnss' AND value.vn2000.x IS NOT NULL").count() == \
+        r.where("sensor_type = 'gnss'").count()
+    topics = {row.mqtt_topic.split("/")[0] for row in parsed.select("mqtt_topic").distinct().collect()}
+    assert topics == {"sensors"}
+
+
+def test_reference_subset_schema_drops_other_fields(spark):
+    from scarp.schema import REFERENCE_SCHEMA
+    df = _msgs(spark, [json.dumps(IMU), json.dumps(GNSS)])
+    p = ps.parse_json(df, schema=REFERENCE_SCHEMA)
+    assert "cluster_id" not in p.columns and "unit" not in p.columns
+    rows = p.collect()
+    assert rows[0].value.velocity.x == 0.3 and rows[0].value.acceleration.rms == 5.6588
+    assert rows[1].value.vn2000.x == 2341085.123
+    assert "tilt" not in rows[0].value.asDict()
