@@ -104,6 +104,8 @@ def monitoring_aggs(df: DataFrame, time_col: str = "event_time",
         last_by_time(df, "gnss_y", time_col, tie_col).alias("last_gnss_y"),
         F.max("rain").alias("rain_intensity"),
         F.max("pressure").alias("pore_pressure"),
+        # no IMU reading means inverse velocity falls back to its default (NORMAL): flag it
+        (F.count("imu_velocity") > 0).alias("has_imu"),
     ]
 
 

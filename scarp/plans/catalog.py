@@ -47,7 +47,7 @@ def q_alerts_by_cluster(spark, sf_dir):
         "window_start", "window_end", "cluster_id",
         F.round("avg_velocity", 6).alias("avg_velocity"), "max_vibration", "last_gnss_x", "last_gnss_y",
         "rain_intensity", "pore_pressure", F.round("inv_velocity", 4).alias("inv_velocity"),
-        "alert_level", "alert_message")
+        "alert_level", "alert_message", "has_imu")
 
 
 @register("alerts_global")

@@ -54,7 +54,8 @@ RESAMPLED = """resampled AS (
          arg_max(gnss_x, okey) FILTER (WHERE gnss_x IS NOT NULL) AS last_gnss_x,
          arg_max(gnss_y, okey) FILTER (WHERE gnss_y IS NOT NULL) AS last_gnss_y,
          max(rain) AS rain_intensity,
-         max(pressure) AS pore_pressure
+         max(pressure) AS pore_pressure,
+         count(imu_velocity) > 0 AS has_imu
   FROM features GROUP BY ALL)"""
 
 ALERTS = """alerts AS (
@@ -85,7 +86,8 @@ SELECT window_start, window_end, cluster_id,
        round(avg_velocity, 6) AS avg_velocity, max_vibration, last_gnss_x, last_gnss_y,
        rain_intensity, pore_pressure, round(inv_velocity, 4) AS inv_velocity, alert_level,
        CASE alert_level WHEN 3 THEN 'DANGER: LANDSLIDE IMMINENT'
-                        WHEN 2 THEN 'WARNING: HIGH RISK CONDITIONS' ELSE 'NORMAL' END AS alert_message
+                        WHEN 2 THEN 'WARNING: HIGH RISK CONDITIONS' ELSE 'NORMAL' END AS alert_message,
+       has_imu
 FROM alerts""")
 
 ORACLE["alerts_global"] = with_ctes(READINGS, FEATURES, body="""
