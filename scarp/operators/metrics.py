@@ -43,15 +43,23 @@ def counter_rate(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mo
         .otherwise(F.col("value") - F.col("prev_value"))
     p = p.withColumn("_step", step).withColumn("_us", epoch_micros(p, time_col))
     ctx = sq.with_context(p, time_col, range_, width)
-    # exact (time, tie) order as a small long: row number inside the partition;
-    # its sort is a prefix-compatible order for the RANGE window (no extra sort)
+    # Frame sums as differences of growing-frame prefix sums: Spark updates
+    # those incrementally (O(n)), where a sliding RANGE frame is re-aggregated
+    # for every row. The frame's first sample is the one after the last sample
+    # before the frame (``lead``); ordering ties are broken by row number.
+    part = Window.partitionBy(*keys, "_part")
     tie = [F.col(tie_col)] if tie_col else []
-    ctx = ctx.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(*keys, "_part").orderBy(F.col("_us"), *tie)))
-    w = Window.partitionBy(*keys, "_part").orderBy("_us").rangeBetween(-sq.duration_us(range_), 0)
-    span = (F.col("_us") - F.min("_us").over(w)) / 1e6
-    inc = F.sum("_step").over(w) - F.min_by("_step", "_rn").over(w)
-    out = ctx.select(*df.columns, "_own", F.when(span > 0, inc / span).alias("rate"))
+    exact = part.orderBy(F.col("_us"), *tie)
+    ctx = ctx.select("*", F.row_number().over(exact).alias("_rn"),
+                     F.lead("_step").over(exact).alias("_next_step"), F.lead("_us").over(exact).alias("_next_us"))
+    by_time = part.orderBy("_us")
+    upto = by_time.rangeBetween(Window.unboundedPreceding, 0)
+    before = by_time.rangeBetween(Window.unboundedPreceding, -(sq.duration_us(range_) + 1))
+    in_frame = F.sum("_step").over(upto) - F.coalesce(F.sum("_step").over(before), F.lit(0.0))
+    first_step = F.coalesce(F.max_by("_next_step", "_rn").over(before), F.min_by("_step", "_rn").over(part))
+    first_us = F.coalesce(F.max_by("_next_us", "_rn").over(before), F.min_by("_us", "_rn").over(part))
+    span = (F.col("_us") - first_us) / 1e6
+    out = ctx.select(*df.columns, "_own", F.when(span > 0, (in_frame - first_step) / span).alias("rate"))
     return out.where("_own").drop("_own")
 
 
