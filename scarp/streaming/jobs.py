@@ -110,10 +110,10 @@ def start_core_job(features: DataFrame, checkpoint: str, sink: str = "console",
                    output_mode: str = "update") -> StreamingQuery:
     """Global 1-s windows -> text ladder -> decimal output, to the console (or a memory/file sink)."""
     core = model.core_output(al.core_alerts(features, watermark=watermark, tie_col="msg_id"))
-    w = core.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if sink == "console":
-        w = w.format("console").option("truncate", "false")
-    elif sink == "memory":
+        return write_console(core, checkpoint, output_mode, trigger)
+    w = core.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if sink == "memory":
         w = w.format("memory").queryName(path or "core_alerts")
     else:
         w = w.format(sink).option("path", path)
