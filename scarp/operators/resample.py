@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from ..functions import features as fx
 
-# The tie-break id is packed below the microseconds: ids must stay under 1e12.
-_TIE_SCALE = 1_000_000_000_000
+# The tie-break id is packed below the microseconds: 10^19 leaves room for any
+# non-negative 64-bit id, and micros * 10^19 stays far inside DECIMAL(38,0).
+_TIE_SCALE = 10_000_000_000_000_000_000
 
 
 def epoch_micros(df: DataFrame, time_col: str) -> Column:
@@ -43,7 +44,7 @@ def order_key(df: DataFrame, time_col: str, tie_col: str | None) -> Column:
     micros = epoch_micros(df, time_col).cast("decimal(38,0)")
     if tie_col is None:
         return micros
-    return micros * F.lit(_TIE_SCALE).cast("decimal(38,0)") + F.col(tie_col).cast("decimal(38,0)")
+    return micros * F.lit(str(_TIE_SCALE)).cast("decimal(38,0)") + F.col(tie_col).cast("decimal(38,0)")
 
 
 def last_by_time(df: DataFrame, value_col: str, time_col: str = "event_time",

@@ -42,7 +42,7 @@ FEATURES = """features AS (
          acc_rms, intensity AS rain, pore_pressure AS pressure,
          round(radians(latitude) * 6378137.0, 3) AS gnss_x,
          round((radians(longitude) - radians(105.0)) * 6378137.0 * cos(radians(latitude)) + 500000.0, 3) AS gnss_y,
-         epoch_us(event_time)::HUGEINT * 1000000000000 + event_id AS okey
+         epoch_us(event_time)::HUGEINT * CAST('10000000000000000000' AS HUGEINT) + event_id AS okey
   FROM readings)"""
 
 RESAMPLED = """resampled AS (
@@ -111,7 +111,7 @@ GROUP BY ALL""")
 ORACLE["env_summary_10s"] = with_ctes(READINGS, body=f"""
 SELECT b AS window_start, b + INTERVAL 10 SECOND AS window_end, {exact_mean('acc_z')} AS avg_acc_z,
        max(intensity) AS max_rain, max(water_level) AS max_water_level,
-       arg_max(longitude, epoch_us(event_time)::HUGEINT * 1000000000000 + event_id)
+       arg_max(longitude, epoch_us(event_time)::HUGEINT * CAST('10000000000000000000' AS HUGEINT) + event_id)
          FILTER (WHERE longitude IS NOT NULL) AS last_gnss
 FROM (SELECT *, make_timestamp((epoch_us(event_time) // 10000000) * 10000000) AS b FROM readings)
 GROUP BY 1""")
@@ -245,7 +245,7 @@ ORACLE["gnss_displacement"] = with_ctes(READINGS, """g AS (
   SELECT event_id, sensor_id, event_time,
          round(radians(latitude) * 6378137.0, 3) AS x,
          round((radians(longitude) - radians(105.0)) * 6378137.0 * cos(radians(latitude)) + 500000.0, 3) AS y,
-         epoch_us(event_time)::HUGEINT * 1000000000000 + event_id AS okey
+         epoch_us(event_time)::HUGEINT * CAST('10000000000000000000' AS HUGEINT) + event_id AS okey
   FROM readings WHERE sensor_type = 'gnss')""", """b AS (
   SELECT sensor_id, arg_min(x, okey) AS x0, arg_min(y, okey) AS y0 FROM g GROUP BY 1)""", """p AS (
   SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM g
@@ -339,7 +339,7 @@ RATE = """rate AS (
                (epoch_us(ts) - min(epoch_us(ts)) OVER w) / 1e6 AS span
         FROM (SELECT *, CASE WHEN prev IS NULL THEN 0.0::DOUBLE WHEN value < prev THEN value ELSE value - prev END AS step
               FROM (SELECT *, lag(value) OVER (PARTITION BY metric, instance, mode ORDER BY ts, sample_id) AS prev,
-                           epoch_us(ts)::HUGEINT * 1000000000000 + sample_id AS okey
+                           epoch_us(ts)::HUGEINT * CAST('10000000000000000000' AS HUGEINT) + sample_id AS okey
                     FROM host_metrics WHERE metric = 'cpu_seconds_total'))
         WINDOW w AS (PARTITION BY metric, instance, mode ORDER BY ts
                      RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW)))"""

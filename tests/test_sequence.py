@@ -180,3 +180,15 @@ def test_hot_bucket_is_split_in_order(spark):
             g = got[r[0]]
             assert abs(g.y - y) < 1e-9 and abs(g.c - c) < 1e-9 and g.prev_v == prev
             prev = r[3]
+
+
+def test_last_by_time_breaks_ties_with_large_ids(spark):
+    from scarp.operators.resample import last_by_time
+    t = BASE + timedelta(seconds=1)
+    df = spark.createDataFrame([(9_000_000_000_000_000_001, t, 1.0), (9_000_000_000_000_000_000, t, 2.0),
+                                (5, t - timedelta(microseconds=1), 3.0), (7, t, None)],
+                               "id long, t timestamp_ntz, x double")
+    r = df.agg(last_by_time(df, "x", "t", "id").alias("x")).first()
+    assert r.x == 1.0        # same time: the larger id wins; NULL values are skipped
+    plan = df.agg(last_by_time(df, "x", "t", "id"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
