@@ -69,6 +69,8 @@ def exact_mean(col, digits: int = 6, scale: int = 9) -> Column:
 
     Order-independent (no floating sum), so every engine and every partitioning
     gives the same digits; precision 18 keeps Spark on its long-backed decimals.
+    Values must lie within +-1e9 (DECIMAL(18,9)); larger ones raise an error
+    under ANSI mode rather than give a wrong mean.
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.round(F.avg(c.cast(f"decimal(18,{scale})")), digits).cast("double")
