@@ -103,3 +103,23 @@ def materialize(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a given input volume (pass to ``build_session(conf=...)``).
+
+    Scan splits of ``target_partition_bytes``; shuffle partitions so that each
+    holds about that much even before AQE merges small ones, and at least
+    two waves of tasks for the cluster. AQE then coalesces small partitions
+    and splits skewed ones at run time. For 100 TB on 1000 executors x 8
+    cores this gives 256 MiB splits and ~400k shuffle partitions.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

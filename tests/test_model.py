@@ -57,3 +57,10 @@ def test_core_output_decimal_casts_do_not_fail(spark):
     assert r.inv_velocity is None            # overflow of decimal(10,2) -> NULL, not an error
     assert r.avg_velocity == Decimal("0.12346")
     assert r.last_gnss_x is None             # NaN -> NULL
+
+
+def test_scale_conf_sizes_partitions():
+    from scarp.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
+    assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
