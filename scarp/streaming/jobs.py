@@ -87,6 +87,12 @@ def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -
     return raw.select(F.from_json("value", "key string, value string").alias("m")).select("m.key", "m.value")
 
 
+def kafka_messages(raw: DataFrame) -> DataFrame:
+    """Kafka rows -> ``(key, value)`` for ``stream_features``: the partition offset
+    (arrival order) becomes the tie-break id, the binary value becomes text."""
+    return raw.select(F.col("offset").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
 def stream_features(messages: DataFrame) -> DataFrame:
     """Parse messages; good rows become features with a TIMESTAMP event time and a numeric tie id."""
     good, _ = ps.split_rejected(messages, keep=("key",), ntz=False)

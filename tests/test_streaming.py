@@ -202,3 +202,11 @@ def test_points_writer_replay_is_idempotent(spark, tmpdir_local):
     assert spark.read.parquet(f"{tmpdir_local}/au").first().points == 2
     w(batch.limit(0), 8)                                  # empty batch: nothing written
     assert not os.path.exists(f"{tmpdir_local}/p/batch_id=8")
+
+
+def test_kafka_shaped_rows_feed_the_parser(spark):
+    raw = spark.createDataFrame([(bytearray(b"k"), bytearray(json.loads(_packet("2024-01-01T00:00:00.5", 0.5))["value"]
+                                                            .encode()), "landslide_data", 0, 42)],
+                                "key binary, value binary, topic string, partition int, offset long")
+    f = jobs.stream_features(jobs.kafka_messages(raw)).first()
+    assert f.msg_id == 42 and f.sensor_type == "imu" and abs(f.imu_velocity - 0.5) < 1e-12
