@@ -192,3 +192,21 @@ def test_last_by_time_breaks_ties_with_large_ids(spark):
     assert r.x == 1.0        # same time: the larger id wins; NULL values are skipped
     plan = df.agg(last_by_time(df, "x", "t", "id"))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_failure_trend_prefix_method_matches_frames(spark):
+    from scarp.operators import failure as fl
+    rnd = random.Random(5)
+    rows = [(BASE + timedelta(seconds=i), "c1" if i % 3 else "c2", 1000.0 if i % 7 == 0 else 50.0 - 0.2 * i
+             + rnd.uniform(-1, 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "window_start timestamp_ntz, cluster_id string, inv_velocity double")
+    a = {(r.cluster_id, r.window_start): r for r in fl.time_to_failure(df).collect()}
+    b = {(r.cluster_id, r.window_start): r for r in fl.time_to_failure(df, method="prefix").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        x, y = a[k], b[k]
+        assert (x.slope is None) == (y.slope is None)
+        if x.slope is not None:
+            assert abs(x.slope - y.slope) <= 1e-8 * max(1.0, abs(x.slope))
+        if x.ttf_seconds is not None and y.ttf_seconds is not None:
+            assert abs(x.ttf_seconds - y.ttf_seconds) <= 1e-6 * max(1.0, abs(x.ttf_seconds))
