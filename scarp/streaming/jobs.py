@@ -26,21 +26,24 @@ WATERMARK = "10 seconds"
 WINDOW = "1 second"
 
 
-def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col: str = "event_time") -> int:
+def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col: str = "event_time",
+                      sequential: bool | None = None) -> int:
     """Write readings as Kafka-shaped JSON text files, one per event-time slice.
 
     The file source replays files in modification-time order. On a local file
     system one range-partitioned job writes all slices and their mtimes are
     then set in range order (part numbers follow the ranges). On shared
     storage the slices are appended one job after the other instead, so their
-    write times follow event time.
+    write times follow event time (``sequential`` forces either way).
     """
     env = ev.envelope(readings, carry=("event_id", time_col))
     fields = [c for c in env.columns if c not in ("event_id", time_col)]
     line = F.to_json(F.struct(F.col("event_id").cast("string").alias("key"),
                               F.to_json(F.struct(*fields)).alias("value")))
     us = epoch_micros(readings, time_col)
-    if is_local_path(path):
+    if sequential is None:
+        sequential = not is_local_path(path)
+    if not sequential:
         ordered = env.select(line.alias("value"), us.alias("_us"), "event_id") \
             .repartitionByRange(slices, "_us", "event_id").sortWithinPartitions("_us", "event_id")
         ordered.select("value").write.mode("append").text(path)
