@@ -46,7 +46,10 @@ def time_range(df: DataFrame, since: str | int, as_of: Column | None = None, tim
     """Rows with ``time >= as_of - since`` and ``time <= as_of``; ``as_of`` defaults to the newest time."""
     as_of = newest_time(df, time_col) if as_of is None else as_of
     lo = as_of - F.make_dt_interval(secs=F.lit(sq.duration_us(since) / 1e6).cast("decimal(18,6)"))
-    return df.where((F.col(time_col) >= lo) & (F.col(time_col) <= as_of))
+    cond = (F.col(time_col) >= lo) & (F.col(time_col) <= as_of)
+    if "date" in df.columns:             # stored points: prune whole date partitions
+        cond = cond & (F.col("date") >= F.to_date(lo))
+    return df.where(cond)
 
 
 def aggregate_window(long: DataFrame, every: str = "1 second", fn: str = "mean", label: str = "stop",

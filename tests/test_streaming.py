@@ -258,3 +258,24 @@ def test_sequential_slices_replay_in_time_order(spark, tmpdir_local):
         stamps = [json.loads(json.loads(l)["value"])["timestamp"] for l in open(os.path.join(src, f)) if l.strip()]
         spans.append((min(stamps), max(stamps)))
     assert all(spans[i][1] < spans[i + 1][0] for i in range(2))       # slices follow event time
+
+
+def test_points_are_date_partitioned_and_ranges_prune(spark, tmpdir_local):
+    from datetime import datetime
+    from scarp.operators import series as se
+    from scarp.streaming.sink import PointsWriter
+    rows = [((datetime(2024, 1, d, 12), datetime(2024, 1, d, 12)), "cluster_01", 5.0, 0.2, 0.1, None, None,
+             None, None, 3) for d in (1, 2, 3)]
+    batch = spark.createDataFrame(rows, "window struct<start:timestamp,end:timestamp>, cluster_id string, "
+                                        "inv_velocity double, avg_velocity double, max_vibration double, "
+                                        "rain_intensity double, pore_pressure double, last_gnss_x double, "
+                                        "last_gnss_y double, alert_level int")
+    PointsWriter(f"{tmpdir_local}/p")(batch, 0)
+    assert sorted(d for d in os.listdir(f"{tmpdir_local}/p/batch_id=0") if d.startswith("date=")) == \
+        ["date=2024-01-01", "date=2024-01-02", "date=2024-01-03"]
+    latest = read_latest(spark, f"{tmpdir_local}/p")
+    recent = se.time_range(latest, "1 day")
+    assert recent.count() == 2
+    import re
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert any("date" in f for f in re.findall(r"PartitionFilters: \[[^\]]*\]", plan))   # days pruned at the scan
