@@ -43,6 +43,8 @@ def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col:
     us = epoch_micros(readings, time_col)
     if sequential is None:
         sequential = not is_local_path(path)
+    if not sequential and not is_local_path(path):
+        raise ValueError("modification times can only be set on a local path; use sequential=True")
     if not sequential:
         ordered = env.select(line.alias("value"), us.alias("_us"), "event_id") \
             .repartitionByRange(slices, "_us", "event_id").sortWithinPartitions("_us", "event_id")
