@@ -144,9 +144,13 @@ def start_monitoring_job(features: DataFrame, points_path: str, checkpoint: str,
 
 def start_append_job(features: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK,
                      trigger: dict | None = None, dedupe: bool = False) -> StreamingQuery:
-    """Per-cluster alerts in append mode: each window once, when the watermark closes it."""
+    """Per-cluster alerts in append mode: each window once, when the watermark closes it.
+
+    Files are partitioned by the window's date, like the points table.
+    """
     alerts = al.flat_window(alert_stream(features, watermark, dedupe=dedupe))
-    w = (alerts.writeStream.outputMode("append").format("parquet").option("path", path)
+    alerts = alerts.withColumn("date", F.to_date("window_start"))
+    w = (alerts.writeStream.outputMode("append").format("parquet").partitionBy("date").option("path", path)
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
