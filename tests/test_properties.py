@@ -41,3 +41,22 @@ def test_resample_is_order_independent(spark, rows, rnd):
         assert (x.avg_velocity is None) == (y.avg_velocity is None)
         if x.avg_velocity is not None:
             assert abs(x.avg_velocity - y.avg_velocity) <= 1e-12
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 30_000), st.sampled_from(["s1", "s2"]),
+                          st.floats(-10, 10, allow_nan=False), st.floats(0.3, 1.0, allow_nan=False)),
+                min_size=1, max_size=300),
+       st.sampled_from(["1 second", "3 seconds", "120 seconds"]))
+def test_linear_scan_equals_loop(spark, rows, width):
+    from pyspark.sql import functions as F
+    from scarp.operators import sequence as sq
+    data = [(i, s, T0 + timedelta(milliseconds=ms), b, a) for i, (ms, s, b, a) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, s string, t timestamp_ntz, b double, a double")
+    got = {r.id: r.y for r in sq.linear_scan(df, ["s"], F.col("a"), [F.col("b")], ["y"], "t", "id",
+                                              width=width, checkpoint=False).collect()}
+    for s in ("s1", "s2"):
+        y = 0.0
+        for i, _, _, b, a in sorted((r for r in data if r[1] == s), key=lambda r: (r[2], r[0])):
+            y = a * y + b
+            assert abs(got[i] - y) <= 1e-9 * max(1.0, abs(y))
