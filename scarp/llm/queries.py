@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scarp.sources.tables import table
 
-from . import bpe
+from . import bpe, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -23,8 +23,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text of ``documents``, learned from the labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_toxicity": op2_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
