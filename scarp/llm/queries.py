@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scarp.sources.tables import table
 
-from . import bpe, toxicity
+from . import bpe, near_dup, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,9 +29,36 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of ``documents`` (five-word shingles, Jaccard 0.75)."""
+    return near_dup.near_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op6_near_dup": op6_near_dup,
 }
 
-ORACLE: dict[str, str] = {}
+# words and five-word shingles of a text, as lists (ASCII letters lower-cased, ASCII white space between words)
+_SHINGLES = """
+  SELECT {id}, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS sh
+  FROM (SELECT {id}, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws
+        FROM {table} WHERE {id} IS NOT NULL)
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_near_dup": f"""
+WITH RECURSIVE s AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+      FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+k AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, k.b FROM r JOIN k ON r.other = k.a)
+SELECT s.doc_id, len(s.sh) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+""",
+}
