@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scarp.sources.tables import table
 
-from . import bpe, near_dup, toxicity
+from . import bpe, decontaminate, near_dup, pii, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,15 +29,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item it contains (five-word shingles, containment 0.75)."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of ``documents`` (five-word shingles, Jaccard 0.75)."""
     return near_dup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``, and the terms that disclose it."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
+    "op10_pii": op10_pii,
 }
 
 # words and five-word shingles of a text, as lists (ASCII letters lower-cased, ASCII white space between words)
@@ -50,6 +62,20 @@ _SHINGLES = """
 """
 
 ORACLE: dict[str, str] = {
+    "op5_decontaminate": """
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '') AS ws
+  FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '')
+  FROM benchmark WHERE item_id IS NOT NULL),
+s AS (SELECT kind, id, list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) AS sh
+      FROM w WHERE len(ws) >= 5),
+e AS (SELECT kind, id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n) AS n_item, count(*) AS n_shared
+      FROM e i JOIN e d ON i.g = d.g AND i.kind = 'i' AND d.kind = 'd' GROUP BY d.id, i.id)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM p WHERE n_shared >= 0.75 * n_item
+""",
     "op6_near_dup": f"""
 WITH RECURSIVE s AS ({_SHINGLES.format(id="doc_id", table="documents")}),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
