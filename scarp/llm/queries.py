@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scarp.sources.tables import table
 
-from . import bpe, decontaminate, near_dup, pii, toxicity
+from . import bpe, decontaminate, near_dup, pii, secret_scan, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,6 +30,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text of ``documents``; the source owns, its languages are its repositories."""
+    repo = F.concat_ws("/", "source", "lang")
+    return secret_scan.scan(table(spark, sf_dir, "documents"), repo, F.col("source"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item it contains (five-word shingles, containment 0.75)."""
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -47,6 +54,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
     "op10_pii": op10_pii,
