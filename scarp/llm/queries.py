@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scarp.sources.tables import table
 
-from . import bpe, decontaminate, near_dup, pii, secret_scan, toxicity
+from . import bpe, decontaminate, near_dup, pii, secret_scan, topk, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -46,6 +46,11 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows of ``embeddings`` for every row whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``, and the terms that disclose it."""
     return pii.find(table(spark, sf_dir, "documents"))
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
+    "op8_topk": op8_topk,
     "op10_pii": op10_pii,
 }
 
@@ -83,6 +89,15 @@ e AS (SELECT kind, id, len(sh) AS n, unnest(sh) AS g FROM s),
 p AS (SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n) AS n_item, count(*) AS n_shared
       FROM e i JOIN e d ON i.g = d.g AND i.kind = 'i' AND d.kind = 'd' GROUP BY d.id, i.id)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM p WHERE n_shared >= 0.75 * n_item
+""",
+    "op8_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
     "op6_near_dup": f"""
 WITH RECURSIVE s AS ({_SHINGLES.format(id="doc_id", table="documents")}),
