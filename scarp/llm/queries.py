@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scarp.sources.tables import table
 
-from . import bpe, decontaminate, near_dup, pii, secret_scan, topk, toxicity
+from . import bpe, decontaminate, html_extract, near_dup, pii, secret_scan, topk, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -51,6 +51,12 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by a labeller trained on a bounded sample of the pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit_on(pages))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``, and the terms that disclose it."""
     return pii.find(table(spark, sf_dir, "documents"))
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
     "op8_topk": op8_topk,
+    "op9_html": op9_html,
     "op10_pii": op10_pii,
 }
 
