@@ -73,7 +73,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = CO
     items = scratch_table(items_of(benchmark, threshold, item_col, item_text_col), "items")
     widths = sorted(r.width for r in items.select("width").distinct().collect()) or [WIDTH]  # five values at most
     sketches = items.select("item", F.explode("sketch").alias("h"))
-    found = (document_shingles(docs, widths).select("doc_id", F.explode("sh").alias("h"))
+    # explode_outer: for the inner form Spark would put a filter on the array size below the projection of the word
+    # hashes, which cuts a text into words once per shingle
+    found = (document_shingles(docs, widths).select("doc_id", F.explode_outer("sh").alias("h"))
              .join(sketches, "h").select("doc_id", "item").distinct())
     candidates = scratch_table(found, "candidates")
     suspects = docs.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
