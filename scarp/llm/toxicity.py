@@ -245,9 +245,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_ch
     return fit([r[2] for r in rows], [r[3] for r in rows], share)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """Per row ``doc_id, held_out, score, predicted``."""
+def scorer(model: Model):
+    """Factory of the function from texts to scores, for :func:`map_texts`."""
     bias = float(model.bias[1] - model.bias[0])
 
     def make():
@@ -274,6 +273,18 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
                 yield pa.array(sigmoid(np.array([logit(t) for t in texts])), pa.float64())
         return work
 
-    scored = map_texts(id_text(docs, id_col, text_col), make, "score double")
+    return make
+
+
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """Per row ``doc_id, held_out, score, predicted``."""
+    scored = map_texts(id_text(docs, id_col, text_col), scorer(model), "score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows below the threshold, with their columns (no join: the score is computed beside the row)."""
+    scored = map_texts(docs.withColumn("__text", F.col(text_col).cast("string")), scorer(model), "__score double", column="__text")
+    return scored.where(F.col("__score") < threshold).select(*docs.columns)
