@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scarp.sources.tables import table
 
-from . import bpe, decontaminate, html_extract, near_dup, pii, secret_scan, topk, toxicity
+from . import bpe, decontaminate, html_extract, near_dup, pii, secret_scan, suffix_dedup, topk, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -46,6 +46,11 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 200-byte passages removed from every text of ``documents``."""
+    return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best rows of ``embeddings`` for every row whose id is divisible by 50."""
     return topk.top_k(table(spark, sf_dir, "embeddings"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_topk": op8_topk,
     "op9_html": op9_html,
     "op10_pii": op10_pii,
