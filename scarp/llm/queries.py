@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scarp.sources.tables import table
 
-from . import bpe, decontaminate, html_extract, near_dup, pii, secret_scan, suffix_dedup, topk, toxicity
+from . import bpe, decontaminate, html_extract, licenses, near_dup, pii, secret_scan, suffix_dedup, topk, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -30,6 +30,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every text of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text of ``documents``; the source owns, its languages are its repositories."""
     repo = F.concat_ws("/", "source", "lang")
@@ -70,6 +76,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
