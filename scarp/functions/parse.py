@@ -42,13 +42,30 @@ def parse_json(df: DataFrame, value_col: str = "value", schema: T.StructType = E
     return _parsed_once(df, F.col(value_col).cast("string"), schema, keep).select(*keep, "data.*")
 
 
+# A zone at the end of a time of day: Z, +07, +0700 or +07:00.
+_ZONED = r"\d{1,2}:\d{2}.*(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def parse_event_time(col, ntz: bool = True) -> Column:
     """ISO-8601 text -> timestamp; unparseable text gives NULL instead of failing (ANSI-safe).
 
     Batch paths keep TIMESTAMP_NTZ (no zone involved); streaming needs
-    TIMESTAMP for watermarks, so ``ntz=False`` reads the text in the session zone.
+    TIMESTAMP for watermarks, so ``ntz=False`` reads the text in the session
+    zone. Text that names a zone is the same instant in both: it is converted
+    to the session zone before the zone is dropped.
+    """
+    instant = _c(col).try_cast("timestamp")
+    if not ntz:
+        return instant
+    return F.when(_c(col).rlike(_ZONED), instant.cast("timestamp_ntz")).otherwise(_c(col).try_cast("timestamp_ntz"))
+
+
+def number(col) -> Column:
+    """A measured value; NaN (which JSON text may carry) counts as missing.
+
+    NaN compares above every number in Spark, so one NaN would raise false alerts.
     """
-    return _c(col).try_cast("timestamp_ntz" if ntz else "timestamp")
+    return F.when(~F.isnan(_c(col)), _c(col))
 
 
 def cluster_of(sensor_id) -> Column:
@@ -88,12 +105,12 @@ def envelope_features(parsed: DataFrame, ntz: bool = True, keep: tuple[str, ...]
         resolve_cluster("cluster_id", "sensor_id").alias("cluster_id"),
         "sensor_type",
         F.when(F.col("sensor_type") == "imu",
-               fx.speed_xy("value.velocity.x", "value.velocity.y")).alias("imu_velocity"),
-        F.col("value.acceleration.rms").alias("acc_rms"),
-        F.col("value.intensity").alias("rain"),
-        F.col("value.pore_pressure").alias("pressure"),
-        F.col("value.vn2000.x").alias("gnss_x"),
-        F.col("value.vn2000.y").alias("gnss_y"),
+               number(fx.speed_xy("value.velocity.x", "value.velocity.y"))).alias("imu_velocity"),
+        number("value.acceleration.rms").alias("acc_rms"),
+        number("value.intensity").alias("rain"),
+        number("value.pore_pressure").alias("pressure"),
+        number("value.vn2000.x").alias("gnss_x"),
+        number("value.vn2000.y").alias("gnss_y"),
     )
 
 

@@ -37,6 +37,7 @@ def counter_rate(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mo
     No extrapolation to the range borders (unlike PromQL).
     """
     keys = list(keys)
+    df = df.withColumns({k: F.coalesce(k, F.lit("")) for k in keys})
     p = sq.with_previous(df, keys, ["value"], time_col, tie_col, width)
     step = F.when(F.col("prev_value").isNull(), F.lit(0.0)) \
         .when(F.col("value") < F.col("prev_value"), F.col("value")) \

@@ -92,10 +92,11 @@ def gnss_displacement(pos: DataFrame, keys: Sequence[str] = ("sensor_id",), time
     """
     keys = list(keys)
     ok = order_key(pos, time_col, tie_col)
-    base = pos.groupBy(*keys).agg(F.min_by("x", ok).alias("x0"), F.min_by("y", ok).alias("y0"))
+    series = F.struct(*keys).alias("_sk")  # NULL members compare as equal: no row is lost
+    base = pos.groupBy(series).agg(F.min_by("x", ok).alias("x0"), F.min_by("y", ok).alias("y0"))
     p, _ = sq.assign_buckets(pos, keys, time_col, tie_col, width, max_rows)
     p = sq.with_previous(p, keys, ["x", "y"], time_col, tie_col, width)
-    j = p.join(base, keys)
+    j = p.withColumn("_sk", F.struct(*keys)).join(base, "_sk")
     ddx, ddy = F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
     sx, sy = F.col("x") - F.col("prev_x"), F.col("y") - F.col("prev_y")
     return j.select(*pos.columns, ddx.alias("dx"), ddy.alias("dy"), F.sqrt(ddx * ddx + ddy * ddy).alias("displacement"),

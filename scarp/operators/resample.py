@@ -44,7 +44,9 @@ def order_key(df: DataFrame, time_col: str, tie_col: str | None) -> Column:
     micros = epoch_micros(df, time_col).cast("decimal(38,0)")
     if tie_col is None:
         return micros
-    return micros * F.lit(str(_TIE_SCALE)).cast("decimal(38,0)") + F.col(tie_col).cast("decimal(38,0)")
+    # a missing id ranks as 0: the row still has its place in time
+    tie = F.coalesce(F.col(tie_col).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    return micros * F.lit(str(_TIE_SCALE)).cast("decimal(38,0)") + tie
 
 
 def last_by_time(df: DataFrame, value_col: str, time_col: str = "event_time",
@@ -58,12 +60,6 @@ def last_by_time(df: DataFrame, value_col: str, time_col: str = "event_time",
     return F.max_by(v, F.when(v.isNotNull(), order_key(df, time_col, tie_col)))
 
 
-def first_by_time(df: DataFrame, value_col: str, time_col: str = "event_time",
-                  tie_col: str | None = "event_id") -> Column:
-    v = F.col(value_col)
-    return F.min_by(v, F.when(v.isNotNull(), order_key(df, time_col, tie_col)))
-
-
 def exact_mean(col, digits: int = 6, scale: int = 9) -> Column:
     """Mean over a fixed-point copy of the values, rounded half-up to ``digits``.
 

@@ -61,7 +61,6 @@ class Buckets(NamedTuple):
 
 # A (series, bucket) with more rows than this is split (see ``assign_buckets``).
 MAX_BUCKET_ROWS = 2_000_000
-_MAX_SPLITS = 1024
 
 
 def assign_buckets(df: DataFrame, keys: Sequence[str], time_col: str = "event_time",
@@ -77,15 +76,14 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], time_col: str = "event_ti
     timestamp are never separated. No row is dropped.
     Later sequence operators reuse the ``_bucket`` column they find.
     """
-    keys = list(keys)
-    d = with_bucket(df, time_col, width, "_b0")
+    d, keys = _series(with_bucket(df, time_col, width, "_b0"), keys)
     counts = d.groupBy(*keys, "_b0").count()
     lo, hi, top = counts.agg(F.min("_b0"), F.max("_b0"), F.max("count")).first()
     if lo is None:
-        return d.withColumnRenamed("_b0", "_bucket"), Buckets(0, 0, 1)
+        return d.withColumnRenamed("_b0", "_bucket").drop("_sk"), Buckets(0, 0, 1)
     if max_rows is None or top <= max_rows:
-        return d.withColumnRenamed("_b0", "_bucket"), Buckets(int(lo), int(hi), 1)
-    k = int(min(_MAX_SPLITS, math.ceil(top / max_rows)))
+        return d.withColumnRenamed("_b0", "_bucket").drop("_sk"), Buckets(int(lo), int(hi), 1)
+    k = int(math.ceil(top / max_rows))
     # cut points on the time offset inside the bucket (exact as a double);
     # rows with one identical timestamp stay together, which keeps the order
     off = (epoch_micros(d, time_col) - F.col("_b0") * F.lit(duration_us(width))).cast("double")
@@ -105,6 +103,16 @@ def _bucketed(df: DataFrame, time_col: str, width: str | int) -> DataFrame:
     return df if "_bucket" in df.columns else with_bucket(df, time_col, width)
 
 
+def _series(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """One struct column for the series key.
+
+    Structs compare NULL members as equal, so a series with a NULL sensor or
+    label keeps its carries in plain equi-joins, which reuse the partitioning
+    of the windows (a null-safe join on the columns would shuffle again).
+    """
+    return df.withColumn("_sk", F.struct(*keys)), ["_sk"]
+
+
 def _order(time_col: str, tie_col: str | None) -> list[Column]:
     return [F.col(time_col)] + ([F.col(tie_col)] if tie_col else [])
 
@@ -113,8 +121,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_
                   tie_col: str | None = "event_id", width: str | int = "120 seconds",
                   prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>``: the value of ``c`` in the previous row of the same series."""
-    keys = list(keys)
-    d = _bucketed(df, time_col, width)
+    d, keys = _series(_bucketed(df, time_col, width), keys)
     d = d.withColumn("_okey", order_key(d, time_col, tie_col))
     part = keys + ["_bucket"]
     w = Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
@@ -135,8 +142,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_c
                  tie_col: str | None = "event_id", width: str | int = "120 seconds",
                  suffix: str = "_filled") -> DataFrame:
     """Add ``<c>_filled``: newest non-null value of ``c`` up to and including this row."""
-    keys = list(keys)
-    d = _bucketed(df, time_col, width)
+    d, keys = _series(_bucketed(df, time_col, width), keys)
     d = d.withColumn("_okey", order_key(d, time_col, tie_col))
     part = keys + ["_bucket"]
     w = (Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
@@ -159,8 +165,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], col: str | Sequence[str], ou
     """Cumulative sum of ``col`` (one or several columns) per series in (time, tie) order; NULLs add nothing."""
     cols = [col] if isinstance(col, str) else list(col)
     outs = [out] if isinstance(out, str) else list(out)
-    keys = list(keys)
-    d = _bucketed(df, time_col, width)
+    d, keys = _series(_bucketed(df, time_col, width), keys)
     part = keys + ["_bucket"]
     w = (Window.partitionBy(*part).orderBy(*_order(time_col, tie_col))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -248,7 +253,7 @@ def linear_scan(df: DataFrame, keys: Sequence[str], a: Column, bs: Sequence[Colu
     if buckets is None or "_bucket" not in df.columns:
         df, buckets = assign_buckets(df.drop("_bucket") if "_bucket" in df.columns else df, keys, time_col,
                                      tie_col, width)
-    d = df.select("*", a.alias("_a"), *[b.alias(f"_b{k}") for k, b in enumerate(bs)])
+    d, keys = _series(df.select("*", a.alias("_a"), *[b.alias(f"_b{k}") for k, b in enumerate(bs)]), keys)
     d = d.withColumn("_okey", order_key(d, time_col, tie_col))
     part = keys + ["_bucket"]
     order = _order(time_col, tie_col)

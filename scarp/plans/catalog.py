@@ -26,8 +26,9 @@ from ..sources import readings as rd
 from ..sources.tables import table
 from ..streaming import jobs
 from ..streaming.fill import forward_fill_stream
-from ..streaming.sink import read_latest
+from ..streaming.sink import read_alerts, read_latest
 from . import alerts as al
+from . import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,10 +240,13 @@ def q_time_to_failure(spark, sf_dir):
 
 # ------------------------------------------------------------ stored points
 
-def load_points(spark, sf_dir, stored: bool = False):
+def load_points(spark, sf_dir, stored: bool = False, fields=None):
     """Wide points; ``stored`` writes them once to the shared checkpoint folder,
-    as a points table would be stored, for queries that read them more than once."""
+    as a points table would be stored, for queries that read them more than once.
+    ``fields`` keeps only the named value columns."""
     p = se.to_points(cluster_alerts(spark, sf_dir))
+    if fields is not None:
+        p = p.select("time", "cluster_id", *fields)
     return materialize(p) if stored else p
 
 
@@ -257,7 +261,7 @@ def q_points_long(spark, sf_dir):
 
 @register("latest_alert")
 def q_latest_alert(spark, sf_dir):
-    points = load_points(spark, sf_dir, stored=True)
+    points = load_points(spark, sf_dir, stored=True, fields=["alert_level"])
     # a field filter on wide points is a column projection: unpivot only that field
     long = se.points_long(points, fields=["alert_level"])
     recent = se.time_range(long, "5 minutes", as_of=se.newest_time(points))
@@ -283,7 +287,7 @@ def q_agg_window_mean_10s(spark, sf_dir):
 
 @register("tag_values")
 def q_tag_values(spark, sf_dir):
-    return se.tag_values(load_points(spark, sf_dir, stored=True), "cluster_id", "30 days")
+    return se.tag_values(load_points(spark, sf_dir, stored=True, fields=[]), "cluster_id", "30 days")
 
 
 @register("panel_stats")
@@ -313,22 +317,19 @@ def q_threshold_bands(spark, sf_dir):
 
 # ------------------------------------------------------------ label metrics
 
-def load_metrics(spark, sf_dir, stored: bool = False):
-    """Host metrics; ``stored`` writes them once (shared checkpoint folder), as a
-    scraped metrics store would hold them, for the multi-pass rate queries."""
-    m = rd.host_metrics(table(spark, sf_dir, "events"))
-    return materialize(m) if stored else m
+def load_metrics(spark, sf_dir):
+    """Host metrics as a scraped metrics store would hold them."""
+    return rd.host_metrics(table(spark, sf_dir, "events"))
 
 
 def _idle_rate(spark, sf_dir):
-    cpu = mt.select(load_metrics(spark, sf_dir, stored=True), "cpu_seconds_total", mode="idle")
-    return mt.counter_rate(cpu)
+    # the rate reads its input more than once: only the selected series are written
+    return mt.counter_rate(materialize(mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total", mode="idle")))
 
 
 @register("counter_rate")
 def q_counter_rate(spark, sf_dir):
-    cpu = mt.select(load_metrics(spark, sf_dir, stored=True), "cpu_seconds_total")
-    r = mt.counter_rate(cpu)
+    r = mt.counter_rate(materialize(mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total")))
     return r.select("sample_id", "ts", "instance", "mode", _r6("rate").alias("rate"))
 
 
@@ -364,7 +365,7 @@ def q_metric_ratio(spark, sf_dir):
 
 def _stream_input(spark, sf_dir, tag):
     src = scratch_path(spark, "scarp", tag, "input")
-    jobs.write_time_slices(load_readings(spark, sf_dir), src, slices=6)
+    replay.write_time_slices(load_readings(spark, sf_dir), src)
     return src
 
 
@@ -412,27 +413,22 @@ def q_stream_alerts_upsert(spark, sf_dir):
 @register("stream_alert_log")
 def q_stream_alert_log(spark, sf_dir):
     base = _upsert_run(spark, sf_dir)
-    final = read_latest(spark, f"{base}/points").where(F.col("alert_level") > 1).select("time", "cluster_id")
-    log = read_latest(spark, f"{base}/alerts")
-    standing = log.join(final, ["time", "cluster_id"])
-    return standing.select(_ntz("time"), "cluster_id", F.col("alert_level").cast("int").alias("alert_level"),
+    return read_alerts(spark, f"{base}/alerts").select(_ntz("time"), "cluster_id", F.col("alert_level").cast("int").alias("alert_level"),
                            "alert_message")
 
 
 @register("stream_gnss_forward_fill")
 def q_stream_gnss_forward_fill(spark, sf_dir):
-    """Closed windows of the append job, read back as a stream, GNSS forward-filled across micro-batches."""
+    """Closed windows of the append job's sink, read as a stream as they are, GNSS forward-filled."""
     src = _stream_input(spark, sf_dir, "ffill")
     closed = scratch_path(spark, "scarp", "ffill", "closed")
     feats = jobs.stream_features(jobs.message_stream(spark, src))
     q = jobs.start_append_job(feats, closed, scratch_path(spark, "scarp", "ffill", "ckpt1"),
                               trigger={"availableNow": True})
     q.awaitTermination()
-    # replay the closed windows in event-time order, one slice per micro-batch
-    ordered = scratch_path(spark, "scarp", "ffill", "ordered")
-    windows = spark.read.parquet(closed).select("window_start", "cluster_id", "last_gnss_x", "last_gnss_y")
-    jobs.write_ordered_slices(windows, ordered, "window_start", slices=6)
-    stream = spark.readStream.schema(windows.schema).option("maxFilesPerTrigger", 1).parquet(ordered)
+    schema = spark.read.parquet(closed).schema
+    stream = (spark.readStream.schema(schema).parquet(closed)
+              .select("window_start", "cluster_id", "last_gnss_x", "last_gnss_y"))
     filled = forward_fill_stream(stream, ["cluster_id"], ["last_gnss_x", "last_gnss_y"], "window_start")
     out = scratch_path(spark, "scarp", "ffill", "out")
     q2 = (filled.writeStream.outputMode("append").format("parquet").option("path", out)
@@ -441,3 +437,18 @@ def q_stream_gnss_forward_fill(spark, sf_dir):
     q2.awaitTermination()
     return spark.read.parquet(out).select(_ntz("window_start"), "cluster_id", "last_gnss_x", "last_gnss_y",
                                           "last_gnss_x_filled", "last_gnss_y_filled")
+
+
+@register("stream_points_two_runs")
+def q_stream_points_two_runs(spark, sf_dir):
+    """Two checkpoints write to one points table, one after the other: the first the earlier half of the messages, the
+    second, from a fresh checkpoint, all of them. The newest versions are the batch result."""
+    base = scratch_path(spark, "scarp", "two-runs")
+    readings = load_readings(spark, sf_dir)
+    middle = readings.select(F.timestamp_seconds(F.avg(rs.epoch_micros(readings, "event_time")) / 1e6).cast("timestamp_ntz")).scalar()
+    for k, part in enumerate((readings.where(F.col("event_time") < middle), readings)):
+        src = f"{base}/input{k}"
+        replay.write_time_slices(part, src, slices=2)
+        feats = jobs.stream_features(jobs.message_stream(spark, src))
+        jobs.start_monitoring_job(feats, f"{base}/points", f"{base}/ckpt{k}", trigger={"availableNow": True}).awaitTermination()
+    return _point_cols(read_latest(spark, f"{base}/points"))

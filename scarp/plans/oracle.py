@@ -400,3 +400,5 @@ SELECT window_start, cluster_id, last_gnss_x, last_gnss_y,
 FROM resampled
 WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readings)) - INTERVAL 10 SECOND
 WINDOW w AS (PARTITION BY cluster_id ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+ORACLE["stream_points_two_runs"] = ORACLE["stream_alerts_upsert"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -54,9 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is always read from
-    the session. Only when it is unset (unit tests, ad-hoc local runs) a local
-    folder is created and registered with the context (the setting itself is
-    fixed at start-up and cannot be changed later).
+    the session; without it a cluster run is refused. Only with a local master
+    (unit tests, ad-hoc runs) a local folder is created and registered with the
+    context (the setting itself is fixed at start-up and cannot be changed later).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -67,6 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master or ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="scarp-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -89,11 +92,6 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
-
-
 def materialize(df):
     """Write ``df`` once to the shared checkpoint folder and continue from there.
 
@@ -105,16 +103,23 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+# Shuffle partitions per core: a few waves of tasks. The driver tracks map tasks times reducers, so more partitions
+# cost more than larger ones do; AQE splits the skewed ones.
+SHUFFLE_WAVES = 4
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               streaming: bool = False) -> dict[str, str]:
     """Settings sized for a given input volume (pass to ``build_session(conf=...)``).
 
-    Scan splits of ``target_partition_bytes``; shuffle partitions so that each
-    holds about that much even before AQE merges small ones, and at least
-    two waves of tasks for the cluster. AQE then coalesces small partitions
-    and splits skewed ones at run time. For 100 TB on 1000 executors x 8
-    cores this gives 256 MiB splits and ~400k shuffle partitions.
+    Scan splits of ``target_partition_bytes``. Shuffle partitions: enough for partitions of
+    ``target_partition_bytes``, at least two and at most ``SHUFFLE_WAVES``
+    waves of tasks. A stream keeps one state store per partition and restarts
+    with the number it began with: ``streaming`` gives one wave.
     """
-    parts = max(2 * total_cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    cores = max(1, int(total_cores))
+    wanted = -(-int(input_bytes) // int(target_partition_bytes))
+    parts = cores if streaming else max(2 * cores, min(SHUFFLE_WAVES * cores, wanted))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

@@ -91,11 +91,17 @@ def encode_envelopes(readings: DataFrame, key_col: str | None = "event_id") -> D
 
 def write_envelopes(df: DataFrame, format: str = "kafka", *, path: str | None = None,
                     servers: str | None = None, topic: str | None = None,
-                    checkpoint: str | None = None, options: dict[str, str] | None = None):
-    """Sink for encoded envelopes: Kafka topic, or text files (one JSON per line)."""
+                    checkpoint: str | None = None, options: dict[str, str] | None = None,
+                    trigger: dict | None = None):
+    """Sink for encoded envelopes: Kafka topic, or text files (one JSON per line).
+
+    A stream starts with ``trigger`` (e.g. ``{"availableNow": True}``) and its query is returned.
+    """
     opts = dict(options or {})
     if df.isStreaming:
-        w = df.writeStream
+        w = (df if format == "kafka" else df.select("value")).writeStream
+        if trigger:
+            w = w.trigger(**trigger)
         if checkpoint:
             w = w.option("checkpointLocation", checkpoint)
         if format == "kafka":

@@ -1,7 +1,7 @@
 """Streaming forward fill: carry the last known value of a series across micro-batches.
 
 A window function cannot see earlier micro-batches, so the last non-null
-value per series lives in Spark's state store (``applyInPandasWithState``).
+value per series and its time live in Spark's state store (``applyInPandasWithState``).
 Use it on an append-mode stream (each row final once), e.g. the closed
 windows of the append job read back as a stream.
 """
@@ -18,32 +18,40 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 def forward_fill_stream(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_col: str,
                         suffix: str = "_filled") -> DataFrame:
-    """Add ``<c>_filled`` per series; state holds the newest non-null value and its time.
+    """Add ``<c>_filled`` per series: the newest non-null value at or before the row's time.
 
-    Rows of one series inside one micro-batch are ordered by time before
-    filling; a row older than the state's time still takes the state value.
+    State holds, per column, the newest non-null value and its time. A row
+    older than that time neither takes the state's value nor replaces it; it
+    is filled from older rows of its own micro-batch, or stays NULL.
     """
     keys, cols = list(keys), list(cols)
     out_fields = list(df.schema.fields) + [T.StructField(f"{c}{suffix}", T.DoubleType(), True) for c in cols]
     out_schema = T.StructType(out_fields)
-    state_schema = T.StructType([T.StructField(f"last_{c}", T.DoubleType(), True) for c in cols])
+    state_schema = T.StructType([f for c in cols for f in (T.StructField(f"last_{c}", T.DoubleType(), True),
+                                                           T.StructField(f"time_{c}", T.LongType(), True))])
     names = [f.name for f in df.schema.fields]
 
     def fill(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last = list(state.get) if state.exists else [None] * len(cols)
+        known = list(state.get) if state.exists else [None, None] * len(cols)
         chunks = [p for p in pdfs if len(p)]
         if not chunks:
             return
-        pdf = pd.concat(chunks, ignore_index=True).sort_values(time_col, kind="stable")
+        pdf = pd.concat(chunks, ignore_index=True).sort_values(time_col, kind="stable", ignore_index=True)
+        micros = pdf[time_col].astype("datetime64[us]").astype("int64")
         for i, c in enumerate(cols):
-            filled = pdf[c].astype("float64").ffill()
-            if last[i] is not None:
-                filled = filled.fillna(last[i])
+            value, at = known[2 * i], known[2 * i + 1]
+            own = pdf[c].astype("float64")
+            filled, since = own.ffill(), micros.where(own.notna()).ffill()
+            if at is not None:
+                # the state stands in wherever it is not older than the batch's own value
+                state_wins = (micros >= at) & own.isna() & (since.isna() | (since < at))
+                filled = filled.mask(state_wins, value)
             pdf[f"{c}{suffix}"] = filled
-            tail = pdf[c].dropna()
-            if len(tail):
-                last[i] = float(tail.iloc[-1])
-        state.update(tuple(last))
+            if own.notna().any():
+                last = own.last_valid_index()
+                if at is None or micros[last] >= at:
+                    known[2 * i], known[2 * i + 1] = float(own[last]), int(micros[last])
+        state.update(tuple(known))
         yield pdf[names + [f"{c}{suffix}" for c in cols]]
 
     return df.groupBy(*keys).applyInPandasWithState(

@@ -1,4 +1,4 @@
-"""The two streaming jobs, plus helpers to feed them from files.
+"""The two streaming jobs and the append job.
 
 Both jobs are ``read -> parse -> features -> watermark + resample -> model ->
 sink``; the plans are the batch plans of ``scarp.plans.alerts``. Streams keep
@@ -8,17 +8,13 @@ TIMESTAMP_NTZ like the batch path.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import parse as ps
-from ..operators.resample import epoch_micros
 from ..functions import model
 from ..plans import alerts as al
-from ..session import is_local_path, local_fs_path
 from ..sources import envelopes as ev
 from .sink import PointsWriter
 
@@ -26,82 +22,34 @@ WATERMARK = "10 seconds"
 WINDOW = "1 second"
 
 
-def write_time_slices(readings: DataFrame, path: str, slices: int = 6, time_col: str = "event_time",
-                      sequential: bool | None = None) -> int:
-    """Write readings as Kafka-shaped JSON text files, one per event-time slice.
-
-    The file source replays files in modification-time order. On a local file
-    system one range-partitioned job writes all slices and their mtimes are
-    then set in range order (part numbers follow the ranges). On shared
-    storage the slices are appended one job after the other instead, so their
-    write times follow event time (``sequential`` forces either way).
-    """
-    env = ev.envelope(readings, carry=("event_id", time_col))
-    fields = [c for c in env.columns if c not in ("event_id", time_col)]
-    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("key"),
-                              F.to_json(F.struct(*fields)).alias("value")))
-    us = epoch_micros(readings, time_col)
-    if sequential is None:
-        sequential = not is_local_path(path)
-    if not sequential and not is_local_path(path):
-        raise ValueError("modification times can only be set on a local path; use sequential=True")
-    if not sequential:
-        ordered = env.select(line.alias("value"), us.alias("_us"), "event_id") \
-            .repartitionByRange(slices, "_us", "event_id").sortWithinPartitions("_us", "event_id")
-        ordered.select("value").write.mode("append").text(path)
-        base = local_fs_path(path)
-        files = sorted(f for f in os.listdir(base) if f.startswith("part-"))
-        t0 = 1_700_000_000
-        for i, f in enumerate(files):
-            os.utime(os.path.join(base, f), (t0 + i, t0 + i))
-        return len(files)
-    lo, hi = readings.agg(F.min(us), F.max(us)).first()
-    step = (hi - lo) // slices + 1
-    msgs = env.select(F.floor((us - F.lit(lo)) / F.lit(step)).cast("int").alias("_slice"), line.alias("value"))
-    msgs = msgs.persist()
-    try:
-        for k in range(slices):
-            msgs.where(F.col("_slice") == k).select("value").coalesce(1).write.mode("append").text(path)
-    finally:
-        msgs.unpersist()
-    return slices
-
-
-def write_ordered_slices(df: DataFrame, path: str, time_col: str, slices: int = 6) -> int:
-    """Write any table as ``slices`` parquet files of consecutive event-time ranges,
-    modification times in time order, so a file stream replays it in order."""
-    if is_local_path(path):
-        df.repartitionByRange(slices, time_col).sortWithinPartitions(time_col).write.mode("append").parquet(path)
-        base = local_fs_path(path)
-        files = sorted(f for f in os.listdir(base) if f.startswith("part-"))
-        for i, f in enumerate(files):
-            os.utime(os.path.join(base, f), (1_700_000_000 + i,) * 2)
-        return len(files)
-    us = epoch_micros(df, time_col)
-    lo, hi = df.agg(F.min(us), F.max(us)).first()
-    step = (hi - lo) // slices + 1
-    for k in range(slices):
-        (df.where((us >= F.lit(lo + k * step)) & (us < F.lit(lo + (k + 1) * step)))
-         .coalesce(1).write.mode("append").parquet(path))
-    return slices
-
-
 def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Kafka-shaped ``(key, value)`` rows from the text slices written above."""
+    """Kafka-shaped ``(key, value)`` rows from text files of replayed messages (``plans.replay``)."""
     raw = ev.read_envelopes(spark, "text", path=path, options={"maxFilesPerTrigger": str(files_per_trigger)})
     return raw.select(F.from_json("value", "key string, value string").alias("m")).select("m.key", "m.value")
 
 
+# Offsets stay below this (a partition would need 281 trillion messages to pass it).
+_OFFSETS = 1 << 48
+
+
 def kafka_messages(raw: DataFrame) -> DataFrame:
-    """Kafka rows -> ``(key, value)`` for ``stream_features``: the partition offset
-    (arrival order) becomes the tie-break id, the binary value becomes text."""
-    return raw.select(F.col("offset").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    """Kafka rows -> ``(key, value)`` for ``stream_features``: partition and offset packed
+    into one number become the tie-break id (an offset alone repeats in every
+    partition), the binary value becomes text."""
+    place = F.col("partition").cast("long") * F.lit(_OFFSETS) + F.col("offset")
+    return raw.select(place.cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 def stream_features(messages: DataFrame) -> DataFrame:
-    """Parse messages; good rows become features with a TIMESTAMP event time and a numeric tie id."""
+    """Parse messages; good rows become features with a TIMESTAMP event time and a numeric tie id.
+
+    A key that is missing or no number is replaced by a hash of the row, so
+    ties fall the same way in any delivery order and no key stops the stream.
+    """
     good, _ = ps.split_rejected(messages, keep=("key",), ntz=False)
-    return good.withColumn("msg_id", F.col("key").cast("long")).drop("key")
+    hashed = F.xxhash64(*[c for c in good.columns if c != "key"]).bitwiseAND(F.lit((1 << 63) - 1))
+    given = F.col("key").try_cast("long")
+    return good.withColumn("msg_id", F.coalesce(F.when(given >= 0, given), hashed)).drop("key")
 
 
 def alert_stream(features: DataFrame, watermark: str = WATERMARK, every: str = WINDOW,

@@ -62,5 +62,6 @@ def test_core_output_decimal_casts_do_not_fail(spark):
 def test_scale_conf_sizes_partitions():
     from scarp.session import scale_conf
     c = scale_conf(100 * 2**40, 8000)
-    assert c["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
+    assert c["spark.sql.shuffle.partitions"] == str(4 * 8000)      # bounded by the cores, not by the volume
+    assert scale_conf(100 * 2**40, 8000, streaming=True)["spark.sql.shuffle.partitions"] == "8000"
     assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
