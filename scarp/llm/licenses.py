@@ -152,7 +152,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sc
     learn = rows.where(~F.col("apart"))
     vocabulary = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=VOCABULARY, binary=True).fit(learn)
     sizes = learn.groupBy("label").agg(F.count("*").alias("n"))
-    weighted = learn.join(F.broadcast(sizes), "label").withColumn("weight", 1 / F.sqrt("n"))  # one row per class
+    weighted = learn.join(sizes, "label").withColumn("weight", 1 / F.sqrt("n"))  # one row per class
     model = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=60, weightCol="weight",
                                standardization=False).fit(scratch_table(vocabulary.transform(weighted).select("label", "weight", "features"), "features"))
     apart = scratch_table(Scanner(vocabulary, model, 1.0, 0.0).model.transform(vocabulary.transform(rows.where("apart")))

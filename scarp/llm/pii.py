@@ -138,10 +138,10 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, su
     n_t = (docs.select(F.explode_outer(words).alias("term"))
            .join(joint.select("term").distinct(), "term").groupBy("term").agg(F.count("*").alias("n_t")))
     n_c = found.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    n = docs.agg(F.count("*").alias("n"))
-    table = (joint.join(n_t, "term", "left").join(n_c, "entity").join(F.broadcast(n))  # one row
+    n = docs.agg(F.count("*")).scalar()
+    table = (joint.join(n_t, "term", "left").join(n_c, "entity")
              .withColumn("n_t", F.greatest(F.coalesce("n_t", F.lit(0)), "n_ct"))
-             .withColumn("n", F.greatest("n", "n_t", "n_c")))
+             .withColumn("n", F.greatest(n, "n_t", "n_c")))
     pmi = F.log2(F.col("n") * F.col("n_ct") / (F.greatest("n_c", "n_ct") * F.col("n_t")))
     content = F.log2(F.col("n") / F.greatest("n_c", "n_ct"))
     return (table.withColumn("information", pmi).where(content > 0).where(F.col("information") * alpha >= content)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, map_texts
+from .common import id_text, map_texts, scratch_table
 
 WINDOW = 6         # words in a passage
 STRIDE = 3         # words between the beginnings of passages
@@ -233,8 +233,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     for label in (0, 1):
         part = ids.where(F.col("toxic") == label).orderBy(key, "doc_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    # at most 2 * per_class ids: bounded whatever the corpus
-    texts = docs.where(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id")
+    # at most 2 * per_class ids whatever the corpus; written, so that Spark knows their size and broadcasts them
+    picked = scratch_table(picked, "sample")
+    texts = docs.where(F.length("text") <= max_chars).join(picked, "doc_id")
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
