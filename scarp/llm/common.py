@@ -13,17 +13,27 @@ from scarp.session import checkpoint_root
 
 # texts are handled in groups of about this many characters, which bounds a task's memory
 GROUP_CHARS = 2_000_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, but as compressed Parquet whose columns can be pruned;
-    the files are on shared storage, so they outlive any executor.
+    the files are on shared storage, so they outlive any executor. The shuffle files of the write are
+    removed when it is done (nothing reads them again), not when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

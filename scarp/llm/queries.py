@@ -89,21 +89,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # words and five-word shingles of a text, as lists (ASCII letters lower-cased, ASCII white space between words)
 _SHINGLES = """
   SELECT {id}, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-         ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS sh
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
   FROM (SELECT {id}, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-               'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws
+               'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
         FROM {table} WHERE {id} IS NOT NULL)
 """
 
 ORACLE: dict[str, str] = {
     "op5_decontaminate": """
 WITH w AS (
-  SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '') AS ws
+  SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ws
   FROM documents WHERE doc_id IS NOT NULL
   UNION ALL
-  SELECT 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '')
+  SELECT 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')
   FROM benchmark WHERE item_id IS NOT NULL),
-s AS (SELECT kind, id, list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) AS sh
+s AS (SELECT kind, id, list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) AS sh
       FROM w WHERE len(ws) >= 5),
 e AS (SELECT kind, id, len(sh) AS n, unnest(sh) AS g FROM s),
 p AS (SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n) AS n_item, count(*) AS n_shared
@@ -111,9 +111,9 @@ p AS (SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n) AS n_item, count(*)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM p WHERE n_shared >= 0.75 * n_item
 """,
     "op8_topk": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
       FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)

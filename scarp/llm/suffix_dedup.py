@@ -7,8 +7,8 @@ alone, so equal windows pick the same gram at the same distance. Neighbouring wi
 1. Anchors are computed once; only runs whose gram recurs in the corpus can hold a repeated window.
 2. Whole runs (``text[lo : lo + n + LENGTH - 1]``) that recur are repeated altogether.
 3. Of other runs, and of one run for every class of step 2, pieces of ``PIECE`` neighbouring windows (aligned to the
-   anchor) go on when the bytes that all their windows share recur.
-4. The windows of those pieces are judged one by one.
+   anchor) go on when the bytes that all their windows share recur. Whole pieces are then judged like whole runs.
+4. The windows of the other pieces, and of one piece per class, are judged one by one.
 
 At each step the strings of a task are suffixes of its texts, sorted by deep-shallow sorting: multikey quicksort on eight
 bytes at a time to a shallow depth (all groups of a round together in numpy), then a blind trie for every group that still
@@ -311,18 +311,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grams = scratch_table(runs.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "grams")
     runs = scratch_table(runs.join(grams, "gram").select(*KEY, "lo", "n", "ahead"), "runs")
     texts = scratch_table(rows.select(*KEY, "text").join(runs.select(*KEY).distinct(), KEY, "left_semi"), "texts")
-    whole = scratch_table(digested(texts, runs, whole_runs), "whole")
-    twice = recurring(whole, "whole-twice")
-    found = whole.join(twice, ["d1", "d2"]).select(*KEY, "lo", "n")
-    # a window of another run can equal one inside a recurring run: one run of each such class stands for it
-    one = (whole.join(twice, ["d1", "d2"]).groupBy("d1", "d2").agg(F.min(F.struct(*KEY, "lo", "n", "ahead")).alias("r"))
-           .select("r.*"))
-    rest = whole.join(twice, ["d1", "d2"], "left_anti").select(*KEY, "lo", "n", "ahead").unionByName(one)
+    found, rest = settled(scratch_table(digested(texts, runs, whole_runs), "whole"))
     pieces = scratch_table(digested(texts, rest, pieces_of, one_row=True), "pieces")
     likely = pieces.join(recurring(pieces, "pieces-twice"), ["d1", "d2"])
-    windows = scratch_table(digested(texts, likely, single_windows, one_row=True), "windows")
-    found = found.unionByName(windows.join(recurring(windows, "windows-twice"), ["d1", "d2"]).select(*KEY, "lo", "n"))
-    return texts, found.distinct()
+    more, rest = settled(scratch_table(digested(texts, likely, whole_runs, one_row=True), "whole-pieces"))
+    windows = scratch_table(digested(texts, rest, single_windows, one_row=True), "windows")
+    last = windows.join(recurring(windows, "windows-twice"), ["d1", "d2"]).select(*KEY, "lo", "n")
+    return texts, found.unionByName(more).unionByName(last).distinct()
+
+
+def settled(strings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs whose whole strings recur, and the runs that are still open.
+
+    A window of an open run can equal one inside a recurring run, so one run of each recurring class stays open too.
+    """
+    twice = recurring(strings, "twice")
+    found = strings.join(twice, ["d1", "d2"])
+    one = found.groupBy("d1", "d2").agg(F.min(F.struct(*KEY, "lo", "n", "ahead")).alias("r")).select("r.*")
+    rest = strings.join(twice, ["d1", "d2"], "left_anti").select(*KEY, "lo", "n", "ahead")
+    return found.select(*KEY, "lo", "n"), rest.unionByName(one)
 
 
 def merged(lo: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
