@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sequence as sq
-from .resample import epoch_micros
+from .resample import epoch_micros, order_key
 
 
 def select(df: DataFrame, metric: str | None = None, **matchers: str) -> DataFrame:
@@ -72,6 +72,29 @@ def instant_select(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "
     return recent.groupBy(*keys).agg(F.max(time_col).alias(time_col), F.max_by("value", time_col).alias("value"))
 
 
+def range_eval(df: DataFrame, step: str, keys: Sequence[str] = ("metric", "instance", "mode"),
+               lookback: str = "5 minutes", time_col: str = "ts", tie_col: str | None = "sample_id") -> DataFrame:
+    """Values of every series at common instants (whole multiples of ``step``), as range panels need.
+
+    A series has at an instant its newest sample of the lookback before it (the
+    sample itself included), or no row. Samples are first reduced to one per
+    series and step, which bounds what is copied forward to ``lookback/step``
+    rows each; both steps are aggregates, so a hot series is combined early.
+    """
+    keys, width, reach = list(keys), sq.duration_us(step), sq.duration_us(lookback)
+    us = epoch_micros(df, time_col)
+    rank = order_key(df, time_col, tie_col)
+    first = F.ceil(us / F.lit(width)).cast("long")  # the first instant that sees the sample
+    one = (df.groupBy(*keys, first.alias("_at"))
+           .agg(F.max_by("value", rank).alias("value"), F.max(us).alias("_us"), F.max(rank).alias("_rank")))
+    last = F.floor((F.col("_us") + F.lit(reach)) / F.lit(width)).cast("long")
+    newest = one.agg(F.max("_at")).scalar()  # no instants after the first that sees every sample
+    seen = one.select("*", F.explode(F.sequence(F.col("_at"), F.least(last, newest))).alias("_i"))
+    out = seen.where((F.col("_i") * F.lit(width) - F.col("_us")) < F.lit(reach) + 1).groupBy(*keys, "_i").agg(
+        F.max_by("value", "_rank").alias("value"))
+    return out.select(F.timestamp_micros(F.col("_i") * F.lit(width)).cast(df.schema[time_col].dataType).alias(time_col), *keys, "value")
+
+
 def count_series(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mode"), lookback: str = "5 minutes",
                  time_col: str = "ts") -> DataFrame:
     """Number of label sets present at the newest instant (``count(selector)``)."""

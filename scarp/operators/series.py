@@ -106,16 +106,25 @@ def panel_stats(long: DataFrame, keys: Sequence[str] = ("cluster_id", "field"),
 
 
 def head_per_series(df: DataFrame, keys: Sequence[str], n: int, time_col: str = "time",
-                    tie_col: str | None = None, width: str | int = "120 seconds") -> DataFrame:
+                    tie_col: str | None = None, width: str | int | None = None) -> DataFrame:
     """First ``n`` rows of every series by time (limit per series).
 
-    Two-stage: the first ``n`` of each (series, bucket), then the first ``n``
-    of those candidates per series, so no task sorts a whole series.
+    One ``row_number`` window: Spark puts a group limit before the shuffle, so
+    a task sends at most ``n`` rows per series and no task sorts a whole one.
+    ``width`` is accepted for older callers and has no effect.
     """
-    keys = list(keys)
     order = [F.col(time_col)] + ([F.col(tie_col)] if tie_col else [])
-    d = sq.with_bucket(df, time_col, width)
-    w1 = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    cand = d.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return cand.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= n).select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).select(*df.columns)
+
+
+def select_points(long: DataFrame, fields: Sequence[str] | None = None, **tags: str | Sequence[str]) -> DataFrame:
+    """Stored points of the named fields and tag values (one value or several per tag).
+
+    The filters are on stored columns, so they reach the scan or the unpivot
+    below; a table holds one measurement, as the points table does.
+    """
+    out = long if fields is None else long.where(F.col("field").isin(*fields))
+    for tag, want in tags.items():
+        out = out.where(F.col(tag).isin(*([want] if isinstance(want, str) else want)))
+    return out

@@ -361,6 +361,21 @@ def q_metric_ratio(spark, sf_dir):
     return mt.metric_ratio(load_metrics(spark, sf_dir), "memory_total", "memory_available")
 
 
+@register("memory_grid")
+def q_memory_grid(spark, sf_dir):
+    """Available memory averaged over all hosts at common 15-s instants."""
+    mem = mt.select(load_metrics(spark, sf_dir), "memory_available", mode="!idle")
+    grid = mt.range_eval(materialize(mem), "15 seconds")
+    return mt.avg_by(grid, ["metric"]).select("ts", "metric", _r6("value").alias("value"))
+
+
+@register("cluster_points")
+def q_cluster_points(spark, sf_dir):
+    """Rain and water pressure of one cluster, as its panels read them."""
+    points = se.select_points(load_long(spark, sf_dir), fields=["rain_intensity", "pore_pressure"], cluster_id="cluster_01")
+    return points.select("time", "cluster_id", "field", _r6("value").alias("value"))
+
+
 # ------------------------------------------------------------ streaming
 
 def _stream_input(spark, sf_dir, tag):

@@ -402,3 +402,16 @@ WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readi
 WINDOW w AS (PARTITION BY cluster_id ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 
 ORACLE["stream_points_two_runs"] = ORACLE["stream_alerts_upsert"]
+
+ORACLE["cluster_points"] = with_ctes(*PT, LONG, body="""
+SELECT time, cluster_id, field, round(value, 6) AS value FROM long
+WHERE field IN ('rain_intensity', 'pore_pressure') AND cluster_id = 'cluster_01' AND value IS NOT NULL""")
+
+ORACLE["memory_grid"] = with_ctes(READINGS, HOST_METRICS, """mem AS (
+  SELECT * FROM host_metrics WHERE metric = 'memory_available' AND mode <> 'idle')""", """grid AS (
+  SELECT make_timestamp(i * 15000000) AS t FROM (
+    SELECT unnest(range(CAST(floor(min(epoch_us(ts)) / 15000000.0) AS BIGINT), CAST(ceil(max(epoch_us(ts)) / 15000000.0) AS BIGINT) + 1)) AS i
+    FROM mem))""", """seen AS (
+  SELECT g.t, m.instance, m.value, row_number() OVER (PARTITION BY g.t, m.instance, m.mode ORDER BY m.ts DESC, m.sample_id DESC) AS rn
+  FROM grid g JOIN mem m ON m.ts <= g.t AND m.ts >= g.t - INTERVAL 5 MINUTE)""", body="""
+SELECT t AS ts, 'memory_available' AS metric, round(avg(value), 6) AS value FROM seen WHERE rn = 1 GROUP BY t""")

@@ -130,3 +130,28 @@ def test_instant_select_and_count(spark):
     assert got == {"h1": 4.0, "h2": 3.0}                    # 5-minute lookback from the newest sample
     c = mt.count_series(df).first()
     assert c.n == 2 and str(c.as_of) == "2024-01-01 00:08:20"
+
+
+def test_range_eval_at_common_instants(spark):
+    from datetime import datetime, timedelta
+
+    from scarp.operators import metrics as mt
+    t0 = datetime(2024, 1, 1)
+    a = [(k, t0 + timedelta(seconds=7 * k), "m", "a", None, float(k)) for k in range(20)]
+    b = [(100 + k, t0 + timedelta(seconds=11 * k + 3), "m", "b", "", float(-k)) for k in range(5)]
+    df = spark.createDataFrame(a + b, "sample_id long, ts timestamp_ntz, metric string, instance string, mode string, value double")
+    got = {(r.instance, (r.ts - t0).seconds): r.value for r in mt.range_eval(df, "15 seconds", lookback="30 seconds").collect()}
+    want = {}
+    for name, rows in (("a", a), ("b", b)):
+        for s in range(0, 150, 15):
+            seen = [(r[1], r[5]) for r in rows if 0 <= (t0 + timedelta(seconds=s) - r[1]).total_seconds() <= 30]
+            if seen and s <= 135:
+                want[name, s] = max(seen)[1]
+    assert got == want
+
+
+def test_select_points_by_field_and_tag(spark):
+    from scarp.operators import series as se
+    df = spark.createDataFrame([(1, "c1", "x", 1.0), (1, "c2", "x", 2.0), (1, "c1", "y", 3.0)], "time int, cluster_id string, field string, value double")
+    assert [r.value for r in se.select_points(df, ["x"], cluster_id="c1").collect()] == [1.0]
+    assert se.select_points(df, cluster_id=["c1", "c2"]).count() == 3
