@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, scratch_table
 
 PAGES = 240         # pages in the training sample
 MAX_CHARS = 60_000  # of html; longer pages are not trained on
@@ -384,9 +384,10 @@ def fit(sample: list[str], layouts: int = LAYOUTS, epochs: int = EPOCHS, seed: i
 
 def fit_on(pages: DataFrame, html_col: str = "html", n: int = PAGES) -> Labeller:
     text = F.col(html_col).cast("string").alias("html")
-    sample = (pages.select(text).where(F.length("html").between(1, MAX_CHARS)).withColumn("k", F.xxhash64("html"))
-              .orderBy("k", "html").limit(n).collect())  # bounded: n pages of MAX_CHARS characters
-    return fit([r.html for r in sample])
+    short = pages.select(text).where(F.length("html").between(1, MAX_CHARS)).withColumn("key", F.xxhash64("html"))
+    picked = scratch_table(short.select("key").distinct().orderBy("key").limit(n), "picked")  # keys first: pages stay put
+    sample = short.join(picked, "key").select("key", "html").distinct().collect()  # bounded: n pages of MAX_CHARS characters
+    return fit([r.html for r in sorted(sample, key=lambda r: (r.key, r.html))[:n]])
 
 
 def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

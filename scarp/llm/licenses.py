@@ -100,7 +100,9 @@ def notices(spark: SparkSession) -> DataFrame:
 
 def sample_of(docs: DataFrame) -> DataFrame:
     """At most ``PARAGRAPHS`` paragraphs, numbered, of ``SAMPLE_DOCS`` texts in the order of a hash of the id."""
-    texts = docs.where(F.length("text").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE_DOCS)
+    short = docs.where(F.length("text").between(1, SAMPLE_CHARS)).withColumn("key", F.xxhash64("doc_id", "text"))
+    picked = scratch_table(short.select("key").distinct().orderBy("key").limit(SAMPLE_DOCS), "picked")  # keys first: texts stay put
+    texts = short.join(picked, "key")
     lines = paragraphs_of(texts).where(F.col("paragraph").isNotNull() & ~F.col("paragraph").rlike(SUSPECT)).distinct()
     lines = lines.orderBy(F.xxhash64("paragraph"), "paragraph").limit(PARAGRAPHS)
     return lines.withColumn("at", F.row_number().over(Window.orderBy(F.xxhash64("paragraph"), "paragraph")) - 1)  # bounded
