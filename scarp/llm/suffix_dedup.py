@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_table, text_groups
+from .common import discard, scratch_table, text_groups
 
 LENGTH = 200
 GRAM = 48
@@ -300,23 +300,26 @@ def digested(texts: DataFrame, runs: DataFrame, cut: Callable, one_row: bool = F
 
 
 def recurring(strings: DataFrame, name: str) -> DataFrame:
-    """Digests that occur more than once in the corpus."""
-    return scratch_table(strings.groupBy("d1", "d2").agg(F.count("*").alias("times")).where("times > 1").select("d1", "d2"), name)
+    """Digests that occur more than once in the corpus, and the run that stands for each (``r``)."""
+    each = strings.groupBy("d1", "d2").agg(F.count("*").alias("times"), F.min(F.struct(*KEY, "lo", "n", "ahead")).alias("r"))
+    return scratch_table(each.where("times > 1").select("d1", "d2", "r"), name)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Texts that hold candidates (``key, key2, text``), and ``key, key2, lo, n``: runs of repeated windows."""
     rows = key_columns(docs, id_col, text_col)
-    runs = scratch_table(anchor_runs(rows), "anchors")
-    grams = scratch_table(runs.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "grams")
-    runs = scratch_table(runs.join(grams, "gram").select(*KEY, "lo", "n", "ahead"), "runs")
+    anchors = scratch_table(anchor_runs(rows), "anchors")
+    grams = scratch_table(anchors.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "grams")
+    runs = scratch_table(anchors.join(grams, "gram").select(*KEY, "lo", "n", "ahead"), "runs")
+    discard(anchors)
     texts = scratch_table(rows.select(*KEY, "text").join(runs.select(*KEY).distinct(), KEY, "left_semi"), "texts")
     found, rest = settled(scratch_table(digested(texts, runs, whole_runs), "whole"))
     pieces = scratch_table(digested(texts, rest, pieces_of, one_row=True), "pieces")
-    likely = pieces.join(recurring(pieces, "pieces-twice"), ["d1", "d2"])
+    likely = pieces.join(recurring(pieces, "pieces-twice").select("d1", "d2"), ["d1", "d2"])
     more, rest = settled(scratch_table(digested(texts, likely, whole_runs, one_row=True), "whole-pieces"))
+    discard(pieces)
     windows = scratch_table(digested(texts, rest, single_windows, one_row=True), "windows")
-    last = windows.join(recurring(windows, "windows-twice"), ["d1", "d2"]).select(*KEY, "lo", "n")
+    last = windows.join(recurring(windows, "windows-twice").select("d1", "d2"), ["d1", "d2"]).select(*KEY, "lo", "n")
     return texts, found.unionByName(more).unionByName(last).distinct()
 
 
@@ -326,10 +329,9 @@ def settled(strings: DataFrame) -> tuple[DataFrame, DataFrame]:
     A window of an open run can equal one inside a recurring run, so one run of each recurring class stays open too.
     """
     twice = recurring(strings, "twice")
-    found = strings.join(twice, ["d1", "d2"])
-    one = found.groupBy("d1", "d2").agg(F.min(F.struct(*KEY, "lo", "n", "ahead")).alias("r")).select("r.*")
-    rest = strings.join(twice, ["d1", "d2"], "left_anti").select(*KEY, "lo", "n", "ahead")
-    return found.select(*KEY, "lo", "n"), rest.unionByName(one)
+    found = strings.join(twice.select("d1", "d2"), ["d1", "d2"]).select(*KEY, "lo", "n")
+    rest = strings.join(twice.select("d1", "d2"), ["d1", "d2"], "left_anti").select(*KEY, "lo", "n", "ahead")
+    return found, rest.unionByName(twice.select("r.*"))
 
 
 def merged(lo: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
