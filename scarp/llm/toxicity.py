@@ -8,7 +8,7 @@ alternates: it picks the passage of every toxic text that stands for it (at firs
 the model) and hard and random passages of the clean texts, and takes gradient steps on those. The logit is calibrated
 on texts kept apart, at the share of toxic texts among all labelled ones.
 
-The model is fitted on the driver on a bounded sample of labelled rows: at most ``per_class`` rows of each class, in the
+The model is fitted in one task on a bounded sample of labelled rows: at most ``per_class`` rows of each class, in the
 order of a hash of the id, among texts of at most ``max_chars`` characters. The bounds do not depend on the corpus.
 Every text is then scored whole: the logit of a passage is the mean of one number per word, kept in a table of words
 seen, so scoring costs one look-up per word.
@@ -112,9 +112,10 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, buckets
     y = np.array(labels, np.float64)
     zero = Model(np.zeros((buckets, DIM), np.float32), np.zeros((DIM, 2)), np.zeros(2))
     number: dict[str, int] = {}
-    tokens, starts, ends, owner, base = [], [], [], [], 0
+    tokens, starts, ends, owner, bases, base = [], [], [], [], [], 0
     for k, text in enumerate(texts):
         words = word_list(text)
+        bases.append(base)
         tokens.extend(number.setdefault(w, len(number)) for w in words)
         a, b = passages(len(words))
         starts.append(a + base)
@@ -135,10 +136,10 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, buckets
     learn = ~apart if len(set(y[~apart])) == 2 else np.ones(len(y), bool)
 
     # log-odds of the texts that hold a word, to choose the first passages
-    once = np.unique(np.column_stack([np.repeat(owner, (end - start)),
-                                      token[np.concatenate([np.arange(a, b) for a, b in zip(start, end)])]]), axis=0)
-    once = once[learn[once[:, 0]]]
-    hits = [np.bincount(once[y[once[:, 0]] == c, 1], minlength=len(number)) for c in (0, 1)]
+    text_of = np.repeat(np.arange(len(y)), [int(b[-1]) - base_ if len(b) else 0 for b, base_ in zip(ends, bases)])
+    once = np.unique(text_of * len(number) + token)
+    who, once = once // len(number), once % len(number)
+    hits = [np.bincount(once[learn[who] & (y[who] == c)], minlength=len(number)) for c in (0, 1)]
     totals = [(y[learn] == c).sum() for c in (0, 1)]
     word_score = np.log((hits[1] + 0.2) / (totals[1] + 0.4)) - np.log((hits[0] + 0.2) / (totals[0] + 0.4))
     word_score = np.where(hits[0] + hits[1] > 1, np.maximum(word_score, 0) ** 2, 0)
@@ -191,8 +192,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, buckets
                 v += d
                 # one scale for a whole matrix: what few passages share moves little
                 x -= rate * min(1.0, 4 * np.abs(g).sum()) * v / (np.abs(v).max() + 1e-12)
-        vectors = np.add.reduceat(grams[gram], first, axis=0) / n_grams[:, None]
-        word_score = vectors @ (soft[:, 1] - soft[:, 0])
+        word_score = np.add.reduceat((grams @ (soft[:, 1] - soft[:, 0]))[gram], first) / n_grams
     model = Model(grams.astype(np.float32), soft, bias)
 
     # calibration: a slope and an offset for the highest logit of the texts kept apart
@@ -240,10 +240,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
+    """The model of the bounded sample, fitted in one task (at most ``2 * per_class`` texts of ``max_chars``
+    characters); the driver gets the parameters alone."""
     sample = training_rows(id_text(docs), labels, per_class, max_chars)
-    rows = sorted((zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text, r.toxic) for r in sample.collect())  # bounded
     share = labels.where(F.col("toxic").isin(0, 1)).where(~held_out()).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    return fit([r[2] for r in rows], [r[3] for r in rows], share)
+
+    def run(batches):
+        rows = sorted((zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["text"], r["toxic"])
+                      for batch in batches for r in batch.to_pylist())
+        if rows:
+            m = fit([r[2] for r in rows], [r[3] for r in rows], share)
+            parts = [m.grams.astype("<f4").tobytes(), m.softmax.astype("<f8").tobytes(), m.bias.astype("<f8").tobytes()]
+            yield pa.RecordBatch.from_arrays([*[pa.array([x], pa.binary()) for x in parts], pa.array([m.constant], pa.float64())],
+                                             names=["grams", "softmax", "bias", "constant"])
+
+    found = sample.repartition(1).mapInArrow(run, "grams binary, softmax binary, bias binary, constant double").collect()
+    if not found:
+        return fit([], [])
+    r = found[0]
+    return Model(np.frombuffer(r.grams, "<f4").reshape(-1, DIM), np.frombuffer(r.softmax, "<f8").reshape(DIM, 2),
+                 np.frombuffer(r.bias, "<f8"), r.constant)
 
 
 def scorer(model: Model):
