@@ -135,8 +135,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, su
     joint = (held.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= support))
     joint = scratch_table(joint, "joint")
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), JAVA_NOT_TERM))
-    n_t = (docs.select(F.explode_outer(words).alias("term"))
-           .join(joint.select("term").distinct(), "term").groupBy("term").agg(F.count("*").alias("n_t")))
+    # counted before the join: a frequent term then meets the candidates as one row
+    n_t = docs.select(F.explode_outer(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n_c = found.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
     n = docs.agg(F.count("*")).scalar()
     table = (joint.join(n_t, "term", "left").join(n_c, "entity")
