@@ -2,17 +2,17 @@
 
 Protected entities are the values the base patterns find (addresses, numbers). A term that keeps appearing next to one
 entity and hardly anywhere else reveals it even after the value itself is gone. Corpus counts estimate this: with N
-documents, ``n_c`` that hold the entity, ``n_t`` that hold the term, and ``n_ct`` distinct contexts (the ``REACH`` terms
-before and after an occurrence) that hold both, the pointwise mutual information ``log2(N n_ct / (n_c n_t))`` is set
-against the information content of the entity, ``log2(N / n_c)``. A term discloses the entity when its share reaches
-``1 / ALPHA``, on ``SUPPORT`` different contexts at least; copies of one context count once. Disclosing terms are marked
+documents, ``n_c`` that hold the entity, ``n_t`` that hold the term, and ``n_ct`` that hold the term in a context of the
+entity (the ``REACH`` terms before and after an occurrence), the pointwise mutual information
+``log2(N n_ct / (n_c n_t))`` is set against the information content of the entity, ``log2(N / n_c)``. All four count
+documents, copies included. A term discloses the entity when its share reaches ``1 / ALPHA``, on ``SUPPORT`` different
+contexts at least; for the support, copies of one context count once. Disclosing terms are marked
 wherever they occur in the documents that hold them next to the entity, and are generalised to a placeholder.
 
 All counts cover all documents. Contexts exist only around entities; the document counts of terms are taken for
 terms with enough support. No table of terms is broadcast unless Spark finds it small.
 
-Defined results: null text is empty; rows with null or repeated ids give one row each (the counts see a repeated id once
-per entity and term); other columns are ignored. Numbers of any length are handled without conversion.
+Defined results: null text is empty; rows with null or repeated ids give one row each and count as a document each; other columns are ignored. Numbers of any length are handled without conversion.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,30 +115,33 @@ def contexts(text: str) -> list[tuple[int, int, list[str]]]:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, entity, context, terms`` of every base finding in the corpus."""
-    names = ["doc_id", "entity", "context", "terms"]
+    """``doc_id, document, entity, context, terms`` of every base finding; ``document`` numbers the rows of the corpus."""
+    names = ["doc_id", "document", "entity", "context", "terms"]
 
     def run(batches):
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at, texts in text_groups(batch):
                 ids = batch.column("doc_id").slice(at, len(texts)).to_pylist()
-                rows = [(i, *c) for i, t in zip(ids, texts) for c in contexts(t)]
+                rows = [(i, number + k, *c) for k, (i, t) in enumerate(zip(ids, texts)) for c in contexts(t)]
+                number += len(texts)
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, entity long, context long, terms array<string>")
+    return docs.mapInArrow(run, "doc_id long, document long, entity long, context long, terms array<string>")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """``entity, term, information`` of the terms whose mutual information reaches the threshold."""
-    held = found.select("entity", "context", F.explode("terms").alias("term")).distinct()
-    joint = (held.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= support))
+    held = found.select("document", "entity", "context", F.explode("terms").alias("term"))
+    joint = (held.groupBy("entity", "term").agg(F.count_distinct("document").alias("n_ct"), F.count_distinct("context").alias("support"))
+             .where(F.col("support") >= support).drop("support"))
     joint = scratch_table(joint, "joint")
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), JAVA_NOT_TERM))
     # counted before the join: a frequent term then meets the candidates as one row
     n_t = docs.select(F.explode_outer(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    n_c = found.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
+    n_c = found.select("document", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
     n = docs.agg(F.count("*")).scalar()
     table = (joint.join(n_t, "term", "left").join(n_c, "entity")
              .withColumn("n_t", F.greatest(F.coalesce("n_t", F.lit(0)), "n_ct"))

@@ -93,6 +93,17 @@ def test_copies_of_one_context_are_no_evidence(spark):
     assert all(r.spans.count(":") == 2 * bool(r.spans) for r in pii.find(df).collect())
 
 
+def test_copies_of_a_context_do_not_hide_a_disclosing_term(spark):
+    rows = [(k, "the report was sent on monday") for k in range(2000)]
+    rows += [(3000 + k, f"{w} Zebulon jo@corp.example {w}") for k, w in enumerate(["red", "green"] + ["blue"] * 100)]
+    for ids in (lambda i: i, lambda i: None, lambda i: i // 50):
+        df = spark.createDataFrame([(ids(i), t) for i, t in rows], "doc_id long, text string")
+        flagged = pii.disclosing_terms(df, pii.occurrences(df)).collect()
+        assert [r.term for r in flagged] == ["zebulon"]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(("term:" in r.spans) == (r.doc_id >= 3000) for r in pii.find(df).collect())
+
+
 def test_nulls_repeats_and_no_rows(spark):
     df = spark.createDataFrame([(None, "a@b.co"), (1, None), (1, "10.0.0.1"), (1, "10.0.0.1"), (2, "")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.n_email, r.n_ip, r.spans) for r in pii.find(df).collect())
