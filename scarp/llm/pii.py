@@ -6,8 +6,8 @@ documents, ``n_c`` that hold the entity, ``n_t`` that hold the term, and ``n_ct`
 entity (the ``REACH`` terms before and after an occurrence), the pointwise mutual information
 ``log2(N n_ct / (n_c n_t))`` is set against the information content of the entity, ``log2(N / n_c)``. All four count
 documents, copies included. A term discloses the entity when its share reaches ``1 / ALPHA``, on ``SUPPORT`` different
-contexts at least; for the support, copies of one context count once. Disclosing terms are marked
-wherever they occur in the documents that hold them next to the entity, and are generalised to a placeholder.
+contexts at least; for the support, copies of one context count once. Disclosing terms are marked wherever they occur, in
+every document of the corpus, beside the entity or without it, and are generalised to a placeholder.
 
 All counts cover all documents. Contexts exist only around entities; the document counts of terms are taken for
 terms with enough support. No table of terms is broadcast unless Spark finds it small.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, scratch_table, text_groups
@@ -115,21 +115,25 @@ def contexts(text: str) -> list[tuple[int, int, list[str]]]:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, document, entity, context, terms`` of every base finding; ``document`` numbers the rows of the corpus."""
-    names = ["doc_id", "document", "entity", "context", "terms"]
+    """``document, entity, context, terms`` of every base finding; ``document`` numbers the rows of the corpus."""
+    names = ["document", "entity", "context", "terms"]
 
     def run(batches):
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at, texts in text_groups(batch):
-                ids = batch.column("doc_id").slice(at, len(texts)).to_pylist()
-                rows = [(i, number + k, *c) for k, (i, t) in enumerate(zip(ids, texts)) for c in contexts(t)]
+                rows = [(number + k, *c) for k, t in enumerate(texts) for c in contexts(t)]
                 number += len(texts)
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, document long, entity long, context long, terms array<string>")
+    return docs.mapInArrow(run, "document long, entity long, context long, terms array<string>")
+
+
+def document_terms() -> Column:
+    """Distinct terms of ``text``, cut before they are lowered as in :func:`contexts`."""
+    return F.array_distinct(F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), JAVA_NOT_TERM), F.lower))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
@@ -138,9 +142,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, su
     joint = (held.groupBy("entity", "term").agg(F.count_distinct("document").alias("n_ct"), F.count_distinct("context").alias("support"))
              .where(F.col("support") >= support).drop("support"))
     joint = scratch_table(joint, "joint")
-    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), JAVA_NOT_TERM))
     # counted before the join: a frequent term then meets the candidates as one row
-    n_t = docs.select(F.explode_outer(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    n_t = docs.select(F.explode_outer(document_terms()).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n_c = found.select("document", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
     n = docs.agg(F.count("*")).scalar()
     table = (joint.join(n_t, "term", "left").join(n_c, "entity")
@@ -178,13 +181,13 @@ def with_terms(docs: DataFrame) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) and ``__terms``: what has to be marked in it beside the base findings."""
     pairs = docs.select("doc_id", "text")
     found = scratch_table(occurrences(pairs), "entities")
-    flagged = disclosing_terms(pairs, found)
-    per_doc = (found.where(F.col("doc_id").isNotNull())
-               .select("doc_id", "entity", F.explode("terms").alias("term")).distinct()
-               .join(flagged.select("entity", "term"), ["entity", "term"])
-               .groupBy("doc_id").agg(F.collect_set("term").alias("__terms")))  # bounded by the text's own contexts
+    flagged = scratch_table(disclosing_terms(pairs, found).select("term").distinct(), "flagged")
+    # rows without an id go by their text; where keys meet, the terms of both are flagged terms and fit either text
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    per_doc = (docs.select(key.alias("__key"), F.explode(document_terms()).alias("term")).join(flagged, "term")
+               .groupBy("__key").agg(F.collect_set("term").alias("__terms")))  # bounded by the text's own terms
     per_doc = scratch_table(per_doc, "terms")
-    return docs.join(per_doc.withColumnRenamed("doc_id", "__id"), docs["doc_id"] == F.col("__id"), "left").drop("__id")
+    return docs.withColumn("__key", key).join(per_doc, "__key", "left").drop("__key")
 
 
 def _map(df: DataFrame, names: list[str], schema: str, make_row) -> DataFrame:

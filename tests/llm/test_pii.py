@@ -104,6 +104,17 @@ def test_copies_of_a_context_do_not_hide_a_disclosing_term(spark):
     assert all(("term:" in r.spans) == (r.doc_id >= 3000) for r in pii.find(df).collect())
 
 
+def test_disclosing_terms_are_marked_in_every_document(spark):
+    rows = rows_with_disclosing_name()
+    far = "jo@corp.example wrote about the spring report of the team and also of ZEBULON"
+    rows += [(100, far), (None, "a note by Zebulon"), (None, "the report"), (7, "Zebulon again")]
+    rows += [(200 + k, f"{w} İpek ann@corp.example {w}") for k, w in enumerate(["red", "green", "blue"])] + [(210, "with İpek")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((str(r.doc_id), r.spans.count("term:")) for r in pii.find(df).collect())
+    assert found == sorted((str(i), t.lower().count("zebulon") + t.count("İpek")) for i, t in rows)
+    assert not any("zebulon" in r.text.lower() or "İpek" in r.text for r in pii.sanitise(df).collect())
+
+
 def test_nulls_repeats_and_no_rows(spark):
     df = spark.createDataFrame([(None, "a@b.co"), (1, None), (1, "10.0.0.1"), (1, "10.0.0.1"), (2, "")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.n_email, r.n_ip, r.spans) for r in pii.find(df).collect())
