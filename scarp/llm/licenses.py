@@ -12,6 +12,11 @@ template's three-word sequences (of its words, if it has fewer than three). Pred
 as unknown. Every paragraph of every text is classified whole; a text meets the model inside its own task, without a
 shuffle, and the counts per text are combined before they are shuffled.
 
+A notice may be wrapped: a line is judged a second time together with the ``WINDOW`` words that follow it up to the next
+blank line. It is licensed when a template is found there that the line alone does not confirm and that the following
+words do not hold as well without it. Lines after it, as far as these words reach, that are guessed the same family and
+not confirmed belong to the notice and are not counted as unknown. Only windows that hold a template meet the model.
+
 Defined results: null and empty texts have no paragraph; every row gives one row, repeated and null ids too; other columns
 are ignored; an empty corpus still gives a model (from the notices alone).
 """
@@ -35,6 +40,7 @@ EMBEDDED = 6           # corpus paragraphs that each notice is put beside
 VOCABULARY = 8192
 PRECISION = 0.98
 CONFIRM = 0.6
+WINDOW = 64            # following words: over twice the longest notice
 TEMPERATURES = (0.5, 0.75, 1.0, 1.5, 2.0, 3.0)
 THRESHOLDS = (0.35, 0.45, 0.55, 0.65, 0.75, 0.85, 0.95)
 
@@ -194,22 +200,105 @@ def confirmed(guess: Column, words: Column, spark: SparkSession) -> Column:
     return hit
 
 
+def key_words(sets: list[set[str]]) -> list[str]:
+    """Words so chosen that no template can be confirmed in a text without any of them."""
+    keys: list[str] = []
+    while True:
+        free = [[q for q in s if not set(q.split()) & set(keys)] for s in sets]
+        left = [f for f, s in zip(free, sets) if len(f) >= CONFIRM * len(s)]
+        if not left:
+            return keys
+        weight: dict[str, float] = {}
+        for f in left:
+            for q in f:
+                for w in set(q.split()):
+                    weight[w] = weight.get(w, 0) + (1 if len(w) > 5 else 0.01) / len(f)
+        keys.append(max(sorted(weight), key=weight.get))
+
+
+def windows_of(text: Column, keys: list[str]) -> Column:
+    """``at, reach, own, rest`` of the lines whose windows hold a key word: last words of the line, words after it, and
+    the number of the last line they reach."""
+    found = r"(?<![\p{L}\p{N}])(?:" + "|".join(keys) + r")(?![\p{L}\p{N}])"
+    blank = F.lit("\n")
+
+    def line(x: Column) -> Column:
+        return F.transform(F.array(word_array(x)), lambda w: F.struct(
+            F.when(F.trim(x) == "", blank).otherwise(F.array_join(F.slice(w, 1, WINDOW), " ")).alias("head"),
+            F.array_join(F.slice(w, F.greatest(F.lit(1), F.size(w) - WINDOW + 1), WINDOW), " ").alias("tail"),
+            F.size(w).alias("n")))[0]
+
+    def reach(lines: Column, at: Column) -> Column:
+        start = F.struct(at.alias("last"), F.lit(0).alias("n"), F.lit(True).alias("on"))
+        return F.aggregate(F.slice(lines, at + 2, WINDOW), start, lambda a, x: F.struct(
+            (a["last"] + F.when(a["on"] & (x["head"] != blank) & (a["n"] < WINDOW), 1).otherwise(0)).alias("last"),
+            (a["n"] + x["n"]).alias("n"), (a["on"] & (x["head"] != blank)).alias("on")))["last"]
+
+    def windows(lines: Column) -> Column:
+        def window(at: Column) -> Column:
+            after = F.concat_ws(" ", F.transform(F.slice(lines, at + 2, WINDOW), lambda x: x["head"]))
+            rest = F.substring_index(F.substring_index(after, "\n", 1), " ", WINDOW)
+            return F.struct(at.alias("at"), lines[at]["tail"].alias("own"), rest.alias("rest"))
+        cut = F.transform(F.sequence(F.lit(0), F.size(lines) - 1), window)
+        kept = F.filter(cut, lambda w: (w["own"] != "") & (w["rest"] != "") & F.concat_ws(" ", w["own"], w["rest"]).rlike(found))
+        return F.transform(kept, lambda w: F.struct(w["at"].alias("at"), reach(lines, w["at"]).alias("reach"),
+                                                    w["own"].alias("own"), w["rest"].alias("rest")))
+
+    # lines are bound once, by the outer lambda
+    every = F.transform(F.array(F.transform(F.split(text, "\r\n|\r|\n"), line)), windows)[0]
+    return F.when(F.lower(text).rlike(found), every)
+
+
+def units_of(docs: DataFrame, *keep: str) -> DataFrame:
+    """Every paragraph (``own`` is null) and the windows that hold a template, with the classes found in ``joined``."""
+    sets = templates(docs.sparkSession)
+    kind = "array<struct<at:int,reach:int,own:string,rest:string,paragraph:string>>"
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\r\n|\r|\n"), lambda x, k: F.struct(
+        k.alias("at"), k.alias("reach"), F.lit(None).cast("string").alias("own"), F.lit(None).cast("string").alias("rest"), x.alias("paragraph"))),
+        lambda x: F.trim(x["paragraph"]) != "").cast(kind)
+    wide = F.transform(F.coalesce(windows_of(F.col("text"), key_words([s for c in sets.values() for s in c])), F.array().cast(
+        "array<struct<at:int,reach:int,own:string,rest:string>>")), lambda w: F.struct(
+        w["at"], w["reach"], w["own"], w["rest"], F.concat_ws(" ", w["own"], w["rest"]).alias("paragraph"))).cast(kind)
+    cut = docs.select(*keep, F.explode_outer(F.concat(lines, wide)).alias("unit")).select(*keep, "unit.*")
+    for name, source in (("s_all", "paragraph"), ("s_own", "own"), ("s_rest", "rest")):
+        words = word_array(F.col(source))
+        cut = cut.withColumn(name, F.when(F.col("own").isNotNull(), F.concat(words, sequences(words, 3))))
+
+    def hits(s: set[str], name: str) -> Column:
+        return F.size(F.array_intersect(F.array(*[F.lit(x) for x in sorted(s)]), F.col(name)))
+    classes = []
+    for label, several in sets.items():
+        held = F.lit(False)
+        for s in several:
+            held = held | ((hits(s, "s_all") >= CONFIRM * len(s)) & (hits(s, "s_own") < CONFIRM * len(s)) & (hits(s, "s_all") > hits(s, "s_rest")))
+        classes.append(F.when(held, F.lit(label)))
+    cut = cut.withColumn("joined", F.when(F.col("own").isNotNull(), F.array_compact(F.array(*classes))))
+    return cut.where(F.col("own").isNull() | (F.size("joined") > 0)).drop("rest", "s_all", "s_own", "s_rest")
+
+
 def scan(docs: DataFrame, scanner: Scanner, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row ``doc_id, families, n_paragraphs, n_licensed, n_unknown, confidence``."""
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    lines = with_terms(paragraphs_of(rows, "row", "doc_id"))
+    lines = with_terms(units_of(rows, "row", "doc_id"))
     judged = (scanner.probabilities(lines.withColumn("terms", F.coalesce("terms", F.array().cast("array<string>"))))
               .withColumn("best", F.array_max("p")).withColumn("guess", (F.array_position("p", F.col("best")) - 1).cast("int")))
     known = (F.col("guess") > 0) & (F.col("guess") != CLASSES.index("unknown")) & (F.col("best") >= scanner.threshold)
     sure = F.when(known, confirmed(F.col("guess"), F.col("words"), spark)).otherwise(F.lit(False))
+    wide = F.col("own").isNotNull()
+    sure = F.when(wide, F.coalesce(known & F.array_contains("joined", F.col("guess")), F.lit(False))).otherwise(sure)
     real = F.col("paragraph").isNotNull()
-    marked = judged.select("row", "doc_id", real.alias("real"), (real & sure).alias("sure"), (real & (F.col("guess") > 0)).alias("any"), "guess", "best")
+    marked = judged.select("row", "doc_id", "at", "reach", wide.alias("wide"), (real & ~wide).alias("real"), (real & sure).alias("sure"),
+                           (real & ~wide & (F.col("guess") > 0)).alias("any"), "guess", "best")
     out = marked.groupBy("row", "doc_id").agg(
         F.sum(F.col("real").cast("long")).alias("n_paragraphs"),
-        F.sum(F.col("sure").cast("long")).alias("n_licensed"),
-        F.sum((F.col("any") & ~F.col("sure")).cast("long")).alias("n_unknown"),
+        F.collect_set(F.when(F.col("sure"), F.col("at"))).alias("licensed"),  # bounded by the text's own lines
+        F.collect_list(F.when(F.col("any") & ~F.col("sure"), F.struct("at", "guess"))).alias("unsure"),
+        F.collect_list(F.when(F.col("sure") & F.col("wide"), F.struct("at", "reach", "guess"))).alias("notices"),
         F.coalesce(F.max(F.when(F.col("sure"), F.col("best"))), F.lit(0.0)).alias("confidence"),
         *[F.max((F.col("sure") & (F.col("guess") == k)).cast("int")).alias(f"c{k}") for k in range(1, len(CLASSES))])
+    part = F.filter("unsure", lambda u: ~F.array_contains("licensed", u["at"]) & ~F.exists("notices", lambda w: (
+        (w["guess"] == u["guess"]) & (w["at"] <= u["at"]) & (u["at"] <= w["reach"]))))
+    out = out.withColumn("n_licensed", F.size("licensed").cast("long")).withColumn("n_unknown", F.size(part).cast("long"))
     names = F.concat_ws(",", *[F.when(F.col(f"c{k}") == 1, F.lit(c)) for k, c in enumerate(CLASSES) if k])
     return out.select("doc_id", names.alias("families"), "n_paragraphs", "n_licensed", "n_unknown", "confidence")

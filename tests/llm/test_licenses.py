@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 
@@ -51,6 +52,33 @@ def test_other_licences_are_unknown_and_unconfirmed_families_too(spark, scanner)
     assert got[3].families == "" and got[4].families == "MIT,proprietary" and got[4].n_licensed == 2
 
 
+def test_wrapped_notices(spark, scanner):
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "following conditions are met:")
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+    rows, want = [], {}
+    for family, notice in (("BSD", bsd), ("GPL", gpl)):
+        for width in (30, 50, 70, 80):
+            for head, end in (("", "\n"), (" * ", "\n"), ("# ", "\r\n")):
+                lines = [head + x for x in textwrap.wrap(notice, width)]
+                rows.append((len(rows), end.join(["A tool for the team.", "", *lines, "", "The code starts here."])))
+                want[len(want)] = (family, len(lines) + 2)
+    half = textwrap.wrap(bsd, 70)
+    rows.append((len(rows), half[0] + "\n\n" + half[1]))  # two paragraphs
+    want[len(want)] = ("", 2)
+    got = {r.doc_id: r for r in lic.scan(spark.createDataFrame(rows, "doc_id long, text string"), scanner).collect()}
+    assert {i: (r.families, r.n_paragraphs) for i, r in got.items()} == want
+    assert all((r.n_licensed > 0) == bool(r.families) and r.n_licensed + r.n_unknown <= r.n_paragraphs for r in got.values())
+
+
+def test_no_template_without_a_key_word(spark):
+    sets = [s for c in lic.templates(spark).values() for s in c]
+    keys = set(lic.key_words(sets))
+    assert all(sum(not set(q.split()) & keys for q in s) < lic.CONFIRM * len(s) for s in sets)
+    assert max(len(s) for s in sets) + 2 <= lic.WINDOW // 2
+
+
 def test_nulls_repeats_long_text_and_no_rows(spark, scanner):
     long = "word " * 200_000 + "\nAll rights reserved."
     rows = [(None, "All rights reserved."), (1, None), (1, ""), (2, "All rights reserved."), (2, "All rights reserved."), (3, long), (4, " \n\r\n ")]
