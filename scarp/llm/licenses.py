@@ -260,9 +260,13 @@ def units_of(docs: DataFrame, *keep: str) -> DataFrame:
         "array<struct<at:int,reach:int,own:string,rest:string>>")), lambda w: F.struct(
         w["at"], w["reach"], w["own"], w["rest"], F.concat_ws(" ", w["own"], w["rest"]).alias("paragraph"))).cast(kind)
     cut = docs.select(*keep, F.explode_outer(F.concat(lines, wide)).alias("unit")).select(*keep, "unit.*")
-    for name, source in (("s_all", "paragraph"), ("s_own", "own"), ("s_rest", "rest")):
-        words = word_array(F.col(source))
-        cut = cut.withColumn(name, F.when(F.col("own").isNotNull(), F.concat(words, sequences(words, 3))))
+
+    def bound(source: str) -> Column:
+        return F.transform(F.array(word_array(F.col(source))), lambda w: F.concat(w, sequences(w, 3)))[0]
+
+    # exploded, so that the filter below is not moved before the sequences and does not cut them once for each template
+    cut = cut.withColumn("s", F.explode(F.array(F.when(F.col("own").isNotNull(), F.struct(
+        bound("paragraph").alias("all"), bound("own").alias("own"), bound("rest").alias("rest"))))))
 
     def hits(s: set[str], name: str) -> Column:
         return F.size(F.array_intersect(F.array(*[F.lit(x) for x in sorted(s)]), F.col(name)))
@@ -270,10 +274,10 @@ def units_of(docs: DataFrame, *keep: str) -> DataFrame:
     for label, several in sets.items():
         held = F.lit(False)
         for s in several:
-            held = held | ((hits(s, "s_all") >= CONFIRM * len(s)) & (hits(s, "s_own") < CONFIRM * len(s)) & (hits(s, "s_all") > hits(s, "s_rest")))
+            held = held | ((hits(s, "s.all") >= CONFIRM * len(s)) & (hits(s, "s.own") < CONFIRM * len(s)) & (hits(s, "s.all") > hits(s, "s.rest")))
         classes.append(F.when(held, F.lit(label)))
     cut = cut.withColumn("joined", F.when(F.col("own").isNotNull(), F.array_compact(F.array(*classes))))
-    return cut.where(F.col("own").isNull() | (F.size("joined") > 0)).drop("rest", "s_all", "s_own", "s_rest")
+    return cut.where(F.col("own").isNull() | (F.size("joined") > 0)).drop("rest", "s")
 
 
 def scan(docs: DataFrame, scanner: Scanner, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
