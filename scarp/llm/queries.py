@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scarp.sources.tables import table
 
-from . import bpe, decontaminate, html_extract, licenses, near_dup, pii, secret_scan, suffix_dedup, topk, toxicity
+from . import (bpe, conversation_repair, damage, decontaminate, html_extract, licenses, near_dup, periodic_runs, pii, posting_ann,
+               secret_scan, suffix_dedup, topk, toxicity)
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path() -> str:
+    import public_tokenizers     # where this module is missing, the other queries still work
+
     return public_tokenizers.path(TOKENIZER)
 
 
@@ -73,6 +75,39 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text of ``documents`` with planted repeats, and what is left without them."""
+    found = periodic_runs.find_runs(damage.periodic_tails(table(spark, sf_dir, "documents")))
+    # greatest length first, then smallest start, then period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    rows = found.select("*", best.alias("best"))
+    period = -F.col("best.p")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.l").alias("length"),
+        period.alias("period"), F.floor(F.lit(1000) * F.col("best.l") / period).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+def op12_posting_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest rows of ``embeddings`` found for every row whose id is divisible by 20."""
+    return posting_ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation of ``conversations``, after planted damage."""
+    rows = conversation_repair.conversation_rows(table(spark, sf_dir, "conversations"))
+    audits, repaired = conversation_repair.repair(damage.damaged_rows(rows))
+    key = F.struct("conv_id").alias("key")           # structs compare null ids as equal
+    digests = conversation_repair.text_digests(repaired).select(key, "repaired_sha256")
+    all_ids = rows.select("conv_id").distinct().select(key)
+    zeros = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (all_ids.join(audits.withColumn("key", F.struct("conv_id")).drop("conv_id"), "key", "left").join(digests, "key", "left")
+            .select("key.conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -84,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_html": op9_html,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_posting_ann": op12_posting_ann,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # words and five-word shingles of a text, as lists (ASCII letters lower-cased, ASCII white space between words)
