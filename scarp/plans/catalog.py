@@ -25,8 +25,10 @@ from ..sources import envelopes as ev
 from ..sources import readings as rd
 from ..sources.tables import table
 from ..streaming import jobs
+from ..streaming import ordered as od
 from ..streaming.fill import forward_fill_stream
 from ..streaming.sink import read_alerts, read_latest
+from ..streaming.state import rocksdb_state
 from . import alerts as al
 from . import replay
 
@@ -467,3 +469,48 @@ def q_stream_points_two_runs(spark, sf_dir):
         feats = jobs.stream_features(jobs.message_stream(spark, src))
         jobs.start_monitoring_job(feats, f"{base}/points", f"{base}/ckpt{k}", trigger={"availableNow": True}).awaitTermination()
     return _point_cols(read_latest(spark, f"{base}/points"))
+
+
+def _delayed(readings: DataFrame, seconds: int = 4) -> F.Column:
+    """Delivery times: every fifth reading arrives a few seconds late, inside the watermark."""
+    us = rs.epoch_micros(readings, "event_time")
+    return F.when(F.pmod(F.col("event_id"), F.lit(5)) == 0, us + F.lit(seconds * 1_000_000)).otherwise(us)
+
+
+def _restarted(spark, readings, base, start, slices=3):
+    """Replay ``readings`` out of order in two runs on one checkpoint: ``start(messages)`` starts the query each time."""
+    delivered = _delayed(readings)
+    rows = readings.withColumn("_at", delivered)
+    middle = rows.agg(F.percentile_approx("_at", 0.5)).scalar()
+    done = 0
+    for part in (rows.where(F.col("_at") <= middle), rows.where(F.col("_at") > middle)):
+        done += replay.write_time_slices(part, f"{base}/input", slices=slices, delivered=F.col("_at"), first=done)
+        with rocksdb_state(spark):
+            query = start(jobs.message_stream(spark, f"{base}/input"))
+        query.awaitTermination()
+
+
+def _ordered_run(spark, sf_dir, sensor, operator):
+    base = scratch_path(spark, "scarp", "ordered")
+
+    def start(messages):
+        rows = operator(jobs.stream_readings(messages, sensor))
+        return jobs.write_table(rows, f"{base}/out", f"{base}/ckpt", trigger={"availableNow": True})
+
+    _restarted(spark, load_readings(spark, sf_dir), base, start)
+    return spark.read.parquet(f"{base}/out").withColumnRenamed("msg_id", "event_id")
+
+
+@register("stream_rain_accumulation")
+def q_stream_rain_accumulation(spark, sf_dir):
+    """Rain accumulated live, from readings that arrive out of order, over a restart."""
+    acc = _ordered_run(spark, sf_dir, "rain", od.rain_accumulation_stream)
+    return acc.select("event_id", "sensor_id", _ntz("event_time"), "dt", _r6("accumulated").alias("accumulated"))
+
+
+@register("stream_integrated_motion")
+def q_stream_integrated_motion(spark, sf_dir):
+    """Velocity and displacement integrated live, from readings that arrive out of order, over a restart."""
+    m = _ordered_run(spark, sf_dir, "imu", od.integrate_damped_stream)
+    return m.select("event_id", "sensor_id", "dt", *[_r6(f"vel_{a}").alias(f"vel_{a}") for a in "xyz"],
+                    *[_r6(f"disp_{a}").alias(f"disp_{a}") for a in "xyz"])

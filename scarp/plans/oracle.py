@@ -415,3 +415,20 @@ ORACLE["memory_grid"] = with_ctes(READINGS, HOST_METRICS, """mem AS (
   SELECT g.t, m.instance, m.value, row_number() OVER (PARTITION BY g.t, m.instance, m.mode ORDER BY m.ts DESC, m.sample_id DESC) AS rn
   FROM grid g JOIN mem m ON m.ts <= g.t AND m.ts >= g.t - INTERVAL 5 MINUTE)""", body="""
 SELECT t AS ts, 'memory_available' AS metric, round(avg(value), 6) AS value FROM seen WHERE rn = 1 GROUP BY t""")
+
+
+def _passed(sensor: str) -> str:
+    """Rows behind the watermark (10 s below the sensor type's newest reading, whole milliseconds)."""
+    return (f"event_time <= date_trunc('millisecond', (SELECT max(event_time) FROM readings WHERE sensor_type = '{sensor}'))"
+            " - INTERVAL 10 SECOND")
+
+
+ORACLE["stream_rain_accumulation"] = with_ctes(READINGS, RAIN_DT, body=f"""
+SELECT event_id, sensor_id, event_time, dt, accumulated FROM (
+  SELECT event_id, sensor_id, event_time, dt,
+         round(sum(intensity / 3600.0::DOUBLE * dt) OVER (PARTITION BY sensor_id ORDER BY event_time, event_id
+                                                       ROWS UNBOUNDED PRECEDING), 6) AS accumulated
+  FROM rain) WHERE {_passed('rain')}""")
+
+ORACLE["stream_integrated_motion"] = f"""SELECT m.* FROM ({ORACLE["integrated_motion"]}) m
+JOIN (WITH {READINGS} SELECT event_id FROM readings WHERE {_passed('imu')}) p USING (event_id)"""

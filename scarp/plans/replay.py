@@ -4,56 +4,52 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.resample import epoch_micros
-from ..session import is_local_path, local_fs_path
+from ..session import is_local_path, local_fs_path, materialize
 from ..sources import envelopes as ev
 
 SLICE_ROWS = 1_000_000
+_FIRST_WRITE = 1_700_000_000     # modification time of the first slice on a local file system
 
 
 def write_time_slices(readings: DataFrame, path: str, slices: int | None = None, time_col: str = "event_time",
-                      sequential: bool | None = None) -> int:
-    """Write readings as Kafka-shaped JSON text files, one per event-time slice.
-
-    The file source replays files in modification-time order. On a local file
-    system one range-partitioned job writes all slices and their mtimes are
-    then set in range order (part numbers follow the ranges). On shared
-    storage the slices are appended one job after the other instead, so their
-    write times follow event time (``sequential`` forces either way).
-    ``slices`` defaults to six, or more so that a slice holds about
-    ``SLICE_ROWS`` readings.
+                      sequential: bool | None = None, delivered: Column | None = None, first: int = 0) -> int:
+    """Write readings as Kafka-shaped JSON text files, one per slice of their delivery times.
+
+    ``delivered`` is the delivery time in microseconds (default: the event time; a later one plants readings that arrive
+    out of order). The file source replays files in modification-time order. Slices hold equally many readings: rows are
+    ranged by delivery time and id, so a burst is several slices. On a local file system one job writes all slices and
+    their mtimes are then set in range order (part numbers follow the ranges). On shared storage the slices are appended
+    one job after the other instead, so their write times follow the order (``sequential`` forces either way).
+    ``slices`` defaults to six, or more so that a slice holds about ``SLICE_ROWS`` readings. ``first`` numbers the slices
+    of a further call with the same path, for streams that go on.
     """
+    spark = readings.sparkSession
     if slices is None:
         slices = max(6, -(-readings.count() // SLICE_ROWS))
-    env = ev.envelope(readings, carry=("event_id", time_col))
-    fields = [c for c in env.columns if c not in ("event_id", time_col)]
+    us = epoch_micros(readings, time_col) if delivered is None else delivered
+    env = ev.envelope(readings.withColumn("_us", us), carry=("event_id", "_us"))
+    fields = [c for c in env.columns if c not in ("event_id", "_us")]
     line = F.to_json(F.struct(F.col("event_id").cast("string").alias("key"),
                               F.to_json(F.struct(*fields)).alias("value")))
-    us = epoch_micros(readings, time_col)
-    if sequential is None:
-        sequential = not is_local_path(path)
-    if not sequential and not is_local_path(path):
+    local = is_local_path(spark, path)
+    sequential = not local if sequential is None else sequential
+    if not sequential and not local:
         raise ValueError("modification times can only be set on a local path; use sequential=True")
+    ordered = env.select(line.alias("value"), "_us", "event_id").repartitionByRange(slices, "_us", "event_id")
     if not sequential:
-        ordered = env.select(line.alias("value"), us.alias("_us"), "event_id") \
-            .repartitionByRange(slices, "_us", "event_id").sortWithinPartitions("_us", "event_id")
-        ordered.select("value").write.mode("append").text(path)
         base = local_fs_path(path)
-        files = sorted(f for f in os.listdir(base) if f.startswith("part-"))
-        t0 = 1_700_000_000
+        known = set(os.listdir(base)) if os.path.isdir(base) else set()
+        ordered.sortWithinPartitions("_us", "event_id").select("value").write.mode("append").text(path)
+        files = sorted(f for f in os.listdir(base) if f.startswith("part-") and f not in known)
         for i, f in enumerate(files):
-            os.utime(os.path.join(base, f), (t0 + i, t0 + i))
+            os.utime(os.path.join(base, f), (_FIRST_WRITE + first + i,) * 2)
         return len(files)
-    lo, hi = readings.agg(F.min(us), F.max(us)).first()
-    step = (hi - lo) // slices + 1
-    msgs = env.select(F.floor((us - F.lit(lo)) / F.lit(step)).cast("int").alias("_slice"), line.alias("value"))
-    msgs = msgs.persist()
-    try:
-        for k in range(slices):
-            msgs.where(F.col("_slice") == k).select("value").coalesce(1).write.mode("append").text(path)
-    finally:
-        msgs.unpersist()
+    # the ranges are written once, so that every slice is cut from the same ones
+    ranged = materialize(ordered.withColumn("_slice", F.spark_partition_id()))
+    for k in range(slices):
+        ranged.where(F.col("_slice") == k).select("value").coalesce(1).write.mode("append").text(path)
     return slices

@@ -84,8 +84,10 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([checkpoint_root(spark)] + leaf)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def is_local_path(spark: SparkSession, path: str) -> bool:
+    """Whether the session's Hadoop settings put ``path`` on the local file system (a path without scheme follows ``fs.defaultFS``)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
 
 
 def local_fs_path(path: str) -> str:

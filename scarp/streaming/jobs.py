@@ -47,9 +47,24 @@ def stream_features(messages: DataFrame) -> DataFrame:
     ties fall the same way in any delivery order and no key stops the stream.
     """
     good, _ = ps.split_rejected(messages, keep=("key",), ntz=False)
-    hashed = F.xxhash64(*[c for c in good.columns if c != "key"]).bitwiseAND(F.lit((1 << 63) - 1))
+    return with_message_id(good)
+
+
+def with_message_id(rows: DataFrame) -> DataFrame:
+    """``key`` -> the numeric tie id ``msg_id``."""
+    hashed = F.xxhash64(*[c for c in rows.columns if c != "key"]).bitwiseAND(F.lit((1 << 63) - 1))
     given = F.col("key").try_cast("long")
-    return good.withColumn("msg_id", F.coalesce(F.when(given >= 0, given), hashed)).drop("key")
+    return rows.withColumn("msg_id", F.coalesce(F.when(given >= 0, given), hashed)).drop("key")
+
+
+def stream_readings(messages: DataFrame, sensor_type: str) -> DataFrame:
+    """Good messages of one sensor type with the raw values that the live sequence operators need, and the tie id."""
+    tagged = ps.tag_messages(messages, keep=("key",), ntz=False)
+    rows = tagged.where(F.col("reason").isNull() & (F.col("sensor_type") == sensor_type)).select(
+        "key", ps.parse_event_time("timestamp", ntz=False).alias("event_time"), "sensor_id",
+        ps.number("value.intensity").alias("intensity"),
+        *[ps.number(f"value.acceleration.{a}").alias(f"acc_{a}") for a in "xyz"])
+    return with_message_id(rows)
 
 
 def alert_stream(features: DataFrame, watermark: str = WATERMARK, every: str = WINDOW,
@@ -105,6 +120,15 @@ def start_append_job(features: DataFrame, path: str, checkpoint: str, watermark:
     return w.start()
 
 
+def write_table(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+    """Append rows that are final when they come (append mode) to a parquet table."""
+    w = (rows.writeStream.outputMode("append").format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint))
+    w = w.partitionBy(*partition_by) if partition_by else w
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 def write_console(df: DataFrame, checkpoint: str, output_mode: str = "update",
                   trigger: dict | None = None) -> StreamingQuery:
     """Print a streaming frame to the console (no truncation), as the core job does."""
