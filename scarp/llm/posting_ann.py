@@ -49,7 +49,7 @@ COPIES = 4
 REPLICATE = 0.1
 PROBE = 0.22
 BLOCK = 16384
-ASKED = 4096
+ASKED = 16384
 ENTRIES = 8            # entry points of a graph search
 BEAM = 16              # nearest centroids that a search has expanded before it ends
 BATCH = 256            # vectors that search the graph together
@@ -257,28 +257,24 @@ def postings_of(entries: DataFrame, index: Index, copies: int = COPIES, replicat
 
 @dataclass
 class Directory:
-    """For every list: ids it holds as the nearest, the block group it belongs to, blocks of the group, query shares."""
+    """For every list the ids it holds as the nearest and its group; for every group its blocks and shares of queries."""
     own: np.ndarray
     group: np.ndarray
     blocks: np.ndarray
     shares: np.ndarray
 
 
-def directory_of(sizes: np.ndarray, own: np.ndarray, asked: np.ndarray, block: int = BLOCK, share: int = ASKED) -> Directory:
+def directory_of(sizes: np.ndarray, own: np.ndarray, block: int = BLOCK) -> Directory:
     """Pack neighbouring lists into groups of at most ``block`` rows; larger lists are groups of several blocks."""
     group = np.zeros(len(sizes), np.int32)
-    blocks, shares = np.ones(len(sizes), np.int32), np.ones(len(sizes), np.int32)
     at = filled = 0
     for k, size in enumerate(sizes.tolist()):
         if filled and filled + size > block:
             at, filled = at + 1, 0
         group[k] = at
         filled += size
-    for g in range(at + 1):
-        members = group == g
-        blocks[members] = max(1, -(-int(sizes[members].sum()) // block))
-        shares[members] = max(1, -(-int(asked[members].sum()) // share))
-    return Directory(own, group, blocks, shares)
+    held = np.bincount(group, sizes, at + 1).astype(np.int64)
+    return Directory(own, group, np.maximum(1, -(-held // block)).astype(np.int32), np.ones(at + 1, np.int32))
 
 
 def probes(index: Index, x: np.ndarray, own: np.ndarray | None, wanted: int, ratio: float) -> list[np.ndarray]:
@@ -332,23 +328,23 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     queries = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "v"]).select("id", "v", digest.alias("digest"))
     asked = scratch_table(queries.groupBy("digest").agg(F.min("id").alias("q"), F.first("v").alias("v")), "ann-queries")
 
-    # the directory: one number per list, MAX_LISTS rows at most
+    # the directory: a few numbers per list, MAX_LISTS rows at most
     postings = scratch_table(postings_of(entries, index), "ann-postings")
-    sizes, own, met = (np.zeros(len(index.centroids), np.int64) for _ in range(3))
+    sizes, own = (np.zeros(len(index.centroids), np.int64) for _ in range(2))
     for r in postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("own"), F.size("ids"))).alias("own")).collect():
         sizes[r["list"]], own[r["list"]] = r["n"], r["own"] or 0
+    book = directory_of(sizes, own, block)
 
-    def count_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(own), np.int64)
+    def count_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(book.blocks), np.int64)
         for batch in _batches(batches, BATCH):
             for lists in probes(index, index.unit(_matrix(batch.column("v"), index.dim), True), own, k + 1, probe):
-                total[lists] += 1
+                total[np.unique(book.group[lists])] += 1
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["list", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["g", "n"])
 
-    for r in asked.mapInArrow(count_probes, "list int, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
-        met[r["list"]] = r["n"]
-    book = directory_of(sizes, own, met, block)
+    for r in asked.mapInArrow(count_groups, "g int, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
+        book.shares[r["g"]] = max(1, -(-r["n"] // ASKED))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches, BATCH):
@@ -359,8 +355,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
                     at.append(n)
                     group.append(g)
                     lists.append(here.astype(np.int32))
-                    blocks.append(book.blocks[here[0]])
-                    shares.append(book.shares[here[0]])
+                    blocks.append(book.blocks[g])
+                    shares.append(book.shares[g])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(group, pa.int32()), pa.array(lists, pa.list_(pa.int32())), pa.array(blocks, pa.int32()), pa.array(shares, pa.int32()),
                  batch.column("q").take(pa.array(at, pa.int64())), batch.column("v").take(pa.array(at, pa.int64()))],
@@ -371,7 +367,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     wanted = wanted.select("g", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("b"),
                            F.pmod(F.xxhash64("q"), F.col("shares")).cast("int").alias("s"), "q", "lists", "v")
     book_rows = spark.createDataFrame(
-        [(k_, int(g), int(b), int(s)) for k_, (g, b, s) in enumerate(zip(book.group, book.blocks, book.shares))], "list int, g int, blocks int, shares int")
+        [(n, g, int(book.blocks[g]), int(book.shares[g])) for n, g in enumerate(book.group.tolist())], "list int, g int, blocks int, shares int")
     # bounded: MAX_LISTS rows of four numbers
     held = postings.join(F.broadcast(book_rows), "list").select(
         "g", F.pmod(F.xxhash64("first"), F.col("blocks")).cast("int").alias("b"),
