@@ -24,11 +24,13 @@ from ..session import materialize, scratch_path
 from ..sources import envelopes as ev
 from ..sources import readings as rd
 from ..sources.tables import table
+from ..streaming import ingest as ig
 from ..streaming import jobs
 from ..streaming import ordered as od
 from ..streaming.fill import forward_fill_stream
 from ..streaming.sink import read_alerts, read_latest
 from ..streaming.state import rocksdb_state
+from ..streaming.trend import time_to_failure_stream
 from . import alerts as al
 from . import replay
 
@@ -514,3 +516,60 @@ def q_stream_integrated_motion(spark, sf_dir):
     m = _ordered_run(spark, sf_dir, "imu", od.integrate_damped_stream)
     return m.select("event_id", "sensor_id", "dt", *[_r6(f"vel_{a}").alias(f"vel_{a}") for a in "xyz"],
                     *[_r6(f"disp_{a}").alias(f"disp_{a}") for a in "xyz"])
+
+
+@register("stream_time_to_failure")
+def q_stream_time_to_failure(spark, sf_dir):
+    """Failure time of every closed alert window, fitted live from readings that arrive out of order, over a restart."""
+    base = scratch_path(spark, "scarp", "trend")
+
+    def start(messages):
+        trend = time_to_failure_stream(jobs.alert_stream(jobs.stream_features(messages)))
+        return jobs.write_table(trend, f"{base}/out", f"{base}/ckpt", trigger={"availableNow": True})
+
+    _restarted(spark, load_readings(spark, sf_dir), base, start)
+    t = spark.read.parquet(f"{base}/out")
+    return t.select(_ntz("window_start"), "cluster_id", F.round("inv_velocity", 4).alias("inv_velocity"),
+                    (_r6("slope") + F.lit(0.0)).alias("slope"), F.round("ttf_seconds", 3).alias("ttf_seconds"))
+
+
+# ------------------------------------------------------------ ingest
+
+def _ingested(spark, messages, base, points=None):
+    """Two runs of the ingest job on one checkpoint, each followed by one of the aggregation if ``points`` is given.
+
+    ``messages`` are frames of ``(key, value)``, one per run, written as further files of one folder.
+    """
+    for k, part in enumerate(messages):
+        part.select(F.to_json(F.struct("key", "value")).alias("value")).coalesce(1).write.mode("append").text(f"{base}/input")
+        ig.start_ingest_job(jobs.message_stream(spark, f"{base}/input"), f"{base}/tables", f"{base}/ckpt-ingest",
+                            trigger={"availableNow": True}).awaitTermination()
+        if points:
+            jobs.start_monitoring_job(ig.reading_stream(spark, f"{base}/tables"), points, f"{base}/ckpt-points",
+                                      trigger={"availableNow": True}).awaitTermination()
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """Messages by fate after a live ingest over a restart: readings in both tables, rejected ones by reason."""
+    base = scratch_path(spark, "scarp", "quarantine")
+    messages = _messages(spark, sf_dir)
+    half = F.pmod(F.crc32("key"), F.lit(2)) == 0
+    _ingested(spark, (messages.where(half), messages.where(~half)), base)
+    good = ig.readings(spark, f"{base}/tables", "on_time").unionByName(ig.readings(spark, f"{base}/tables", "late"))
+    rejected = ig.readings(spark, f"{base}/tables", "rejected")
+    fates = good.select(F.lit("ok").alias("reason")).unionByName(rejected.select("reason"))
+    return fates.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_late_points")
+def q_stream_late_points(spark, sf_dir):
+    """Points of a stream in which every tenth reading comes after the watermark has passed it: late readings are kept
+    beside the stream and their windows reconciled, so the table ends as the batch result."""
+    base = scratch_path(spark, "scarp", "late")
+    readings = load_readings(spark, sf_dir)
+    late = F.pmod(F.col("event_id"), F.lit(10)) == 3
+    # the rows of the second run are all older than what the first one has seen
+    _ingested(spark, [ev.encode_envelopes(readings.where(c)) for c in (~late, late)], base, f"{base}/points")
+    ig.reconcile(spark, f"{base}/tables", f"{base}/points")
+    return _point_cols(read_latest(spark, f"{base}/points"))

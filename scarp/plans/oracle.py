@@ -432,3 +432,10 @@ SELECT event_id, sensor_id, event_time, dt, accumulated FROM (
 
 ORACLE["stream_integrated_motion"] = f"""SELECT m.* FROM ({ORACLE["integrated_motion"]}) m
 JOIN (WITH {READINGS} SELECT event_id FROM readings WHERE {_passed('imu')}) p USING (event_id)"""
+
+_CLOSED = "date_trunc('millisecond', (SELECT max(event_time) FROM readings)) - INTERVAL 10 SECOND"
+ORACLE["stream_time_to_failure"] = f"""SELECT t.* FROM ({ORACLE["time_to_failure"]}) t
+WHERE t.window_start + INTERVAL 1 SECOND <= (WITH {READINGS} SELECT {_CLOSED})"""
+
+ORACLE["stream_quarantine"] = ORACLE["rejected_counts"]
+ORACLE["stream_late_points"] = ORACLE["stream_alerts_upsert"]

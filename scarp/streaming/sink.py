@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import model
 from ..operators.series import to_points
+from . import files
 
 POINT_KEYS = ("time", "cluster_id")
 VERSION = ("date", "run", "batch")
@@ -28,30 +28,12 @@ _BATCHES = 1 << 40
 
 
 def run_number(spark: SparkSession, path: str, query_id: str) -> int:
-    """Number of the checkpoint ``query_id`` among those that wrote to ``path`` (registered on first use).
+    """Number of the checkpoint ``query_id`` among those that wrote to ``path`` (claimed on first use).
 
-    One row per checkpoint in ``path/_runs``, which table reads skip. One
-    query writes to a table at a time, as everywhere in this sink.
+    One file per run in ``path/_runs``, which table reads skip; it is created if absent, so queries that start
+    together never share a run and never overwrite each other's batches.
     """
-    log = f"{path}/_runs"
-    try:
-        rows = spark.read.schema("query string, run int").json(log)
-        known = rows.where(F.col("query") == query_id).agg(F.min("run")).first()[0]
-        last = rows.agg(F.max("run")).first()[0]
-    except AnalysisException:           # the table has no runs yet
-        known = last = None
-    if known is not None:
-        return known
-    run = 1 if last is None else last + 1
-    spark.range(1).select(F.lit(query_id).alias("query"), F.lit(run).alias("run")).write.mode("append").json(log)
-    return run
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:           # nothing written yet
-        return None
+    return files.claim_number(spark, f"{path}/_runs", query_id)
 
 
 class PointsWriter:
@@ -65,16 +47,17 @@ class PointsWriter:
     """
 
     def __init__(self, points_path: str, alerts_path: str | None = None, audit_path: str | None = None,
-                 zero_fill: bool = False):
+                 zero_fill: bool = False, query_id: str | None = None):
         self.points_path = points_path.rstrip("/")
         self.alerts_path = alerts_path.rstrip("/") if alerts_path else None
         self.audit_path = audit_path.rstrip("/") if audit_path else None
         self.zero_fill = zero_fill
+        self.query_id = query_id
         self.run: int | None = None
 
     def _run(self, spark: SparkSession) -> int:
         if self.run is None:
-            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+            query = self.query_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
             self.run = run_number(spark, self.points_path, query)
         return self.run
 
@@ -110,11 +93,13 @@ class PointsWriter:
 
     def _log_alerts(self, pts: DataFrame, run: int, batch_id: int) -> None:
         rows = pts.select(*POINT_KEYS, "alert_level", "date")
-        logged = _stored(pts.sparkSession, self.alerts_path)
+        logged = files.stored(pts.sparkSession, self.alerts_path)
         changed = rows.where(F.col("alert_level") > 1)
         if logged is not None:
             # this batch's own rows are from an earlier try: they are written anew
-            older = logged.where(~((F.col("run") == run) & (F.col("batch") == int(batch_id))))
+            # only the days of this batch are read; the log as a whole grows without end
+            days = [r[0] for r in rows.select("date").distinct().collect()]
+            older = logged.where(F.col("date").isin(*days) & ~((F.col("run") == run) & (F.col("batch") == int(batch_id))))
             raised = (newest(older).where(F.col("alert_level") > 1).select(*POINT_KEYS, "date"))
             lowered = rows.where(F.col("alert_level") <= 1).join(raised, [*POINT_KEYS, "date"], "left_semi")
             changed = changed.unionByName(lowered)
