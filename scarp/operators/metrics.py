@@ -11,8 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import sequence as sq
 from .resample import epoch_micros, order_key
+from .sliding import frame_aggregate
 
 
 def select(df: DataFrame, metric: str | None = None, **matchers: str) -> DataFrame:
@@ -28,20 +30,33 @@ def select(df: DataFrame, metric: str | None = None, **matchers: str) -> DataFra
 
 def counter_rate(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mode"), range_: str = "60 seconds",
                  time_col: str = "ts", tie_col: str | None = "sample_id",
-                 width: str | int = "120 seconds") -> DataFrame:
+                 width: str | int = "120 seconds", method: str = "blocks") -> DataFrame:
     """Per-second increase of a counter over the trailing range, at every sample.
 
     Steps come from the previous sample (a drop is a reset: the step is the
     new value). Inside the RANGE frame, steps after the frame's first sample
     are summed and divided by the observed span; one sample gives NULL.
     No extrapolation to the range borders (unlike PromQL).
+    ``method="blocks"`` merges two running halves per frame (``sliding``) and
+    cuts hot buckets, so that a burst is spread over many tasks;
+    ``"prefix"`` takes frame sums as differences of running sums, a bucket in
+    one task.
     """
     keys = list(keys)
     df = df.withColumns({k: F.coalesce(k, F.lit("")) for k in keys})
-    p = sq.with_previous(df, keys, ["value"], time_col, tie_col, width)
+    d = df
+    if method == "blocks":
+        d, _ = sq.assign_buckets(df, keys, time_col, tie_col, width)
+    p = sq.with_previous(d, keys, ["value"], time_col, tie_col, width)
     step = F.when(F.col("prev_value").isNull(), F.lit(0.0)) \
         .when(F.col("value") < F.col("prev_value"), F.col("value")) \
         .otherwise(F.col("value") - F.col("prev_value"))
+    if method == "blocks":
+        p = materialize(p.select(*df.columns, step.alias("_step")))
+        us = epoch_micros(p, time_col)
+        m = frame_aggregate(p, keys, range_, {"_sum": lambda x: F.col("_step")}, {"_first": F.col("_step"), "_since": us}, time_col, tie_col)
+        span = (us - F.col("_since")) / 1e6
+        return m.select(*df.columns, F.when(span > 0, (F.col("_sum") - F.col("_first")) / span).alias("rate"))
     p = p.withColumn("_step", step).withColumn("_us", epoch_micros(p, time_col))
     ctx = sq.with_context(p, time_col, range_, width)
     # Frame sums as differences of growing-frame prefix sums: Spark updates

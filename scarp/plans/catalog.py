@@ -242,6 +242,34 @@ def q_time_to_failure(spark, sf_dir):
                     F.round("ttf_seconds", 3).alias("ttf_seconds"))
 
 
+def _burst(df: DataFrame, id_col: str, time_col: str) -> DataFrame:
+    """A third of all rows moved into one second (and, where there are clusters, into one series)."""
+    third = F.col(id_col) % 3 == 0
+    at = rs.epoch_micros(df, time_col) % 1_000_000
+    moved = F.timestamp_micros(F.lit(1_704_067_500_000_000) + at).cast("timestamp_ntz")
+    out = df.withColumn(time_col, F.when(third, moved).otherwise(F.col(time_col)))
+    if "cluster_id" in df.columns:
+        out = out.withColumn("cluster_id", F.when(third, F.lit("cluster_01")).otherwise(F.col("cluster_id")))
+    return out
+
+
+@register("trend_in_burst")
+def q_trend_in_burst(spark, sf_dir):
+    """Failure trend over single readings, a third of them in one second of one cluster."""
+    r = load_readings(spark, sf_dir, "imu")
+    r = _burst(r.select("event_id", "event_time", "cluster_id", (F.lit(1.0) / (fx.speed_xy("vx", "vy") + 0.01)).alias("inv_velocity")), "event_id", "event_time")
+    t = fl.time_to_failure(materialize(r), time_col="event_time")
+    return t.select("event_id", "cluster_id", _r6("slope").alias("slope"), F.round("ttf_seconds", 3).alias("ttf_seconds"))
+
+
+@register("rate_in_burst")
+def q_rate_in_burst(spark, sf_dir):
+    """Counter rate where a third of all samples falls into one second."""
+    c = mt.select(load_metrics(spark, sf_dir), "cpu_seconds_total")
+    r = mt.counter_rate(materialize(_burst(c, "sample_id", "ts")))
+    return r.select("sample_id", "ts", "instance", "mode", _r6("rate").alias("rate"))
+
+
 # ------------------------------------------------------------ stored points
 
 def load_points(spark, sf_dir, stored: bool = False, fields=None):

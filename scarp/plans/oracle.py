@@ -439,3 +439,22 @@ WHERE t.window_start + INTERVAL 1 SECOND <= (WITH {READINGS} SELECT {_CLOSED})""
 
 ORACLE["stream_quarantine"] = ORACLE["rejected_counts"]
 ORACLE["stream_late_points"] = ORACLE["stream_alerts_upsert"]
+
+_BURST = "make_timestamp(1704067500000000 + epoch_us({t}) % 1000000)"
+ORACLE["trend_in_burst"] = with_ctes(READINGS, f"""b AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'cluster_01' ELSE cluster_id END AS cluster_id,
+         CASE WHEN event_id % 3 = 0 THEN {_BURST.format(t='event_time')} ELSE event_time END AS t,
+         1.0::DOUBLE / (sqrt(vx * vx + vy * vy) + 0.01::DOUBLE) AS y
+  FROM readings WHERE sensor_type = 'imu')""", """f AS (
+  SELECT event_id, cluster_id, (epoch_us(t) - 1704067200000000) / 1e6 AS x,
+         regr_slope(y, (epoch_us(t) - 1704067200000000) / 1e6) OVER w AS slope,
+         regr_avgx(y, (epoch_us(t) - 1704067200000000) / 1e6) OVER w AS mx, avg(y) OVER w AS my
+  FROM b WINDOW w AS (PARTITION BY cluster_id ORDER BY t RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW))""", body="""
+SELECT event_id, cluster_id, round(slope, 6) AS slope,
+       round(CASE WHEN slope < -1e-9 THEN -(my + slope * (x - mx)) / slope END, 3) AS ttf_seconds
+FROM f""")
+
+ORACLE["rate_in_burst"] = with_ctes(READINGS, HOST_METRICS.replace("host_metrics AS", "calm AS"), f"""host_metrics AS (
+  SELECT sample_id, CASE WHEN sample_id % 3 = 0 THEN {_BURST.format(t='ts')} ELSE ts END AS ts, metric, instance, mode, value
+  FROM calm)""", RATE, body="""
+SELECT sample_id, ts, instance, mode, round(rate, 6) AS rate FROM rate""")
