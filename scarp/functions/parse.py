@@ -122,17 +122,72 @@ def reject_reason(event_time, sensor_type, all_null) -> Column:
 
 
 def tag_messages(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = (),
-                 ntz: bool = True) -> DataFrame:
-    """Parse raw messages once and attach ``reason`` (NULL for a usable message)."""
+                 ntz: bool = True, drift: bool = False) -> DataFrame:
+    """Parse raw messages once and attach ``reason`` (NULL for a usable message).
+
+    ``drift`` parses to a variant instead and adds ``drift``: what the message holds beyond the schema (``drift_of``).
+    A number written as text is then read as the number, and reported.
+    """
     text = F.col(value_col).cast("string")
-    parsed = _parsed_once(df, text, ENVELOPE_SCHEMA, keep, raw=True)
+    extra = []
+    if drift:
+        # as in ``_parsed_once``: the generator keeps filters on parsed fields from parsing again
+        once = df.select(*keep, text.alias("raw"), F.explode(F.array(F.try_parse_json(text))).alias("_v"))
+        typed = [F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in ENVELOPE_SCHEMA.fields]
+        parsed = once.select(*keep, "raw", F.struct(*typed).alias("data"), drift_of("_v", ENVELOPE_SCHEMA).alias("drift"))
+        extra = ["drift"]
+    else:
+        parsed = _parsed_once(df, text, ENVELOPE_SCHEMA, keep, raw=True)
     fields = [F.col(f"data.{f.name}") for f in ENVELOPE_SCHEMA.fields]
     all_null = ~F.greatest(*[f.isNotNull() for f in fields])
     return parsed.select(
-        *keep, "raw", "data.*",
+        *keep, "raw", "data.*", *extra,
         reject_reason(parse_event_time("data.timestamp", ntz), "data.sensor_type", all_null).alias("reason"))
 
 
+# Kinds of JSON values by the type names of variants.
+_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+
+
+def _kind(v: Column) -> Column:
+    name = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return F.when(name.isin(*_NUMBERS), "NUMBER").when(name == "VOID", "NULL").otherwise(name)
+
+
+def _expected(kind: T.DataType) -> str:
+    return {"struct": "OBJECT", "map": "OBJECT", "double": "NUMBER"}.get(kind.typeName(), "STRING")
+
+
+def drift_of(v, schema: T.StructType = ENVELOPE_SCHEMA) -> Column:
+    """What a variant holds beyond ``schema``: an array of ``(path, type, value)``, NULL when there is nothing.
+
+    A field that the schema does not know is reported as a whole, under its path, with its JSON text; so is a known
+    field of another kind (NUMBER, STRING, BOOLEAN, OBJECT, ARRAY; a null fits every field).
+    """
+    def strange(node: T.StructType, path: tuple[str, ...]) -> list[Column]:
+        held = F.map_entries(F.try_variant_get(_c(v), ".".join(["$", *path]), "map<string,variant>"))
+        known = F.create_map(*[F.lit(x) for f in node.fields for x in (f.name, _expected(f.dataType))])
+        reported = F.transform(held, lambda e: F.struct(
+            F.concat(F.lit("".join(p + "." for p in path)), e["key"]).alias("path"), _kind(e["value"]).alias("type"),
+            F.to_json(e["value"]).alias("value"), F.try_element_at(known, e["key"]).alias("known")))
+        odd = F.filter(reported, lambda e: e["known"].isNull() | ((e["known"] != e["type"]) & (e["type"] != "NULL")))
+        lists = [F.transform(odd, lambda e: F.struct(e["path"].alias("path"), e["type"].alias("type"), e["value"].alias("value")))]
+        for f in node.fields:
+            if isinstance(f.dataType, T.StructType):
+                lists += strange(f.dataType, (*path, f.name))
+        return lists
+
+    empty = F.array().cast("array<struct<path:string,type:string,value:string>>")
+    found = F.concat(*[F.coalesce(part, empty) for part in strange(schema, ())])
+    return F.when(F.size(found) > 0, found)
+
+
+def drift_table(rows: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """``path, type, n, first_seen`` of everything the rows' ``drift`` reports."""
+    each = rows.where(F.col("drift").isNotNull()).select(F.col(time_col).alias("_t"), F.inline("drift"))
+    return each.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"), F.min("_t").alias("first_seen"))
+
+
 def split_rejected(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = (),
                    ntz: bool = True) -> tuple[DataFrame, DataFrame]:
     """Parse and split into (good features, rejected messages with a reason).

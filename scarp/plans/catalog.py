@@ -129,6 +129,23 @@ def q_rejected_counts(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _drifting_messages(spark, sf_dir) -> DataFrame:
+    """Good messages, some with fields the schema does not know or with a number as text."""
+    msgs = ev.encode_envelopes(load_readings(spark, sf_dir, *rd.EVENT_TO_SENSOR.values()))
+    key, text = F.col("key").cast("long"), F.col("value")
+    text = F.when(key % 7 == 0, F.replace(text, F.lit('"value":{'), F.lit('"value":{"battery":{"level":0.5},'))).otherwise(text)
+    text = F.when(key % 11 == 0, F.replace(text, F.lit('{"timestamp"'), F.lit('{"firmware":"1.2","timestamp"'))).otherwise(text)
+    text = F.when(key % 13 == 0, F.regexp_replace(text, r'"intensity":([0-9.E-]+)', '"intensity":"$1"')).otherwise(text)
+    return msgs.select("key", text.alias("value"))
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    """Fields beyond the declared schema, by path, with the time they were first seen."""
+    tagged = ps.tag_messages(_drifting_messages(spark, sf_dir), keep=("key",), drift=True)
+    return ps.drift_table(tagged.withColumn("event_time", ps.parse_event_time("timestamp")))
+
+
 @register("cluster_from_sensor_id")
 def q_cluster_from_sensor_id(spark, sf_dir):
     r = rd.readings(table(spark, sf_dir, "events"), keep_raw=True)

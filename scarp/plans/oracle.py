@@ -458,3 +458,10 @@ ORACLE["rate_in_burst"] = with_ctes(READINGS, HOST_METRICS.replace("host_metrics
   SELECT sample_id, CASE WHEN sample_id % 3 = 0 THEN {_BURST.format(t='ts')} ELSE ts END AS ts, metric, instance, mode, value
   FROM calm)""", RATE, body="""
 SELECT sample_id, ts, instance, mode, round(rate, 6) AS rate FROM rate""")
+
+ORACLE["schema_drift"] = with_ctes(READINGS, body="""
+SELECT path, type, count(*) AS n, min(event_time) AS first_seen FROM (
+  SELECT 'value.battery' AS path, 'OBJECT' AS type, event_time FROM readings WHERE sensor_type <> 'unknown' AND event_id % 7 = 0
+  UNION ALL SELECT 'firmware', 'STRING', event_time FROM readings WHERE sensor_type <> 'unknown' AND event_id % 11 = 0
+  UNION ALL SELECT 'value.intensity', 'STRING', event_time FROM readings WHERE sensor_type = 'rain' AND event_id % 13 = 0 AND intensity IS NOT NULL)
+GROUP BY 1, 2""")

@@ -7,6 +7,9 @@ each micro-batch, in one job, into three tables under one folder:
 * ``late`` - readings whose window the watermark has passed (the newest event time of the earlier batches less the delay);
 * ``rejected`` - messages that are no reading, with the text and the reason.
 
+Fields that the schema does not know, and known ones of another type, are kept as JSON text beside the row that held them
+(``drift``); ``drifted`` lists them by path.
+
 Aggregations read ``on_time`` as a stream (``reading_stream``) and miss nothing: a row that is on time here is on time
 there. ``reconcile`` aggregates the windows that late readings touched anew, from both tables, and upserts them as newer
 versions. ``quarantined`` gives the rejected messages back as messages, to be repaired and sent again.
@@ -34,6 +37,7 @@ from .sink import PointsWriter
 KINDS = ("on_time", "late", "rejected")
 FEATURES = ("event_time timestamp, sensor_id string, cluster_id string, sensor_type string, imu_velocity double, acc_rms double, "
             "rain double, pressure double, gnss_x double, gnss_y double, msg_id long")
+_DRIFT = "drift array<struct<path:string,type:string,value:string>>"
 _PLACE = "date string, run int, batch long"
 
 
@@ -84,13 +88,13 @@ class Ingest:
 
     def _rows(self, messages: DataFrame, passed: int | None) -> DataFrame:
         from .jobs import with_message_id
-        tagged = ps.tag_messages(messages, keep=("key",), ntz=False)
-        features = ps.envelope_features(tagged.withColumnRenamed("reason", "_reason"), ntz=False, keep=("key", "raw", "_reason"))
-        rows = with_message_id(features.withColumn("message_key", F.col("key")))
+        tagged = ps.tag_messages(messages, keep=("key",), ntz=False, drift=True)
+        features = ps.envelope_features(tagged.withColumnRenamed("reason", "_reason"), ntz=False, keep=("key", "raw", "_reason", "drift"))
+        rows = with_message_id(features.withColumn("message_key", F.col("key")))          # the id is a hash where there is no key
         rejected = F.col("_reason").isNotNull()
         late = F.lit(False) if passed is None else window_start_us(self.every) + F.lit(duration_us(self.every)) <= F.lit(passed)
         kind = F.when(rejected, "rejected").when(late, "late").otherwise("on_time")
-        return rows.select(*feature_names(), F.when(rejected, F.col("message_key")).alias("message_key"), F.when(rejected, F.col("raw")).alias("raw"),
+        return rows.select(*feature_names(), "drift", F.when(rejected, F.col("message_key")).alias("message_key"), F.when(rejected, F.col("raw")).alias("raw"),
                            F.col("_reason").alias("reason"), kind.alias("kind"),
                            F.when(rejected, F.lit("none")).otherwise(F.date_format("event_time", "yyyy-MM-dd")).alias("date"))
 
@@ -113,7 +117,7 @@ def reading_stream(spark: SparkSession, base: str) -> DataFrame:
 
 def readings(spark: SparkSession, base: str, kind: str) -> DataFrame:
     """One of the three tables, with the place of every row (``date``, ``run``, ``batch``)."""
-    extra = ", message_key string, raw string, reason string" if kind == "rejected" else ""
+    extra = f", {_DRIFT}" + (", message_key string, raw string, reason string" if kind == "rejected" else "")
     if not files.exists(spark, f"{base}/{kind}"):            # nothing of the kind so far
         return spark.createDataFrame([], f"{FEATURES}{extra}, {_PLACE}")
     return spark.read.schema(f"{FEATURES}{extra}, {_PLACE}").parquet(f"{base}/{kind}")
@@ -126,6 +130,11 @@ def quarantined(spark: SparkSession, base: str, *reasons: str) -> DataFrame:
     return rows.select(F.col("message_key").alias("key"), F.col("raw").alias("value"), "reason")
 
 
+def drifted(spark: SparkSession, base: str) -> DataFrame:
+    """``path, type, n, first_seen`` of the fields in stored readings that the schema does not know or expects otherwise."""
+    return ps.drift_table(readings(spark, base, "on_time").unionByName(readings(spark, base, "late")))
+
+
 _BATCHES = 1 << 40
 
 

@@ -52,7 +52,7 @@ def stream_features(messages: DataFrame) -> DataFrame:
 
 def with_message_id(rows: DataFrame) -> DataFrame:
     """``key`` -> the numeric tie id ``msg_id``."""
-    hashed = F.xxhash64(*[c for c in rows.columns if c != "key"]).bitwiseAND(F.lit((1 << 63) - 1))
+    hashed = F.xxhash64(*[c for c in rows.columns if c not in ("key", "drift")]).bitwiseAND(F.lit((1 << 63) - 1))
     given = F.col("key").try_cast("long")
     return rows.withColumn("msg_id", F.coalesce(F.when(given >= 0, given), hashed)).drop("key")
 

@@ -136,3 +136,27 @@ def test_reference_subset_schema_drops_other_fields(spark):
     assert rows[0].value.velocity.x == 0.3 and rows[0].value.acceleration.rms == 5.6588
     assert rows[1].value.vn2000.x == 2341085.123
     assert "tilt" not in rows[0].value.asDict()
+
+
+def test_drift_reports_what_the_schema_does_not_know(spark):
+
+    good = '{"timestamp":"2024-01-01T00:00:00.5","sensor_id":"rain_01_cluster_01","sensor_type":"rain","value":{"intensity":1.5}}'
+    odd = ('{"timestamp":"2024-01-01T00:00:01","sensor_id":7,"sensor_type":"rain","firmware":null,"value":'
+           '{"intensity":"2.5","velocity":{"x":1,"w":[1,2]},"tilt":3,"battery":{"level":0.5}}}')
+    rows = spark.createDataFrame([(1, good), (2, odd), (3, "[1]"), (4, None), (5, '{"value":{"x.y":true}}')], "key long, value string")
+    tagged = ps.tag_messages(rows, keep=("key",), drift=True)
+    got = {r.key: r for r in tagged.collect()}
+    assert got[1].drift is None and got[1].reason is None and got[1].value.intensity == 1.5
+    assert {(d.path, d.type, d.value) for d in got[2].drift} == {
+        ("sensor_id", "NUMBER", "7"), ("firmware", "NULL", "null"), ("value.intensity", "STRING", '"2.5"'), ("value.velocity.w", "ARRAY", "[1,2]"),
+        ("value.tilt", "NUMBER", "3"), ("value.battery", "OBJECT", '{"level":0.5}')}
+    assert got[2].value.intensity == 2.5 and got[2].value.velocity.x == 1.0
+    assert [got[k].reason for k in (3, 4, 5)] == ["unparseable", "unparseable", "missing_time"]
+    assert [(d.path, d.type) for d in got[5].drift] == [("value.x.y", "BOOLEAN")]
+    # one parse in the plan, however many columns are used
+    plan = ps.envelope_features(tagged, keep=("drift", "reason")).where("reason IS NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1 and "from_json" not in plan, plan
+    # both parses give the same rows for messages that keep to the schema
+    same = rows.where("key <> 2 AND key <> 5")
+    assert ps.tag_messages(same, keep=("key",)).collect() == ps.tag_messages(same, keep=("key",), drift=True).drop("drift").collect()
+
