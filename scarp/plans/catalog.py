@@ -18,6 +18,7 @@ from ..operators import failure as fl
 from ..operators import metrics as mt
 from ..operators import motion as mo
 from ..operators import resample as rs
+from ..operators import rollup as ru
 from ..operators import sequence as sq
 from ..operators import series as se
 from ..session import materialize, scratch_path
@@ -27,6 +28,7 @@ from ..sources.tables import table
 from ..streaming import ingest as ig
 from ..streaming import jobs
 from ..streaming import ordered as od
+from ..streaming import views as vw
 from ..streaming.fill import forward_fill_stream
 from ..streaming.sink import read_alerts, read_latest
 from ..streaming.state import rocksdb_state
@@ -347,6 +349,23 @@ def q_panel_stats(spark, sf_dir):
                     _r6("delta").alias("delta"))
 
 
+def _panel_cols(s):
+    return s.select("cluster_id", "field", _r6("last").alias("last"), _r6("last_not_null").alias("last_not_null"),
+                    "mean", _r6("min").alias("min"), _r6("max").alias("max"), "n", _r6("delta").alias("delta"))
+
+
+@register("rollup_panel_stats")
+def q_rollup_panel_stats(spark, sf_dir):
+    """Panel reducers from day states, built from 5-min, those from 10-s states."""
+    return _panel_cols(ru.panel_of(ru.rolled(load_long(spark, sf_dir, keep_nulls=True))))
+
+
+@register("rollup_window_mean_10s")
+def q_rollup_window_mean_10s(spark, sf_dir):
+    long = se.points_long(load_points(spark, sf_dir), fields=DASHBOARD_FIELDS)
+    return ru.window_means(ru.rolled(long, "10 seconds"), "10 seconds")
+
+
 @register("head_per_series")
 def q_head_per_series(spark, sf_dir):
     h = se.head_per_series(load_long(spark, sf_dir), ["field", "cluster_id"], 10)
@@ -618,3 +637,33 @@ def q_stream_late_points(spark, sf_dir):
     _ingested(spark, [ev.encode_envelopes(readings.where(c)) for c in (~late, late)], base, f"{base}/points")
     ig.reconcile(spark, f"{base}/tables", f"{base}/points")
     return _point_cols(read_latest(spark, f"{base}/points"))
+
+
+# ------------------------------------------------------------ standing views
+
+def _viewed(spark, sf_dir):
+    """Points and views of a stream of six micro-batches."""
+    src = _stream_input(spark, sf_dir, "views")
+    base = scratch_path(spark, "scarp", "views")
+    feats = jobs.stream_features(jobs.message_stream(spark, src))
+    jobs.start_monitoring_job(feats, f"{base}/points", f"{base}/ckpt", trigger={"availableNow": True}, views_path=f"{base}/views").awaitTermination()
+    return f"{base}/views"
+
+
+@register("stream_rollup_panels")
+def q_stream_rollup_panels(spark, sf_dir):
+    """Panel reducers from the 5-min states that the points sink keeps."""
+    return _panel_cols(ru.panel_of(vw.read_rollup(spark, _viewed(spark, sf_dir), "5 minutes")))
+
+
+@register("stream_newest_view")
+def q_stream_newest_view(spark, sf_dir):
+    """Newest alert level per cluster within five minutes, from the view that the points sink keeps."""
+    v = vw.read_newest(spark, _viewed(spark, sf_dir), "5 minutes")
+    return v.select("cluster_id", _ntz("time"), F.col("alert_level").alias("value"))
+
+
+@register("stream_tag_view")
+def q_stream_tag_view(spark, sf_dir):
+    """Clusters with a point in the last 30 days, from the view that the points sink keeps."""
+    return vw.read_tags(spark, _viewed(spark, sf_dir))

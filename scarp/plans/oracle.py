@@ -465,3 +465,9 @@ SELECT path, type, count(*) AS n, min(event_time) AS first_seen FROM (
   UNION ALL SELECT 'firmware', 'STRING', event_time FROM readings WHERE sensor_type <> 'unknown' AND event_id % 11 = 0
   UNION ALL SELECT 'value.intensity', 'STRING', event_time FROM readings WHERE sensor_type = 'rain' AND event_id % 13 = 0 AND intensity IS NOT NULL)
 GROUP BY 1, 2""")
+
+ORACLE["rollup_panel_stats"] = ORACLE["panel_stats"]
+ORACLE["rollup_window_mean_10s"] = ORACLE["agg_window_mean_10s"]
+ORACLE["stream_rollup_panels"] = ORACLE["panel_stats"]
+ORACLE["stream_newest_view"] = ORACLE["latest_alert"]
+ORACLE["stream_tag_view"] = ORACLE["tag_values"]

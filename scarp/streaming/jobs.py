@@ -98,11 +98,11 @@ def start_core_job(features: DataFrame, checkpoint: str, sink: str = "console",
 
 def start_monitoring_job(features: DataFrame, points_path: str, checkpoint: str, alerts_path: str | None = None,
                          audit_path: str | None = None, watermark: str = WATERMARK,
-                         trigger: dict | None = None, dedupe: bool = False) -> StreamingQuery:
+                         trigger: dict | None = None, dedupe: bool = False, views_path: str | None = None) -> StreamingQuery:
     """Per-cluster alerts in update mode, upserted batch by batch (``foreachBatch``)."""
     alerts = alert_stream(features, watermark, dedupe=dedupe).observe(
         "alert_rows", F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("alert_level") > 1, 1)).alias("alerts"))
-    return write_points(alerts, points_path, checkpoint, alerts_path, audit_path, trigger)
+    return write_points(alerts, points_path, checkpoint, alerts_path, audit_path, trigger, views_path)
 
 
 def start_append_job(features: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK,
@@ -138,9 +138,11 @@ def write_console(df: DataFrame, checkpoint: str, output_mode: str = "update",
 
 
 def write_points(alerts: DataFrame, points_path: str, checkpoint: str, alerts_path: str | None = None,
-                 audit_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Upsert a per-cluster alert stream into the points table, batch by batch."""
-    w = (alerts.writeStream.outputMode("update")
-         .foreachBatch(PointsWriter(points_path, alerts_path, audit_path))
+                 audit_path: str | None = None, trigger: dict | None = None, views_path: str | None = None) -> StreamingQuery:
+    """Upsert a per-cluster alert stream into the points table, batch by batch; ``views_path`` keeps views of it current."""
+    from .views import ViewsWriter
+    writer = (ViewsWriter(points_path, views_path, alerts_path, audit_path) if views_path
+              else PointsWriter(points_path, alerts_path, audit_path))
+    w = (alerts.writeStream.outputMode("update").foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()

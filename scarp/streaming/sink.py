@@ -82,6 +82,7 @@ class PointsWriter:
             self._write(pts, self.points_path, run, batch_id)
             if self.alerts_path:
                 self._log_alerts(pts, run, batch_id)
+            self.written(pts, run, batch_id)
             if self.audit_path:
                 # one audit row, built JVM-side (no Python data shipped)
                 (spark.range(1)
@@ -91,6 +92,9 @@ class PointsWriter:
         finally:
             pts.unpersist()
 
+    def written(self, pts: DataFrame, run: int, batch_id: int) -> None:
+        """Called with the cached points of a batch once they are stored."""
+
     def _log_alerts(self, pts: DataFrame, run: int, batch_id: int) -> None:
         rows = pts.select(*POINT_KEYS, "alert_level", "date")
         logged = files.stored(pts.sparkSession, self.alerts_path)
