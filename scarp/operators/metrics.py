@@ -80,11 +80,13 @@ def counter_rate(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mo
 
 
 def instant_select(df: DataFrame, keys: Sequence[str] = ("metric", "instance", "mode"), lookback: str = "5 minutes",
-                   as_of=None, time_col: str = "ts") -> DataFrame:
-    """Newest sample of each label set within the lookback before ``as_of`` (default: newest ts)."""
-    from .series import time_range
+                   as_of=None, time_col: str = "ts", tie_col: str | None = None) -> DataFrame:
+    """Newest sample of each label set within the lookback before ``as_of`` (default: newest ts); ``tie_col`` decides
+    between equal times (default: ``sample_id`` where there is one)."""
+    from .series import newest_rank, time_range
     recent = time_range(df, lookback, as_of, time_col)
-    return recent.groupBy(*keys).agg(F.max(time_col).alias(time_col), F.max_by("value", time_col).alias("value"))
+    tie = tie_col or ("sample_id" if "sample_id" in df.columns else None)
+    return recent.groupBy(*keys).agg(F.max(time_col).alias(time_col), F.max_by("value", newest_rank(recent, time_col, tie)).alias("value"))
 
 
 def range_eval(df: DataFrame, step: str, keys: Sequence[str] = ("metric", "instance", "mode"),

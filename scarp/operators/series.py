@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import panels as pn
 from ..schema import POINT_FIELDS
 from . import sequence as sq
+from .resample import order_key
 
 
 def to_points(alerts: DataFrame, zero_fill: bool = False) -> DataFrame:
@@ -67,9 +68,18 @@ def aggregate_window(long: DataFrame, every: str = "1 second", fn: str = "mean",
     return g.select(F.col("w.end" if label == "stop" else "w.start").alias(time_col), *keys, "value")
 
 
-def latest(long: DataFrame, keys: Sequence[str] = ("cluster_id", "field"), time_col: str = "time") -> DataFrame:
-    """Newest value and its time per series."""
-    return long.groupBy(*keys).agg(F.max(time_col).alias(time_col), F.max_by("value", time_col).alias("value"))
+def newest_rank(df: DataFrame, time_col: str, tie_col: str | None = None) -> Column:
+    """Numeric order of rows by time; among equal times by the tie id, or without one by the value's hash, never by arrival."""
+    if tie_col is not None:
+        return order_key(df, time_col, tie_col)
+    tie = F.xxhash64("value").bitwiseAND(F.lit((1 << 63) - 1)).cast("decimal(38,0)")
+    return order_key(df, time_col, None) * F.lit("10000000000000000000").cast("decimal(38,0)") + tie
+
+
+def latest(long: DataFrame, keys: Sequence[str] = ("cluster_id", "field"), time_col: str = "time",
+           tie_col: str | None = None) -> DataFrame:
+    """Newest value and its time per series; ``tie_col`` decides between equal times."""
+    return long.groupBy(*keys).agg(F.max(time_col).alias(time_col), F.max_by("value", newest_rank(long, time_col, tie_col)).alias("value"))
 
 
 def tag_values(df: DataFrame, tag: str = "cluster_id", since: str = "30 days", time_col: str = "time") -> DataFrame:
@@ -97,9 +107,10 @@ def panel_stats(long: DataFrame, keys: Sequence[str] = ("cluster_id", "field"),
             .when(F.col(time_col) == F.col("_end"), v)
             .otherwise(F.lit(0.0)))
     deltas = p.join(ends, keys).groupBy(*keys).agg(F.sum(step).alias("delta"))
+    rank = newest_rank(long, time_col)
     stats = long.groupBy(*keys).agg(
-        F.max_by("value", time_col).alias("last"),
-        F.max_by("value", F.when(F.col("value").isNotNull(), F.col(time_col))).alias("last_not_null"),
+        F.max_by("value", rank).alias("last"),
+        F.max_by("value", F.when(F.col("value").isNotNull(), rank)).alias("last_not_null"),
         (exact_mean("value") if exact else F.avg("value")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.count("value").alias("n"))
     return stats.join(deltas, keys, "left")

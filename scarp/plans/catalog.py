@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import features as fx
+from ..functions import model
 from ..functions import panels as pn
 from ..functions import parse as ps
 from ..operators import failure as fl
 from ..operators import metrics as mt
 from ..operators import motion as mo
 from ..operators import resample as rs
+from ..operators import resting as rt
 from ..operators import rollup as ru
 from ..operators import sequence as sq
 from ..operators import series as se
@@ -29,9 +31,9 @@ from ..streaming import ingest as ig
 from ..streaming import jobs
 from ..streaming import ordered as od
 from ..streaming import views as vw
-from ..streaming.fill import forward_fill_stream
+from ..streaming.fill import forward_fill_stream, forward_fill_windows
 from ..streaming.sink import read_alerts, read_latest
-from ..streaming.state import rocksdb_state
+from ..streaming.state import rocksdb_state, state_rows
 from ..streaming.trend import time_to_failure_stream
 from . import alerts as al
 from . import replay
@@ -188,6 +190,53 @@ def q_rms_tilt(spark, sf_dir):
         F.round(fx.rms(dx, dy, dz), 6).alias("dyn_rms"))
 
 
+# mounting of the IMU of each cluster: gravity over its axes
+MOUNTING = {"cluster_01": (0.0, 0.0, -9.81), "cluster_02": (0.0, 1.7, -9.66), "cluster_03": (-2.5, 0.3, -9.48)}
+
+
+def _mounted(spark, sf_dir) -> DataFrame:
+    """IMU readings of sensors that are mounted at tilts of their own and are almost still in every other minute."""
+    imu = load_readings(spark, sf_dir, "imu")
+    amount = F.when(F.floor(F.col("us") / 60_000_000) % 2 == 0, F.lit(0.02)).otherwise(F.lit(1.0))
+    moves = (F.col("acc_x"), F.col("acc_y"), F.col("acc_z") + F.lit(9.81))
+    out = []
+    for k, (axis, move) in enumerate(zip(rt.AXES, moves)):
+        base = F.lit(MOUNTING["cluster_03"][k])
+        for cluster in ("cluster_02", "cluster_01"):
+            base = F.when(F.col("cluster_id") == cluster, F.lit(MOUNTING[cluster][k])).otherwise(base)
+        out.append((base + amount * move).alias(axis))
+    return imu.select("event_id", "event_time", "us", "sensor_id", *out)
+
+
+@register("resting_vectors")
+def q_resting_vectors(spark, sf_dir):
+    """Resting vector per sensor from its still periods, and the vibration that is left in the calm minutes."""
+    imu = materialize(_mounted(spark, sf_dir))
+    base = materialize(rt.resting_vectors(imu))
+    calm = rt.with_resting(imu.where(F.floor(F.col("us") / 60_000_000) % 2 == 0), base)
+    rest = calm.groupBy("sensor_id").agg(rs.exact_mean(fx.rms(*rt.dynamic()), digits=5).alias("rest_rms"))
+    return base.join(rest, "sensor_id").select("sensor_id", "windows", "n", *[F.round(f"base_{a}", 9).alias(f"base_{a}") for a in rt.AXES], "rest_rms")
+
+
+@register("packet_rounding")
+def q_packet_rounding(spark, sf_dir):
+    """Every value as the sensors publish it, after the way through a message."""
+    msgs = ev.encode_envelopes(load_readings(spark, sf_dir, *rd.EVENT_TO_SENSOR.values()), rounded=True)
+    v = ps.parse_json(msgs, keep=("key",))
+    return v.select(F.col("key").cast("long").alias("event_id"), F.col("value.velocity.x").alias("vx"), F.col("value.velocity.y").alias("vy"),
+                    *[F.col(f"value.acceleration.{a}").alias(f"acc_{a}") for a in ("x", "y", "z", "rms")],
+                    F.col("value.tilt.roll").alias("roll"), F.col("value.tilt.pitch").alias("pitch"),
+                    *[F.col(f"value.{c}").alias(c) for c in ("intensity", "water_level", "pore_pressure", "latitude", "longitude")],
+                    F.col("value.vn2000.x").alias("x"), F.col("value.vn2000.y").alias("y"))
+
+
+@register("core_output_decimals")
+def q_core_output_decimals(spark, sf_dir):
+    """The core job's rows with their decimal casts (as doubles, which every engine prints alike)."""
+    out = model.core_output(al.core_alerts(load_features(spark, sf_dir)))
+    return out.select("time", "alert_level", *[F.col(c).cast("double").alias(c) for c in ("inv_velocity", "avg_velocity", "last_gnss_x")], "rain_intensity")
+
+
 @register("pressure_residual")
 def q_pressure_residual(spark, sf_dir):
     r = load_readings(spark, sf_dir, "groundwater", "rain")
@@ -305,6 +354,14 @@ def load_long(spark, sf_dir, keep_nulls=False, stored: bool = False):
     return se.points_long(load_points(spark, sf_dir, stored), keep_nulls=keep_nulls)
 
 
+@register("points_zero_filled")
+def q_points_zero_filled(spark, sf_dir):
+    """Points with the sink's defaults: a missing field is 0."""
+    p = se.to_points(cluster_alerts(spark, sf_dir), zero_fill=True)
+    return p.select("time", "cluster_id", F.round("inv_velocity", 4).alias("inv_velocity"), F.round("avg_velocity", 6).alias("avg_velocity"),
+                    "max_vibration", "rain_intensity", "pore_pressure", "gnss_x", "gnss_y", "alert_level")
+
+
 @register("points_long")
 def q_points_long(spark, sf_dir):
     return load_long(spark, sf_dir).select("time", "cluster_id", "field", _r6("value").alias("value"))
@@ -667,3 +724,55 @@ def q_stream_newest_view(spark, sf_dir):
 def q_stream_tag_view(spark, sf_dir):
     """Clusters with a point in the last 30 days, from the view that the points sink keeps."""
     return vw.read_tags(spark, _viewed(spark, sf_dir))
+
+
+# ------------------------------------------------------------ state, duplicates, audit
+
+@register("stream_fill_in_order")
+def q_stream_fill_in_order(spark, sf_dir):
+    """Closed windows forward-filled in the query that closes them, over a restart."""
+    base = scratch_path(spark, "scarp", "fill-order")
+
+    def start(messages):
+        filled = forward_fill_windows(jobs.alert_stream(jobs.stream_features(messages)), "cluster_id", ["last_gnss_x", "last_gnss_y"])
+        return jobs.write_table(filled, f"{base}/out", f"{base}/ckpt", trigger={"availableNow": True})
+
+    _restarted(spark, load_readings(spark, sf_dir), base, start)
+    return spark.read.parquet(f"{base}/out").select(_ntz("window_start"), "cluster_id", "last_gnss_x", "last_gnss_y", "last_gnss_x_filled", "last_gnss_y_filled")
+
+
+@register("stream_open_windows")
+def q_stream_open_windows(spark, sf_dir):
+    """What the alert stream holds when its input is read: the windows that the watermark has not closed, nothing else."""
+    base = scratch_path(spark, "scarp", "state")
+
+    def start(messages):
+        alerts = al.flat_window(jobs.alert_stream(jobs.stream_features(messages)))
+        return jobs.write_table(alerts, f"{base}/out", f"{base}/ckpt", trigger={"availableNow": True})
+
+    _restarted(spark, load_readings(spark, sf_dir), base, start)
+    held = state_rows(spark, f"{base}/ckpt").select("key.*")
+    return held.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "cluster_id")
+
+
+@register("stream_deduplicated")
+def q_stream_deduplicated(spark, sf_dir):
+    """Alerts of a stream in which every third message is delivered twice, under two keys; the second is dropped."""
+    base = scratch_path(spark, "scarp", "dedupe")
+    readings = load_readings(spark, sf_dir)
+    again = readings.where(F.col("event_id") % 3 == 0).withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    replay.write_time_slices(readings.unionByName(again), f"{base}/input")
+    feats = jobs.stream_features(jobs.message_stream(spark, f"{base}/input"))
+    jobs.start_append_job(feats, f"{base}/out", f"{base}/ckpt", trigger={"availableNow": True}, dedupe=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(_ntz("window_start"), "cluster_id", F.round("avg_velocity", 6).alias("avg_velocity"),
+                                                    "max_vibration", "rain_intensity", "pore_pressure", "alert_level")
+
+
+@register("stream_audit")
+def q_stream_audit(spark, sf_dir):
+    """What the sink's audit counts in one micro-batch: points and alerts written."""
+    base = scratch_path(spark, "scarp", "audit")
+    replay.write_time_slices(load_readings(spark, sf_dir), f"{base}/input", slices=1)
+    feats = jobs.stream_features(jobs.message_stream(spark, f"{base}/input"))
+    jobs.start_monitoring_job(feats, f"{base}/points", f"{base}/ckpt", audit_path=f"{base}/audit", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{base}/audit").agg(F.sum("points").alias("points"), F.sum("alerts").alias("alerts"))

@@ -471,3 +471,64 @@ ORACLE["rollup_window_mean_10s"] = ORACLE["agg_window_mean_10s"]
 ORACLE["stream_rollup_panels"] = ORACLE["panel_stats"]
 ORACLE["stream_newest_view"] = ORACLE["latest_alert"]
 ORACLE["stream_tag_view"] = ORACLE["tag_values"]
+
+_NOISE = "CASE WHEN (us // 60000000) % 2 = 0 THEN 0.02::DOUBLE ELSE 1.0::DOUBLE END"
+_MOUNT = "CASE cluster_id WHEN 'cluster_01' THEN {}::DOUBLE WHEN 'cluster_02' THEN {}::DOUBLE ELSE {}::DOUBLE END"
+ORACLE["resting_vectors"] = with_ctes(READINGS, f"""mounted AS (
+  SELECT us, sensor_id, us // 10000000 AS w,
+         {_MOUNT.format('0.0', '0.0', '-2.5')} + {_NOISE} * acc_x AS ax, {_MOUNT.format('0.0', '1.7', '0.3')} + {_NOISE} * acc_y AS ay,
+         {_MOUNT.format('-9.81', '-9.66', '-9.48')} + {_NOISE} * (acc_z + 9.81::DOUBLE) AS az
+  FROM readings WHERE sensor_type = 'imu')""", """cells AS (
+  SELECT sensor_id, w, count(*) AS n, max(ax) - min(ax) + (max(ay) - min(ay)) + (max(az) - min(az)) AS spread
+  FROM mounted GROUP BY 1, 2 HAVING count(*) >= 5)""", """still AS (
+  SELECT c.sensor_id, w, n FROM cells c JOIN (SELECT sensor_id, quantile_disc(spread, 0.25) AS q FROM cells GROUP BY 1) USING (sensor_id)
+  WHERE spread <= q * 3.0::DOUBLE)""", """base AS (
+  SELECT m.sensor_id, count(DISTINCT m.w) AS windows, count(*) AS n, quantile_disc(ax, 0.5) AS bx, quantile_disc(ay, 0.5) AS by_, quantile_disc(az, 0.5) AS bz
+  FROM mounted m JOIN still s ON s.sensor_id = m.sensor_id AND s.w = m.w GROUP BY 1)""", body=f"""
+SELECT b.sensor_id, any_value(windows) AS windows, any_value(n) AS n, any_value(round(bx, 9)) AS base_acc_x, any_value(round(by_, 9)) AS base_acc_y,
+       any_value(round(bz, 9)) AS base_acc_z,
+       {exact_mean('sqrt(((ax - bx) * (ax - bx) + (ay - by_) * (ay - by_) + (az - bz) * (az - bz)) / 3.0::DOUBLE)').replace("* 1000)", "* 10000)").replace("/ 1e6", "/ 1e5")} AS rest_rms
+FROM base b JOIN mounted m ON m.sensor_id = b.sensor_id AND (us // 60000000) % 2 = 0 GROUP BY 1""")
+
+
+def _published(x: str, digits: int) -> str:
+    """A value as published: half-up over the digits it prints with."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
+
+
+ORACLE["packet_rounding"] = with_ctes(READINGS, body=f"""
+SELECT event_id, {_published('vx', 4)} AS vx, {_published('vy', 4)} AS vy, {_published('acc_x', 4)} AS acc_x, {_published('acc_y', 4)} AS acc_y,
+       {_published('acc_z', 4)} AS acc_z, {_published('acc_rms', 4)} AS acc_rms,
+       {_published('degrees(atan2(acc_y, acc_z))', 2)} AS roll, {_published('degrees(atan2(-acc_x, sqrt(acc_y * acc_y + acc_z * acc_z)))', 2)} AS pitch,
+       {_published('intensity', 2)} AS intensity, {_published('water_level', 3)} AS water_level, {_published('pore_pressure', 2)} AS pore_pressure,
+       {_published('latitude', 8)} AS latitude, {_published('longitude', 8)} AS longitude,
+       round(radians(latitude) * 6378137.0, 3) AS x,
+       round((radians(longitude) - radians(105.0)) * 6378137.0 * cos(radians(latitude)) + 500000.0, 3) AS y
+FROM readings WHERE sensor_type <> 'unknown'""")
+
+ORACLE["core_output_decimals"] = with_ctes(READINGS, FEATURES, body="""
+SELECT time, CASE WHEN inv < 10.0::DOUBLE THEN 'DANGER: LANDSLIDE IMMINENT'
+                  WHEN rain_intensity > 50.0::DOUBLE THEN 'WARNING: HEAVY RAIN' ELSE 'NORMAL' END AS alert_level,
+       CAST(CAST(inv AS DECIMAL(10,2)) AS DOUBLE) AS inv_velocity, CAST(CAST(avg_velocity AS DECIMAL(10,5)) AS DOUBLE) AS avg_velocity,
+       CAST(CAST(CAST(last_gnss_x AS DECIMAL(18,6)) AS DECIMAL(10,2)) AS DOUBLE) AS last_gnss_x, rain_intensity
+FROM (SELECT *, CASE WHEN avg_velocity > 0.00001::DOUBLE THEN 1.0::DOUBLE / avg_velocity ELSE 1000.0::DOUBLE END AS inv
+      FROM (SELECT date_trunc('second', event_time) AS time, avg(imu_velocity) AS avg_velocity,
+                   arg_max(gnss_x, okey) FILTER (WHERE gnss_x IS NOT NULL) AS last_gnss_x, max(rain) AS rain_intensity
+            FROM features GROUP BY 1))""")
+
+ORACLE["points_zero_filled"] = with_ctes(*PT, body="""
+SELECT time, cluster_id, round(inv_velocity, 4) AS inv_velocity, round(coalesce(avg_velocity, 0), 6) AS avg_velocity,
+       coalesce(max_vibration, 0) AS max_vibration, coalesce(rain_intensity, 0) AS rain_intensity, coalesce(pore_pressure, 0) AS pore_pressure,
+       coalesce(gnss_x, 0) AS gnss_x, coalesce(gnss_y, 0) AS gnss_y, alert_level
+FROM points""")
+
+ORACLE["stream_fill_in_order"] = ORACLE["stream_gnss_forward_fill"]
+
+ORACLE["stream_open_windows"] = with_ctes(READINGS, FEATURES, RESAMPLED, body=f"""
+SELECT window_start, cluster_id FROM resampled WHERE window_end > {_CLOSED}""")
+
+ORACLE["stream_deduplicated"] = f"""
+SELECT window_start, cluster_id, avg_velocity, max_vibration, rain_intensity, pore_pressure, alert_level FROM ({ORACLE["stream_alerts_append"]})"""
+
+ORACLE["stream_audit"] = with_ctes(*PT, body="""
+SELECT count(*) AS points, count(*) FILTER (WHERE alert_level > 1) AS alerts FROM points""")

@@ -7,8 +7,9 @@ same parse path, so tests exercise the real operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import features as fx
 from ..functions import parse as ps
@@ -46,6 +47,20 @@ def read_envelopes(spark: SparkSession, format: str = "kafka", *, path: str | No
     raise ValueError(f"unsupported envelope format: {format}")
 
 
+def _digits(node: Column, kind: T.DataType, digits: int) -> Column:
+    """A number, or every number of a struct, rounded."""
+    if isinstance(kind, T.StructType):
+        return F.when(node.isNotNull(), F.struct(*[_digits(node[f.name], f.dataType, digits).alias(f.name) for f in kind.fields]))
+    return F.round(node, digits)
+
+
+def round_packet(env: DataFrame) -> DataFrame:
+    """Envelopes with every measured value rounded to the digits its sensor publishes (``features.PACKET_DIGITS``)."""
+    kind = env.schema["value"].dataType
+    fields = [_digits(F.col("value")[f.name], f.dataType, fx.PACKET_DIGITS[f.name]).alias(f.name) for f in kind.fields]
+    return env.withColumn("value", F.struct(*fields))
+
+
 def envelope(readings: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Flat readings -> nested envelope columns as the sensors publish them.
 
@@ -78,10 +93,14 @@ def envelope(readings: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def encode_envelopes(readings: DataFrame, key_col: str | None = "event_id") -> DataFrame:
-    """Serialise readings to Kafka-shaped rows ``(key, value)`` with JSON text values."""
+def encode_envelopes(readings: DataFrame, key_col: str | None = "event_id", rounded: bool = False) -> DataFrame:
+    """Serialise readings to Kafka-shaped rows ``(key, value)`` with JSON text values.
+
+    ``rounded`` publishes the digits the sensors publish; by default values keep all of theirs.
+    """
     carry = (key_col,) if key_col else ()
     env = envelope(readings, carry=carry)
+    env = round_packet(env) if rounded else env
     fields = [c for c in env.columns if c not in carry]
     value = F.to_json(F.struct(*fields)).alias("value")
     if key_col:

@@ -4,17 +4,24 @@ A window function cannot see earlier micro-batches, so the last non-null
 value per series and its time live in Spark's state store (``applyInPandasWithState``).
 Use it on an append-mode stream (each row final once), e.g. the closed
 windows of the append job read back as a stream.
+
+``forward_fill_windows`` fills in the same query that closes the windows: rows
+are taken in event-time order whatever order they come in (``ordered``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from .ordered import OrderedSeries
+
 
 def forward_fill_stream(df: DataFrame, keys: Sequence[str], cols: Sequence[str], time_col: str,
                         suffix: str = "_filled") -> DataFrame:
@@ -56,3 +63,40 @@ def forward_fill_stream(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
     return df.groupBy(*keys).applyInPandasWithState(
         fill, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+class FillSeries(OrderedSeries):
+    """Rows in event-time order, each value replaced by the newest one so far."""
+
+    def __init__(self, key: str, tie_col: str, cols: Sequence[str], suffix: str):
+        super().__init__(key, tie_col)
+        self.values, self.carried, self.suffix = tuple(cols), len(cols), suffix
+
+    def step(self, us, last_us, values, carry):
+        before = [np.nan if last_us is None or c is None else c for c in carry]
+        out, after = {}, []
+        for k, c in enumerate(self.values):
+            own = values[k]
+            at = np.maximum.accumulate(np.where(np.isnan(own), -1, np.arange(len(own))))
+            filled = np.where(at >= 0, own[at], before[k])
+            out[c], out[c + self.suffix] = own, filled
+            after.append(filled[-1])
+        return out, after
+
+
+def forward_fill_windows(windows: DataFrame, key: str, cols: Sequence[str], suffix: str = "_filled") -> DataFrame:
+    """``window_start, key, <c>, <c>_filled`` of closed windows (append mode, with their ``window`` column).
+
+    A second stateful operator after the one that closes the windows: it sees them when the watermark passes, holds
+    nothing longer, and carries one row of values per series. Start it inside ``state.rocksdb_state``.
+    """
+    cols = list(cols)
+    rows = windows.select(key, F.window_time("window").alias("t"), F.unix_micros("window.start").alias("us"), F.lit(0).cast("long").alias("tie"),
+                          *[F.col(c).cast("double").alias(c) for c in cols])
+    kind = windows.schema[key].dataType.simpleString()
+    out = ", ".join(f"`{c}` double, `{c}{suffix}` double" for c in cols)
+    done = rows.groupBy(key).transformWithStateInPandas(FillSeries(key, "tie", cols, suffix), f"`{key}` {kind}, us long, tie long, {out}",
+                                                        "append", "eventTime")
+    # NaN stands for a missing value on the way
+    return done.select(F.timestamp_micros("us").alias("window_start"), key,
+                       *[F.when(~F.isnan(n), F.col(n)).alias(n) for c in cols for n in (c, f"{c}{suffix}")])
