@@ -55,6 +55,7 @@ BEAM = 16              # nearest centroids that a search has expanded before it
 BATCH = 256            # vectors that search the graph together
 PAIRS = 1 << 16        # distances computed at once
 SALTS = 64
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -363,15 +364,22 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
                 names=["g", "lists", "blocks", "shares", "q", "v"])
 
     wanted = asked.mapInArrow(ask, f"g int, lists array<int>, blocks int, shares int, q long, v {kind}")
-    zero = F.lit(0)
-    wanted = wanted.select("g", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("b"),
+    wanted = wanted.select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"),
                            F.pmod(F.xxhash64("q"), F.col("shares")).cast("int").alias("s"), "q", "lists", "v")
-    book_rows = spark.createDataFrame(
-        [(n, g, int(book.blocks[g]), int(book.shares[g])) for n, g in enumerate(book.group.tolist())], "list int, g int, blocks int, shares int")
-    # bounded: MAX_LISTS rows of four numbers
-    held = postings.join(F.broadcast(book_rows), "list").select(
-        "g", F.pmod(F.xxhash64("first"), F.col("blocks")).cast("int").alias("b"),
-        F.explode(F.sequence(zero, F.col("shares") - 1)).alias("s"), "list", "first", "ids", "v")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = book.group[batch.column("list").to_numpy()]
+            mixed = batch.column("first").to_numpy().view(np.uint64) * _MIX
+            b = ((mixed >> np.uint64(33)) % book.blocks[g].astype(np.uint64)).astype(np.int32)
+            rows = np.repeat(np.arange(len(g)), book.shares[g])          # once for every share of the block's queries
+            s = np.arange(len(rows)) - np.repeat(np.cumsum(book.shares[g]) - book.shares[g], book.shares[g])
+            at = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(g[rows]), pa.array(b[rows]), pa.array(s.astype(np.int32))] + [batch.column(c).take(at) for c in ("list", "first", "ids", "v")],
+                names=["g", "b", "s", "list", "first", "ids", "v"])
+
+    held = postings.mapInArrow(deal, f"g int, b int, s int, list int, first long, ids array<long>, v {kind}")
 
     dim = index.dim
 
