@@ -6,8 +6,8 @@ Prefixes and suffixes are running aggregates, computed once per cell (two passes
 
 So that a cell with any number of rows is no single task, the rows are ranged by series and time over equal partitions.
 A cell that lies in several of them is run through piece by piece; what the earlier (or later) pieces hold comes from one
-total per piece. A border of the ranges cuts one cell, so there are at most twice as many such totals as partitions, and
-they are broadcast. Rows of one series and instant share one frame: they are aggregated first, and the result goes back to
+total per piece. A border of the ranges cuts one cell, so there are at most twice as many such totals as partitions,
+which Spark broadcasts by their size. Rows of one series and instant share one frame: they are aggregated first, and the result goes back to
 them by series and instant.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .resample import epoch_micros
 from .sequence import duration_us
 
@@ -74,7 +74,10 @@ def frame_aggregate(df: DataFrame, keys: Sequence[str], frame: str | int, sums:
     carries = totals.withColumn("_n", F.count(F.lit(1)).over(cells)).where(F.col("_n") > 1).select(
         *piece, *[F.sum(f"_t_p_{n}").over(earlier).alias(f"_cp_{n}") for n in names], F.first("_tf", ignorenulls=True).over(earlier).alias("_cf"),
         *[F.sum(f"_t_s_{n}").over(later).alias(f"_cs_{n}") for n in names], F.first("_tf", ignorenulls=True).over(later).alias("_cl"))
-    full = run.join(F.broadcast(carries), piece, "left")
+    # written, so that the planner knows its size and decides by it how to join
+    place = scratch_path(df.sparkSession, "scarp", "sliding")
+    carries.write.parquet(place)
+    full = run.join(df.sparkSession.read.schema(carries.schema).parquet(place), piece, "left")
 
     def total(r: str, n: str) -> Column:
         return F.coalesce(F.col(f"_r{r}_{n}"), F.lit(0.0)) + F.coalesce(F.col(f"_c{r}_{n}"), F.lit(0.0))
