@@ -40,12 +40,14 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
 def discard(table: DataFrame) -> None:
     """Delete a table of :func:`scratch_table` that nothing reads any more (its readers have been written themselves)."""
     spark = table.sparkSession
-    folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
-    for folder in folders:
-        if "/llm/" not in folder:
-            raise ValueError("only scratch tables are deleted")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files = table.inputFiles()
+    if not files:                                            # an empty table: nothing to free
+        return
+    folder = files[0].rsplit("/", 1)[0]
+    if "/llm/" not in folder:
+        raise ValueError("only scratch tables are deleted")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

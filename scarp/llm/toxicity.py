@@ -43,7 +43,7 @@ RANDOM_PASSAGES = 3  # of a clean text, beside its highest one
 PER_CLASS = 1500
 MAX_CHARS = 20_000
 THRESHOLD = 0.3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 WORD = re.compile(r"\w+")
 
 
