@@ -141,6 +141,7 @@ class Scanner:
     model: LogisticRegressionModel
     temperature: float
     threshold: float
+    keys: list[str] | None = None
 
     def probabilities(self, terms: DataFrame) -> DataFrame:
         """Add ``p``: calibrated probabilities of ``CLASSES``."""
@@ -159,8 +160,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sc
     rows = scratch_table(with_terms(training_rows(id_text(docs, id_col, text_col))), "training")
     learn = rows.where(~F.col("apart"))
     vocabulary = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=VOCABULARY, binary=True).fit(learn)
-    sizes = learn.groupBy("label").agg(F.count("*").alias("n"))
-    weighted = learn.join(sizes, "label").withColumn("weight", 1 / F.sqrt("n"))  # one row per class
+    sizes = {r["label"]: r["n"] for r in learn.groupBy("label").agg(F.count("*").alias("n")).collect()}  # one number per class
+    weighted = learn.withColumn("weight", F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, n ** -0.5)]), F.col("label")))
     model = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=60, weightCol="weight",
                                standardization=False).fit(scratch_table(vocabulary.transform(weighted).select("label", "weight", "features"), "features"))
     apart = scratch_table(Scanner(vocabulary, model, 1.0, 0.0).model.transform(vocabulary.transform(rows.where("apart")))
@@ -176,7 +177,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sc
     right = judged.agg(*[F.avg(F.when(F.col("best") >= t, (F.col("guess") == F.col("label")).cast("double"))).alias(f"t{k}")
                          for k, t in enumerate(THRESHOLDS)]).first()
     good = [t for k, t in enumerate(THRESHOLDS) if right[f"t{k}"] is not None and right[f"t{k}"] >= PRECISION]
-    return Scanner(vocabulary, model, temperature, good[0] if good else THRESHOLDS[-1])
+    corpus = rows.where(F.col("label") == 0)
+    return Scanner(vocabulary, model, temperature, good[0] if good else THRESHOLDS[-1], keys_for(corpus))
 
 
 def templates(spark: SparkSession) -> dict[int, list[set[str]]]:
@@ -200,8 +202,13 @@ def confirmed(guess: Column, words: Column, spark: SparkSession) -> Column:
     return hit
 
 
-def key_words(sets: list[set[str]]) -> list[str]:
-    """Words so chosen that no template can be confirmed in a text without any of them."""
+def key_words(sets: list[set[str]], often: dict[str, int] | None = None) -> list[str]:
+    """Words so chosen that no template can be confirmed in a text without any of them.
+
+    Words that are rare in the corpus' own paragraphs (``often``: paragraphs that hold a word) are taken first, so that few
+    texts hold one by chance.
+    """
+    often = often or {}
     keys: list[str] = []
     while True:
         free = [[q for q in s if not set(q.split()) & set(keys)] for s in sets]
@@ -212,10 +219,18 @@ def key_words(sets: list[set[str]]) -> list[str]:
         for f in left:
             for q in f:
                 for w in set(q.split()):
-                    weight[w] = weight.get(w, 0) + (1 if len(w) > 5 else 0.01) / len(f)
+                    weight[w] = weight.get(w, 0) + (1 if len(w) > 5 else 0.01) / len(f) / (1 + often.get(w, 0))
         keys.append(max(sorted(weight), key=weight.get))
 
 
+def keys_for(paragraphs: DataFrame) -> list[str]:
+    """Key words of the templates, by how many of the sampled paragraphs hold them (one number per template word)."""
+    sets = [s for several in templates(paragraphs.sparkSession).values() for s in several]
+    words = sorted({w for s in sets for q in s for w in q.split()})
+    held = paragraphs.select(F.explode(F.array_distinct(word_array(F.col("paragraph")))).alias("w")).where(F.col("w").isin(words))
+    return key_words(sets, {r["w"]: r["n"] for r in held.groupBy("w").agg(F.count("*").alias("n")).collect()})
+
+
 def windows_of(text: Column, keys: list[str]) -> Column:
     """``at, reach, own, rest`` of the lines whose windows hold a key word: last words of the line, words after it, and
     the number of the last line they reach."""
@@ -249,14 +264,14 @@ def windows_of(text: Column, keys: list[str]) -> Column:
     return F.when(F.lower(text).rlike(found), every)
 
 
-def units_of(docs: DataFrame, *keep: str) -> DataFrame:
+def units_of(docs: DataFrame, *keep: str, keys: list[str] | None = None) -> DataFrame:
     """Every paragraph (``own`` is null) and the windows that hold a template, with the classes found in ``joined``."""
     sets = templates(docs.sparkSession)
     kind = "array<struct<at:int,reach:int,own:string,rest:string,paragraph:string>>"
     lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\r\n|\r|\n"), lambda x, k: F.struct(
         k.alias("at"), k.alias("reach"), F.lit(None).cast("string").alias("own"), F.lit(None).cast("string").alias("rest"), x.alias("paragraph"))),
         lambda x: F.trim(x["paragraph"]) != "").cast(kind)
-    wide = F.transform(F.coalesce(windows_of(F.col("text"), key_words([s for c in sets.values() for s in c])), F.array().cast(
+    wide = F.transform(F.coalesce(windows_of(F.col("text"), keys or key_words([s for c in sets.values() for s in c])), F.array().cast(
         "array<struct<at:int,reach:int,own:string,rest:string>>")), lambda w: F.struct(
         w["at"], w["reach"], w["own"], w["rest"], F.concat_ws(" ", w["own"], w["rest"]).alias("paragraph"))).cast(kind)
     cut = docs.select(*keep, F.explode_outer(F.concat(lines, wide)).alias("unit")).select(*keep, "unit.*")
@@ -284,7 +299,7 @@ def scan(docs: DataFrame, scanner: Scanner, id_col: str = "doc_id", text_col: st
     """Per row ``doc_id, families, n_paragraphs, n_licensed, n_unknown, confidence``."""
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    lines = with_terms(units_of(rows, "row", "doc_id"))
+    lines = with_terms(units_of(rows, "row", "doc_id", keys=scanner.keys))
     judged = (scanner.probabilities(lines.withColumn("terms", F.coalesce("terms", F.array().cast("array<string>"))))
               .withColumn("best", F.array_max("p")).withColumn("guess", (F.array_position("p", F.col("best")) - 1).cast("int")))
     known = (F.col("guess") > 0) & (F.col("guess") != CLASSES.index("unknown")) & (F.col("best") >= scanner.threshold)
