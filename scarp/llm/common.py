@@ -55,6 +55,14 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its columns are called (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_groups(batch: pa.RecordBatch, column: str = "text", chars: int = GROUP_CHARS) -> Iterator[tuple[int, list[str]]]:
     """(offset, texts) runs of a batch holding about ``chars`` characters each; null reads as empty."""
     group: list[str] = []

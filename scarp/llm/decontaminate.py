@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, scratch_table
+from .common import fresh, id_text, scratch_table
 
 WIDTH = 5
 CONTAINMENT = 0.75
@@ -94,5 +94,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = CONT
                   text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, with their columns (rows with a null id stay)."""
     leaks = contained_items(docs, benchmark, threshold, id_col, text_col)
-    ids = leaks.select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(ids, docs[id_col].cast("long") == F.col("__leak"), "left_anti")
+    name = fresh(docs, "leak_id")
+    ids = leaks.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(ids, docs[id_col].cast("long") == F.col(name), "left_anti")

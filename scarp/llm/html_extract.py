@@ -18,6 +18,7 @@ each; other columns are ignored; broken markup is read as far as it goes (an unc
 from __future__ import annotations
 
 import html
+import pickle
 import random
 import re
 import zlib
@@ -45,9 +46,15 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""",
 NAME = re.compile(r"[a-z]+")
 # elements that do not end a block
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
-                   "sub sup time tt u var wbr".split())
+                   "sub sup time tt u var wbr "
+                   "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup "
+                   "munder mover munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript svg iframe object textarea select title math canvas audio video".split())
+UNSEEN = frozenset("script style template noscript svg iframe object textarea select title canvas audio video".split())
+# of those, the ones that take the rest of a page if they are never closed; the others are then read through
+SWALLOWING = frozenset({"script", "style", "textarea", "title"})
+# path features of deeper blocks come from their outermost and innermost elements
+OUTERMOST, INNERMOST = 16, 48
 # an opening element that ends an open one of the same kind, and what hides an outer one from it
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -73,6 +80,8 @@ def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page in order, white space folded, character references decoded."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
+    opened: dict[str, int] = {}                              # open elements by tag
+    unclosed: set[str] = set()                               # tags that are never closed from here on
     parts: list[str] = []
     linked = 0
     at, end = 0, len(page)
@@ -81,17 +90,23 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, tuple(t for _, t in stack), min(1.0, linked / len(text))))
+            path = stack if len(stack) <= OUTERMOST + INNERMOST else stack[:OUTERMOST] + stack[-INNERMOST:]
+            out.append(Block(text, tuple(t for _, t in path), min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
+    def close_from(k: int) -> None:
+        for name, _ in stack[k:]:
+            opened[name] -= 1
+        del stack[k:]
+
     while at < end:
         m = MARKUP.search(page, at)
         stop = m.start() if m else end
         if stop > at:
             piece = page[at:stop]
             parts.append(piece)
-            if any(t == "a" for t, _ in stack):
+            if opened.get("a"):
                 linked += len(piece.strip())
         if not m:
             break
@@ -104,27 +119,32 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in UNSEEN and not closing:
-            if not attributes.rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+        if tag in UNSEEN and not closing and not (tag in unclosed and tag not in SWALLOWING):
+            if attributes.rstrip().endswith("/"):
+                continue
+            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if close or tag in SWALLOWING:
                 at = close.end() if close else end
-            continue
+                continue
+            unclosed.add(tag)
         if tag not in INLINE:
             flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened.get(tag):
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                close_from(k)
         elif tag not in VOID:
-            if tag in CLOSES:
+            if tag in CLOSES and any(opened.get(t) for t in CLOSES[tag]):
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] in CLOSES[tag]:
-                        del stack[k:]
+                        close_from(k)
                         break
                     if stack[k][0] in SCOPE:
                         break
             stack.append((tag, path_tokens(tag, attributes)))
+            opened[tag] = opened.get(tag, 0) + 1
     flush()
     return out
 
@@ -386,8 +406,15 @@ def fit_on(pages: DataFrame, html_col: str = "html", n: int = PAGES) -> Labeller
     text = F.col(html_col).cast("string").alias("html")
     short = pages.select(text).where(F.length("html").between(1, MAX_CHARS)).withColumn("key", F.xxhash64("html"))
     picked = scratch_table(short.select("key").distinct().orderBy("key").limit(n), "picked")  # keys first: pages stay put
-    sample = short.join(picked, "key").select("key", "html").distinct().collect()  # bounded: n pages of MAX_CHARS characters
-    return fit([r.html for r in sorted(sample, key=lambda r: (r.key, r.html))[:n]])
+    sample = short.join(picked, "key").select("key", "html").distinct()  # bounded: n pages of MAX_CHARS characters
+
+    def run(batches):
+        rows = sorted((r["key"], r["html"]) for batch in batches for r in batch.to_pylist())
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit([t for _, t in rows[:n]]).p)]}, schema=pa.schema([("model", pa.binary())]))
+
+    # fitted in one task; the driver gets the parameters alone
+    found = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return Labeller(pickle.loads(found["model"])) if found else fit([])
 
 
 def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

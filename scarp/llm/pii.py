@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, scratch_table, text_groups
+from .common import fresh, id_text, scratch_table, text_groups
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 4      # terms on each side of an entity
@@ -177,21 +177,23 @@ def sanitised(text: str, terms: set[str]) -> str:
     return "".join(out) + text[done:]
 
 
-def with_terms(docs: DataFrame) -> DataFrame:
-    """``docs`` (with ``doc_id`` and ``text``) and ``__terms``: what has to be marked in it beside the base findings."""
+def with_terms(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` (with ``doc_id`` and ``text``) and the column ``name``: what has to be marked beside the base findings."""
     pairs = docs.select("doc_id", "text")
     found = scratch_table(occurrences(pairs), "entities")
     flagged = scratch_table(disclosing_terms(pairs, found).select("term").distinct(), "flagged")
     # rows without an id go by their text; where keys meet, the terms of both are flagged terms and fit either text
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    per_doc = (docs.select(key.alias("__key"), F.explode(document_terms()).alias("term")).join(flagged, "term")
-               .groupBy("__key").agg(F.collect_set("term").alias("__terms")))  # bounded by the text's own terms
+    by = fresh(docs, "term_key")
+    per_doc = (docs.select(key.alias(by), F.explode(document_terms()).alias("term")).join(flagged, "term")
+               .groupBy(by).agg(F.collect_set("term").alias(name)))  # bounded by the text's own terms
     per_doc = scratch_table(per_doc, "terms")
-    return docs.withColumn("__key", key).join(per_doc, "__key", "left").drop("__key")
+    return docs.withColumn(by, key).join(per_doc, by, "left").drop(by)
 
 
-def _map(df: DataFrame, names: list[str], schema: str, make_row) -> DataFrame:
-    keep = [c for c in df.columns if c not in ("text", "__terms") and c not in names]
+def _map(df: DataFrame, marks: str, names: list[str], schema: str, make_row) -> DataFrame:
+    """Columns computed from ``text`` and its terms to mark (column ``marks``), beside all the others."""
+    keep = [c for c in df.columns if c not in ("text", marks) and c not in names]
     kinds = {"long": pa.int64(), "string": pa.string()}
     types = [kinds[part.split()[-1]] for part in schema.split(",")]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep)
@@ -199,7 +201,7 @@ def _map(df: DataFrame, names: list[str], schema: str, make_row) -> DataFrame:
     def run(batches):
         for batch in batches:
             for at, texts in text_groups(batch):
-                terms = batch.column("__terms").slice(at, len(texts)).to_pylist()
+                terms = batch.column(marks).slice(at, len(texts)).to_pylist()
                 rows = [make_row(t, set(x or ())) for t, x in zip(texts, terms)]
                 new = [pa.array(c, k) for c, k in zip(zip(*rows), types)]
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(at, len(texts)) for c in keep] + new,
@@ -217,7 +219,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
     schema = ", ".join([*(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string"])
-    return _map(with_terms(id_text(docs, id_col, text_col)), names, schema, row)
+    return _map(with_terms(id_text(docs, id_col, text_col), "marks"), "marks", names, schema, row)
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
@@ -226,9 +228,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
     A null text stays null.
     """
     columns = docs.columns
-    typed = docs.withColumn("__null", F.col("text").isNull())
-    out = _map(with_terms(typed), ["__new"], "__new string", lambda text, terms: (sanitised(text, terms),))
-    out = out.withColumn("text", F.when(~F.col("__null"), F.col("__new")))
+    missing, marks, new = fresh(docs, "text_missing"), fresh(docs, "text_marks"), fresh(docs, "text_sanitised")
+    typed = docs.withColumn(missing, F.col("text").isNull())
+    out = _map(with_terms(typed, marks), marks, [new], f"{new} string", lambda text, terms: (sanitised(text, terms),))
+    out = out.withColumn("text", F.when(~F.col(missing), F.col(new)))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, map_texts, scratch_table
+from .common import fresh, id_text, map_texts, scratch_table
 
 WINDOW = 6         # words in a passage
 STRIDE = 3         # words between the beginnings of passages
@@ -303,5 +303,6 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows below the threshold, with their columns (no join: the score is computed beside the row)."""
-    scored = map_texts(docs.withColumn("__text", F.col(text_col).cast("string")), scorer(model), "__score double", column="__text")
-    return scored.where(F.col("__score") < threshold).select(*docs.columns)
+    text, score_of = fresh(docs, "text_scored"), fresh(docs, "score_of_text")
+    scored = map_texts(docs.withColumn(text, F.col(text_col).cast("string")), scorer(model), f"{score_of} double", column=text)
+    return scored.where(F.col(score_of) < threshold).select(*docs.columns)

@@ -93,3 +93,23 @@ def test_nulls_repeats_long_pages_and_no_rows(spark, model):
     assert by_id[1] == [wanted[0]] * 2 and by_id[None] == [wanted[1]] and by_id[3] == by_id[4] == [""]
     assert by_id[5][0].count("One sentence") > 29_000
     assert he.extract(df.limit(0), he.fit_on(df.limit(0))).count() == 0
+
+
+def test_broken_pages_take_linear_time():
+    import time
+    import tracemalloc
+    for page in ("<div>x" * 200_000, "<svg>x" * 100_000, "<a>x" * 100_000 + "</b>" * 100_000, "<li><b>" * 50_000 + "<p>y" * 50_000):
+        start = time.perf_counter()
+        assert he.blocks_of(page)
+        assert time.perf_counter() - start < 8
+    tracemalloc.start()
+    he.blocks_of("<div>x" * 20_000)
+    assert tracemalloc.get_traced_memory()[1] < 60 * 2 ** 20
+    tracemalloc.stop()
+
+
+def test_formulas_are_text_and_unclosed_pictures_hide_nothing():
+    page = "<article><p>area <math><mi>a</mi><mo>=</mo><msup><mi>r</mi><mn>2</mn></msup></math> holds</p><svg><p>kept</p><object><p>too</p></article><svg>gone</svg>"
+    assert [b.text for b in he.blocks_of(page)][0] == "area a=r2 holds"
+    assert [b.text for b in he.blocks_of("<p>a</p><object><p>kept</p><noscript>b")] == ["a", "kept", "b"]
+    assert [b.text for b in he.blocks_of("<p>a</p><script>var x = 1; <p>no")] == ["a"]
