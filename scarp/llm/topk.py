@@ -1,22 +1,25 @@
 """Exact top-k inner-product search with a vector-approximation file.
 
-Vectors are scaled and floored to integers. The approximation of a vector holds, per dimension, the number of one of
-``CELLS`` cells (4 bits of information each); a block's cell edges are the quantiles of its own values, so every vector
-lies inside its cells whatever the data. Rows are packed into blocks: the approximations of up to ``BLOCK`` vectors as one matrix,
-the exact vectors as another.
-
-For a block of queries and a block of rows, the cells give an upper and a lower bound of every score. Rows are then
-visited in the order of falling upper bounds and their exact vectors read, until the k-th best exact score is above the
-next upper bound; what shares the bound of the k-th is read too, so ties are settled by the smaller id. Each pair of
-blocks leaves k rows per query at most, and a window over those gives the result.
-
-The query set is a stated one (ids divisible by ``every``) and meets every block of rows: the blocks of rows are dealt
-to as many groups as there are blocks, and the query blocks are joined with every group on its number. Blocks are of
+Vectors are scaled and floored to integers. Two files are written: the exact vectors, one row each, and the approximation,
+in blocks of up to ``BLOCK`` rows: per vector and dimension the number of one of ``CELLS`` cells, one byte, and the
+block's cell edges, quantiles of its own values, so that every vector lies inside its cells whatever the data.
+
+The search scans the approximations alone. For a block of queries and a block of rows the cells give an upper and a lower
+bound of every score; a row is passed on if its upper bound reaches the k-th best lower bound of its block, and stays if
+it reaches the k-th best lower bound over all blocks. Exact vectors are then read in the order of the upper bounds: first
+the k best of each query, and, as their k-th exact score is now known, only those others whose upper bound reaches it. What
+shares a bound is read too, so ties are settled by the smaller id, and no row that could be in the result is left out.
+
+Copies of one vector are one entry that carries its k + 1 smallest ids (the others tie with them and are never among the
+k best), and queries with equal vectors are searched once, so a vector that a third of all rows hold is one entry.
+
+The query set is a stated one (ids divisible by ``every``) and meets every block of approximations: the blocks of rows are
+dealt to as many groups as there are blocks, and the query blocks are joined with every group on its number. Blocks are of
 bounded size, and none is broadcast by hand.
 
-Defined results: rows whose vector or id is null, or holds null or non-finite components, take no part; shorter vectors
-count as padded with zeros; equal ids are rows of their own (the query's own id is never its candidate); scores beyond
-the long range are cut to it.
+Defined results: rows whose vector or id is null, or whose vector is empty or holds null or non-finite components, take no
+part; shorter vectors count as padded with zeros; rows repeated with id and vector count once, rows of one id with different
+vectors are rows of their own, but the query's own id is never its candidate; scores beyond the long range are cut to it.
 """
 
 from __future__ import annotations
@@ -29,49 +32,73 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import scratch_table
+from .posting_ann import entries_of
 
-CELLS = 16
-BLOCK = 4096     # rows in a block of candidates
+CELLS = 256
+BLOCK = 4096     # rows in a block of approximations
 QUERIES = 512    # queries in a block
-CHUNK = 64       # exact vectors read at once
+SALTS = 64
 EXACT = 2.0 ** 53
 
 
-def packed(rows: DataFrame, size: int, kind: str) -> DataFrame:
-    """``block, n, dim, ids, vectors`` blocks of at most ``size`` rows; vectors as little-endian float64."""
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(keys, vectors)`` of at most ``size`` rows, vectors padded with zeros."""
+    keys: list[int] = []
+    held: list[np.ndarray] = []
+
+    def flush() -> tuple[np.ndarray, np.ndarray]:
+        m = np.zeros((len(held), max(map(len, held))))
+        for k, v in enumerate(held):
+            m[k, :len(v)] = v
+        out = np.array(keys, "<i8"), m
+        keys.clear()
+        held.clear()
+        return out
+
+    for batch in batches:
+        column = batch.column("v")
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        ends = column.offsets.to_numpy() - column.offsets[0].as_py()
+        for k, key in enumerate(batch.column("first").to_pylist()):
+            keys.append(key)
+            held.append(flat[ends[k]:ends[k + 1]])
+            if len(held) == size:
+                yield flush()
+    if held:
+        yield flush()
+
+
+def approximations(entries: DataFrame, size: int, cells: int = CELLS) -> DataFrame:
+    """The approximation file: ``n, dim, keys, codes, edges, top`` (largest absolute value) of blocks of entries."""
+    names = ["n", "dim", "keys", "codes", "edges", "top"]
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_ids: list[int] = []
-        held: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            dim = max(map(len, held))
-            m = np.zeros((len(held), dim))
-            for k, v in enumerate(held):
-                m[k, :len(v)] = v
-            row = [len(held), dim, np.array(held_ids, "<i8").tobytes(), m.astype("<f8").tobytes()]
-            held_ids.clear()
-            held.clear()
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=["n", "dim", "ids", "vectors"])
+        for keys, m in _blocks(batches, size):
+            codes, edges = cells_of(m, cells)
+            row = [len(keys), m.shape[1], keys.tobytes(), codes.tobytes(), edges.astype("<f8").tobytes(), float(np.abs(m).max())]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
 
-        for batch in batches:
-            column = batch.column("v")
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            ends = column.offsets.to_numpy() - column.offsets[0].as_py()
-            for k, i in enumerate(batch.column("id").to_pylist()):
-                held_ids.append(i)
-                held.append(flat[ends[k]:ends[k + 1]])
-                if len(held) == size:
-                    yield flush()
-        if held:
-            yield flush()
+    out = entries.select("first", "v").mapInArrow(run, "n long, dim long, keys binary, codes binary, edges binary, top double")
+    return scratch_table(out.withColumn("b", F.monotonically_increasing_id()), "topk-codes")
 
-    out = rows.mapInArrow(run, "n long, dim long, ids binary, vectors binary")
-    return scratch_table(out.withColumn("block", F.monotonically_increasing_id()), kind)
+
+def query_blocks(asked: DataFrame, size: int) -> DataFrame:
+    """``q_n, q_dim, q_keys, q_vectors`` of blocks of queries (``q`` is the key of a query vector)."""
+    names = ["q_n", "q_dim", "q_keys", "q_vectors"]
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, m in _blocks(batches, size):
+            row = [len(keys), m.shape[1], keys.tobytes(), m.astype("<f8").tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
+
+    out = asked.select(F.col("q").alias("first"), "v").mapInArrow(run, "q_n long, q_dim long, q_keys binary, q_vectors binary")
+    return scratch_table(out, "topk-queries")
 
 
 def cells_of(m: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Cell numbers of a matrix, and the edges per dimension (cell c reaches from edge c to edge c + 1)."""
+    """Cell numbers (bytes) of a matrix, and the edges per dimension (cell c reaches from edge c to edge c + 1)."""
     edges = np.quantile(m, np.linspace(0, 1, cells + 1), axis=0, method="lower")
     edges[-1] = m.max(axis=0)
     code = np.empty(m.shape, np.uint8)
@@ -82,39 +109,48 @@ def cells_of(m: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]
 
 def bounds(q: np.ndarray, code: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Upper bounds of the scores of all queries with all rows, from cell numbers alone."""
+    return both_bounds(q, code, edges)[0]
+
+
+def both_bounds(q: np.ndarray, code: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Upper and lower bounds of the scores of all queries with all rows, from cell numbers alone."""
     dims = np.arange(code.shape[1])
-    low, high = edges[code, dims], edges[code.astype(np.int64) + 1, dims]
-    return np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
-
-
-def search_block(q: np.ndarray, q_ids: np.ndarray, m: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """``(query number, id, score)`` of the k best rows of a block for every query."""
-    code, edges = cells_of(m)
-    upper = bounds(q, code, edges)
-    big = np.abs(q).max() * np.abs(m).max() * m.shape[1] >= EXACT  # beyond exact doubles: whole numbers of any size
-    if big:
-        upper = upper * (1 + np.sign(upper) * 1e-9)
-        q_int, m_int = [[int(x) for x in r] for r in q], [[int(x) for x in r] for r in m]
-    out = []
-    order = np.argsort(-upper, axis=1, kind="stable")
-    for n in range(len(q)):
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0, object if big else np.float64)
-        row, at = order[n], 0
-        while at < len(row):
-            if len(best) >= k and upper[n, row[at]] < best[-1]:
-                break
-            take = row[at:at + CHUNK]
-            at += CHUNK
-            take = take[ids[take] != q_ids[n]]
-            if big:
-                score = np.array([sum(a * b for a, b in zip(q_int[n], m_int[r])) for r in take], object)
-            else:
-                score = m[take] @ q[n]
-            best_ids, best = np.concatenate([best_ids, ids[take]]), np.concatenate([best, score])
-            keep = sorted(range(len(best)), key=lambda j: (-best[j], best_ids[j]))[:k]
-            best_ids, best = best_ids[keep], best[keep]
-        out += [(n, int(i), min(max(int(s), -2 ** 63), 2 ** 63 - 1)) for i, s in zip(best_ids, best)]
-    return out
+    low, high = edges[code, dims].T, edges[code.astype(np.int64) + 1, dims].T
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    return up @ high + down @ low, up @ low + down @ high
+
+
+def scan_block(q: np.ndarray, code: np.ndarray, edges: np.ndarray, top: float, k: int) -> tuple[np.ndarray, ...]:
+    """``(query, row, upper, lower)`` of the rows of a block that can be among the k best of a query."""
+    upper, lower = both_bounds(q, code, edges)
+    if np.abs(q).max() * top * code.shape[1] >= EXACT:       # sums of doubles are rounded here
+        upper, lower = upper + np.abs(upper) * 1e-9, lower - np.abs(lower) * 1e-9
+    upper, lower = (np.clip(x, -2.0 ** 63, 2.0 ** 63) for x in (upper, lower))   # scores beyond tie as well
+    reach = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(q), -np.inf)
+    n, r = np.nonzero(upper >= reach[:, None])
+    return n, r, upper[n, r], lower[n, r]
+
+
+def exact_scores(pairs: DataFrame, entries: DataFrame, asked: DataFrame) -> DataFrame:
+    """``pairs`` (``q, first, ...``) with ``ids`` and ``score``: reads the exact vectors of these pairs only."""
+    keep = pairs.columns
+    read = pairs.join(entries.select("first", "ids", "v"), "first").join(asked.select("q", F.col("v").alias("qv")), "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = []
+            for v, qv in zip(batch.column("v"), batch.column("qv")):
+                a, b = v.values.to_numpy(), qv.values.to_numpy()
+                n = min(len(a), len(b))
+                if np.abs(a).max() * np.abs(b).max() * n >= EXACT:   # beyond exact doubles: whole numbers of any size
+                    score = sum(int(x) * int(y) for x, y in zip(a[:n].tolist(), b[:n].tolist()))
+                    scores.append(min(max(score, -2 ** 63), 2 ** 63 - 1))
+                else:
+                    scores.append(int(a[:n] @ b[:n]))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [batch.column("ids"), pa.array(scores, pa.int64())], names=[*keep, "ids", "score"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
+    return read.select(*keep, "ids", "v", "qv").mapInArrow(run, f"{kinds}, ids array<long>, score long")
 
 
 def top_k(vectors: DataFrame, k: int = 5, scale: int = 256, every: int = 50, id_col: str = "vec_id",
@@ -124,28 +160,53 @@ def top_k(vectors: DataFrame, k: int = 5, scale: int = 256, every: int = 50, id_
     good = F.col(id_col).isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.where(good).where(F.size(v) > 0).select(
         F.col(id_col).cast("long").alias("id"),
-        F.transform(v, lambda x: F.floor(x * scale).cast("double")).alias("v"))
-    store = packed(rows, block, "rows").withColumnRenamed("block", "b")
-    asked = packed(rows.where(F.col("id") % every == 0), queries, "queries")
-    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in ("n", "dim", "ids", "vectors")])
+        F.transform(v, lambda x: F.floor(x * scale).cast("double") + F.lit(0.0)).alias("v"))
+    # one entry has room for the query's own id beside k others
+    entries = scratch_table(entries_of(rows, k + 1), "topk-exact")
+    digest = F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))), 256)
+    own = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "v"]).select("id", "v", digest.alias("digest"))
+    asked = scratch_table(own.groupBy("digest").agg(F.min("id").alias("q_id"), F.first("v").alias("v"))
+                          .withColumn("q", F.monotonically_increasing_id()), "topk-asked")
+    # an id may come with several vectors: entries go by a key of their own
+    entries = scratch_table(entries.withColumn("first", F.monotonically_increasing_id()), "topk-keyed")
+    store = approximations(entries, block)
     groups = max(1, store.count())
     store = store.withColumn("g", F.pmod(F.xxhash64("b"), F.lit(groups))).drop("b")
-    everywhere = asked.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+    everywhere = query_blocks(asked, queries).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
     pairs = store.join(everywhere, "g").drop("g")
+    # an entry of the query's own vector holds its own id: one more than k may be needed
+    wanted = k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ids, q_ids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["q_ids"], "<i8")
-                m = np.frombuffer(r["vectors"], "<f8").reshape(r["n"], r["dim"])
+                keys, q_keys = np.frombuffer(r["keys"], "<i8"), np.frombuffer(r["q_keys"], "<i8")
+                code, edges = np.frombuffer(r["codes"], np.uint8).reshape(r["n"], r["dim"]), np.frombuffer(r["edges"], "<f8").reshape(-1, r["dim"])
                 q = np.frombuffer(r["q_vectors"], "<f8").reshape(r["q_n"], r["q_dim"])
-                d = max(r["dim"], r["q_dim"])
-                m, q = (np.pad(x, ((0, 0), (0, d - x.shape[1]))) for x in (m, q))
-                found = search_block(q, q_ids, m, ids, k)
-                columns = [[int(q_ids[n]) for n, _, _ in found], [i for _, i, _ in found], [s for _, _, s in found]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
-
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+                d = min(r["dim"], r["q_dim"])                 # what one side lacks counts as zeros
+                n, row, upper, lower = scan_block(q[:, :d], code[:, :d], edges[:, :d], r["top"], wanted)
+                yield pa.RecordBatch.from_arrays([pa.array(q_keys[n]), pa.array(keys[row]), pa.array(upper), pa.array(lower)], names=["q", "first", "upper", "lower"])
+
+    passed = scratch_table(pairs.mapInArrow(run, "q long, first long, upper double, lower double"), "topk-passed")
+    by_lower = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("lower")))
+    reach = passed.withColumn("r", by_lower).where(F.col("r") == wanted).select("q", F.col("lower").alias("reach"))
+    left = passed.join(reach, "q", "left").where(F.col("reach").isNull() | (F.col("upper") >= F.col("reach")))
+    by_upper = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("upper"), "first"))
+    left = scratch_table(left.withColumn("r", by_upper).select("q", "first", "upper", "r"), "topk-left")
+    nearest = scratch_table(exact_scores(left.where(F.col("r") <= wanted).select("q", "first"), entries, asked), "topk-first")
+    kth = nearest.groupBy("q").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
+    # a rounded double may lie a little below the exact whole number it stands for
+    rest = (left.where(F.col("r") > wanted).join(kth, "q")
+            .where((F.col("n") < wanted) | (F.col("upper") + F.abs("upper") * F.lit(1e-9) >= F.col("kth"))).select("q", "first"))
+    found = nearest.unionByName(exact_scores(rest, entries, asked))
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    best = found.select("q", "score", F.explode("ids").alias("vec_id")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
+    answer = best.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("answer"))
+
+    # equal queries share one answer, which is dealt to as many places as their rows are
+    salted = own.select(F.col("id").alias("query_id"), "digest", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    places = salted.select("digest", "salt").distinct()
+    dealt = answer.join(asked.select("q", "digest"), "q").join(places, "digest").select("digest", "salt", "answer")
+    others = F.filter("answer", lambda a: a["vec_id"] != F.col("query_id"))
+    out = salted.join(dealt, ["digest", "salt"]).select("query_id", F.posexplode(F.slice(others, 1, k)).alias("place", "hit"))
+    return out.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

@@ -52,3 +52,36 @@ def test_bounds_hold_for_every_pair(shift):
     m[:40] = m[0]
     upper = topk.bounds(q, *topk.cells_of(m))
     assert (upper >= q @ m.T).all() and upper.mean() < np.abs(q).sum(1).mean() * np.abs(m).max()
+
+
+def test_exact_vectors_are_read_for_few_pairs_only(spark, monkeypatch):
+    """The approximation decides: of all pairs of a query and a row hardly more than the results are read."""
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(3000, 24))
+    rows = [(k, [float(x) for x in v / np.linalg.norm(v)]) for k, v in enumerate(m)]
+    read = []
+    real = topk.exact_scores
+    monkeypatch.setattr(topk, "exact_scores", lambda pairs, entries, asked: read.append(pairs.count()) or real(pairs, entries, asked))
+    got = result(spark, rows, block=500, queries=16)
+    assert got == brute(rows)
+    assert 60 * 5 <= sum(read) < 60 * 12 and len(read) == 2      # 60 queries, of 180,000 pairs
+
+
+def test_lower_bounds_hold_and_approximations_suffice():
+    rng = np.random.default_rng(6)
+    m, q = np.floor(rng.normal(0, 40, (400, 9))), np.floor(rng.normal(0, 40, (20, 9)))
+    code, edges = topk.cells_of(m)
+    assert code.dtype == np.uint8
+    upper, lower = topk.both_bounds(q, code, edges)
+    exact = q @ m.T
+    assert (lower <= exact).all() and (exact <= upper).all()
+    n, r, _, _ = topk.scan_block(q, code, edges, float(np.abs(m).max()), 5)
+    for k in range(20):
+        assert set(np.argsort(-exact[k], kind="stable")[:5]) <= set(r[n == k])
+
+
+def test_a_common_vector_is_one_entry(spark):
+    same, rng = [0.25] * 8, random.Random(3)
+    rows = [(k, same if k % 3 == 0 else [rng.gauss(0, 0.2) for _ in range(8)]) for k in range(1200)]
+    rows += rows[:20]                                             # repeated rows count once
+    assert result(spark, rows, block=64, queries=8) == brute(rows[:1200])
