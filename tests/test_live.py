@@ -248,3 +248,19 @@ def test_state_stays_within_the_watermark(spark, tmpdir_local):
     state = state_rows(spark, f"{tmpdir_local}/ck")
     assert state.count() == totals[-1] <= 11 * 3
     assert state.select(F.min("key.window.end")).first()[0] > T0 + timedelta(seconds=12 * 20 - 12)
+
+
+def test_processing_time_trigger(spark, tmpdir_local):
+    """The monitoring job's own trigger: micro-batches follow one another until the query is stopped."""
+    deliver(f"{tmpdir_local}/in", 0, [message(1, 1.0, intensity=1.0)])
+    feats = jobs.stream_features(jobs.message_stream(spark, f"{tmpdir_local}/in"))
+    q = jobs.start_monitoring_job(feats, f"{tmpdir_local}/p", f"{tmpdir_local}/ck", trigger={"processingTime": "200 milliseconds"})
+    try:
+        q.processAllAvailable()
+        deliver(f"{tmpdir_local}/in", 1, [message(2, 2.0, intensity=2.0)])
+        q.processAllAvailable()
+        assert q.isActive and read_latest(spark, f"{tmpdir_local}/p").count() == 2
+        assert len({p.batchId for p in q.recentProgress if p.numInputRows}) == 2
+    finally:
+        q.stop()
+    assert not q.isActive
