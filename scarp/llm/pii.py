@@ -5,8 +5,10 @@ entity and hardly anywhere else reveals it even after the value itself is gone.
 documents, ``n_c`` that hold the entity, ``n_t`` that hold the term, and ``n_ct`` that hold the term in a context of the
 entity (the ``REACH`` terms before and after an occurrence), the pointwise mutual information
 ``log2(N n_ct / (n_c n_t))`` is set against the information content of the entity, ``log2(N / n_c)``. All four count
-documents, copies included. A term discloses the entity when its share reaches ``1 / ALPHA``, on ``SUPPORT`` different
-contexts at least; for the support, copies of one context count once. Disclosing terms are marked wherever they occur, in
+documents, copies included. A term discloses the entity when its information is at least ``1 / ALPHA`` of the content and,
+whatever the size of the corpus, it stands beside the entity in a share of its documents whose lower confidence limit is
+``DISCLOSED`` (Wilson's, one-sided 95 %); on ``SUPPORT`` different contexts at least. For support and limit copies of one
+context count once. Disclosing terms are marked wherever they occur, in
 every document of the corpus, beside the entity or without it, and are generalised to a placeholder.
 
 All counts cover all documents. Contexts exist only around entities; the document counts of terms are taken for
@@ -33,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 REACH = 4      # terms on each side of an entity
 SUPPORT = 3    # distinct contexts
 ALPHA = 1.25   # 1: only terms that never occur without the entity
+DISCLOSED = 1 / 3
+CONFIDENCE = 1.645
 GENERAL = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
 # fixed values: the base patterns
@@ -140,7 +144,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, su
     """``entity, term, information`` of the terms whose mutual information reaches the threshold."""
     held = found.select("document", "entity", "context", F.explode("terms").alias("term"))
     joint = (held.groupBy("entity", "term").agg(F.count_distinct("document").alias("n_ct"), F.count_distinct("context").alias("support"))
-             .where(F.col("support") >= support).drop("support"))
+             .where(F.col("support") >= support))
     joint = scratch_table(joint, "joint")
     # counted before the join: a frequent term then meets the candidates as one row
     n_t = docs.select(F.explode_outer(document_terms()).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
@@ -151,7 +155,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float = ALPHA, su
              .withColumn("n", F.greatest(n, "n_t", "n_c")))
     pmi = F.log2(F.col("n") * F.col("n_ct") / (F.greatest("n_c", "n_ct") * F.col("n_t")))
     content = F.log2(F.col("n") / F.greatest("n_c", "n_ct"))
-    return (table.withColumn("information", pmi).where(content > 0).where(F.col("information") * alpha >= content)
+    # as many trials as the contexts are worth: copies tell nothing new
+    share, trials, z = F.col("n_ct") / F.col("n_t"), F.col("support") * F.col("n_t") / F.col("n_ct"), F.lit(CONFIDENCE)
+    spread = F.sqrt(share * (1 - share) / trials + z * z / (4 * trials * trials))
+    limit = (share + z * z / (2 * trials) - z * spread) / (1 + z * z / trials)
+    return (table.withColumn("information", pmi).where(content > 0).where(F.col("information") * alpha >= content).where(limit >= DISCLOSED)
             .select("entity", "term", "information"))
 
 

@@ -121,3 +121,15 @@ def test_nulls_repeats_and_no_rows(spark):
     assert got == [("1", 0, 0, ""), ("1", 0, 1, "ip:0:8"), ("1", 0, 1, "ip:0:8"), ("2", 0, 0, ""), ("None", 1, 0, "email:0:6")]
     assert sorted("-" if r.text is None else r.text for r in pii.sanitise(df).collect()) == ["", "-", "[EMAIL]", "[IP]", "[IP]"]
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_the_corpus_size_does_not_loosen_the_rule(spark):
+    """A term with nine tenths of its documents elsewhere is never flagged, one that stands beside the entity always is."""
+    found = {}
+    for n in (500, 20_000):
+        rows = [(k, f"word{k % 97} the plain line {k % 13}") for k in range(n)]
+        rows += [(n + k, f"w{k} Common Zebulon jo@corp.example v{k}") for k in range(20)]
+        rows += [(n + 100 + k, f"Common again in line {k}") for k in range(180)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        found[n] = {r.term for r in pii.disclosing_terms(df, pii.occurrences(df)).collect()}
+    assert found == {500: {"zebulon"}, 20_000: {"zebulon"}}
