@@ -5,23 +5,27 @@ sorts every shingle into one of ``BINS`` bins, and each bin keeps its smallest v
 densification: bin ``j`` probes other bins in a pseudo-random order that depends on ``j`` alone, until it meets a filled
 one. Bands of ``ROWS`` bins are hashed to buckets.
 
-Documents with equal sets are first gathered into one class, so copies cost one row each. Candidate pairs are stars: inside
-a bucket every member meets a few hubs only, which keeps the pairs linear in the bucket, whatever its size. Pairs are
-confirmed on the full sets, and what they link counts as one from then on. The passes, all alike:
+Documents with equal sets are first gathered into one class, so copies cost one row each. Pairs are confirmed on the full
+sets, and what they link counts as one component from then on. Stars come first: inside a bucket every member meets a few
+hubs only, which keeps the pairs linear in the bucket.
 
 * one hub in every bucket of the first ``FIRST`` bands, the most central member (it meets the most documents over all its
   buckets): copies of one text resemble the text more than each other, and a group has the same hub in all its buckets;
-* the same in the buckets of all bands that still hold several components, a component counting as one member of it. A bucket of no
-  more than ``SMALL`` is compared completely; in a larger one the ``HUBS`` largest components are hubs. A component is stood for by another of its documents in every
-  bucket, so a text that is like some of them only meets many;
-* the same in narrower buckets, for the documents of buckets with more components: two bands in a row have to agree
-  (as deeper in an LSH forest);
-* the same in buckets of rare shingles, for what is still crowded (texts that share a passage and little else): each
-  document stands in the buckets of its rarest shingles (a prefix filter), where two linked texts always meet.
-
-Each document takes part in at most bands times passes stars of ``SMALL`` hubs at most, so a crowd of texts that resemble each other
-below the threshold costs no more pairs than it has members times a constant. A link can be missed only between two texts
-that are both no hub in any crowded bucket they share.
+* a few hubs in the buckets of all bands that still hold several components, a component counting as one member of it. It
+  is stood for by another of its documents in every bucket. Of more than ``SMALL`` components the ``HUBS`` largest are hubs.
+
+Stars alone would lose links between texts that are no hub in any bucket they share. What they leave apart is therefore
+searched completely:
+
+* a bucket of no more than ``SMALL`` documents is compared member by member;
+* the documents of larger ones that still hold several components are joined by a prefix filter, which is exact: each
+  document stands in the buckets of its rarest shingles, where two linked texts always meet (``rare_members``), stars
+  first, then every pair of different components (``rare_pairs``). Texts that share a widespread passage and little else
+  do not meet there. Upper bounds of the intersection, from the place of the shared shingle in both and from a bitmap of
+  parities, keep out pairs that cannot be linked before their sets are read.
+
+So every two texts that agree in a band are compared, or proven unlinked, or linked through others already. Texts just
+below the threshold of each other, which no bound tells apart, remain pairs; they are spread over tasks and spill.
 
 Components come from minimum labels passed along the confirmed links with pointer jumping, in Spark tables only.
 
@@ -42,10 +46,10 @@ WIDTH = 5
 BINS = 160
 ROWS = 4
 THRESHOLD = 75  # per cent of intersection over union
-SMALL = 8       # a bucket of so many components is compared completely
+SMALL = 8       # a bucket of so many documents is compared completely
 FIRST = 8       # bands of the first pass
-HUBS = 2        # of a larger one; its members meet others in their other buckets, and in narrower ones
-DEPTHS = (2,)   # bands in a row that agree in the narrower buckets of crowds
+HUBS = 2        # stars of a larger one; what they leave apart is joined by rare shingles
+MARKS = 8       # 64-bit words of parities that bound an intersection
 U = np.uint64
 _GOLD = U(0x9E3779B97F4A7C15)
 _ODD = U(0xD1342543DE82EF95)
@@ -268,25 +272,33 @@ def _labels_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, threshold:
     labels = link(members.join(hubs.select("bucket", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n")), "bucket").where("doc_id <> hub"), None)
     discard(members)
 
-    labels, crowd = star_pass(buckets_of(labelled(reps, labels), 1), reps, labels, link)
-    for depth in DEPTHS:
-        if crowd.limit(1).count():
-            placed = buckets_of(labelled(reps.join(crowd, "doc_id"), labels), depth)
-            labels, crowd = _next(star_pass(placed, reps, labels, link), crowd)
+    labels, stands = star_pass(buckets_of(labelled(reps, labels)), labels, link)
+    parted = parted_buckets(stands, labels)
+    discard(stands)
+    # small ones: every pair of documents (where a component is one document, its star has met the others already)
+    small = parted.where((F.col("documents") <= SMALL) & (F.col("components") < F.col("documents"))).select("bucket").distinct()
+    if small.limit(1).count():
+        members = scratch_table(buckets_of(labelled(reps, labels)).join(small, "bucket"), "members")
+        labels = link(cross_pairs(members), labels)
+        discard(members)
+    # large ones: all documents of the components that met there
+    apart = parted.where(F.col("documents") > SMALL).select(F.col("doc_id")).distinct()
+    apart = labelled(apart, labels).select("label").distinct()
+    crowd = scratch_table(labelled(reps.select("doc_id"), labels).join(apart, "label", "left_semi").select("doc_id"), "crowd")
+    discard(parted)
     if crowd.limit(1).count():
-        rare = rare_members(labelled(crowd, labels).join(sets_of(crowd), "doc_id"), threshold)
-        labels, crowd = _next(star_pass(rare, reps, labels, link), crowd)
-        discard(rare)
+        rare = rare_members(crowd.join(sets_of(crowd), "doc_id"), threshold)
+        labels, stands = star_pass(labelled(rare, labels), labels, link)
+        discard(stands)
+        several = several_components(labelled(rare, labels))
+        labels = link(rare_pairs(several, threshold), labels)
+        for table in (several, rare):
+            discard(table)
     for table in (crowd, *held):
         discard(table)
     return labels
 
 
-def _next(result: tuple[DataFrame, DataFrame], crowd: DataFrame) -> tuple[DataFrame, DataFrame]:
-    discard(crowd)
-    return result
-
-
 def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``documents`` with the ``label`` of their component (their own id while they are linked with nothing)."""
     of = labels.select(F.col("id").alias("doc_id"), F.col("label").alias("known"))
@@ -329,51 +341,105 @@ def _linked(pairs: DataFrame, labels: DataFrame | None, sets: DataFrame, thresho
     return after
 
 
-def star_pass(placed: DataFrame, reps: DataFrame, labels: DataFrame, link) -> tuple[DataFrame, DataFrame]:
+def star_pass(placed: DataFrame, labels: DataFrame, link) -> tuple[DataFrame, DataFrame]:
     """Stars in the buckets ``bucket, doc_id, n, label`` that hold several components.
 
-    New labels, and the documents of the components that met in buckets of more than ``SMALL`` and are still not one.
+    New labels, and the documents that stood for the components of these buckets, with the numbers of components and
+    documents the bucket held before.
     """
     # one document stands for a component in a bucket, another one in every bucket
     chosen = F.min(F.struct(F.xxhash64("bucket", "doc_id").alias("h"), "doc_id", "n")).alias("d")
     each = placed.groupBy("bucket", "label").agg(chosen, F.count("*").alias("held")).select("bucket", "label", "d.doc_id", "d.n", "held")
-    several = each.groupBy("bucket").agg(F.count("*").alias("components")).where("components > 1").select("bucket")
+    several = each.groupBy("bucket").agg(F.count("*").alias("components"), F.sum("held").alias("documents")).where("components > 1")
     stands = scratch_table(each.join(several, "bucket"), "stands")
     # the largest components first; equal ones in the same order everywhere, so the same pairs come from many buckets
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("held"), F.xxhash64("label"), "label"))
-    hubs = (stands.withColumn("rank", rank).where(F.col("rank") <= SMALL + 1)
-            .select("bucket", "rank", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")))
-    hubs = scratch_table(hubs.withColumn("most", F.max("rank").over(Window.partitionBy("bucket"))), "hubs")
-    star = hubs.where(F.col("rank") <= F.when(F.col("most") > SMALL, HUBS).otherwise(SMALL)).select("bucket", "hub", "hub_n", "hub_label")
-    labels = link(stands.join(star, "bucket").where("label <> hub_label"), labels)
-    # crowded: too many components to compare completely before, and still more than one
-    full = hubs.where(F.col("rank") == SMALL + 1).select("bucket")
-    met = labelled(stands.join(full, "bucket").select("bucket", "doc_id"), labels).select("bucket", "label").distinct()
-    met = scratch_table(met, "met")
-    parted = met.groupBy("bucket").count().where("count > 1").select("bucket")
-    apart = scratch_table(met.join(parted, "bucket").select("label").distinct(), "apart")
-    crowd = scratch_table(labelled(reps.select("doc_id"), labels).join(apart, "label", "left_semi").select("doc_id"), "crowd")
-    for table in (stands, hubs, met, apart):
-        discard(table)
-    return labels, crowd
+    hubs = stands.withColumn("rank", rank).where(F.col("rank") <= SMALL)
+    hubs = scratch_table(hubs.where(F.col("rank") <= F.when(F.col("components") > SMALL, HUBS).otherwise(SMALL))
+                         .select("bucket", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")), "hubs")
+    labels = link(stands.join(hubs, "bucket").where("label <> hub_label"), labels)
+    discard(hubs)
+    return labels, stands
+
+
+def parted_buckets(stands: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows ``bucket, doc_id, components, documents`` of ``stands`` whose bucket still holds several components."""
+    met = labelled(stands.select("bucket", "doc_id", "components", "documents"), labels)
+    several = met.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("bucket")
+    return scratch_table(met.drop("label").join(several, "bucket"), "parted")
+
+
+def cross_pairs(members: DataFrame) -> DataFrame:
+    """Every pair ``doc_id, n, hub, hub_n`` of documents of different components in the buckets ``bucket, doc_id, n, label``."""
+    other = members.select("bucket", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
+    return members.join(other, "bucket").where("label <> hub_label AND doc_id < hub").select("doc_id", "n", "hub", "hub_n")
+
+
+def several_components(placed: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold several components, with ``minor``: not of the component with the most rows there."""
+    each = placed.groupBy("bucket", "label").agg(F.count("*").alias("held_rows"))
+    of = (each.groupBy("bucket").agg(F.max(F.struct("held_rows", "label")).alias("main"), F.count("*").alias("components"))
+          .where("components > 1").select("bucket", F.col("main.label").alias("main")))
+    return scratch_table(placed.join(of, "bucket").withColumn("minor", F.col("label") != F.col("main")).drop("main"), "several")
 
 
-def buckets_of(reps: DataFrame, depth: int) -> DataFrame:
-    """Buckets ``bucket, doc_id, n, label`` in which ``depth`` bands in a row agree."""
-    if depth == 1:
-        return reps.select(F.explode("bands").alias("bucket"), "doc_id", "n", "label")
-    placed = reps.select("doc_id", "n", "label", "bands", F.explode(F.sequence(F.lit(0), F.size("bands") - 1)).alias("at"))
-    key = F.xxhash64(*[F.get("bands", F.pmod(F.col("at") + k, F.size("bands")).cast("int")) for k in range(depth)])
-    return placed.select(key.alias("bucket"), "doc_id", "n", "label")
+def rare_pairs(several: DataFrame, threshold: int) -> DataFrame:
+    """Every pair ``doc_id, n, hub, hub_n`` of different components in the buckets of ``rare_members`` that may be linked.
+
+    The members of a bucket's main component do not meet each other. With the sizes n and m, the intersection is at most
+    the shared shingles up to the place of the bucket's one in both orders and those after it; and the symmetric difference
+    is at least the number of parities that differ. A pair is left out only where one of the two rules a link out.
+    """
+    other = several.select("bucket", *[F.col(c).alias(f"hub_{c}") for c in several.columns if c not in ("bucket", "doc_id")],
+                           F.col("doc_id").alias("hub"))
+    both = F.least("place", "hub_place") + F.least(F.col("held") - F.col("place"), F.col("hub_held") - F.col("hub_place"))
+    sizes = F.col("n") + F.col("hub_n")
+    apart = sum((F.bit_count(F.col(f"m{k}").bitwiseXOR(F.col(f"hub_m{k}"))) for k in range(MARKS)), F.lit(0))
+    may = ((F.lit(100) * both >= F.lit(threshold) * (sizes - both))
+           & (F.lit(100 - threshold) * sizes >= F.lit(100 + threshold) * apart))
+    once = ~F.col("hub_minor") | (F.col("doc_id") < F.col("hub"))
+    # two texts of one size class meet in that class, not in the one above again
+    own = ~(F.col("lower") & F.col("hub_lower"))
+    return (several.where("minor").join(other, "bucket").where((F.col("label") != F.col("hub_label")) & once & own & may)
+            .select("doc_id", "n", "hub", "hub_n"))
+
+
+def buckets_of(reps: DataFrame) -> DataFrame:
+    """Buckets ``bucket, doc_id, n, label`` in which a band agrees."""
+    return reps.select(F.explode("bands").alias("bucket"), "doc_id", "n", "label")
+
+
+def parities(shingles: list[np.ndarray]) -> np.ndarray:
+    """Per set ``MARKS`` words of bits: whether an odd number of its shingles falls on the bit.
+
+    A bit that differs between two sets takes a shingle that only one of them has.
+    """
+    bits = 64 * MARKS
+    who = np.repeat(np.arange(len(shingles)), np.array([len(s) for s in shingles], np.int64))
+    at = (mix(np.concatenate([*shingles, np.zeros(0, np.uint64)]) ^ U(0x2545F4914F6CDD1D)) >> U(40)).astype(np.int64) % bits
+    odd = np.bincount(who * bits + at, minlength=len(shingles) * bits) & 1
+    return np.packbits(odd.astype(bool).reshape(len(shingles), bits), axis=1).view(np.int64)
+
+
+def marked(sets: DataFrame) -> DataFrame:
+    """``doc_id, m0, m1, ...``: the parities of a set."""
+    def run(batches):
+        for batch in batches:
+            words = parities([np.frombuffer(x.as_buffer(), U) for x in batch.column("shingles")])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(words[:, k]) for k in range(MARKS)]],
+                                             names=["doc_id", *[f"m{k}" for k in range(MARKS)]])
+
+    return sets.select("doc_id", "shingles").mapInArrow(run, "doc_id long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
 
 
 def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
-    """Buckets of rare shingles: ``bucket, doc_id, n, label`` of ``doc_id, label, shingles``.
+    """Buckets of rare shingles: ``bucket, doc_id, n, place, held, lower, m0...`` of ``doc_id, shingles``.
 
     With a common order of all shingles, two sets that reach the threshold share one among the first
     ``n - ceil(t n) + 1`` of either. Rare shingles come first, so texts that only share a widespread passage fall
     apart. A bucket is a shingle and a range of set sizes: sizes of linked sets differ by the factor ``t`` at most, so
-    ranges of that width, each joined by the one above, keep every link.
+    ranges of that width, each joined by the one above (``lower`` there), keep every link. ``held`` counts the shingles
+    that other texts have too, ``place`` tells where the bucket's one stands among them.
     """
     def unpack(batches):
         for batch in batches:
@@ -381,10 +447,10 @@ def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
             sizes = np.array([len(p) for p in parts], np.int64)
             who = np.repeat(np.arange(len(parts)), sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(who)), batch.column("label").take(pa.array(who)), pa.array(sizes[who]),
-                 pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))], names=["doc_id", "label", "n", "shingle"])
+                [batch.column("doc_id").take(pa.array(who)), pa.array(sizes[who]),
+                 pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))], names=["doc_id", "n", "shingle"])
 
-    each = scratch_table(crowd.select("doc_id", "label", "shingles").mapInArrow(unpack, "doc_id long, label long, n long, shingle long"), "shingles")
+    each = scratch_table(crowd.select("doc_id", "shingles").mapInArrow(unpack, "doc_id long, n long, shingle long"), "shingles")
     often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     shared = each.join(often, "shingle")
     order = Window.partitionBy("doc_id").orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, 0)
@@ -392,9 +458,10 @@ def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
     first = F.col("n") - F.ceil(F.col("n") * threshold / 100.0 - 1e-9) + 1
     prefix = placed.where(F.col("place") <= first - (F.col("n") - F.col("held")))  # shingles of one text alone come first
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(threshold / 100.0))))
-    keyed = prefix.select("doc_id", "n", "label", F.explode(F.array(F.xxhash64("shingle", size_class),
-                                                                     F.xxhash64("shingle", size_class + 1))).alias("bucket"))
-    out = scratch_table(keyed.select("bucket", "doc_id", "n", "label"), "rare")
+    keyed = (prefix.join(marked(crowd), "doc_id")
+             .select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("lower"))
+             .withColumn("bucket", F.xxhash64("shingle", size_class + F.col("lower").cast("int"))))
+    out = scratch_table(keyed.select("bucket", "doc_id", "n", "place", "held", "lower", *[f"m{k}" for k in range(MARKS)]), "rare")
     discard(each)
     return out
 

@@ -78,6 +78,36 @@ def test_texts_that_share_a_passage_are_searched_by_rare_shingles(spark, monkeyp
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def family(n, places=8, seed=0):
+    """Texts of one bucket whose links are few: a common text with three of some places changed to one of three words."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        own = [f"b{j}" for j in range(40)]
+        for at in rng.sample(range(2, 40, 36 // places), 3):
+            own[at] = f"x{rng.randrange(3)}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_no_link_is_lost_between_texts_that_are_no_hubs(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SMALL", 2)
+    monkeypatch.setattr(nd, "band_keys", lambda sig: np.zeros(1, np.uint64))  # all texts share one bucket
+    rows = family(300)
+    want = brute(rows)
+    assert 20 < len({c for _, c in want.values()}) < 270
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == want
+
+
+def test_parities_never_exceed_the_symmetric_difference():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        s, t = (np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64)) for _ in "st")
+        a, b = nd.parities([s, t])
+        differ = sum(bin((int(x) ^ int(y)) & (2 ** 64 - 1)).count("1") for x, y in zip(a, b))
+        assert differ <= len(np.setxor1d(s, t))
+
+
 def test_repeated_null_and_no_rows(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text), (3, None), (4, "q r s"), (4, "q r t"),
