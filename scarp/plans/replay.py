@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.resample import epoch_micros
-from ..session import is_local_path, local_fs_path, materialize
+from ..session import is_local_path, local_fs_path, scratch_path
 from ..sources import envelopes as ev
 
 SLICE_ROWS = 1_000_000
@@ -24,8 +24,9 @@ def write_time_slices(readings: DataFrame, path: str, slices: int | None = None,
     ranged by delivery time and id, so a burst is several slices. On a local file system one job writes all slices and
     their mtimes are then set in range order (part numbers follow the ranges). On shared storage the slices are appended
     one job after the other instead, so their write times follow the order (``sequential`` forces either way).
-    ``slices`` defaults to six, or more so that a slice holds about ``SLICE_ROWS`` readings. ``first`` numbers the slices
-    of a further call with the same path, for streams that go on.
+    ``slices`` defaults to six, or more so that a slice holds about ``SLICE_ROWS`` readings: one task writes a slice, so a
+    fixed number of them grows with the input. A stream that wants fewer micro-batches takes several slices at a time
+    (``per_trigger``). ``first`` numbers the slices of a further call with the same path, for streams that go on.
     """
     spark = readings.sparkSession
     if slices is None:
@@ -48,8 +49,15 @@ def write_time_slices(readings: DataFrame, path: str, slices: int | None = None,
         for i, f in enumerate(files):
             os.utime(os.path.join(base, f), (_FIRST_WRITE + first + i,) * 2)
         return len(files)
-    # the ranges are written once, so that every slice is cut from the same ones
-    ranged = materialize(ordered.withColumn("_slice", F.spark_partition_id()))
+    # the ranges are written once, so that every slice is cut from the same ones; a folder each, so a slice reads its own only
+    ranged_path = scratch_path(spark, "scarp", "ranged")
+    ordered.select("value", F.spark_partition_id().alias("_slice")).write.partitionBy("_slice").parquet(ranged_path)
+    ranged = spark.read.schema("value string, _slice int").parquet(ranged_path)
     for k in range(slices):
         ranged.where(F.col("_slice") == k).select("value").coalesce(1).write.mode("append").text(path)
     return slices
+
+
+def per_trigger(slices: int, batches: int) -> int:
+    """Slices a trigger takes so that ``slices`` of them are read in ``batches`` micro-batches."""
+    return max(1, -(-slices // batches))
