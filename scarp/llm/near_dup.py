@@ -21,8 +21,9 @@ searched completely:
 * the documents of larger ones that still hold several components are joined by a prefix filter, which is exact: each
   document stands in the buckets of its rarest shingles, where two linked texts always meet (``rare_members``), stars
   first, then every pair of different components (``rare_pairs``). Texts that share a widespread passage and little else
-  do not meet there. Upper bounds of the intersection, from the place of the shared shingle in both and from a bitmap of
-  parities, keep out pairs that cannot be linked before their sets are read.
+  do not meet there. Upper bounds of the intersection, from the place of the first shared shingle in both, from the
+  shingles that one text has alone and from a bitmap of parities of the others, keep out pairs that cannot be linked
+  before their sets are read.
 
 So every two texts that agree in a band are compared, or proven unlinked, or linked through others already. Texts just
 below the threshold of each other, which no bound tells apart, remain pairs; they are spread over tasks and spill.
@@ -386,15 +387,18 @@ def several_components(placed: DataFrame) -> DataFrame:
 def rare_pairs(several: DataFrame, threshold: int) -> DataFrame:
     """Every pair ``doc_id, n, hub, hub_n`` of different components in the buckets of ``rare_members`` that may be linked.
 
-    The members of a bucket's main component do not meet each other. With the sizes n and m, the intersection is at most
-    the shared shingles up to the place of the bucket's one in both orders and those after it; and the symmetric difference
-    is at least the number of parities that differ. A pair is left out only where one of the two rules a link out.
+    The members of a bucket's main component do not meet each other. A linked pair meets in the bucket of the first
+    shingle in the common order that both texts have (it stands in the prefix of either), so a bucket gives the pairs
+    whose first it may be: their intersection is at most that shingle and those after its place in both. Their symmetric
+    difference is at least the shingles that one text has alone and the parities of the others that differ. A pair is
+    left out only where one of the two rules a link out.
     """
     other = several.select("bucket", *[F.col(c).alias(f"hub_{c}") for c in several.columns if c not in ("bucket", "doc_id")],
                            F.col("doc_id").alias("hub"))
-    both = F.least("place", "hub_place") + F.least(F.col("held") - F.col("place"), F.col("hub_held") - F.col("hub_place"))
+    both = F.least(F.col("held") - F.col("place"), F.col("hub_held") - F.col("hub_place")) + 1
     sizes = F.col("n") + F.col("hub_n")
-    apart = sum((F.bit_count(F.col(f"m{k}").bitwiseXOR(F.col(f"hub_m{k}"))) for k in range(MARKS)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"m{k}").bitwiseXOR(F.col(f"hub_m{k}"))) for k in range(MARKS)),
+                sizes - F.col("held") - F.col("hub_held"))
     may = ((F.lit(100) * both >= F.lit(threshold) * (sizes - both))
            & (F.lit(100 - threshold) * sizes >= F.lit(100 + threshold) * apart))
     once = ~F.col("hub_minor") | (F.col("doc_id") < F.col("hub"))
@@ -421,15 +425,16 @@ def parities(shingles: list[np.ndarray]) -> np.ndarray:
     return np.packbits(odd.astype(bool).reshape(len(shingles), bits), axis=1).view(np.int64)
 
 
-def marked(sets: DataFrame) -> DataFrame:
-    """``doc_id, m0, m1, ...``: the parities of a set."""
+def marked(rows: DataFrame) -> DataFrame:
+    """``doc_id, m0, m1, ...``: the parities of the shingles a document has in the rows ``doc_id, shingle``."""
     def run(batches):
         for batch in batches:
-            words = parities([np.frombuffer(x.as_buffer(), U) for x in batch.column("shingles")])
+            words = parities([x.values.to_numpy().view(U) for x in batch.column("shingles")])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(words[:, k]) for k in range(MARKS)]],
                                              names=["doc_id", *[f"m{k}" for k in range(MARKS)]])
 
-    return sets.select("doc_id", "shingles").mapInArrow(run, "doc_id long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
+    sets = rows.groupBy("doc_id").agg(F.collect_list("shingle").alias("shingles"))
+    return sets.mapInArrow(run, "doc_id long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
 
 
 def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
@@ -439,7 +444,7 @@ def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
     ``n - ceil(t n) + 1`` of either. Rare shingles come first, so texts that only share a widespread passage fall
     apart. A bucket is a shingle and a range of set sizes: sizes of linked sets differ by the factor ``t`` at most, so
     ranges of that width, each joined by the one above (``lower`` there), keep every link. ``held`` counts the shingles
-    that other texts have too, ``place`` tells where the bucket's one stands among them.
+    that other texts have too, ``place`` tells where the bucket's one stands among them, ``m0...`` are their parities.
     """
     def unpack(batches):
         for batch in batches:
@@ -458,7 +463,7 @@ def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
     first = F.col("n") - F.ceil(F.col("n") * threshold / 100.0 - 1e-9) + 1
     prefix = placed.where(F.col("place") <= first - (F.col("n") - F.col("held")))  # shingles of one text alone come first
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(threshold / 100.0))))
-    keyed = (prefix.join(marked(crowd), "doc_id")
+    keyed = (prefix.join(marked(shared), "doc_id")
              .select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("lower"))
              .withColumn("bucket", F.xxhash64("shingle", size_class + F.col("lower").cast("int"))))
     out = scratch_table(keyed.select("bucket", "doc_id", "n", "place", "held", "lower", *[f"m{k}" for k in range(MARKS)]), "rare")

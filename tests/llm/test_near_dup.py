@@ -99,6 +99,30 @@ def test_no_link_is_lost_between_texts_that_are_no_hubs(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
 
+def test_texts_just_below_the_threshold_are_seldom_paired(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SMALL", 2)
+    monkeypatch.setattr(nd, "band_keys", lambda sig: np.zeros(1, np.uint64))  # all texts share one bucket
+    made, search = [], nd.rare_pairs
+
+    def counted(several, threshold):
+        pairs = search(several, threshold)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(nd, "rare_pairs", counted)
+    rng = random.Random(5)
+    rows = []
+    for k in range(70):                                      # near copies of one text, some too far from it
+        own = [f"b{j}" for j in range(400)]
+        for at in rng.sample(range(400), rng.choice([4, 6, 8]) if k < 45 else 14):
+            own[at] = rng.choice([f"x{k}", "y", "z"])
+        rows.append((k, " ".join(own)))
+    want = brute(rows)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == want
+    assert 5 < len({c for _, c in want.values()}) < 60
+    assert len(made) == 1 and made[0] < 70
+
+
 def test_parities_never_exceed_the_symmetric_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):
