@@ -25,6 +25,8 @@ searched completely:
   shingles that one text has alone and from a bitmap of parities of the others, keep out pairs that cannot be linked
   before their sets are read.
 
+The pairs of small buckets are confirmed together with the stars of rare shingles, on sets read for both at once.
+
 So every two texts that agree in a band are compared, or proven unlinked, or linked through others already. Texts just
 below the threshold of each other, which no bound tells apart, remain pairs; they are spread over tasks and spill.
 
@@ -201,7 +203,8 @@ def components(links: DataFrame) -> DataFrame:
     Each step takes the smallest label among the neighbours and then the label of that label. Every step writes its
     table and removes the one before; the driver learns one number a step.
     """
-    both = scratch_table(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = scratch_table(links.where("a <> b").select(ways.alias("way")).select("way.*").distinct(), "links")
     labels = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("label"))
     labels = scratch_table(labels, "labels")
     while True:
@@ -221,14 +224,15 @@ def components(links: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """Per distinct id ``doc_id, n_shingles, component_id, kept``."""
     docs = id_text(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    rows = scratch_table(sketches(docs), "sketches")
     # a repeated id: the row with the smallest set digest stands for it
-    one = (rows.groupBy("doc_id").agg(F.min(F.struct("hi", "lo", "n_shingles")).alias("s"))
-           .select("doc_id", "s.hi", "s.lo", "s.n_shingles"))
+    one = (sketches(docs).groupBy("doc_id").agg(F.min(F.struct("hi", "lo", "n_shingles", "bands")).alias("s"), F.count("*").alias("copies"))
+           .select("doc_id", "s.*", "copies"))
     one = scratch_table(one, "ids")
-    classes = scratch_table(one.where("n_shingles > 0").groupBy("hi", "lo")
-                            .agg(F.min("doc_id").alias("rep")), "classes")
-    label_of_class = _labels_of(docs, rows, classes, threshold)
+    reps = (one.where("n_shingles > 0").groupBy("hi", "lo")
+            .agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "bands")).alias("s")).select("s.*", "hi", "lo"))
+    reps = scratch_table(reps, "reps")
+    classes = reps.select("hi", "lo", F.col("doc_id").alias("rep"))
+    label_of_class = _labels_of(docs, reps, one.where("copies > 1").select("doc_id"), threshold)
     out = (one.join(classes, ["hi", "lo"], "left")
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"))
            .join(label_of_class.select(F.col("id").alias("rep"), "label"), "rep", "left")
@@ -236,12 +240,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
-def _labels_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Labels of the class representatives that are linked with another one."""
-    digest = classes.select(F.col("rep").alias("doc_id"), "hi", "lo")
-    reps = scratch_table(rows.join(digest, ["doc_id", "hi", "lo"]).dropDuplicates(["doc_id"])
-                         .select("doc_id", F.col("n_shingles").alias("n"), "bands"), "reps")
-
+def _labels_of(docs: DataFrame, reps: DataFrame, repeated: DataFrame, threshold: int) -> DataFrame:
+    """Labels of the class representatives ``reps`` that are linked with another one; ``repeated``: ids of several rows."""
+    if repeated.limit(1).count() == 0:
+        repeated = None
     held: list[DataFrame] = []                               # sets read so far, a table per pass that needed new ones
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -250,13 +252,15 @@ def _labels_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, threshold:
             have = table if have is None else have.unionByName(table)
         new = wanted if have is None else scratch_table(wanted.join(have.select("doc_id"), "doc_id", "left_anti"), "wanted")
         if have is None or new.limit(1).count():
-            held.append(_sets_of(docs, rows, new, digest))
+            held.append(_sets_of(docs, new, reps, repeated))
             have = held[-1] if have is None else have.unionByName(held[-1])
         return have
 
-    def link(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    def link(pairs: DataFrame, labels: DataFrame | None, sets: DataFrame | None = None) -> DataFrame:
+        """Labels after the pairs; ``sets``: those of all their documents, where they have been read."""
         found = scratch_table(_distinct_pairs(pairs, threshold), "pairs")
-        sets = sets_of(found.select(F.col("a").alias("doc_id")).union(found.select("b")).distinct())
+        if sets is None:
+            sets = sets_of(found.select(F.col("a").alias("doc_id")).union(found.select("b")).distinct())
         after = _linked(found, labels, sets, threshold)
         discard(found)
         return after
@@ -278,23 +282,26 @@ def _labels_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, threshold:
     discard(stands)
     # small ones: every pair of documents (where a component is one document, its star has met the others already)
     small = parted.where((F.col("documents") <= SMALL) & (F.col("components") < F.col("documents"))).select("bucket").distinct()
-    if small.limit(1).count():
-        members = scratch_table(buckets_of(labelled(reps, labels)).join(small, "bucket"), "members")
-        labels = link(cross_pairs(members), labels)
-        discard(members)
+    members = scratch_table(buckets_of(labelled(reps, labels)).join(small, "bucket"), "members")
     # large ones: all documents of the components that met there
     apart = parted.where(F.col("documents") > SMALL).select(F.col("doc_id")).distinct()
     apart = labelled(apart, labels).select("label").distinct()
     crowd = scratch_table(labelled(reps.select("doc_id"), labels).join(apart, "label", "left_semi").select("doc_id"), "crowd")
     discard(parted)
     if crowd.limit(1).count():
-        rare = rare_members(crowd.join(sets_of(crowd), "doc_id"), threshold)
-        labels, stands = star_pass(labelled(rare, labels), labels, link)
+        sets = sets_of(crowd.union(members.select("doc_id")).distinct())
+        rare = rare_members(crowd.join(sets, "doc_id"), threshold)
+        # the pairs of small buckets are confirmed with the stars
+        labels, stands = star_pass(labelled(rare, labels), labels,
+                                   lambda pairs, known: link(pairs.unionByName(cross_pairs(members)), known, sets))
         discard(stands)
         several = several_components(labelled(rare, labels))
-        labels = link(rare_pairs(several, threshold), labels)
+        labels = link(rare_pairs(several, threshold), labels, sets)
         for table in (several, rare):
             discard(table)
+    elif members.limit(1).count():
+        labels = link(cross_pairs(members), labels)
+    discard(members)
     for table in (crowd, *held):
         discard(table)
     return labels
@@ -306,12 +313,12 @@ def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return documents.join(of, "doc_id", "left").withColumn("label", F.coalesce("known", "doc_id")).drop("known")
 
 
-def _sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, digest: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, wanted: DataFrame, reps: DataFrame, repeated: DataFrame | None) -> DataFrame:
     """``doc_id, shingles`` of the representatives wanted, each the set of its class."""
-    keyed = full_sets(docs.join(wanted, "doc_id")).dropDuplicates(["doc_id", "shingles"])
-    repeated = rows.groupBy("doc_id").agg(F.count_distinct("hi", "lo").alias("n")).where("n > 1").select("doc_id")
-    single = keyed.join(repeated, "doc_id", "left_anti")
-    several = sketched_sets(docs.join(repeated.join(wanted, "doc_id"), "doc_id")).join(digest, ["doc_id", "hi", "lo"])
+    if repeated is None:
+        return scratch_table(full_sets(docs.join(wanted, "doc_id")), "sets")
+    single = full_sets(docs.join(wanted.join(repeated, "doc_id", "left_anti"), "doc_id"))
+    several = sketched_sets(docs.join(repeated.join(wanted, "doc_id"), "doc_id")).join(reps.select("doc_id", "hi", "lo"), ["doc_id", "hi", "lo"])
     return scratch_table(single.unionByName(several.dropDuplicates(["doc_id"]).select("doc_id", "shingles")), "sets")
 
 
@@ -328,16 +335,17 @@ def _linked(pairs: DataFrame, labels: DataFrame | None, sets: DataFrame, thresho
         after = components(found)
         discard(found)
         return after
+    if found.limit(1).count() == 0:
+        return labels
     of = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
     to = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
-    links = scratch_table(found.join(of, "a", "left").join(to, "b", "left")
-                          .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")), "label-links")
-    moved = components(links)
+    moved = components(found.join(of, "a", "left").join(to, "b", "left")
+                       .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
     # documents that had no label yet are links' ends themselves
     new = moved.join(labels.select("id"), "id", "left_anti")
     old = labels.join(moved.select(F.col("id").alias("label"), F.col("label").alias("now")), "label", "left").select("id", F.coalesce("now", "label").alias("label"))
     after = scratch_table(old.unionByName(new), "components")
-    for table in (found, links, moved, labels):
+    for table in (found, moved, labels):
         discard(table)
     return after
 
@@ -358,7 +366,7 @@ def star_pass(placed: DataFrame, labels: DataFrame, link) -> tuple[DataFrame, Da
     hubs = stands.withColumn("rank", rank).where(F.col("rank") <= SMALL)
     hubs = scratch_table(hubs.where(F.col("rank") <= F.when(F.col("components") > SMALL, HUBS).otherwise(SMALL))
                          .select("bucket", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")), "hubs")
-    labels = link(stands.join(hubs, "bucket").where("label <> hub_label"), labels)
+    labels = link(stands.join(hubs, "bucket").where("label <> hub_label").select("doc_id", "n", "hub", "hub_n"), labels)
     discard(hubs)
     return labels, stands
 
@@ -425,18 +433,6 @@ def parities(shingles: list[np.ndarray]) -> np.ndarray:
     return np.packbits(odd.astype(bool).reshape(len(shingles), bits), axis=1).view(np.int64)
 
 
-def marked(rows: DataFrame) -> DataFrame:
-    """``doc_id, m0, m1, ...``: the parities of the shingles a document has in the rows ``doc_id, shingle``."""
-    def run(batches):
-        for batch in batches:
-            words = parities([x.values.to_numpy().view(U) for x in batch.column("shingles")])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(words[:, k]) for k in range(MARKS)]],
-                                             names=["doc_id", *[f"m{k}" for k in range(MARKS)]])
-
-    sets = rows.groupBy("doc_id").agg(F.collect_list("shingle").alias("shingles"))
-    return sets.mapInArrow(run, "doc_id long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
-
-
 def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
     """Buckets of rare shingles: ``bucket, doc_id, n, place, held, lower, m0...`` of ``doc_id, shingles``.
 
@@ -457,13 +453,29 @@ def rare_members(crowd: DataFrame, threshold: int) -> DataFrame:
 
     each = scratch_table(crowd.select("doc_id", "shingles").mapInArrow(unpack, "doc_id long, n long, shingle long"), "shingles")
     often = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    shared = each.join(often, "shingle")
-    order = Window.partitionBy("doc_id").orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, 0)
-    placed = shared.withColumn("place", F.count("*").over(order)).withColumn("held", F.count("*").over(Window.partitionBy("doc_id")))
-    first = F.col("n") - F.ceil(F.col("n") * threshold / 100.0 - 1e-9) + 1
-    prefix = placed.where(F.col("place") <= first - (F.col("n") - F.col("held")))  # shingles of one text alone come first
+    shared = each.join(often, "shingle").groupBy("doc_id", "n").agg(F.collect_list(F.struct("df", "shingle")).alias("shared"))
+
+    def prefix(batches):
+        for batch in batches:
+            lists = batch.column("shared")
+            ends, df, shingle = lists.offsets.to_numpy(), *(lists.values.field(c).to_numpy() for c in ("df", "shingle"))
+            sizes = batch.column("n").to_numpy()
+            held, chosen = np.diff(ends), []
+            # shingles of one text alone come first
+            keep = np.maximum(sizes - np.ceil(sizes * threshold / 100.0 - 1e-9).astype(np.int64) + 1 - (sizes - held), 0)
+            for lo, hi, k in zip(ends, ends[1:], keep):
+                chosen.append(shingle[lo:hi][np.lexsort((shingle[lo:hi], df[lo:hi]))[:k]])
+            words = parities([shingle[lo:hi].view(U) for lo, hi in zip(ends, ends[1:])])
+            count = np.array([len(c) for c in chosen], np.int64)
+            who = np.repeat(np.arange(len(chosen)), count)
+            place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count) + 1
+            columns = [batch.column("doc_id").to_numpy()[who], sizes[who], np.concatenate([*chosen, np.zeros(0, np.int64)]), place,
+                       held[who].astype(np.int64), *(words[who, m] for m in range(MARKS))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    names = ["doc_id", "n", "shingle", "place", "held", *(f"m{k}" for k in range(MARKS))]
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(threshold / 100.0))))
-    keyed = (prefix.join(marked(shared), "doc_id")
+    keyed = (shared.mapInArrow(prefix, ", ".join(f"{c} long" for c in names))
              .select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("lower"))
              .withColumn("bucket", F.xxhash64("shingle", size_class + F.col("lower").cast("int"))))
     out = scratch_table(keyed.select("bucket", "doc_id", "n", "place", "held", "lower", *[f"m{k}" for k in range(MARKS)]), "rare")

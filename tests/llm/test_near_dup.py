@@ -5,6 +5,8 @@ import numpy as np
 
 from scarp.llm import near_dup as nd
 
+U0 = np.zeros(1, np.uint64)
+
 
 def brute(rows):
     """Component and set size by comparing all pairs."""
@@ -123,6 +125,18 @@ def test_texts_just_below_the_threshold_are_seldom_paired(spark, monkeypatch):
     assert len(made) == 1 and made[0] < 70
 
 
+def test_small_buckets_and_rare_stars_share_a_pass(spark, monkeypatch):
+    keys, write, written = nd.band_keys, nd.scratch_table, []
+    monkeypatch.setattr(nd, "band_keys", lambda sig: np.r_[U0, keys(sig)[:12]])  # one bucket of all, besides small ones
+    monkeypatch.setattr(nd, "scratch_table", lambda df, name: written.append(name) or write(df, name))
+    rows = family(120)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert "members" in written and "rare" in written
+    # stars of the first bands, of all bands, of rare shingles with the small buckets, pairs of rare shingles
+    assert written.count("confirmed") <= 4
+    assert written.count("sets") <= 3 and len(written) <= 48
+
+
 def test_parities_never_exceed_the_symmetric_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):
