@@ -38,9 +38,12 @@ repeated id is one document, whose text is the one with the smallest set digest;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, fresh, id_text, map_texts, scratch_table
@@ -53,6 +56,10 @@ SMALL = 8       # a bucket of so many documents is compared completely
 FIRST = 8       # bands of the first pass
 HUBS = 2        # stars of a larger one; what they leave apart is joined by rare shingles
 MARKS = 8       # 64-bit words of parities that bound an intersection
+PART_BITS = 1 << 15  # of a row of the bitmap of wanted ids, as bitmap_construct_agg makes them
+MOST_BITS = 1 << 26  # of the whole bitmap
+BATCH = 1000    # rows of an Arrow batch: texts and sets are long
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 U = np.uint64
 _GOLD = U(0x9E3779B97F4A7C15)
 _ODD = U(0xD1342543DE82EF95)
@@ -221,13 +228,29 @@ def components(links: DataFrame) -> DataFrame:
         discard(step)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written inside hands Python no more than ``BATCH`` rows at once, which bounds a task's memory outside the heap."""
+    before = int(spark.conf.get(BATCH_ROWS))
+    spark.conf.set(BATCH_ROWS, str(BATCH if before <= 0 else min(before, BATCH)))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, str(before))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """Per distinct id ``doc_id, n_shingles, component_id, kept``."""
     docs = id_text(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     # a repeated id: the row with the smallest set digest stands for it
     one = (sketches(docs).groupBy("doc_id").agg(F.min(F.struct("hi", "lo", "n_shingles", "bands")).alias("s"), F.count("*").alias("copies"))
            .select("doc_id", "s.*", "copies"))
-    one = scratch_table(one, "ids")
+    with small_batches(docs.sparkSession):
+        return _grouped(docs, scratch_table(one, "ids"), threshold)
+
+
+def _grouped(docs: DataFrame, one: DataFrame, threshold: int) -> DataFrame:
+    """``near_groups`` of the documents sketched in ``one``."""
     reps = (one.where("n_shingles > 0").groupBy("hi", "lo")
             .agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "bands")).alias("s")).select("s.*", "hi", "lo"))
     reps = scratch_table(reps, "reps")
@@ -250,10 +273,12 @@ def _labels_of(docs: DataFrame, reps: DataFrame, repeated: DataFrame, threshold:
         have = None
         for table in held:
             have = table if have is None else have.unionByName(table)
-        new = wanted if have is None else scratch_table(wanted.join(have.select("doc_id"), "doc_id", "left_anti"), "wanted")
-        if have is None or new.limit(1).count():
-            held.append(_sets_of(docs, new, reps, repeated))
+        new = scratch_table(wanted if have is None else wanted.join(have.select("doc_id"), "doc_id", "left_anti"), "wanted")
+        count = new.count()
+        if have is None or count:
+            held.append(_sets_of(may_be_among(docs, new, count), new, reps, repeated))
             have = held[-1] if have is None else have.unionByName(held[-1])
+        discard(new)
         return have
 
     def link(pairs: DataFrame, labels: DataFrame | None, sets: DataFrame | None = None) -> DataFrame:
@@ -266,23 +291,23 @@ def _labels_of(docs: DataFrame, reps: DataFrame, repeated: DataFrame, threshold:
         return after
 
     # a group meets in its first bands already; in the others a component counts as one
-    first = reps.select(F.explode(F.slice("bands", 1, FIRST)).alias("bucket"), "doc_id", "n")
-    shared = first.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    sized = scratch_table(first.join(shared, "bucket"), "sized")
+    shared = shared_buckets(reps)
+    sized = shared.where("early").select("bucket", "doc_id", "n", "size")
     # the document in the middle of a group meets the others in more, and larger, buckets than they meet each other
     central = sized.groupBy("doc_id").agg(F.sum("size").alias("central"))
     members = scratch_table(sized.drop("size").join(central, "doc_id"), "members")
-    discard(sized)
     hubs = members.groupBy("bucket").agg(F.max(F.struct("central", "doc_id", "n")).alias("h")).select("bucket", "h.*")
     labels = link(members.join(hubs.select("bucket", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n")), "bucket").where("doc_id <> hub"), None)
     discard(members)
 
-    labels, stands = star_pass(buckets_of(labelled(reps, labels)), labels, link)
+    placed = shared.select("bucket", "doc_id", "n")
+    labels, stands = star_pass(labelled(placed, labels), labels, link)
     parted = parted_buckets(stands, labels)
     discard(stands)
     # small ones: every pair of documents (where a component is one document, its star has met the others already)
     small = parted.where((F.col("documents") <= SMALL) & (F.col("components") < F.col("documents"))).select("bucket").distinct()
-    members = scratch_table(buckets_of(labelled(reps, labels)).join(small, "bucket"), "members")
+    members = scratch_table(labelled(placed.join(small, "bucket"), labels), "members")
+    discard(shared)
     # large ones: all documents of the components that met there
     apart = parted.where(F.col("documents") > SMALL).select(F.col("doc_id")).distinct()
     apart = labelled(apart, labels).select("label").distinct()
@@ -416,9 +441,28 @@ def rare_pairs(several: DataFrame, threshold: int) -> DataFrame:
             .select("doc_id", "n", "hub", "hub_n"))
 
 
-def buckets_of(reps: DataFrame) -> DataFrame:
-    """Buckets ``bucket, doc_id, n, label`` in which a band agrees."""
-    return reps.select(F.explode("bands").alias("bucket"), "doc_id", "n", "label")
+def shared_buckets(reps: DataFrame) -> DataFrame:
+    """Buckets ``bucket, doc_id, n, early, size`` in which a band of several documents agrees; ``early``: a first band.
+
+    Most bands are those of one document only. All passes read this table, so the bands are dealt out by bucket once.
+    """
+    placed = reps.select(F.posexplode("bands").alias("band", "bucket"), "doc_id", "n").withColumn("early", F.col("band") < FIRST).drop("band")
+    several = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    return scratch_table(placed.join(several, "bucket"), "shared")
+
+
+def may_be_among(docs: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+    """The rows of ``docs`` whose id may be one of the ``count`` ids of ``wanted``: all of these, and few others.
+
+    A bitmap of hashed ids, of bounded size, tells most of the others, so a join by id does not deal out their texts.
+    """
+    bits = min(MOST_BITS, max(PART_BITS, 1 << (16 * count).bit_length()))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    part, bit = F.floor(at / PART_BITS).alias("part"), (at % PART_BITS).alias("bit")
+    bitmap = wanted.select(part, bit).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    byte = F.expr("cast(conv(hex(substring(bitmap, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)")
+    found = docs.select("*", part, bit).join(F.broadcast(bitmap), "part").withColumn("byte", byte)
+    return found.where(F.expr("(shiftright(byte, cast(bit % 8 as int)) & 1) = 1")).select(*docs.columns)
 
 
 def parities(shingles: list[np.ndarray]) -> np.ndarray:

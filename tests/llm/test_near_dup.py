@@ -137,6 +137,37 @@ def test_small_buckets_and_rare_stars_share_a_pass(spark, monkeypatch):
     assert written.count("sets") <= 3 and len(written) <= 48
 
 
+def test_passes_read_shared_buckets_and_texts_that_meet(spark, monkeypatch):
+    sets, stars, write, rows_read, placed_rows, batches = nd._sets_of, nd.star_pass, nd.scratch_table, [], [], set()
+
+    def counted_sets(docs, wanted, *rest):
+        rows_read.append((docs.count(), wanted.count()))
+        return sets(docs, wanted, *rest)
+
+    monkeypatch.setattr(nd, "_sets_of", counted_sets)
+    monkeypatch.setattr(nd, "star_pass", lambda placed, *rest: placed_rows.append(placed.count()) or stars(placed, *rest))
+    monkeypatch.setattr(nd, "scratch_table", lambda df, name: batches.add(int(spark.conf.get(nd.BATCH_ROWS))) or write(df, name))
+    before = spark.conf.get(nd.BATCH_ROWS)
+    rng = random.Random(7)
+    rows = [(k, " ".join(f"w{rng.randrange(9000)}" for _ in range(30))) for k in range(200)]
+    rows += [(500 + k, rows[k % 5][1] + f" e{k}") for k in range(10)]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    # texts that meet no other are not dealt out for their sets, nor are their bands in a pass
+    assert rows_read and all(n <= 2 * wanted + 5 for n, wanted in rows_read)
+    assert placed_rows[0] <= 15 * nd.BINS // nd.ROWS
+    assert max(batches) <= 1000 and spark.conf.get(nd.BATCH_ROWS) == before
+
+
+def test_bitmap_of_wanted_ids_loses_none(spark):
+    ids = [k * k * k - 70_000 for k in range(3000)]
+    docs = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    wanted = docs.where("doc_id % 7 = 0").select("doc_id")
+    count = wanted.count()
+    found = {r.doc_id for r in nd.may_be_among(docs, wanted, count).collect()}
+    assert {i for i in ids if i % 7 == 0} <= found and len(found) < 3000 * 0.35
+    assert nd.may_be_among(docs, wanted.limit(0), 0).count() == 0
+
+
 def test_parities_never_exceed_the_symmetric_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):
