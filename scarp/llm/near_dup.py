@@ -460,8 +460,9 @@ def may_be_among(docs: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
     at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     part, bit = F.floor(at / PART_BITS).alias("part"), (at % PART_BITS).alias("bit")
     bitmap = wanted.select(part, bit).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    bitmap = scratch_table(bitmap, "bitmap")                 # a small table, whose size Spark knows when it plans the join
     byte = F.expr("cast(conv(hex(substring(bitmap, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)")
-    found = docs.select("*", part, bit).join(F.broadcast(bitmap), "part").withColumn("byte", byte)
+    found = docs.select("*", part, bit).join(bitmap, "part").withColumn("byte", byte)
     return found.where(F.expr("(shiftright(byte, cast(bit % 8 as int)) & 1) = 1")).select(*docs.columns)
 
 
