@@ -85,3 +85,52 @@ def test_a_common_vector_is_one_entry(spark):
     rows = [(k, same if k % 3 == 0 else [rng.gauss(0, 0.2) for _ in range(8)]) for k in range(1200)]
     rows += rows[:20]                                             # repeated rows count once
     assert result(spark, rows, block=64, queries=8) == brute(rows[:1200])
+
+
+def test_copies_of_queries_and_vectors_are_never_broadcast(spark, monkeypatch):
+    """The copies of the queries, one for every group of rows, are many times the file by which Spark chooses a broadcast."""
+    plans, real, rng = {}, topk.scratch_table, random.Random(4)
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(topk, "scratch_table", lambda df, name: plans.update({name: plan_of(df)}) or real(df, name))
+    rows = [(k, [rng.gauss(0, 0.2) for _ in range(8)]) for k in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = topk.top_k(df, block=32, queries=2)
+    assert "Broadcast" not in "".join(plans[x] for x in ("topk-passed", "topk-left", "topk-first")) + plan_of(out)
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows)
+
+
+def test_every_query_meets_every_row_once(spark, monkeypatch):
+    monkeypatch.setattr(topk, "TILE", 3000)                       # several groups of rows and of queries
+    monkeypatch.setattr(topk, "SPREAD", 3)
+    met, real, rng = [], topk.passed_on, random.Random(5)
+    monkeypatch.setattr(topk, "passed_on", lambda store, asked, k, queries: met.append(
+        real(store, asked, 1000, queries).collect()) or real(store, asked, k, queries))
+    rows = [(k, [rng.gauss(0, 0.2) for _ in range(6)]) for k in range(500)]
+    assert result(spark, rows, block=16, queries=3, every=7) == brute(rows, every=7)
+    pairs = [(r["q"], r["first"]) for r in met[0]]
+    assert len(pairs) == len(set(pairs)) == len(rows) * len(range(0, 500, 7))
+
+
+@pytest.mark.parametrize("unit", [1.0, 300.0, 1e9, 1e20, 1e160])
+def test_a_tile_keeps_the_best_rows_of_every_query(unit):
+    """Sums in single precision, in double precision and beyond both; blocks and queries of different lengths."""
+    rng, k = np.random.default_rng(7), 4
+    dims = (9, 5, 9, 12)
+    blocks = [np.floor(rng.normal(0, 40, (n, d)) * u) for n, d, u in zip((60, 3, 90, 40), dims, (1, unit, unit, 1))]
+    asked = [np.floor(rng.normal(0, 40, (7, d)) * unit) for d in (9, 12)]
+    def stored(n, m):
+        code, edges = topk.cells_of(m, 8)
+        return {"n": len(m), "dim": m.shape[1], "keys": np.arange(100 * n, 100 * n + len(m)).astype("<i8").tobytes(), "codes": code.tobytes(),
+                "edges": edges.astype("<f8").tobytes(), "top": float(np.abs(m).max())}
+    found = topk.scan_tile([stored(n, m) for n, m in enumerate(blocks)], [
+        {"q_n": 7, "q_dim": m.shape[1], "q_keys": np.arange(10 * n, 10 * n + 7).astype("<i8").tobytes(), "q_vectors": m.astype("<f8").tobytes()}
+        for n, m in enumerate(asked)], k, 5)
+    bounds = {(q, row): (upper, lower) for q, row, upper, lower in zip(*(x.tolist() for x in found))}
+    cut = lambda x: min(max(x, -2 ** 63), 2 ** 63)
+    for q, v in ((10 * n + i, v) for n, m in enumerate(asked) for i, v in enumerate(m.tolist())):
+        scores = {100 * n + i: cut(sum(int(a) * int(b) for a, b in zip(v, w))) for n, m in enumerate(blocks) for i, w in enumerate(m.tolist())}
+        kth = sorted(scores.values())[-k]
+        assert {row for row, x in scores.items() if x >= kth} <= {row for at, row in bounds if at == q}
+        assert all(low <= scores[row] <= up for (at, row), (up, low) in bounds.items() if at == q)
+    if unit == 1.0:
+        assert len(bounds) < 14 * 193 / 2
